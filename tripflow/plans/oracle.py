@@ -164,3 +164,221 @@ SELECT * FROM clean ORDER BY md5('42|' || trip_key), trip_key LIMIT 1000"""
 ORACLE["sample_rows_before_filter"] = with_(RAW, _clean("raw", "clean")) + """
 SELECT * FROM (SELECT * FROM clean ORDER BY md5('42|' || trip_key), trip_key LIMIT 1000) s
 WHERE pickup_hour < 12"""
+
+
+# ---- data quality ------------------------------------------------------------
+
+from tripflow.operators.quality import RULES  # noqa: E402
+
+ZS = _zone_stats("raw", "zs")
+SILVER_DEMAND = _demand("raw", "dd", keep_date=True).replace("dd AS (", "dd0 AS (", 1) + """,
+silver_demand AS (
+  SELECT zone_id, pickup_hour, day_of_week, month, trip_count,
+         CASE WHEN CAST(('0x' || substr(md5('42|' || concat_ws('|', zone_id, pickup_date, pickup_hour)), 1, 8))::BIGINT % 100 AS INTEGER) < 20
+              THEN 'test' ELSE 'train' END AS split
+  FROM dd0)"""
+QUALITY_SOURCES = {
+    "bronze_raw": ([RAW], "raw", {}),
+    "bronze_streaming": ([STREAM], "stream", {}),
+    "silver_trips": ([RAW, _clean("raw", "clean"), SILVER], "silver", {}),
+    "silver_demand": ([RAW, SILVER_DEMAND], "silver_demand", {}),
+    "gold_zone_stats": ([RAW, ZS], "zs", {}),
+}
+DOUBLE_COLS = {"trip_distance", "total_amount", "duration_min", "zone_avg_fare",
+               "zone_avg_duration_min", "zone_avg_distance"}
+
+
+def _rule_text(rules):
+    parts = []
+    if not rules.get("nullable", True):
+        parts.append("not_null")
+    if rules.get("unique"):
+        parts.append("unique")
+    if "min" in rules or "max" in rules:
+        parts.append(f"range[{rules.get('min', '')},{rules.get('max', '')}]")
+    return ",".join(parts) or "present"
+
+
+def _quality_sql(table):
+    ctes, src, _ = QUALITY_SOURCES[table]
+    spec = RULES[table]
+    sel = [f"""SELECT '{table}' AS "table", 'row_count' AS "check", NULL::VARCHAR AS "column",
+       '>={spec['min_rows']}' AS rule, count(*) AS observed, count(*) >= {spec['min_rows']} AS passed FROM {src}"""]
+    for c, r in spec["columns"].items():
+        conds = []
+        if not r.get("nullable", True):
+            conds.append(f'"{c}" IS NULL' + (f' OR isnan("{c}")' if c in DOUBLE_COLS else ""))
+        if "min" in r:
+            conds.append(f'"{c}" < {r["min"]}')
+        if "max" in r:
+            conds.append(f'"{c}" > {r["max"]}')
+        v = f"count(*) FILTER (WHERE {' OR '.join(conds)})" if conds else "CAST(0 AS BIGINT)"
+        if r.get("unique"):
+            dup = f"""(SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM
+                      (SELECT count(*) AS n FROM {src} GROUP BY "{c}" HAVING count(*) > 1) g)"""
+            sel.append(f"""SELECT '{table}', 'column', '{c}', '{_rule_text(r)}', {v} + {dup},
+       {v} = 0 AND {dup} = 0 FROM {src}""")
+        else:
+            sel.append(f"""SELECT '{table}', 'column', '{c}', '{_rule_text(r)}', {v}, {v} = 0 FROM {src}""")
+    return ctes, "\nUNION ALL\n".join(sel)
+
+
+for _t in RULES:
+    _c, _s = _quality_sql(_t)
+    ORACLE[f"quality_{_t}"] = with_(*_c) + _s
+
+
+def _quality_union():
+    ctes = [RAW, STREAM, _clean("raw", "clean"), SILVER, SILVER_DEMAND, ZS]
+    body = []
+    for t in RULES:
+        body.append(f"q_{t} AS ({_quality_sql(t)[1]})")
+    return with_(*ctes, *body, "allq AS (" + " UNION ALL ".join(f"SELECT * FROM q_{t}" for t in RULES) + ")")
+
+
+ORACLE["quality_summary"] = _quality_union() + """
+SELECT "table", bool_and(passed) AS success, count(*) AS total_checks,
+       count(*) FILTER (WHERE passed) AS passed, count(*) FILTER (WHERE NOT passed) AS failed,
+       max(CASE WHEN "check" = 'row_count' THEN observed END) AS rows
+FROM allq GROUP BY "table" """
+
+ORACLE["duplicate_count"] = with_(RAW) + """
+SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows, count(*) AS duplicate_groups
+FROM (SELECT count(*) AS n FROM raw GROUP BY PULocationID, DOLocationID, tpep_pickup_datetime
+      HAVING count(*) > 1) g"""
+
+_STAT_COLS = ["pickup_zone_id", "dropoff_zone_id", "trip_distance", "pickup_hour",
+              "pickup_day_of_week", "pickup_month", "passenger_count", "duration_min", "total_amount"]
+ORACLE["column_stats"] = with_(RAW, _clean("raw", "clean"), SILVER) + "\nUNION ALL\n".join(
+    f"""SELECT 'silver_trips' AS "table", '{c}' AS "column", round(avg(CAST({c} AS DOUBLE)), 4) AS mean,
+       round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std FROM silver""" for c in _STAT_COLS)
+
+ORACLE["freshness"] = with_(RAW, STREAM, ZS, """u AS (
+  SELECT 'bronze_raw' AS "table", max(tpep_pickup_datetime) AS last_update FROM raw
+  UNION ALL SELECT 'bronze_streaming', max(tpep_pickup_datetime) FROM stream
+  UNION ALL SELECT 'gold_zone_stats', max(event_timestamp) FROM zs)""", """a AS (
+  SELECT *, (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(last_update)) // 1000000 AS age_seconds,
+         CAST(CASE "table" WHEN 'bronze_raw' THEN 86400 WHEN 'bronze_streaming' THEN 600
+              WHEN 'silver_trips' THEN 3600 WHEN 'silver_demand' THEN 3600
+              WHEN 'gold_zone_stats' THEN 86400 END AS BIGINT) AS sla_seconds FROM u)""") + """
+SELECT "table", last_update, age_seconds, sla_seconds, age_seconds <= sla_seconds AS within_sla,
+       CASE WHEN age_seconds >= 600 THEN 'red' WHEN age_seconds >= 300 THEN 'yellow' ELSE 'green' END AS level,
+       TIMESTAMP '2024-02-01 00:00:00' AS as_of
+FROM a"""
+
+
+# ---- drift -------------------------------------------------------------------
+
+FEATS = ["trip_distance", "pickup_hour", "pickup_day_of_week", "pickup_month", "passenger_count"]
+DISC = ["pickup_hour", "pickup_day_of_week", "pickup_month", "passenger_count"]
+REF = """ref AS (
+  SELECT trip_distance, pickup_hour, pickup_day_of_week, pickup_month, passenger_count FROM silver
+  WHERE split = 'train' AND trip_distance > 0 AND trip_distance < 100
+    AND passenger_count BETWEEN 0 AND 9)"""
+CUR = """cur AS (
+  SELECT * FROM (
+    SELECT trip_distance, CAST(hour(tpep_pickup_datetime) AS INTEGER) AS pickup_hour,
+           CAST((dayofweek(tpep_pickup_datetime) + 6) % 7 AS INTEGER) AS pickup_day_of_week,
+           CAST(month(tpep_pickup_datetime) AS INTEGER) AS pickup_month, passenger_count, date
+    FROM stream WHERE PULocationID BETWEEN 1 AND 263) s
+  WHERE trip_distance > 0 AND trip_distance < 100 AND passenger_count BETWEEN 0 AND 9
+    AND trip_distance IS NOT NULL AND pickup_hour IS NOT NULL AND date IS NOT NULL)"""
+
+
+def _long(src, name, cols, extra=""):
+    return f"{name} AS (" + " UNION ALL ".join(
+        f"SELECT {extra}'{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM {src} WHERE {c} IS NOT NULL"
+        for c in cols) + ")"
+
+
+def _vc(cols):
+    return [_long("ref", "rl", cols), _long("cur", "cl", cols), """vc AS (
+  SELECT feature, value, coalesce(r.c, 0) AS c_ref, coalesce(k.c, 0) AS c_cur
+  FROM (SELECT feature, value, count(*) AS c FROM rl GROUP BY ALL) r
+  FULL OUTER JOIN (SELECT feature, value, count(*) AS c FROM cl GROUP BY ALL) k USING (feature, value))""",
+            """tot AS (SELECT feature, CAST(sum(c_ref) AS BIGINT) AS n_ref,
+                        CAST(sum(c_cur) AS BIGINT) AS n_cur FROM vc GROUP BY feature)"""]
+
+
+DRIFT_BASE = [RAW, STREAM, _clean("raw", "clean"), SILVER, REF, CUR]
+CDF = """cdf AS (
+  SELECT vc.feature, value, n_ref, n_cur,
+         abs(sum(c_ref) OVER w / n_ref - sum(c_cur) OVER w / n_cur) AS gap,
+         coalesce(lead(value) OVER w2 - value, 0) AS step
+  FROM vc JOIN tot USING (feature)
+  WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING),
+         w2 AS (PARTITION BY feature ORDER BY value))"""
+KS = """ks AS (
+  SELECT feature, n_ref, n_cur, max(gap) AS d, sum(gap * step) AS w1,
+         max(gap) * sqrt(n_ref * n_cur / (n_ref + n_cur)) AS lam
+  FROM cdf GROUP BY feature, n_ref, n_cur)"""
+
+ORACLE["drift_ks"] = with_(*DRIFT_BASE, *_vc(FEATS), CDF, KS) + """
+SELECT feature, n_ref, n_cur, round(d, 6) AS ks_stat,
+       round(CASE WHEN lam < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * list_sum(
+             list_transform(range(1, 101), lambda k: pow(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam))))) END, 6)
+       AS ks_pvalue
+FROM ks"""
+
+ORACLE["drift_wasserstein"] = with_(*DRIFT_BASE, *_vc(FEATS), CDF, KS,
+                                    "sd AS (SELECT feature, stddev_pop(value) AS s FROM rl GROUP BY feature)") + """
+SELECT feature, round(w1, 6) AS wasserstein,
+       round(CASE WHEN s > 0 THEN w1 / s END, 6) AS wasserstein_normed
+FROM ks JOIN sd USING (feature)"""
+
+CAT = """cat AS (
+  SELECT feature, n_ref, n_cur,
+         sqrt(greatest(0.0, 0.5 * sum(
+           CASE WHEN c_ref > 0 THEN (c_ref / n_ref) * ln((c_ref / n_ref) / ((c_ref / n_ref + c_cur / n_cur) / 2)) ELSE 0 END
+         + CASE WHEN c_cur > 0 THEN (c_cur / n_cur) * ln((c_cur / n_cur) / ((c_ref / n_ref + c_cur / n_cur) / 2)) ELSE 0 END))) AS js,
+         sum(CASE WHEN c_ref > 0 THEN pow(c_cur - (c_ref / n_ref) * n_cur, 2) / ((c_ref / n_ref) * n_cur) END) AS chi2_stat,
+         count(*) FILTER (WHERE c_ref > 0) - 1 AS chi2_dof
+  FROM vc JOIN tot USING (feature) GROUP BY feature, n_ref, n_cur)"""
+
+ORACLE["drift_js"] = with_(*DRIFT_BASE, *_vc(DISC), CAT) + \
+    "SELECT feature, n_ref, n_cur, round(js, 6) AS js FROM cat"
+
+ORACLE["drift_chi2_stat"] = with_(*DRIFT_BASE, *_vc(DISC), CAT) + \
+    "SELECT feature, round(chi2_stat, 4) AS chi2_stat, chi2_dof FROM cat"
+
+ORACLE["drift_summary"] = with_(*DRIFT_BASE, *_vc(FEATS), CDF, KS,
+                                "sd AS (SELECT feature, stddev_pop(value) AS s FROM rl GROUP BY feature)",
+                                """rep AS (SELECT feature, w1 / s >= 0.1 AS drifted FROM ks JOIN sd USING (feature))""") + """
+SELECT count(*) AS number_of_columns, count(*) FILTER (WHERE drifted) AS number_of_drifted_columns,
+       round(coalesce(avg(CAST(drifted AS DOUBLE)), 0), 6) AS drift_share,
+       round(coalesce(avg(CAST(drifted AS DOUBLE)), 0), 6) > 0.5 AS dataset_drift,
+       round(coalesce(avg(CAST(drifted AS DOUBLE)), 0), 6) >= 0.5 AS retrain
+FROM rep"""
+
+BY_PERIOD = [*DRIFT_BASE, _long("ref", "rl", DISC), _long("cur", "cl", DISC, extra="date AS period, "),
+             """refp AS (SELECT feature, value, count(*) / sum(count(*)) OVER (PARTITION BY feature) AS p
+                         FROM rl GROUP BY feature, value)""",
+             """curq AS (SELECT period, feature, value,
+                                count(*) / sum(count(*)) OVER (PARTITION BY period, feature) AS q
+                         FROM cl GROUP BY period, feature, value)""",
+             """jp AS (SELECT period, feature, q, coalesce(p, 0) AS p
+                       FROM curq LEFT JOIN refp USING (feature, value))""",
+             """bp AS (SELECT period, feature,
+                  sqrt(greatest(0.0, 0.5 * (sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END
+                                               + q * ln(q / ((p + q) / 2)))
+                                            + ln(2) * greatest(0.0, 1 - sum(p))))) AS js
+                  FROM jp GROUP BY period, feature)"""]
+
+ORACLE["drift_by_period"] = with_(*BY_PERIOD) + \
+    "SELECT period, feature, round(js, 6) AS score, js >= 0.1 AS drifted FROM bp"
+
+HIST = """hist AS (
+  SELECT period, round(avg(CAST(js >= 0.1 AS DOUBLE)), 6) AS drift_share,
+         count(*) FILTER (WHERE js >= 0.1) AS number_of_drifted_columns, count(*) AS number_of_columns
+  FROM bp GROUP BY period)"""
+
+ORACLE["retrain_decisions"] = with_(*BY_PERIOD, HIST) + """
+SELECT *, drift_share >= 0.5 AS retrain,
+       CAST(sum(CAST(drift_share >= 0.5 AS BIGINT)) OVER (ORDER BY period ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run_number
+FROM hist"""
+
+ORACLE["retrain_decisions_edge"] = with_(*BY_PERIOD, HIST, """e AS (
+  SELECT *, drift_share >= 0.5 AND coalesce(NOT (lag(drift_share >= 0.5) OVER (ORDER BY period)), true) AS retrain
+  FROM hist)""") + """
+SELECT *, CAST(sum(CAST(retrain AS BIGINT)) OVER (ORDER BY period ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run_number
+FROM e"""

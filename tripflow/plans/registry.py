@@ -125,3 +125,131 @@ def sample_rows_before_filter(spark, sf):
     t = trp.clean_trips(raw(spark, sf))
     return smp.sample_rows(t, 1000, "trip_key", where=F.col("pickup_hour") < 12,
                            when="before_filter")
+
+
+# ---- data quality ------------------------------------------------------------
+
+from tripflow.operators import drift as drf  # noqa: E402
+from tripflow.operators import quality as qa  # noqa: E402
+
+
+def silver_demand(spark, sf):
+    d = feat.demand(raw(spark, sf), keep_date=True)
+    key = F.concat_ws("|", F.col("zone_id").cast("string"), F.col("pickup_date").cast("string"),
+                      F.col("pickup_hour").cast("string"))
+    return smp.hash_split(d.withColumn("demand_key", key), "demand_key").drop("pickup_date", "demand_key")
+
+
+def _quality_inputs(spark, sf):
+    return {
+        "bronze_raw": raw(spark, sf),
+        "bronze_streaming": streaming(spark, sf),
+        "silver_trips": silver(spark, sf),
+        "silver_demand": silver_demand(spark, sf),
+        "gold_zone_stats": feat.zone_stats(raw(spark, sf)),
+    }
+
+
+def _quality_query(table):
+    def q(spark, sf):
+        return qa.validate(_quality_inputs(spark, sf)[table], table)
+    q.__name__ = f"quality_{table}"
+    return q
+
+
+for _t in qa.RULES:
+    QUERIES[f"quality_{_t}"] = _quality_query(_t)
+
+
+@query
+def quality_summary(spark, sf):
+    res = None
+    for t, df in _quality_inputs(spark, sf).items():
+        r = qa.validate(df, t)
+        res = r if res is None else res.unionByName(r)
+    return qa.quality_summary(res)
+
+
+@query
+def duplicate_count(spark, sf):
+    return qa.duplicate_rows(raw(spark, sf), ["PULocationID", "DOLocationID", "tpep_pickup_datetime"])
+
+
+@query
+def column_stats(spark, sf):
+    return qa.column_stats(silver(spark, sf), "silver_trips")
+
+
+@query
+def freshness(spark, sf):
+    return qa.freshness({
+        "bronze_raw": (raw(spark, sf), "tpep_pickup_datetime"),
+        "bronze_streaming": (streaming(spark, sf), "tpep_pickup_datetime"),
+        "gold_zone_stats": (feat.zone_stats(raw(spark, sf)), "event_timestamp"),
+    }, as_of="2024-02-01 00:00:00")
+
+
+# ---- drift -------------------------------------------------------------------
+
+DISCRETE = ["pickup_hour", "pickup_day_of_week", "pickup_month", "passenger_count"]
+
+
+def drift_ref(spark, sf):
+    return drf.drift_features(silver(spark, sf).where(F.col("split") == "train"))
+
+
+def drift_cur(spark, sf):
+    return drf.drift_features(streaming(spark, sf))
+
+
+@query
+def drift_ks(spark, sf):
+    s = drf.cdf_scores(drift_ref(spark, sf), drift_cur(spark, sf), drf.DRIFT_FEATURES)
+    return s.select("feature", "n_ref", "n_cur", F.round("ks_stat", 6).alias("ks_stat"),
+                    F.round("ks_pvalue", 6).alias("ks_pvalue"))
+
+
+@query
+def drift_wasserstein(spark, sf):
+    s = drf.cdf_scores(drift_ref(spark, sf), drift_cur(spark, sf), drf.DRIFT_FEATURES)
+    return s.select("feature", F.round("wasserstein", 6).alias("wasserstein"),
+                    F.round("wasserstein_normed", 6).alias("wasserstein_normed"))
+
+
+@query
+def drift_js(spark, sf):
+    s = drf.category_scores(drift_ref(spark, sf), drift_cur(spark, sf), DISCRETE)
+    return s.select("feature", "n_ref", "n_cur", F.round("js", 6).alias("js"))
+
+
+@query
+def drift_chi2_stat(spark, sf):
+    s = drf.category_scores(drift_ref(spark, sf), drift_cur(spark, sf), DISCRETE)
+    return s.select("feature", F.round("chi2_stat", 4).alias("chi2_stat"), "chi2_dof")
+
+
+@query
+def drift_summary(spark, sf):
+    rep = drf.drift_report(drift_ref(spark, sf), drift_cur(spark, sf), drf.DRIFT_FEATURES,
+                           method="wasserstein")
+    return drf.drift_summary(rep)
+
+
+def _daily_history(spark, sf):
+    cur = drf.drift_features(streaming(spark, sf), keep=("date",))
+    return drf.drift_by_period(drift_ref(spark, sf), cur, "date", DISCRETE)
+
+
+@query
+def drift_by_period(spark, sf):
+    return _daily_history(spark, sf)
+
+
+@query
+def retrain_decisions(spark, sf):
+    return drf.retrain_decisions(drf.drift_history(_daily_history(spark, sf)), mode="level")
+
+
+@query
+def retrain_decisions_edge(spark, sf):
+    return drf.retrain_decisions(drf.drift_history(_daily_history(spark, sf)), mode="edge")
