@@ -382,3 +382,103 @@ ORACLE["retrain_decisions_edge"] = with_(*BY_PERIOD, HIST, """e AS (
   FROM hist)""") + """
 SELECT *, CAST(sum(CAST(retrain AS BIGINT)) OVER (ORDER BY period ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run_number
 FROM e"""
+
+
+# ---- metric time series --------------------------------------------------------
+
+AS_OF = "TIMESTAMP '2024-01-20 12:00:00'"
+INC = """inc AS (
+  SELECT *, CASE WHEN pv IS NULL THEN NULL WHEN value >= pv THEN value - pv ELSE value END AS inc,
+         CAST(t_us - pt AS DOUBLE) AS dt_us,
+         CASE WHEN pv IS NULL THEN NULL ELSE CAST(value != pv AS INTEGER) END AS chg
+  FROM (SELECT *, lag(value) OVER w AS pv, lag(t_us) OVER w AS pt FROM metrics
+        WINDOW w AS (PARTITION BY name, labels ORDER BY t_us, value)) p)"""
+
+
+def _instant(cond):
+    return f"""inst AS (
+  SELECT name, labels, u, ts, value FROM (
+    SELECT *, row_number() OVER (PARTITION BY name, labels ORDER BY ts DESC, value DESC) AS rn
+    FROM metrics WHERE {cond}) r WHERE rn = 1)"""
+
+
+ORACLE["metrics_instant"] = with_(METRICS, _instant(f"ts <= {AS_OF}")) + \
+    "SELECT name, labels, ts, value FROM inst"
+
+ORACLE["metrics_instant_lookback"] = with_(
+    METRICS, _instant(f"ts <= {AS_OF} AND ts > {AS_OF} - INTERVAL 6 HOUR")) + \
+    "SELECT name, labels, ts, value FROM inst"
+
+ORACLE["metrics_range"] = with_(METRICS, """b AS (
+  SELECT *, CAST(ceil((t_us - epoch_us(TIMESTAMP '2024-01-10 00:00:00')) / 3600000000) AS BIGINT) * 3600000000
+            + epoch_us(TIMESTAMP '2024-01-10 00:00:00') AS step_us
+  FROM metrics
+  WHERE t_us > epoch_us(TIMESTAMP '2024-01-10 00:00:00') - 3600000000
+    AND t_us <= epoch_us(TIMESTAMP '2024-01-12 00:00:00'))""") + """
+SELECT name, labels, make_timestamp(step_us) AS step_ts, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY name, labels, step_us ORDER BY t_us DESC, value DESC) AS rn FROM b) r
+WHERE rn = 1"""
+
+ORACLE["metrics_match"] = with_(METRICS) + """
+SELECT name, labels, ts, value FROM metrics
+WHERE regexp_full_match(name, 'view|click') AND u != '3'"""
+
+ORACLE["metrics_rate"] = with_(METRICS, INC) + """
+SELECT name, labels, ts,
+       round(CASE WHEN sum(dt_us) OVER r > 0 THEN sum(inc) OVER r / (sum(dt_us) OVER r / 1e6) END, 6) AS rate
+FROM inc WINDOW r AS (PARTITION BY name, labels ORDER BY t_us RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW)"""
+
+ORACLE["metrics_irate"] = with_(METRICS, INC) + """
+SELECT name, labels, ts, round(CASE WHEN dt_us > 0 THEN inc / (dt_us / 1e6) END, 6) AS irate FROM inc"""
+
+ORACLE["metrics_changes"] = with_(METRICS, INC) + """
+SELECT name, labels, ts,
+       CAST(sum(coalesce(chg, 0)) OVER r - first_value(coalesce(chg, 0)) OVER r AS BIGINT) AS changes
+FROM inc WINDOW r AS (PARTITION BY name, labels ORDER BY t_us RANGE BETWEEN 1799999999 PRECEDING AND CURRENT ROW)"""
+
+ORACLE["metrics_sum_by"] = with_(METRICS, _instant(f"ts <= {AS_OF}")) + \
+    "SELECT u, sum(value) AS value FROM inst GROUP BY u"
+
+ORACLE["metrics_binary_op"] = with_(METRICS, _instant(f"ts <= {AS_OF}")) + """
+SELECT l.name, l.labels, round(CASE WHEN greatest(r.value, 1.0) != 0 THEN l.value / greatest(r.value, 1.0) END, 6) AS value
+FROM (SELECT * FROM inst WHERE name = 'view') l JOIN (SELECT * FROM inst WHERE name = 'click') r ON l.u = r.u"""
+
+ORACLE["status_level"] = with_(*BY_PERIOD, HIST) + """
+SELECT period, drift_share,
+       CASE WHEN drift_share >= 0.5 THEN 'red' WHEN drift_share >= 0.3 THEN 'yellow' ELSE 'green' END AS level
+FROM hist"""
+
+ORACLE["state_timeline"] = with_(METRICS, """s AS (
+  SELECT *, CASE WHEN value >= 60 THEN 'red' WHEN value >= 30 THEN 'yellow' ELSE 'green' END AS state
+  FROM metrics)""", """p AS (
+  SELECT *, lag(state) OVER (PARTITION BY name, labels ORDER BY t_us, value) AS ps FROM s)""", """r AS (
+  SELECT *, sum(CASE WHEN ps IS NULL OR state != ps THEN 1 ELSE 0 END)
+            OVER (PARTITION BY name, labels ORDER BY t_us, value ROWS UNBOUNDED PRECEDING) AS run FROM p)""") + """
+SELECT name, labels, first(state) AS state, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS samples
+FROM r GROUP BY name, labels, run"""
+
+
+def _fmt(v):
+    return (f"CASE WHEN {v} = floor({v}) THEN CAST(CAST({v} AS BIGINT) AS VARCHAR) "
+            f"ELSE printf('%.4f', {v}) END")
+
+
+ORACLE["exposition"] = _quality_union() + """,
+summ AS (
+  SELECT "table", CAST(bool_and(passed) AS INTEGER) AS p, count(*) AS t,
+         count(*) FILTER (WHERE passed) AS cp, count(*) FILTER (WHERE NOT passed) AS cf,
+         max(CASE WHEN "check" = 'row_count' THEN observed END) AS r
+  FROM allq GROUP BY "table"),
+cs AS (""" + "\nUNION ALL\n".join(
+    f"""SELECT 'silver_trips' AS tb, '{c}' AS col, round(avg(CAST({c} AS DOUBLE)), 4) AS mean,
+       round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std FROM silver""" for c in _STAT_COLS) + """),
+m AS (
+  SELECT 'data_quality_passed' AS name, 'table="' || "table" || '"' AS lab, CAST(p AS DOUBLE) AS v FROM summ
+  UNION ALL SELECT 'data_quality_checks_total', 'table="' || "table" || '"', t FROM summ
+  UNION ALL SELECT 'data_quality_checks_passed', 'table="' || "table" || '"', cp FROM summ
+  UNION ALL SELECT 'data_quality_checks_failed', 'table="' || "table" || '"', cf FROM summ
+  UNION ALL SELECT 'data_quality_rows_total', 'table="' || "table" || '"', r FROM summ
+  UNION ALL SELECT 'data_column_mean', 'column="' || col || '",table="' || tb || '"', mean FROM cs
+  UNION ALL SELECT 'data_column_std', 'column="' || col || '",table="' || tb || '"', std FROM cs)
+SELECT name || '{' || lab || '} ' || """ + _fmt("v") + """ AS line FROM m
+WHERE v IS NOT NULL AND NOT isnan(v)"""

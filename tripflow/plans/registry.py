@@ -253,3 +253,97 @@ def retrain_decisions(spark, sf):
 @query
 def retrain_decisions_edge(spark, sf):
     return drf.retrain_decisions(drf.drift_history(_daily_history(spark, sf)), mode="edge")
+
+
+# ---- metric time series --------------------------------------------------------
+
+from tripflow.operators import metrics as mt  # noqa: E402
+from tripflow.sources.fixtures import metrics_from_events  # noqa: E402
+
+AS_OF = "2024-01-20 12:00:00"
+
+
+def samples(spark, sf):
+    return mt.normalize(metrics_from_events(spark, sf))
+
+
+@query
+def metrics_instant(spark, sf):
+    return mt.instant(samples(spark, sf), AS_OF, lookback_s=None).select("name", "labels", "ts", "value")
+
+
+@query
+def metrics_instant_lookback(spark, sf):
+    return mt.instant(samples(spark, sf), AS_OF, lookback_s=6 * 3600).select("name", "labels", "ts", "value")
+
+
+@query
+def metrics_range(spark, sf):
+    return mt.range_query(samples(spark, sf), "2024-01-10 00:00:00", "2024-01-12 00:00:00", 3600)
+
+
+@query
+def metrics_match(spark, sf):
+    m = mt.match_labels(samples(spark, sf), [("__name__", "=~", "view|click"), ("u", "!=", "3")])
+    return m.select("name", "labels", "ts", "value")
+
+
+@query
+def metrics_rate(spark, sf):
+    return mt.rate(samples(spark, sf), window_s=3600)
+
+
+@query
+def metrics_irate(spark, sf):
+    return mt.irate(samples(spark, sf))
+
+
+@query
+def metrics_changes(spark, sf):
+    return mt.changes(samples(spark, sf), window_s=1800)
+
+
+@query
+def metrics_sum_by(spark, sf):
+    return mt.aggregate_by(mt.instant(samples(spark, sf), AS_OF, lookback_s=None), ["u"], "sum")
+
+
+@query
+def metrics_binary_op(spark, sf):
+    v = mt.instant(samples(spark, sf), AS_OF, lookback_s=None)
+    left = v.where(F.col("name") == "view")
+    right = v.where(F.col("name") == "click")
+    return mt.metric_binary_op(left, right, "/", on=["u"], clamp_min_right=1.0)
+
+
+DRIFT_LEVELS = [(0.3, "yellow"), (0.5, "red")]     # fixed values: drift share levels
+
+
+@query
+def status_level(spark, sf):
+    h = drf.drift_history(_daily_history(spark, sf))
+    return h.select("period", "drift_share", mt.status_level(F.col("drift_share"), DRIFT_LEVELS).alias("level"))
+
+
+@query
+def state_timeline(spark, sf):
+    m = samples(spark, sf).withColumn(
+        "state", mt.status_level(F.col("value"), [(30.0, "yellow"), (60.0, "red")]))
+    return mt.state_timeline(m, "state")
+
+
+@query
+def exposition(spark, sf):
+    res = None
+    for t, df in _quality_inputs(spark, sf).items():
+        r = qa.validate(df, t)
+        res = r if res is None else res.unionByName(r)
+    summ = qa.quality_summary(res).select(
+        "table", F.col("success").cast("int").alias("passed"), F.col("total_checks").alias("checks_total"),
+        F.col("passed").alias("checks_passed"), F.col("failed").alias("checks_failed"),
+        F.col("rows").alias("rows_total"))
+    m1 = mt.to_metrics(summ, "data_quality_", ["passed", "checks_total", "checks_passed",
+                                               "checks_failed", "rows_total"], ["table"])
+    m2 = mt.to_metrics(qa.column_stats(silver(spark, sf), "silver_trips"), "data_column_",
+                       ["mean", "std"], ["table", "column"])
+    return mt.format_exposition(m1.unionByName(m2))

@@ -104,5 +104,6 @@ FROM events"""
 
 METRICS_EVENTS_SQL = """
 SELECT event_type AS name, 'u="' || CAST(user_id % 5 AS VARCHAR) || '"' AS labels,
-       ts, CAST(event_id % 97 AS DOUBLE) AS value
+       ts, CAST(event_id % 97 AS DOUBLE) AS value, CAST(user_id % 5 AS VARCHAR) AS u,
+       epoch_us(ts) AS t_us
 FROM events"""
