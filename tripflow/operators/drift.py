@@ -310,3 +310,54 @@ def retrain_decisions(history: DataFrame, ts_col: str = "period", share_col: str
     out = history.withColumn("retrain", fire)
     return out.withColumn("run_number", F.sum(F.col("retrain").cast("long")).over(
         w.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+# --- drift report documents (B16) ---------------------------------------------
+
+REPORT_SCHEMA = ("metrics array<struct<config: struct<type: string, column: string, "
+                 "threshold: double, method: string>, value: string>>")
+
+
+def to_report_json(by_period: DataFrame, method: str = "js") -> DataFrame:
+    """One JSON report per period in the shape of the drift library's
+    output: a ``DriftedColumnsCount`` metric (count, share) and one
+    ``ValueDrift`` metric per column. Each report gathers the handful of
+    per-feature rows of its own period."""
+    thr = THRESHOLDS[method]
+    per_feature = F.struct(
+        F.struct(F.lit("ValueDrift").alias("type"), F.col("feature").alias("column"),
+                 F.lit(thr).alias("threshold"), F.lit(method).alias("method")).alias("config"),
+        F.col("score").alias("value"))
+    g = by_period.groupBy("period").agg(
+        F.sort_array(F.collect_list(per_feature)).alias("cols"),
+        F.count_if("drifted").alias("n"), F.count(F.lit(1)).alias("k"))
+    count_metric = F.struct(
+        F.struct(F.lit("DriftedColumnsCount").alias("type")).alias("config"),
+        F.struct(F.col("n").alias("count"), F.round(F.col("n") / F.col("k"), 6).alias("share")).alias("value"))
+    return g.select("period", F.concat(
+        F.lit('{"metrics":['), F.to_json(count_metric), F.lit(","),
+        F.regexp_replace(F.to_json(F.col("cols")), r"^\[|\]$", ""), F.lit("]}")).alias("report"))
+
+
+def parse_drift_report(df: DataFrame, json_col: str = "report", keep=("period",)) -> DataFrame:
+    """Summary of a drift report document (B16): drifted-column count and
+    share from the counter metric, number of per-column metrics, dataset
+    flag (share > 0.5). Per-column flags follow the method's direction
+    (p-value below threshold, or distance at/above it); without a method
+    the score is read as a p-value, as the reference does."""
+    parsed = df.select(*keep, F.from_json(F.col(json_col), REPORT_SCHEMA).alias("r"))
+    m = parsed.select(*keep, F.explode("r.metrics").alias("m"))
+    is_count = F.col("m.config.type").contains("DriftedColumnsCount")
+    is_value = F.col("m.config.type").contains("ValueDrift")
+    score = F.col("m.value").cast("double")
+    thr = F.coalesce(F.col("m.config.threshold"), F.lit(0.05))
+    distance = F.col("m.config.method").isin("wasserstein", "js")
+    drifted = F.when(distance, score >= thr).otherwise(score < thr)
+    agg = m.groupBy(*keep).agg(
+        F.max(F.when(is_count, F.get_json_object("m.value", "$.count").cast("long"))).alias("number_of_drifted_columns"),
+        F.max(F.when(is_count, F.get_json_object("m.value", "$.share").cast("double"))).alias("drift_share"),
+        F.count_if(is_value).alias("number_of_columns"),
+        F.count_if(is_value & drifted).alias("flagged_columns"))
+    return agg.select(*keep, F.coalesce("number_of_drifted_columns", F.lit(0)).alias("number_of_drifted_columns"),
+                      F.coalesce("drift_share", F.lit(0.0)).alias("drift_share"), "number_of_columns",
+                      "flagged_columns", (F.coalesce("drift_share", F.lit(0.0)) > DATASET_DRIFT_SHARE).alias("dataset_drift"))

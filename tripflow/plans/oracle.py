@@ -482,3 +482,60 @@ m AS (
   UNION ALL SELECT 'data_column_std', 'column="' || col || '",table="' || tb || '"', std FROM cs)
 SELECT name || '{' || lab || '} ' || """ + _fmt("v") + """ AS line FROM m
 WHERE v IS NOT NULL AND NOT isnan(v)"""
+
+
+# ---- feature store, models, drift reports -----------------------------------------
+
+ORACLE["parse_drift_report"] = with_(*BY_PERIOD) + """
+SELECT period, count(*) FILTER (WHERE js >= 0.1) AS number_of_drifted_columns,
+       round(count(*) FILTER (WHERE js >= 0.1) / count(*), 6) AS drift_share,
+       count(*) AS number_of_columns,
+       count(*) FILTER (WHERE round(js, 6) >= 0.1) AS flagged_columns,
+       round(count(*) FILTER (WHERE js >= 0.1) / count(*), 6) > 0.5 AS dataset_drift
+FROM bp GROUP BY period"""
+
+DAILY_ZS = """dz AS (
+  SELECT PULocationID AS zone_id, CAST(CAST(tpep_pickup_datetime AS DATE) AS TIMESTAMP) AS event_timestamp,
+         round(avg(total_amount), 2) AS zone_avg_fare,
+         round(avg(epoch(tpep_dropoff_datetime - tpep_pickup_datetime) / 60.0), 2) AS zone_avg_duration_min,
+         round(avg(trip_distance), 2) AS zone_avg_distance, count(*) AS zone_trip_count
+  FROM stream
+  WHERE trip_distance > 0 AND trip_distance < 100 AND total_amount > 0 AND total_amount < 500
+    AND PULocationID BETWEEN 1 AND 263
+    AND epoch(tpep_dropoff_datetime - tpep_pickup_datetime) / 60.0 BETWEEN 1 AND 180
+  GROUP BY ALL)"""
+ONLINE = """online AS (
+  SELECT zone_id, event_timestamp, zone_avg_fare, zone_avg_duration_min, zone_avg_distance, zone_trip_count
+  FROM (SELECT *, row_number() OVER (PARTITION BY zone_id ORDER BY event_timestamp DESC) AS rn FROM dz
+        WHERE event_timestamp <= TIMESTAMP '2024-01-20 00:00:00'
+          AND event_timestamp > TIMESTAMP '2024-01-10 00:00:00') r WHERE rn = 1)"""
+
+ORACLE["materialize_incremental"] = with_(STREAM, DAILY_ZS, ONLINE) + "SELECT * FROM online"
+
+ORACLE["online_features"] = with_(STREAM, DAILY_ZS, ONLINE, _clean("stream", "clean")) + """
+SELECT c.trip_key, c.pickup_zone_id AS zone_id,
+       coalesce(o.zone_avg_fare, 0.0) AS zone_avg_fare,
+       coalesce(o.zone_avg_duration_min, 0.0) AS zone_avg_duration_min,
+       coalesce(o.zone_avg_distance, 0.0) AS zone_avg_distance,
+       coalesce(o.zone_trip_count, 0) AS zone_trip_count,
+       o.zone_id IS NOT NULL AS found
+FROM clean c LEFT JOIN (SELECT * FROM online
+                        WHERE event_timestamp >= TIMESTAMP '2024-01-21 00:00:00' - INTERVAL 90 DAY) o
+  ON c.pickup_zone_id = o.zone_id"""
+
+ORACLE["champions"] = with_(STREAM, """v AS (
+  SELECT 'taxi-duration' AS model, CAST(dayofmonth(tpep_pickup_datetime) AS INTEGER) AS version,
+         round(avg(abs(trip_distance - total_amount / 4.25)), 4) AS mae
+  FROM stream GROUP BY ALL)""", """p AS (
+  SELECT *, min(mae) OVER (PARTITION BY model ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best
+  FROM v)""", """q AS (SELECT model, version, mae, best IS NULL OR mae < best AS promoted FROM p)""") + """
+SELECT *, last(CASE WHEN promoted THEN version END IGNORE NULLS)
+          OVER (PARTITION BY model ORDER BY version ROWS UNBOUNDED PRECEDING) AS champion_version
+FROM q"""
+
+ORACLE["regression_metrics"] = with_(RAW, _clean("raw", "clean"), SILVER, _zone_stats("raw", "zs"), """t AS (
+  SELECT s.duration_min AS y, coalesce(pu.zone_avg_duration_min, 0) AS p
+  FROM silver s LEFT JOIN zs pu ON s.pickup_zone_id = pu.zone_id WHERE s.split = 'test')""") + """
+SELECT count(*) AS n, round(avg(abs(y - p)), 6) AS mae, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
+       round(1 - sum((y - p) * (y - p)) / sum((y - (SELECT avg(y) FROM t)) * (y - (SELECT avg(y) FROM t))), 6) AS r2
+FROM t"""

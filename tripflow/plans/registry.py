@@ -347,3 +347,72 @@ def exposition(spark, sf):
     m2 = mt.to_metrics(qa.column_stats(silver(spark, sf), "silver_trips"), "data_column_",
                        ["mean", "std"], ["table", "column"])
     return mt.format_exposition(m1.unionByName(m2))
+
+
+# ---- feature store, models, drift reports -----------------------------------------
+
+from tripflow.operators import models as mdl  # noqa: E402
+from tripflow.operators import store as fs  # noqa: E402
+
+
+@query
+def parse_drift_report(spark, sf):
+    return drf.parse_drift_report(drf.to_report_json(_daily_history(spark, sf)))
+
+
+def online_table(spark, sf):
+    return fs.materialize_incremental(fs.daily_zone_stats(streaming(spark, sf)), fs.ZONE_VIEW,
+                                      end="2024-01-20 00:00:00", start="2024-01-10 00:00:00")
+
+
+@query
+def materialize_incremental(spark, sf):
+    return online_table(spark, sf)
+
+
+@query
+def online_features(spark, sf):
+    req = trp.clean_trips(streaming(spark, sf)).select(
+        "trip_key", F.col("pickup_zone_id").alias("zone_id"))
+    return fs.get_online_features(req, online_table(spark, sf), fs.ZONE_VIEW, as_of="2024-01-21 00:00:00")
+
+
+@query
+def champions(spark, sf):
+    ev = streaming(spark, sf).select(
+        F.lit("taxi-duration").alias("model"),
+        F.dayofmonth("tpep_pickup_datetime").alias("version"),
+        F.abs(F.col("trip_distance") - F.col("total_amount") / 4.25).alias("err"))
+    versions = ev.groupBy("model", "version").agg(F.round(F.avg("err"), 4).alias("mae"))
+    return mdl.champions(versions)
+
+
+@query
+def regression_metrics(spark, sf):
+    t = feat.enrich_trips(silver(spark, sf), feat.zone_stats(raw(spark, sf))).where(F.col("split") == "test")
+    return mdl.regression_metrics(t, "duration_min", "pu_zone_avg_duration_min")
+
+
+# Rows-only checks (a trained model has no SQL twin). Few boosting rounds keep
+# the check quick; the production default is GBT_PARAMS.
+CHECK_ROUNDS = 10
+
+
+@query
+def score_trips(spark, sf):
+    data = feat.enrich_trips(silver(spark, sf), feat.zone_stats(raw(spark, sf)))
+    model = mdl.train(data.where(F.col("split") == "train"), mdl.TRIP_FEATURES, "duration_min",
+                      max_iter=CHECK_ROUNDS)
+    return mdl.score(model, data.where(F.col("split") == "test"), "predicted_duration_min", 2) \
+        .select("trip_key", "duration_min", "predicted_duration_min")
+
+
+@query
+def score_demand(spark, sf):
+    d = silver_demand(spark, sf)
+    data = feat.enrich_demand(d, feat.zone_stats(raw(spark, sf))).withColumn(
+        "trip_count", F.col("trip_count").cast("double"))
+    model = mdl.train(data.where(F.col("split") == "train"), mdl.DEMAND_FEATURES, "trip_count",
+                      max_iter=CHECK_ROUNDS)
+    return mdl.score(model, data.where(F.col("split") == "test"), "predicted_trips", 1) \
+        .select("zone_id", "pickup_hour", "day_of_week", "month", "trip_count", "predicted_trips")
