@@ -539,3 +539,18 @@ ORACLE["regression_metrics"] = with_(RAW, _clean("raw", "clean"), SILVER, _zone_
 SELECT count(*) AS n, round(avg(abs(y - p)), 6) AS mae, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
        round(1 - sum((y - p) * (y - p)) / sum((y - (SELECT avg(y) FROM t)) * (y - (SELECT avg(y) FROM t))), 6) AS r2
 FROM t"""
+
+
+# ---- lake, catalogue, streaming ---------------------------------------------------
+
+ORACLE["enforce_schema"] = with_(RAW, SILVER_DEMAND) + """
+SELECT zone_id, pickup_hour, day_of_week, month, CAST(trip_count AS INTEGER) AS trip_count
+FROM silver_demand"""
+
+ORACLE["adhoc_sql"] = with_(RAW) + """
+SELECT PULocationID AS zone_id, count(*) AS trips, round(avg(total_amount), 2) AS avg_amount
+FROM raw WHERE trip_distance > 0 GROUP BY PULocationID"""
+
+ORACLE["demand_stream"] = with_(STREAM) + """
+SELECT PULocationID AS zone_id, date_trunc('hour', tpep_pickup_datetime) AS window_start, count(*) AS trip_count
+FROM stream WHERE PULocationID BETWEEN 1 AND 263 GROUP BY ALL"""

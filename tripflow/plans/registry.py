@@ -416,3 +416,37 @@ def score_demand(spark, sf):
                       max_iter=CHECK_ROUNDS)
     return mdl.score(model, data.where(F.col("split") == "test"), "predicted_trips", 1) \
         .select("zone_id", "pickup_hour", "day_of_week", "month", "trip_count", "predicted_trips")
+
+
+# ---- lake, catalogue, streaming ---------------------------------------------------
+
+import uuid  # noqa: E402
+
+from tripflow.session import checkpoint_dir  # noqa: E402
+from tripflow.sources import catalog as cat  # noqa: E402
+from tripflow.sources.fixtures import BRONZE_COLUMNS  # noqa: E402
+from tripflow.streaming import ingest as stm  # noqa: E402
+
+
+@query
+def enforce_schema(spark, sf):
+    return cat.enforce_schema(silver_demand(spark, sf), cat.schema_for("silver_demand"))
+
+
+@query
+def adhoc_sql(spark, sf):
+    raw(spark, sf).createOrReplaceTempView("bronze_raw")
+    return spark.sql("""
+        SELECT PULocationID AS zone_id, count(*) AS trips,
+               round(avg(total_amount), 2) AS avg_amount
+        FROM bronze_raw WHERE trip_distance > 0 GROUP BY PULocationID""")
+
+
+@query
+def demand_stream(spark, sf):
+    """Streaming hourly demand over the events-derived trips, replayed as
+    one feed file per day, read back from the streaming sink."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/demand_stream/{uuid.uuid4().hex}"
+    src = streaming(spark, sf).select(*BRONZE_COLUMNS)
+    stm.write_feed(src, f"{base}/feed", "tpep_pickup_datetime", unit="week")
+    return stm.demand_stream(spark, f"{base}/feed", src.schema, f"{base}/out", f"{base}/ckpt")
