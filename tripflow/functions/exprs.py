@@ -16,10 +16,12 @@ def _c(x) -> Column:
 def duration_min(pickup, dropoff) -> Column:
     """Fractional minutes between two timestamps (B2).
 
-    ``timestampdiff`` in microseconds works on TIMESTAMP_NTZ without a zone
-    conversion and is exact; dividing by 6e7 gives minutes.
+    The difference of two TIMESTAMP_NTZ values is a day-time interval; as
+    seconds with microsecond precision it is exact and involves no time
+    zone (no cast to a zoned timestamp, so no DST effects).
     """
-    return F.timestamp_diff("MICROSECOND", _c(pickup), _c(dropoff)) / F.lit(60_000_000.0)
+    diff = (_c(dropoff) - _c(pickup)).cast("interval second").cast("decimal(20,6)")
+    return diff.cast("double") / F.lit(60.0)
 
 
 def weekday_monday0(ts) -> Column:

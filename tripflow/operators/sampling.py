@@ -29,20 +29,32 @@ def hash_split(df: DataFrame, key: str, test_pct: int = 20, seed: int = 42,
                               .otherwise(F.lit("train")))
 
 
-def _threshold(df: DataFrame, n: int, key: str, seed) -> tuple[str, str] | None:
+def _histogram(base: DataFrame, prefix: str, width: int = 4) -> list:
+    cond = F.lit(True) if not prefix else F.startswith(F.col("_h"), F.lit(prefix))
+    hist = (base.where(cond)
+            .groupBy(F.substring("_h", len(prefix) + 1, width).alias("_p"))
+            .count().collect())          # <= 16**width rows by construction
+    hist.sort(key=lambda r: r["_p"])
+    return hist
+
+
+def _threshold(df: DataFrame, n: int | float, key: str, seed) -> tuple[str, str] | None:
     """(hash, key) of the n-th smallest row in (md5(seed|key), key) order, or
-    None when the frame has <= n rows (everything is selected)."""
+    None when the frame has <= n rows (everything is selected). ``n`` may
+    be a fraction of the total (``0 < n < 1``), resolved with the first
+    histogram so no separate count is needed."""
     h = hash_hex(key, seed)
     base = df.select(h.alias("_h"), F.col(key).cast("string").alias("_k"))
     prefix, need, width = "", n, 4
+    first = True
     while True:
-        cond = F.lit(True) if not prefix else F.startswith(F.col("_h"), F.lit(prefix))
-        start = len(prefix) + 1
-        hist = (base.where(cond)
-                .groupBy(F.substring("_h", start, width).alias("_p"))
-                .count().collect())          # <= 16**4 rows by construction
-        hist.sort(key=lambda r: r["_p"])
+        hist = _histogram(base, prefix, width)
         total = sum(r["count"] for r in hist)
+        if first and 0 < need < 1:
+            need = math.ceil(need * total)
+            if need == 0:
+                return ("", "")
+        first = False
         if total <= need:
             return None
         cum = 0
@@ -62,6 +74,8 @@ def _threshold(df: DataFrame, n: int, key: str, seed) -> tuple[str, str] | None:
 def _selected(key: str, seed, th: tuple[str, str] | None) -> Column:
     if th is None:
         return F.lit(True)
+    if th == ("", ""):
+        return F.lit(False)
     h = hash_hex(key, seed)
     k = F.col(key).cast("string")
     return (h < F.lit(th[0])) | ((h == F.lit(th[0])) & (k <= F.lit(th[1])))
@@ -86,13 +100,15 @@ def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42, where: Column |
 def exact_split(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int = 42,
                 col: str = "split", total: int | None = None) -> DataFrame:
     """Split with exactly ``ceil(test_fraction * n)`` test rows (the rule of
-    the common train/test split helper), chosen by hash order."""
-    if total is None:
-        total = df.count()
-    n_test = math.ceil(test_fraction * total)
-    th = _threshold(df, n_test, key, seed) if n_test > 0 else ("", "")
-    sel = _selected(key, seed, th) if n_test > 0 else F.lit(False)
-    return df.withColumn(col, F.when(sel, F.lit("test")).otherwise(F.lit("train")))
+    the common train/test split helper), chosen by hash order. ``n`` comes
+    from the first hash histogram unless ``total`` is given."""
+    if test_fraction >= 1:
+        return df.withColumn(col, F.lit("test"))
+    n_test = math.ceil(test_fraction * total) if total is not None else test_fraction
+    if n_test <= 0:
+        return df.withColumn(col, F.lit("train"))
+    th = _threshold(df, n_test, key, seed)
+    return df.withColumn(col, F.when(_selected(key, seed, th), F.lit("test")).otherwise(F.lit("train")))
 
 
 def hour_bounds(virtual_dt: str) -> tuple[Column, Column]:

@@ -37,7 +37,9 @@ def streaming(spark, sf):
 
 def silver(spark, sf):
     """clean → split; the silver trip table."""
-    return smp.hash_split(trp.clean_trips(raw(spark, sf)), "trip_key")
+    from tripflow.sources.fixtures import _memo
+    return _memo(spark, ("silver", sf),
+                 lambda: smp.hash_split(trp.clean_trips(raw(spark, sf)), "trip_key"))
 
 
 # ---- trips, zone stats, demand -------------------------------------------
