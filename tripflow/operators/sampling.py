@@ -50,13 +50,14 @@ def _threshold(df: DataFrame, n: int | float, key: str, seed) -> tuple[str, str]
     while True:
         hist = _histogram(base, prefix, width)
         total = sum(r["count"] for r in hist)
-        if first and 0 < need < 1:
-            need = math.ceil(need * total)
-            if need == 0:
-                return ("", "")
-        first = False
-        if total <= need:
-            return None
+        if first:                       # later rounds refine one bucket: need <= total
+            if 0 < need < 1:
+                need = math.ceil(need * total)
+                if need == 0:
+                    return ("", "")
+            if total <= need:
+                return None
+            first = False
         cum = 0
         for r in hist:
             if cum + r["count"] >= need:

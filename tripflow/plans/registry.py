@@ -409,6 +409,15 @@ def score_trips(spark, sf):
         .select("trip_key", "duration_min", "predicted_duration_min")
 
 
+@query
+def score_fares(spark, sf):
+    data = feat.enrich_trips(silver(spark, sf), feat.zone_stats(raw(spark, sf)))
+    model = mdl.train(data.where(F.col("split") == "train"), mdl.TRIP_FEATURES, "total_amount",
+                      max_iter=CHECK_ROUNDS)
+    return mdl.score(model, data.where(F.col("split") == "test"), "predicted_fare", 2) \
+        .select("trip_key", "total_amount", "predicted_fare")
+
+
 @query
 def score_demand(spark, sf):
     d = silver_demand(spark, sf)
