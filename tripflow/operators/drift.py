@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.operators.trips import DISTANCE_OPEN, PASSENGERS, ZONE_MAX, ZONE_MIN
-from tripflow.plans.partitioning import broadcast_if_bounded, prefix_sums
+from tripflow.plans.partitioning import prefix_sums
 
 # The five drift features and the default thresholds per method.
 DRIFT_FEATURES = ["trip_distance", "pickup_hour", "pickup_day_of_week",
@@ -249,21 +249,21 @@ def drift_summary(report: DataFrame) -> DataFrame:
 
 
 def drift_by_period(ref: DataFrame, cur: DataFrame, period_col: str, cols: list[str],
-                    threshold: float = THRESHOLDS["js"], max_ref_values: int = 100_000) -> DataFrame:
+                    threshold: float = THRESHOLDS["js"]) -> DataFrame:
     """Jensen–Shannon drift of discrete features for every period of the
     current data in one job: ``(period, feature, score, drifted)``.
 
-    Reference proportions are one row per (feature, value); they are
-    broadcast only after counting them (bounded by ``max_ref_values``),
-    otherwise the join shuffles. Reference values missing from a period add
+    Reference proportions are one row per (feature, value). The join with
+    the per-period counts carries no broadcast hint: AQE measures the
+    reference side after its aggregation and broadcasts it only when it is
+    below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, otherwise the
+    join stays a sort-merge join. Reference values missing from a period add
     ``ln 2 · p`` each, summed as ``ln 2 · (1 - Σ p over present values)``,
     so no (period × reference value) product is built.
     """
     r = _long(ref, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c_ref"))
-    r = r.join(r.groupBy("feature").agg(F.sum("c_ref").alias("n_ref")), "feature") \
-         .select("feature", "value", (F.col("c_ref") / F.col("n_ref")).alias("p"))
-    n_vals = r.count()
-    r = broadcast_if_bounded(r, n_vals if n_vals <= max_ref_values else None, row_bytes=48)
+    wf = Window.partitionBy("feature")        # one partition per feature of the counted values
+    r = r.select("feature", "value", (F.col("c_ref") / F.sum("c_ref").over(wf)).alias("p"))
     c = (cur.select(F.col(period_col).alias("period"), F.explode(F.array(*[
             F.struct(F.lit(x).alias("feature"), F.col(x).cast("double").alias("value")) for x in cols
         ])).alias("s")).select("period", "s.*")
