@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.operators.trips import DISTANCE_OPEN, PASSENGERS, ZONE_MAX, ZONE_MIN
-from tripflow.plans.partitioning import prefix_sums
+from tripflow.plans.partitioning import prefix_sums, reliable_checkpoint
 
 # The five drift features and the default thresholds per method.
 DRIFT_FEATURES = ["trip_distance", "pickup_hour", "pickup_day_of_week",
@@ -89,27 +89,33 @@ def _ks_pvalue(d: Column, n: Column, m: Column) -> Column:
 
 def cdf_scores(ref: DataFrame, cur: DataFrame, cols: list[str], ranges: int = 64) -> DataFrame:
     """Per feature: KS statistic D, its p-value, Wasserstein-1 distance and
-    the normed distance (divided by the reference's population std)."""
-    vc = value_counts(ref, cur, cols)
-    tot = _totals(vc)
-    ps = prefix_sums(vc, ["feature"], "value", ["c_ref", "c_cur"], ranges=ranges, with_next=True)
-    ps = ps.join(F.broadcast(tot), "feature")   # one row per feature
+    the normed distance (divided by the reference's population std).
+
+    The value-count table is used four times (range cuts, per-feature
+    totals, variance, running sums), so it is checkpointed once: it is
+    already reduced to one row per distinct value and feature.
+    """
+    vc = reliable_checkpoint(value_counts(ref, cur, cols))
+    # per feature: sizes and reference mean, then the reference variance
+    # (two passes over the counts, numerically safe); one row per feature
+    stats = vc.groupBy("feature").agg(
+        F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"),
+        (F.sum(F.col("c_ref") * F.col("value")) / F.sum("c_ref")).alias("_mean"))
+    var = (vc.join(F.broadcast(stats), "feature").groupBy("feature")
+             .agg((F.sum(F.col("c_ref") * F.pow(F.col("value") - F.col("_mean"), 2))
+                   / F.first("n_ref")).alias("_var")))
+    stats = stats.join(var, "feature")
+    n_values = vc.count()           # cheap: reads the checkpointed counts
+    ps = prefix_sums(vc, ["feature"], "value", ["c_ref", "c_cur"], ranges=ranges, with_next=True,
+                     known_rows=n_values)
+    ps = ps.join(F.broadcast(stats), "feature")
     fr = F.col("cum_c_ref") / F.col("n_ref")
     fc = F.col("cum_c_cur") / F.col("n_cur")
     gap = F.abs(fr - fc)
     step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
-    mean_ref = F.sum(F.col("c_ref") * F.col("value")) / F.first("n_ref")
-    agg = ps.groupBy("feature").agg(
-        F.max(gap).alias("ks_stat"),
-        F.sum(gap * step).alias("wasserstein"),
-        mean_ref.alias("_mean"),
-        F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"))
-    # population std of the reference from the counts (second pass, small)
-    var = (vc.join(F.broadcast(agg.select("feature", "_mean", "n_ref")), "feature")
-             .groupBy("feature")
-             .agg((F.sum(F.col("c_ref") * F.pow(F.col("value") - F.col("_mean"), 2))
-                   / F.first("n_ref")).alias("_var")))
-    out = agg.join(var, "feature")
+    out = ps.groupBy("feature").agg(
+        F.max(gap).alias("ks_stat"), F.sum(gap * step).alias("wasserstein"),
+        F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"), F.first("_var").alias("_var"))
     return out.select(
         "feature", "n_ref", "n_cur", "ks_stat",
         _ks_pvalue(F.col("ks_stat"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double")).alias("ks_pvalue"),

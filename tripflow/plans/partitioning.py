@@ -22,6 +22,15 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES_LIMIT = 32 * 1024 * 1024
 
 
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Materialise a reused intermediate into the shared checkpoint folder
+    (``spark.checkpoint.dir``) and cut its lineage. Unlike a local
+    checkpoint it survives the loss of the executors that computed it."""
+    from tripflow.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None, row_bytes: int = 64) -> DataFrame:
     """Broadcast ``df`` only if the caller can prove ``rows <= max_rows``
     (e.g. one row per zone id in 1..263) and that bound fits the limit."""
@@ -30,8 +39,12 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int | None, row_bytes: int = 6
     return df
 
 
+# Up to this many rows in total, a running sum may use one window task per group.
+SMALL_WINDOW_ROWS = 2_000_000
+
+
 def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
-                ranges: int = 64, with_next: bool = False) -> DataFrame:
+                ranges: int = 64, with_next: bool = False, known_rows: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c`` per group ordered by
     ``order_col``) and optionally ``next_<order_col>`` (the next value in the
     group's order, null for the last row).
@@ -39,8 +52,18 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols:
     ``order_col`` must be unique within a group (callers pre-aggregate by
     value first). Work per task is one value range of one group, so a group
     with a third of all distinct values is still spread over ``ranges`` tasks.
+    When the caller has counted the rows (``known_rows``) and they are at
+    most ``SMALL_WINDOW_ROWS``, one window per group is cheaper and bounded.
     """
     g = list(group_cols)
+    if known_rows is not None and known_rows <= SMALL_WINDOW_ROWS and g:
+        w = Window.partitionBy(*g).orderBy(order_col)
+        cols = [F.col(c) for c in df.columns]
+        cols += [F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"cum_{c}")
+                 for c in sum_cols]
+        if with_next:
+            cols.append(F.lead(order_col).over(w).alias(f"next_{order_col}"))
+        return df.select(*cols)
     # 1. range cut points per group from approximate quantiles (tiny result)
     probs = [i / ranges for i in range(1, ranges)]
     cuts = df.groupBy(*g).agg(
