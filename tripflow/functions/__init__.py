@@ -7,7 +7,9 @@ from tripflow.functions.exprs import (  # noqa: F401
     epoch_micros,
     hash_bucket,
     hash_hex,
+    micros_between,
     numeric_columns,
+    seconds_between,
     select_existing,
     weekday_monday0,
 )

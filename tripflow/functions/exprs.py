@@ -13,15 +13,24 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def duration_min(pickup, dropoff) -> Column:
-    """Fractional minutes between two timestamps (B2).
+def seconds_between(start, end) -> Column:
+    """``end - start`` in seconds (decimal, microsecond precision).
 
-    The difference of two TIMESTAMP_NTZ values is a day-time interval; as
-    seconds with microsecond precision it is exact and involves no time
-    zone (no cast to a zoned timestamp, so no DST effects).
+    The difference of two TIMESTAMP_NTZ values is a day-time interval; read
+    as seconds it is exact and involves no time zone (no cast to a zoned
+    timestamp, so no daylight-saving effects whatever the session zone).
     """
-    diff = (_c(dropoff) - _c(pickup)).cast("interval second").cast("decimal(20,6)")
-    return diff.cast("double") / F.lit(60.0)
+    return (_c(end) - _c(start)).cast("interval second").cast("decimal(20,6)")
+
+
+def micros_between(start, end) -> Column:
+    """``end - start`` in whole microseconds (bigint), zone independent."""
+    return (seconds_between(start, end) * F.lit(1_000_000)).cast("long")
+
+
+def duration_min(pickup, dropoff) -> Column:
+    """Fractional minutes between two timestamps (B2)."""
+    return seconds_between(pickup, dropoff).cast("double") / F.lit(60.0)
 
 
 def weekday_monday0(ts) -> Column:
@@ -31,7 +40,7 @@ def weekday_monday0(ts) -> Column:
 
 def epoch_micros(ts) -> Column:
     """Microseconds since 1970-01-01 for a TIMESTAMP_NTZ, zone independent."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _c(ts))
+    return micros_between(F.expr(_EPOCH_NTZ), _c(ts))
 
 
 def hash_hex(key, seed: int | str = 42) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from tripflow.functions import numeric_columns
+from tripflow.functions import numeric_columns, seconds_between
 
 # The five rule sets checked by the reference pipeline
 # (min_rows; per column nullable / unique / min / max).
@@ -269,7 +269,7 @@ def freshness(tables: dict[str, tuple[DataFrame, str]], as_of: str,
     for p in parts[1:]:
         u = u.unionByName(p)
     # whole seconds, truncated (ages are non-negative)
-    age = F.floor(F.timestamp_diff("MICROSECOND", F.col("last_update"), now) / F.lit(1_000_000))
+    age = F.floor(seconds_between(F.col("last_update"), now)).cast("long")
     sla_map = F.create_map(*[x for k, v in sla.items() for x in (F.lit(k), F.lit(int(v)))])
     return (u.withColumn("age_seconds", age)
              .withColumn("sla_seconds", F.element_at(sla_map, F.col("table")).cast("long"))
