@@ -98,3 +98,10 @@ def test_retrain_modes(spark):
     assert edge == [False, True, False, False, True]
     runs = [r["run_number"] for r in drf.retrain_decisions(h).orderBy("period").collect()]
     assert runs == [0, 1, 2, 2, 3]
+
+
+def test_prefix_sums_without_groups_matches(spark):
+    df = spark.createDataFrame([(float(v), 1) for v in range(500)], "v double, c bigint")
+    a = part.prefix_sums(df, [], "v", ["c"], ranges=5).orderBy("v").collect()
+    b = part.prefix_sums(df, [], "v", ["c"], known_rows=500).orderBy("v").collect()
+    assert [r["cum_c"] for r in a] == list(range(1, 501)) == [r["cum_c"] for r in b]

@@ -20,3 +20,6 @@ def test_pipeline_end_to_end(spark, scratch):
     r2 = jobs.train_and_register(lake, "fare", max_iter=5)
     assert r2["version"] == 2 and r2["champion_version"] in (1, 2)
     assert lake.table("monitoring", "metrics").read().count() > 0
+    assert lake.table("monitoring", "runs").read().count() == 2
+    res = jobs.validate_lake(lake)
+    assert {r["table"] for r in res.collect()} >= {"bronze_raw", "silver_trips", "gold_zone_stats"}

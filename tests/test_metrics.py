@@ -91,3 +91,14 @@ def test_exposition_format(spark):
     df = spark.createDataFrame([("t1", 1, 0.5)], "table string, a bigint, b double")
     lines = [r[0] for r in mt.format_exposition(mt.to_metrics(df, "q_", ["a", "b"], ["table"])).collect()]
     assert sorted(lines) == ['q_a{table="t1"} 1', 'q_b{table="t1"} 0.5000']
+
+
+def test_scalar_compare(spark):
+    m, rows = _samples(spark, n=20)
+    v = mt.instant(m, "2024-01-02 00:00:00", lookback_s=None)
+    assert mt.compare(v, ">", -1.0).count() == 3 and mt.compare(v, "<", -1.0).count() == 0
+    one = v.where(F.col("labels") == 's="0"')
+    k = mt.scalar(one)
+    assert k == one.collect()[0]["value"]
+    assert mt.scalar(v) != mt.scalar(v)          # NaN for more than one element
+    assert mt.scalar_op(one, "*", 2.0).collect()[0]["value"] == 2 * k

@@ -186,6 +186,28 @@ def metric_binary_op(left: DataFrame, right: DataFrame, op: str, on: list[str],
     return j.select(*SERIES, F.round(ops[op], 6).alias("value"))
 
 
+def compare(v: DataFrame, op: str, threshold: float) -> DataFrame:
+    """Comparison filter on an instant vector, e.g. ``x > 0``, ``x == 1``."""
+    c = F.col("value")
+    conds = {">": c > threshold, ">=": c >= threshold, "<": c < threshold, "<=": c <= threshold,
+             "==": c == threshold, "!=": c != threshold}
+    return v.where(conds[op])
+
+
+def scalar(v: DataFrame) -> float:
+    """``scalar(v)``: the value of a one-element vector, NaN otherwise (K9).
+    At most two rows are fetched to decide."""
+    rows = v.select("value").limit(2).collect()
+    return float(rows[0][0]) if len(rows) == 1 and rows[0][0] is not None else float("nan")
+
+
+def scalar_op(v: DataFrame, op: str, k: float, scalar_left: bool = False) -> DataFrame:
+    """Arithmetic between a vector and a scalar (K9), e.g. ``100 * x``."""
+    a, b = (F.lit(float(k)), F.col("value")) if scalar_left else (F.col("value"), F.lit(float(k)))
+    ops = {"+": a + b, "-": a - b, "*": a * b, "/": F.when(b != 0, a / b)}
+    return v.withColumn("value", ops[op])
+
+
 def status_level(value: Column, levels: list[tuple[float, str]], base: str = "green") -> Column:
     """Threshold levels (K11): ``base`` below the first threshold, then the
     name of the highest threshold reached."""

@@ -113,11 +113,28 @@ def ingest_hour(lake: Lake, virtual_dt: str, batch_size: int = 1000) -> int:
     return v
 
 
-def monitor_drift(lake: Lake, run_ts: str, method: str = "auto") -> DataFrame:
-    """Reference = silver train rows, current = streamed trips; stores the
-    report and publishes the summary. Returns the one-row summary."""
+def validate_lake(lake: Lake) -> DataFrame:
+    """Re-check the stored tables on demand (I5): one result frame for all
+    five rule sets; absent tables are skipped."""
+    tables = {"bronze_raw": BRONZE_RAW, "bronze_streaming": BRONZE_STREAM, "silver_trips": SILVER_TRIPS,
+              "silver_demand": SILVER_DEMAND, "gold_zone_stats": GOLD_ZONES}
+    out = None
+    for name, ref in tables.items():
+        if _t(lake, ref).exists():
+            r = qa.validate(_t(lake, ref).read(), name)
+            out = r if out is None else out.unionByName(r)
+    return out
+
+
+def monitor_drift(lake: Lake, run_ts: str, method: str = "auto", since_date: str | None = None) -> DataFrame:
+    """Reference = silver train rows, current = streamed trips (pruned to
+    ``date >= since_date`` partitions when given, J6); stores the report and
+    publishes the summary. Returns the one-row summary."""
     ref = drf.drift_features(_t(lake, SILVER_TRIPS).read().where(F.col("split") == "train"))
-    cur = drf.drift_features(_t(lake, BRONZE_STREAM).read())
+    stream = _t(lake, BRONZE_STREAM).read()
+    if since_date:
+        stream = stream.where(F.col("date") >= since_date)      # partition pruning
+    cur = drf.drift_features(stream)
     rep = drf.drift_report(ref, cur, drf.DRIFT_FEATURES, method).cache()
     write_drift_report(lake, rep, run_ts)
     summ = drf.drift_summary(rep)
@@ -151,6 +168,10 @@ def train_and_register(lake: Lake, target: str = "duration", max_iter: int | Non
                                   float(m["r2"] or 0.0), int(m["n"]))],
                                 "model string, version int, mae double, rmse double, r2 double, test_rows bigint")
     reg.write(row, "append")
+    _t(lake, ("monitoring", "runs")).write(
+        mdl.log_run(spark, target, version, {**mdl.GBT_PARAMS, **({"maxIter": max_iter} if max_iter else {})},
+                    {k: m[k] for k in ("mae", "rmse", "r2") if m[k] is not None},
+                    data.where(F.col("split") == "train").count()), "append")
     model.write().overwrite().save(f"{lake.path('models', target)}/v={version}")
     champion = mdl.resolve_champion(reg.read(), target)
     return {**m, "version": version, "champion_version": champion}

@@ -55,8 +55,12 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols:
     When the caller has counted the rows (``known_rows``) and they are at
     most ``SMALL_WINDOW_ROWS``, one window per group is cheaper and bounded.
     """
+    if not group_cols:       # one implicit group: a constant key, never a cross join
+        out = prefix_sums(df.withColumn("_g", F.lit(0)), ["_g"], order_col, sum_cols, ranges,
+                          with_next, known_rows)
+        return out.drop("_g")
     g = list(group_cols)
-    if known_rows is not None and known_rows <= SMALL_WINDOW_ROWS and g:
+    if known_rows is not None and known_rows <= SMALL_WINDOW_ROWS:
         w = Window.partitionBy(*g).orderBy(order_col)
         cols = [F.col(c) for c in df.columns]
         cols += [F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"cum_{c}")
@@ -69,8 +73,8 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols:
     cuts = df.groupBy(*g).agg(
         F.percentile_approx(order_col, probs, 10000).alias("_cuts"))
     # number of cut points strictly below the value = range id (0..ranges-1)
-    ranged = (df.join(F.broadcast(cuts) if g else cuts.hint("broadcast"), g, "left")
-              if g else df.crossJoin(F.broadcast(cuts)))
+    # one row per group (a handful of features): a bounded broadcast
+    ranged = df.join(F.broadcast(cuts), g, "left")
     ranged = ranged.withColumn(
         "_rng", F.size(F.filter("_cuts", lambda c: c < F.col(order_col)))).drop("_cuts")
     # 2. per-range totals and first value; offsets over ranges (tiny table)
