@@ -100,17 +100,17 @@ def cdf_scores(ref: DataFrame, cur: DataFrame, cols: list[str], ranges: int = 64
     # (two passes over the counts, numerically safe); one row per feature
     stats = vc.groupBy("feature").agg(
         F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"),
-        (F.sum(F.col("c_ref") * F.col("value")) / F.sum("c_ref")).alias("_mean"))
+        F.try_divide(F.sum(F.col("c_ref") * F.col("value")), F.sum("c_ref")).alias("_mean"))
     var = (vc.join(F.broadcast(stats), "feature").groupBy("feature")
-             .agg((F.sum(F.col("c_ref") * F.pow(F.col("value") - F.col("_mean"), 2))
-                   / F.first("n_ref")).alias("_var")))
+             .agg(F.try_divide(F.sum(F.col("c_ref") * F.pow(F.col("value") - F.col("_mean"), 2)),
+                               F.first("n_ref")).alias("_var")))
     stats = stats.join(var, "feature")
     n_values = vc.count()           # cheap: reads the checkpointed counts
     ps = prefix_sums(vc, ["feature"], "value", ["c_ref", "c_cur"], ranges=ranges, with_next=True,
                      known_rows=n_values)
     ps = ps.join(F.broadcast(stats), "feature")
-    fr = F.col("cum_c_ref") / F.col("n_ref")
-    fc = F.col("cum_c_cur") / F.col("n_cur")
+    fr = F.try_divide(F.col("cum_c_ref"), F.col("n_ref"))      # null when a side is empty
+    fc = F.try_divide(F.col("cum_c_cur"), F.col("n_cur"))
     gap = F.abs(fr - fc)
     step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
     out = ps.groupBy("feature").agg(
@@ -130,8 +130,8 @@ def category_scores(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFram
     vc = value_counts(ref, cur, cols)
     tot = _totals(vc)
     x = vc.join(F.broadcast(tot), "feature")
-    p = F.col("c_ref") / F.col("n_ref")
-    q = F.col("c_cur") / F.col("n_cur")
+    p = F.try_divide(F.col("c_ref"), F.col("n_ref"))
+    q = F.try_divide(F.col("c_cur"), F.col("n_cur"))
     m = (p + q) / 2
     term = (F.when(p > 0, p * F.log(p / m)).otherwise(0.0)
             + F.when(q > 0, q * F.log(q / m)).otherwise(0.0))

@@ -38,11 +38,14 @@ def _histogram(base: DataFrame, prefix: str, width: int = 4) -> list:
     return hist
 
 
-def _threshold(df: DataFrame, n: int | float, key: str, seed) -> tuple[str, str] | None:
-    """(hash, key) of the n-th smallest row in (md5(seed|key), key) order, or
-    None when the frame has <= n rows (everything is selected). ``n`` may
-    be a fraction of the total (``0 < n < 1``), resolved with the first
-    histogram so no separate count is needed."""
+def _boundary(df: DataFrame, n: int | float, key: str, seed):
+    """Find the hash bucket holding the n-th smallest row in
+    (md5(seed|key), key) order: returns ``(base, prefix, need)`` — rows
+    whose hash starts below ``prefix`` are all selected, plus the first
+    ``need`` rows of the bucket ``prefix``; ``prefix is None`` when the
+    frame has at most n rows. ``n`` may be a fraction of the total
+    (``0 < n < 1``), resolved with the first histogram, so no separate count
+    is needed."""
     h = hash_hex(key, seed)
     base = df.select(h.alias("_h"), F.col(key).cast("string").alias("_k"))
     prefix, need, width = "", n, 4
@@ -53,11 +56,11 @@ def _threshold(df: DataFrame, n: int | float, key: str, seed) -> tuple[str, str]
         if first:                       # later rounds refine one bucket: need <= total
             if 0 < need < 1:
                 need = math.ceil(need * total)
-                if need == 0:
-                    return ("", "")
             if total <= need:
-                return None
+                return base, None, need
             first = False
+        if need <= 0:
+            return base, "", 0
         cum = 0
         for r in hist:
             if cum + r["count"] >= need:
@@ -65,7 +68,17 @@ def _threshold(df: DataFrame, n: int | float, key: str, seed) -> tuple[str, str]
                 break
             cum += r["count"]
         if bucket_rows <= MAX_RANK_ROWS or len(prefix) >= 32:
-            break
+            return base, prefix, need
+
+
+def _threshold(df: DataFrame, n: int | float, key: str, seed) -> tuple[str, str] | None:
+    """(hash, key) of the n-th smallest row in (md5(seed|key), key) order;
+    None when every row is selected, ("", "") when none is."""
+    base, prefix, need = _boundary(df, n, key, seed)
+    if prefix is None:
+        return None
+    if need <= 0:
+        return ("", "")
     top = (base.where(F.startswith(F.col("_h"), F.lit(prefix)))
                .orderBy("_h", "_k").limit(need)
                .agg(F.max(F.struct("_h", "_k")).alias("m")).collect()[0]["m"])
@@ -87,12 +100,24 @@ def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42, where: Column |
     """Exactly ``min(n, rows)`` rows: the n smallest in ``(md5(seed|key), key)``
     order (G3). ``where`` with ``when='before_filter'`` samples first and then
     filters, as an in-engine ``USING SAMPLE`` next to a WHERE does; the
-    default filters first. ``key`` should be unique for an exact count."""
+    default filters first. ``key`` should be unique for an exact count.
+
+    After the bucket histogram the result is one plan: whole buckets below
+    the boundary by a filter, plus the first rows of the boundary bucket
+    by a bounded top-k — no separate ranking pass."""
     if when not in ("after_filter", "before_filter"):
         raise ValueError("when must be 'after_filter' or 'before_filter'")
     src = df.where(where) if (where is not None and when == "after_filter") else df
-    th = _threshold(src, n, key, seed)
-    out = src.where(_selected(key, seed, th))
+    _, prefix, need = _boundary(src, n, key, seed)
+    if prefix is None:
+        out = src
+    else:
+        h = hash_hex(key, seed)
+        k = F.col(key).cast("string")
+        below = src.where(F.substring(h, 1, len(prefix)) < F.lit(prefix))
+        edge = (src.where(F.startswith(h, F.lit(prefix)))
+                   .orderBy(h, k).limit(need))
+        out = below.unionByName(edge)
     if where is not None and when == "before_filter":
         out = out.where(where)
     return out
