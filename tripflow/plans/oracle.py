@@ -554,3 +554,24 @@ FROM raw WHERE trip_distance > 0 GROUP BY PULocationID"""
 ORACLE["demand_stream"] = with_(STREAM) + """
 SELECT PULocationID AS zone_id, date_trunc('hour', tpep_pickup_datetime) AS window_start, count(*) AS trip_count
 FROM stream WHERE PULocationID BETWEEN 1 AND 263 GROUP BY ALL"""
+
+
+# ---- further operator variants ----------------------------------------------------
+
+ORACLE["zone_stats_train_only"] = with_(RAW, _clean("raw", "clean"), SILVER) + """
+SELECT pickup_zone_id AS zone_id, round(avg(total_amount), 2) AS zone_avg_fare,
+       round(avg(duration_min), 2) AS zone_avg_duration_min, round(avg(trip_distance), 2) AS zone_avg_distance,
+       count(*) AS zone_trip_count
+FROM silver WHERE split = 'train' GROUP BY pickup_zone_id"""
+
+ORACLE["metrics_retention"] = with_(METRICS) + f"""
+SELECT name, labels, ts, value FROM metrics WHERE ts > {AS_OF} - INTERVAL 7 DAY"""
+
+ORACLE["metrics_compare"] = with_(METRICS, _instant(f"ts <= {AS_OF}")) + \
+    "SELECT name, labels, value FROM inst WHERE value > 48.0"
+
+ORACLE["metrics_scalar_op"] = with_(METRICS, _instant(f"ts <= {AS_OF}")) + \
+    "SELECT name, labels, value * 100.0 AS value FROM inst"
+
+ORACLE["metrics_avg_by"] = with_(METRICS, _instant(f"ts <= {AS_OF}")) + \
+    "SELECT u, avg(value) AS avg_value, count(value) AS series FROM inst GROUP BY u"

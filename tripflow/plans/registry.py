@@ -461,3 +461,36 @@ def demand_stream(spark, sf):
     src = streaming(spark, sf).select(*BRONZE_COLUMNS)
     stm.write_feed(src, f"{base}/feed", "tpep_pickup_datetime", unit="week")
     return stm.demand_stream(spark, f"{base}/feed", src.schema, f"{base}/out", f"{base}/ckpt")
+
+
+# ---- further operator variants ----------------------------------------------------
+
+@query
+def zone_stats_train_only(spark, sf):
+    """Zone statistics from silver train rows only (no target leakage)."""
+    return feat.zone_stats_from_silver(silver(spark, sf), train_only=True)
+
+
+@query
+def metrics_retention(spark, sf):
+    return mt.prune_metrics(samples(spark, sf), AS_OF, retention_days=7).select("name", "labels", "ts", "value")
+
+
+@query
+def metrics_compare(spark, sf):
+    return mt.compare(mt.instant(samples(spark, sf), AS_OF, lookback_s=None), ">", 48.0) \
+        .select("name", "labels", "value")
+
+
+@query
+def metrics_scalar_op(spark, sf):
+    return mt.scalar_op(mt.instant(samples(spark, sf), AS_OF, lookback_s=None), "*", 100.0) \
+        .select("name", "labels", "value")
+
+
+@query
+def metrics_avg_by(spark, sf):
+    v = mt.instant(samples(spark, sf), AS_OF, lookback_s=None)
+    a = mt.aggregate_by(v, ["u"], "avg").withColumnRenamed("value", "avg_value")
+    c = mt.aggregate_by(v, ["u"], "count").withColumnRenamed("value", "series")
+    return a.join(c, "u")
