@@ -263,6 +263,12 @@ def format_exposition(m: DataFrame) -> DataFrame:
 
 
 def prune_metrics(m: DataFrame, as_of: str, retention_days: int = 30) -> DataFrame:
-    """Retention (K13): samples newer than ``as_of - retention``."""
+    """Retention (K13): samples newer than ``as_of - retention``. On a
+    metrics table partitioned by ``date`` the same bound is also applied to
+    the partition column, so expired days are never listed or read."""
     at = F.to_timestamp_ntz(F.lit(as_of))
-    return m.where(F.col("ts") > F.timestamp_add("DAY", F.lit(-int(retention_days)), at))
+    lo = F.timestamp_add("DAY", F.lit(-int(retention_days)), at)
+    cond = F.col("ts") > lo
+    if "date" in m.columns:
+        cond = cond & (F.col("date") >= F.date_format(lo, "yyyy-MM-dd"))
+    return m.where(cond)

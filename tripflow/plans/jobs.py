@@ -32,7 +32,11 @@ def _t(lake: Lake, ref):
 
 
 def _publish(lake: Lake, m: DataFrame) -> None:
-    _t(lake, METRICS).write(m.withColumn("ts", F.coalesce("ts", F.localtimestamp())), "append")
+    """Append samples to the metrics table, partitioned by day so that
+    retention and time-range queries prune whole directories."""
+    m = m.withColumn("ts", F.coalesce("ts", F.localtimestamp()))
+    _t(lake, METRICS).write(m.withColumn("date", F.date_format("ts", "yyyy-MM-dd")), "append",
+                            partition_by=["date"])
 
 
 def load_bronze(lake: Lake, raw: DataFrame, mode: str = "overwrite") -> int:

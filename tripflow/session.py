@@ -20,6 +20,9 @@ SCALE_DEFAULTS = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # large streaming state (windowed demand) lives in RocksDB, not the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
