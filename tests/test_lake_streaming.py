@@ -86,3 +86,27 @@ def test_demand_stream_equals_batch(spark, scratch):
     # a restart with no new files adds no rows
     stm.demand_stream(spark, f"{scratch}/feed", ev.schema, f"{scratch}/out", f"{scratch}/ckpt", close=False)
     assert spark.read.parquet(f"{scratch}/out").count() == n
+
+
+def test_score_stream_with_stream_static_enrichment(spark, scratch):
+    from tripflow.operators import models as mdl
+    from tripflow.operators import sampling as smp
+    from tripflow.operators import trips as trp
+    from tripflow.sources.fixtures import trips_from_lineitem
+    from conftest import SF0001
+    raw = trips_from_lineitem(spark, SF0001)
+    zones = feat.zone_stats(raw)
+    train = feat.enrich_trips(smp.hash_split(trp.clean_trips(raw), "trip_key"), zones)
+    model = mdl.train(train, mdl.TRIP_FEATURES, "total_amount", max_iter=3)
+    ev = trips_from_events(spark, SF001)
+    stm.write_feed(ev, f"{scratch}/feed", "tpep_pickup_datetime", unit="week")
+    stream = feat.enrich_trips(trp.clean_trips(stm.feed_stream(spark, f"{scratch}/feed", ev.schema)), zones)
+    calls = []
+
+    def resolve():
+        calls.append(1)
+        return model
+    stm.score_stream(stream, resolve, f"{scratch}/scored", f"{scratch}/ckpt", "predicted_fare")
+    out = spark.read.parquet(f"{scratch}/scored")
+    assert out.count() == trp.clean_trips(ev).count() and len(calls) >= 1
+    assert "predicted_fare" in out.columns

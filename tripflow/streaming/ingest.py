@@ -124,3 +124,24 @@ def closing_row(df: DataFrame, ts_col: str = "tpep_pickup_datetime", after: str
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return last.select(*cols)
+
+
+def score_stream(stream_df: DataFrame, resolve_model, out_dir: str, checkpoint: str,
+                 out_col: str = "prediction", decimals: int = 2, timeout_s: int = 600) -> None:
+    """Score a stream (I17, I18): every micro-batch first resolves the model
+    (e.g. the current champion from the registry), so a newer champion is
+    used from the next batch on without a restart; predictions of batch
+    ``b`` are written to ``batch_id=b`` with overwrite (idempotent replay)."""
+    from tripflow.operators.models import score
+
+    def per_batch(batch: DataFrame, batch_id: int):
+        model = resolve_model()
+        (score(model, batch, out_col, decimals).write.mode("overwrite")
+         .parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}"))
+
+    q = (stream_df.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("score_stream did not finish in time")
