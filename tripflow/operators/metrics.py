@@ -94,23 +94,24 @@ def with_previous(m: DataFrame, cols: list[str], bucket_us: int = DAY_US) -> Dat
     """Add ``prev_t_us`` and ``prev_<c>`` (the previous sample of the same
     series, in (t_us, value) order) without a per-series window: lag inside
     (series, time bucket); the first sample of a bucket takes the last
-    sample of the nearest earlier non-empty bucket from a small table."""
+    sample of the nearest earlier non-empty bucket from a small table.
+    The last sample of each bucket is read off the same sorted window
+    (``lead`` is null), so no extra aggregate or sort is needed."""
     b = F.floor(F.col("t_us") / F.lit(bucket_us)).cast("long")
     x = m.withColumn("_b", b)
     w = Window.partitionBy(*SERIES, "_b").orderBy("t_us", "value")
     x = x.select("*", F.lag("t_us").over(w).alias("_pt"),
-                 *[F.lag(c).over(w).alias(f"_p_{c}") for c in cols])
-    last = x.groupBy(*SERIES, "_b").agg(
-        F.max(F.struct("t_us", "value", *[F.col(c).alias(f"c_{c}") for c in cols if c != "value"]))
-         .alias("_last"))
+                 *[F.lag(c).over(w).alias(f"_p_{c}") for c in cols],
+                 F.lead("t_us").over(w).isNull().alias("_is_last"))
+    last = x.where("_is_last").select(*SERIES, "_b", F.col("t_us").alias("_lt"),
+                                      *[F.col(c).alias(f"_l_{c}") for c in cols])
     wl = Window.partitionBy(*SERIES).orderBy("_b")     # one row per (series, bucket)
-    lastp = last.select(*SERIES, "_b", F.lag("_last").over(wl).alias("_pl"))
+    lastp = last.select(*SERIES, "_b", F.lag("_lt").over(wl).alias("_plt"),
+                        *[F.lag(f"_l_{c}").over(wl).alias(f"_pl_{c}") for c in cols])
     x = x.join(lastp, SERIES + ["_b"], "left")
-    out = x.select(*m.columns,
-                   F.coalesce("_pt", F.col("_pl.t_us")).alias("prev_t_us"),
-                   *[F.coalesce(f"_p_{c}", F.col("_pl.value" if c == "value" else f"_pl.c_{c}"))
-                      .alias(f"prev_{c}") for c in cols])
-    return out
+    return x.select(*m.columns,
+                    F.coalesce("_pt", "_plt").alias("prev_t_us"),
+                    *[F.coalesce(f"_p_{c}", f"_pl_{c}").alias(f"prev_{c}") for c in cols])
 
 
 def increments(m: DataFrame, bucket_us: int = DAY_US) -> DataFrame:
