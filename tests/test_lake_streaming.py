@@ -69,6 +69,11 @@ def test_ingest_stream_gate_and_idempotence(spark, scratch):
     # restart from the same checkpoint: nothing new, nothing duplicated
     stm.ingest_stream(spark, f"{scratch}/feed", ev.schema, f"{scratch}/table", f"{scratch}/ckpt")
     assert spark.read.parquet(f"{scratch}/table").count() == ev.count()
+    # replay from a date into a fresh checkpoint
+    stm.ingest_stream(spark, f"{scratch}/feed", ev.schema, f"{scratch}/table2", f"{scratch}/ckpt2",
+                      from_date="2024-01-20")
+    assert spark.read.parquet(f"{scratch}/table2").count() == \
+        ev.where("tpep_pickup_datetime >= '2024-01-20'").count()
 
 
 def test_demand_stream_equals_batch(spark, scratch):
