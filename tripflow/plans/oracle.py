@@ -575,3 +575,8 @@ ORACLE["metrics_scalar_op"] = with_(METRICS, _instant(f"ts <= {AS_OF}")) + \
 
 ORACLE["metrics_avg_by"] = with_(METRICS, _instant(f"ts <= {AS_OF}")) + \
     "SELECT u, avg(value) AS avg_value, count(value) AS series FROM inst GROUP BY u"
+
+ORACLE["parse_props"] = """
+SELECT event_type, count(k) AS docs, CAST(sum(k) AS BIGINT) AS k_sum, max(k) AS k_max
+FROM (SELECT event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events) e
+GROUP BY event_type"""

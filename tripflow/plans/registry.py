@@ -494,3 +494,14 @@ def metrics_avg_by(spark, sf):
     a = mt.aggregate_by(v, ["u"], "avg").withColumnRenamed("value", "avg_value")
     c = mt.aggregate_by(v, ["u"], "count").withColumnRenamed("value", "series")
     return a.join(c, "u")
+
+
+@query
+def parse_props(spark, sf):
+    """JSON text column parsing (the drift-report parser's building block)
+    on the events' ``props`` documents: parsed field statistics per type."""
+    from tripflow.sources.fixtures import read_table
+    ev = read_table(spark, sf, "events")
+    k = F.from_json("props", "k int")["k"]
+    return ev.groupBy("event_type").agg(F.count(k).alias("docs"), F.sum(k).alias("k_sum"),
+                                        F.max(k).alias("k_max"))
