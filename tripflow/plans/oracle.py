@@ -580,3 +580,21 @@ ORACLE["parse_props"] = """
 SELECT event_type, count(k) AS docs, CAST(sum(k) AS BIGINT) AS k_sum, max(k) AS k_max
 FROM (SELECT event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events) e
 GROUP BY event_type"""
+
+ORACLE["drift_report"] = with_(*DRIFT_BASE, *_vc(FEATS), CDF, KS,
+                               "sd AS (SELECT feature, stddev_pop(value) AS s FROM rl GROUP BY feature)",
+                               """nu AS (SELECT feature, count(DISTINCT value) AS u FROM rl GROUP BY feature)""",
+                               CAT.replace("cat AS (", "cat AS (", 1),
+                               """m AS (
+  SELECT ks.feature, ks.n_ref, nu.u,
+         CASE WHEN nu.u <= 5 THEN (CASE WHEN ks.n_ref <= 1000 THEN 'chi2' ELSE 'js' END)
+              ELSE (CASE WHEN ks.n_ref <= 1000 THEN 'ks' ELSE 'wasserstein' END) END AS method,
+         CASE WHEN ks.lam < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * list_sum(list_transform(
+              range(1, 101), lambda k: pow(-1.0, k - 1) * exp(-2.0 * k * k * ks.lam * ks.lam))))) END AS ks_p,
+         CASE WHEN sd.s > 0 THEN ks.w1 / sd.s END AS wn, cat.js
+  FROM ks JOIN sd USING (feature) JOIN nu USING (feature) JOIN cat USING (feature))""") + """
+SELECT feature, method,
+       round(CASE method WHEN 'ks' THEN ks_p WHEN 'wasserstein' THEN wn WHEN 'js' THEN js END, 6) AS score,
+       CAST(CASE method WHEN 'ks' THEN 0.05 WHEN 'chi2' THEN 0.05 ELSE 0.1 END AS DOUBLE) AS threshold,
+       CASE method WHEN 'ks' THEN ks_p < 0.05 WHEN 'wasserstein' THEN wn >= 0.1 WHEN 'js' THEN js >= 0.1 END AS drifted
+FROM m"""

@@ -505,3 +505,10 @@ def parse_props(spark, sf):
     k = F.from_json("props", "k int")["k"]
     return ev.groupBy("event_type").agg(F.count(k).alias("docs"), F.sum(k).alias("k_sum"),
                                         F.max(k).alias("k_max"))
+
+
+@query
+def drift_report(spark, sf):
+    """Per-feature report with the automatic method choice (reference size
+    and distinct values decide between KS, Wasserstein, chi-square, JS)."""
+    return drf.drift_report(drift_ref(spark, sf), drift_cur(spark, sf), drf.DRIFT_FEATURES, method="auto")
