@@ -32,10 +32,17 @@ def labels_key(labels) -> Column:
 
 
 def normalize(m: DataFrame) -> DataFrame:
-    """Samples with text ``labels``, the map as ``label_map`` and ``t_us``."""
-    return m.select("name", labels_key("labels").alias("labels"), F.col("labels").alias("label_map"),
-                    F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("value").cast("double").alias("value"),
-                    epoch_micros(F.col("ts").cast("timestamp_ntz")).alias("t_us"))
+    """Samples with text ``labels``, the map as ``label_map`` and ``t_us``.
+
+    A sample without a name or time is not a sample and is dropped here;
+    the series key columns are then non-null everywhere, so the self-joins
+    of the per-series operators see identical inputs on both sides and
+    Spark reuses one shuffle for both."""
+    return (m.where(F.col("name").isNotNull() & F.col("ts").isNotNull())
+             .select("name", F.coalesce(labels_key("labels"), F.lit("")).alias("labels"),
+                     F.col("labels").alias("label_map"),
+                     F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("value").cast("double").alias("value"),
+                     epoch_micros(F.col("ts").cast("timestamp_ntz")).alias("t_us")))
 
 
 def label(m: DataFrame, key: str) -> Column:
