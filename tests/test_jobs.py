@@ -23,3 +23,12 @@ def test_pipeline_end_to_end(spark, scratch):
     assert lake.table("monitoring", "runs").read().count() == 2
     res = jobs.validate_lake(lake)
     assert {r["table"] for r in res.collect()} >= {"bronze_raw", "silver_trips", "gold_zone_stats"}
+
+
+def test_gold_from_train_rows(spark, scratch):
+    lake = Lake(spark, scratch)
+    jobs.load_bronze(lake, trips_from_lineitem(spark, SF0001))
+    jobs.build_silver_trips(lake)
+    jobs.build_gold_zone_stats(lake, train_only=True)
+    zs = lake.table("gold", "zone_stats").read()
+    assert zs.where("event_timestamp IS NULL").count() == 0 and zs.count() <= 263

@@ -83,8 +83,10 @@ def build_gold_zone_stats(lake: Lake, export_path: str | None = None, train_only
     """Zone statistics from bronze (or from silver train rows with
     ``train_only``), gated, stored; optionally exported as one file."""
     if train_only:
+        # silver rows carry no pickup timestamp: stamp the features with the
+        # day they were computed (the feature view needs an event time)
         zs = feat.zone_stats_from_silver(_t(lake, SILVER_TRIPS).read())
-        zs = zs.withColumn("event_timestamp", F.lit(None).cast("timestamp_ntz"))
+        zs = zs.withColumn("event_timestamp", F.date_trunc("day", F.localtimestamp()).cast("timestamp_ntz"))
     else:
         zs = feat.zone_stats(_t(lake, BRONZE_RAW).read())
     qa.validate_or_fail(zs, "gold_zone_stats")
