@@ -32,3 +32,18 @@ def test_gold_from_train_rows(spark, scratch):
     jobs.build_gold_zone_stats(lake, train_only=True)
     zs = lake.table("gold", "zone_stats").read()
     assert zs.where("event_timestamp IS NULL").count() == 0 and zs.count() <= 263
+
+
+def test_monitor_drift_job(spark, scratch):
+    from tripflow.sources.fixtures import trips_from_events
+    lake = Lake(spark, scratch)
+    jobs.load_bronze(lake, trips_from_lineitem(spark, SF0001))
+    jobs.build_silver_trips(lake)
+    ev = trips_from_events(spark, SF0001).drop("trip_key")
+    lake.table("bronze", "streaming").write(ev, "append", partition_by=["date"])
+    summ = jobs.monitor_drift(lake, "2024-02-01 00:00:00", method="wasserstein").collect()[0]
+    assert summ["number_of_columns"] == 5 and 0 <= summ["drift_share"] <= 1
+    rep = lake.table("monitoring", "drift_reports").read()
+    assert rep.count() == 5 and str(rep.select("run_date").distinct().collect()[0][0]) == "2024-02-01"
+    later = jobs.monitor_drift(lake, "2024-02-02 00:00:00", since_date="2024-01-15").collect()[0]
+    assert later["number_of_columns"] == 5
