@@ -7,7 +7,11 @@
 * ``prefix_sums`` — exact running sums along a global order without an
   unpartitioned window: rows are cut into value ranges (approximate
   quantiles), summed per range, range offsets come from a tiny table, and
-  each range is then scanned in its own task.
+  each range is then scanned in its own task. Only when the caller has
+  counted at most ``SMALL_WINDOW_ROWS`` rows does it use one window per
+  group.
+* ``reliable_checkpoint`` — materialise a reused intermediate in the shared
+  checkpoint folder (never a local checkpoint).
 * ``with_halo`` — split a long time series into time buckets so one hot
   series does not land in a single task; rows near a bucket start are
   copied into the next bucket so range windows stay exact.
