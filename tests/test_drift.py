@@ -105,3 +105,12 @@ def test_prefix_sums_without_groups_matches(spark):
     a = part.prefix_sums(df, [], "v", ["c"], ranges=5).orderBy("v").collect()
     b = part.prefix_sums(df, [], "v", ["c"], known_rows=500).orderBy("v").collect()
     assert [r["cum_c"] for r in a] == list(range(1, 501)) == [r["cum_c"] for r in b]
+
+
+def test_retrain_poll_interval_counts_polls(spark):
+    h = spark.createDataFrame([("2024-01-01 00:00:00", 0.6), ("2024-01-01 00:20:00", 0.7),
+                               ("2024-01-01 00:30:00", 0.1), ("2024-01-01 01:00:00", 0.9)],
+                              "period string, drift_share double")
+    out = drf.retrain_decisions(h, poll_interval_s=300).orderBy("period").collect()
+    assert [r["requests"] for r in out] == [4, 2, 0, 1]
+    assert [r["run_number"] for r in out] == [4, 6, 6, 7]

@@ -28,6 +28,8 @@ def test_materialize_and_online_ttl(spark):
     assert out[10]["found"] and out[10]["zone_avg_fare"] == 2.0
     assert not out[11]["found"] and out[11]["zone_avg_fare"] == 0.0     # expired (TTL 90 days)
     assert not out[12]["found"] and out[12]["zone_trip_count"] == 0
+    ordered = fs.get_online_features(ent, online, fs.ZONE_VIEW, "2024-02-01 00:00:00", order_col="req")
+    assert [r["req"] for r in ordered.collect()] == [10, 11, 12]
 
 
 def test_champions_never_worse(spark):

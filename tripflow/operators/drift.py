@@ -298,24 +298,36 @@ def drift_history(by_period: DataFrame) -> DataFrame:
 
 def retrain_decisions(history: DataFrame, ts_col: str = "period", share_col: str = "drift_share",
                       threshold: float = RETRAIN_THRESHOLD, mode: str = "level",
-                      partition_cols: tuple = ()) -> DataFrame:
+                      partition_cols: tuple = (), poll_interval_s: int | None = None) -> DataFrame:
     """Retrain requests over a drift history.
 
     ``mode='level'`` requests at every evaluation with share >= threshold
     (the reference sensor's behaviour); ``mode='edge'`` only when the share
     crosses the threshold upward. ``run_number`` is the running count of
-    requests (the sensor's cursor). The history holds one row per drift
-    run per monitor, so its windows are small.
+    requests (the sensor's cursor). With ``poll_interval_s`` (the sensor
+    polls at most every 300 s) level mode counts one request per poll
+    while the share stays high: ``ceil(gap to the next drift run / poll
+    interval)`` for each run, without generating a row per poll. The
+    history holds one row per drift run per monitor, so its windows are
+    small.
     """
+    if mode not in ("level", "edge"):
+        raise ValueError("mode must be 'level' or 'edge'")
     w = Window.partitionBy(*partition_cols).orderBy(ts_col)
     above = F.col(share_col) >= F.lit(threshold)
     prev_above = F.lag(above).over(w)
     fire = above if mode == "level" else (above & F.coalesce(~prev_above, F.lit(True)))
-    if mode not in ("level", "edge"):
-        raise ValueError("mode must be 'level' or 'edge'")
     out = history.withColumn("retrain", fire)
-    return out.withColumn("run_number", F.sum(F.col("retrain").cast("long")).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
+    n = F.col("retrain").cast("long")
+    if poll_interval_s is not None and mode == "level":
+        t = F.col(ts_col).cast("timestamp_ntz")
+        from tripflow.functions import seconds_between
+        gap = seconds_between(t, F.lead(t).over(w))
+        polls = F.greatest(F.lit(1), F.ceil(gap / F.lit(int(poll_interval_s))))
+        n = F.when(F.col("retrain"), F.coalesce(polls, F.lit(1))).otherwise(F.lit(0)).cast("long")
+        out = out.withColumn("requests", n)
+        n = F.col("requests")
+    return out.withColumn("run_number", F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
 # --- drift report documents (B16) ---------------------------------------------

@@ -73,7 +73,8 @@ def materialize_incremental(source: DataFrame, view: FeatureView, end: str, star
 
 
 def get_online_features(entities: DataFrame, online: DataFrame, view: FeatureView, as_of: str,
-                        prefix: str = "", default: float | None = 0.0) -> DataFrame:
+                        prefix: str = "", default: float | None = 0.0,
+                        order_col: str | None = None) -> DataFrame:
     """Features for every entity row, order-free (D3, I13): left join on the
     keys; a row older than ``as_of - ttl`` is expired; missing or expired
     features become ``default`` (0.0, as the scoring service does) and
@@ -89,5 +90,6 @@ def get_online_features(entities: DataFrame, online: DataFrame, view: FeatureVie
         if default is not None:
             v = F.coalesce(v, F.lit(default).cast(online.schema[c].dataType))
         feats.append(v.alias(f"{prefix}{c}"))
-    return j.select(*entities.columns, *feats,
-                    F.coalesce("_found", F.lit(False)).alias(f"{prefix}found"))
+    out = j.select(*entities.columns, *feats, F.coalesce("_found", F.lit(False)).alias(f"{prefix}found"))
+    # request order is kept through a position column of the entity frame
+    return out.orderBy(order_col) if order_col else out
