@@ -36,11 +36,11 @@ def balanced(df: DataFrame) -> DataFrame:
     """Spread a small input over all cores. A single-file, single-row-group
     Parquet table scans in ONE task however it is split; below
     ``SMALL_INPUT_BYTES`` and with fewer files than cores it is
-    hash-repartitioned once on its first column — the key column of the
-    driver tables (no sort, unlike a round-robin repartition; filters and
-    column pruning still reach the scan below the exchange). Inputs made
-    of many files — any real lake table — are returned unchanged, without
-    a shuffle."""
+    hash-repartitioned once on all its columns (no sort, unlike a
+    round-robin repartition; filters still reach the scan below the
+    exchange; measured faster here than hashing the key column alone).
+    Inputs made of many files — any real lake table — are returned
+    unchanged, without a shuffle."""
     spark = df.sparkSession
     par = spark.sparkContext.defaultParallelism
     files = df.inputFiles()
@@ -52,7 +52,7 @@ def balanced(df: DataFrame) -> DataFrame:
     for f in files:
         p = jvm.org.apache.hadoop.fs.Path(f)
         size += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return df.repartition(par, df.columns[0]) if size <= SMALL_INPUT_BYTES else df
+    return df.repartition(par, *df.columns) if size <= SMALL_INPUT_BYTES else df
 
 
 def _minutes(n):
