@@ -39,3 +39,14 @@ def test_parity_sf0001(spark, con, name):
     dcols = [d[0] for d in cur.description]
     assert sorted(sdf.columns) == sorted(dcols)
     assert rows_of(sdf.columns, srows) == rows_of(dcols, cur.fetchall())
+
+
+PLAN_SKIP = SLOW | {"score_trips", "score_fares", "score_demand"}
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - PLAN_SKIP))
+def test_no_cross_joins_in_plans(spark, name):
+    """Scale guard: no registered query plans a cartesian product or a
+    nested-loop join."""
+    plan = E.queries()[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
