@@ -55,3 +55,18 @@ def test_freshness_levels(spark):
     out = qa.freshness({"bronze_streaming": (df.where("ts < '2024-01-31 23:55:00'"), "ts")},
                        as_of="2024-02-01 00:00:00").collect()[0]
     assert out["age_seconds"] == 600 and out["within_sla"] and out["level"] == "red"
+
+
+def test_all_null_column_and_nan_in_not_null_rule(spark):
+    df = spark.createDataFrame([(None, float("nan")), (None, 1.0)],
+                               "tpep_pickup_datetime timestamp_ntz, trip_distance double")
+    res = {r["column"]: r for r in qa.validate(df, "bronze_raw").collect() if r["check"] == "column"}
+    assert res["tpep_pickup_datetime"]["observed"] == 2 and not res["tpep_pickup_datetime"]["passed"]
+    assert res["trip_distance"]["observed"] == 1          # NaN counts as missing
+    assert "PULocationID" not in res                      # absent column skipped
+
+
+def test_empty_frame_fails_min_rows(spark):
+    df = spark.createDataFrame([], "zone_id int, pickup_hour int, day_of_week int, trip_count bigint")
+    summ = qa.quality_summary(qa.validate(df, "silver_demand")).collect()[0]
+    assert summ["rows"] == 0 and not summ["success"] and summ["failed"] == 1
