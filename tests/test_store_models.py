@@ -60,3 +60,15 @@ def test_gbt_beats_mean_predictor(spark):
     mean = train.agg(F.avg("total_amount")).collect()[0][0]
     base = mdl.regression_metrics(test.withColumn("prediction", F.lit(mean)), "total_amount").collect()[0]
     assert m["mae"] < base["mae"] and m["r2"] > 0.5
+
+
+def test_champion_mae_never_increases(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [("m", v, round(rnd.uniform(1, 10), 3)) for v in range(1, 60)]
+    v = spark.createDataFrame(rows, "model string, version int, mae double")
+    out = sorted(mdl.champions(v).collect(), key=lambda r: r["version"])
+    mae = {r[1]: r[2] for r in rows}
+    champ = [mae[r["champion_version"]] for r in out]
+    assert all(a >= b for a, b in zip(champ, champ[1:]))
+    assert champ[-1] == min(mae.values())
