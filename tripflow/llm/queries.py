@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tripflow.llm import quality_rules
+from tripflow.llm import language, quality_crf, quality_rules
 
 QUERIES = {
+    "op4_language_id": language.op4_language_id,
+    "op7_quality_classifier": quality_crf.op7_quality_classifier,
     "op9_quality_rules": quality_rules.op9_quality_rules,
 }
 

@@ -52,6 +52,17 @@ def crc_mod(id_col: str, m: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(m)
 
 
+def label_sample(labels: DataFrame, label: str, folds: int, held_out: int, max_docs: int,
+                 id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, label) of at most ``max_docs`` labelled documents outside the
+    held-out fold: those with the smallest id hashes. Where rows for one
+    document disagree, the smaller label counts."""
+    known = labels.select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("label"))
+    return (known.where(F.col("label").isNotNull() & (crc_mod("doc_id", folds) != held_out))
+            .groupBy("doc_id").agg(F.min("label").alias("label"))
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs))
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     h = h.astype(np.uint64, copy=True)
