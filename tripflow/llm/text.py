@@ -117,8 +117,11 @@ class Block:
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of all words; per row, the index of its first word
         (rows + 1 values)."""
+        return self.runs(~_IS_SPACE[self.buf])
+
+    def runs(self, solid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``words``, for longest runs of bytes marked in ``solid`` within a row."""
         n = len(self.buf)
-        solid = ~_IS_SPACE[self.buf]
         first = np.zeros(n + 1, bool)
         first[self.off] = True
         before = np.ones(n, bool)
