@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from tripflow.llm import jaccard, language, quality_crf, quality_rules, top_k, toxicity, url_filter
+from tripflow.llm import jaccard, language, licences, mixing, quality_crf, quality_rules, top_k, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
+    "op2_license_scans": licences.op2_license_scans,
     "op4_language_id": language.op4_language_id,
     "op5_exact_top_k": top_k.op5_exact_top_k,
     "op6_ngram_jaccard_join": jaccard.op6_ngram_jaccard_join,
     "op7_quality_classifier": quality_crf.op7_quality_classifier,
+    "op8_mix_sources": mixing.op8_mix_sources,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
 # the others have no SQL twin: they are tested by brute force or held-out accuracy
 ORACLE = {
+    "op2_license_scans": licences.ORACLE_SQL,
     "op5_exact_top_k": top_k.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
 }
