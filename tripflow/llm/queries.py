@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from tripflow.llm import jaccard, language, licences, mixing, quality_crf, quality_rules, top_k, toxicity, url_filter
+from tripflow.llm import (
+    jaccard,
+    language,
+    licences,
+    mixing,
+    pieces,
+    quality_crf,
+    quality_rules,
+    top_k,
+    toxicity,
+    url_filter,
+)
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
     "op2_license_scans": licences.op2_license_scans,
+    "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_language_id": language.op4_language_id,
     "op5_exact_top_k": top_k.op5_exact_top_k,
     "op6_ngram_jaccard_join": jaccard.op6_ngram_jaccard_join,
