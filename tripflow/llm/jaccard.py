@@ -15,14 +15,15 @@ members of a group with each other:
     in common are at most min(positions) + 1 + min(what follows). Pairs that
     pass are counted over all lists; as the prefix is a twentieth longer than
     needed, a linked pair must share more than one of its shingles.
-4.  A list of more than ``LONG`` sets compares them with a few leaders only.
+4.  A list of more than ``LONG`` sets isn't read pair by pair. Its sets are
+    compared with a few leaders, and only where the list can hold the first
+    shingle that two linked sets share.
 5.  Each set is compared with the partner it shares most with, and with its
     lists' leaders. Linked sets form groups.
 6.  A set's remaining answers derive from its group's: pairs within a group
-    are settled; in a long list only sets outside its main group meet others;
-    and a pair whose similarities to a common leader differ too much can't
-    link (Jaccard distance obeys the triangle inequality). All pairs left
-    are compared, and the groups they link are joined.
+    are settled, and in a long list only sets outside its main group meet
+    others, chunk by chunk. All pairs left are compared, and the groups they
+    link are joined.
 
 Defined cases: a text without words has no set, size 0, and is its own
 component; fewer words than a shingle make one shingle of all words; copies
@@ -48,6 +49,8 @@ SKETCH_BITS = 18            # the sketch has 2 ** SKETCH_BITS counters
 FILTER_BITS = 23            # bits of the filter of candidate sets
 LONG = 128                  # sets of a list that are compared pair by pair
 LEADERS = 4                 # sets of a longer list that all its sets are compared with
+OUTER, MEMBERS = 512, 2048  # sets of a longer list that one task compares
+COLUMNS = 4096              # shingles of a comparison's matrices
 FLUSH = 400_000             # pairs that a task gathers before it counts them
 
 
@@ -324,31 +327,68 @@ def _leader_pairs(entries: DataFrame) -> DataFrame:
     return met.select(F.col("l.set").alias("a"), F.col("set").alias("b"), F.col("l.n").alias("na"), F.col("n").alias("nb")).distinct()
 
 
-def _rest_of_long_lists(entries: DataFrame, group: DataFrame, compared: DataFrame) -> DataFrame:
-    """(a, b, na, nb): pairs of long lists in different groups that may still
-    link. ``compared``: what leaders (a) have in common with sets (b)."""
-    grouped = (entries.join(group, "set", "left").withColumn("group", F.coalesce("group", "set")))
+def _first_shared(entries: DataFrame) -> DataFrame:
+    """The entries of long lists that can be the first shingle that a set
+    shares with a linked set of the list: all they share, at least
+    ceil(3 (n + other n) / 7), then follows from there."""
+    least = entries.groupBy("token").agg(F.min("n").alias("_least"))
+    other = F.greatest(F.col("_least"), F.ceil(3 * F.col("n") / 4))
+    return (entries.join(least, "token").where(7 * (F.col("n") - F.col("pos")) >= 3 * (F.col("n") + other))
+            .drop("_least"))
+
+
+def _common(a: pa.ChunkedArray, b: pa.ChunkedArray) -> np.ndarray:
+    """How many items each list of ``a`` has in common with each of ``b``."""
+    def flat(column):
+        lists = pa.concat_arrays([c for c in column.chunks]) if column.num_chunks != 1 else column.chunk(0)
+        return np.asarray(lists.flatten()), np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
+    (x, of_x), (y, of_y) = flat(a), flat(b)
+    shared = np.intersect1d(x, y)
+    out = np.zeros((len(a), len(b)), np.float32)
+    for lo in range(0, len(shared), COLUMNS):
+        part = shared[lo:lo + COLUMNS]
+        left, right = (np.zeros((n, len(part)), np.float32) for n in out.shape)
+        for items, of, to in ((x, of_x, left), (y, of_y, right)):
+            at = np.minimum(np.searchsorted(part, items), len(part) - 1)
+            here = part[at] == items
+            to[of[here], at[here]] = 1
+        out += left @ right.T
+    return out
+
+
+def _compare_chunks(outer: pa.Table, members: pa.Table) -> pa.Table:
+    """(a, b): for each set of ``outer`` one linked set of each other group among ``members``."""
+    names = ["a", "b"]
+    if not outer.num_rows or not members.num_rows:
+        return pa.table([pa.array([], pa.int64())] * 2, names=names)
+    na, nb = (np.asarray(t.column("n")).astype(np.int64) for t in (outer, members))
+    ga, gb = (np.asarray(t.column("group")) for t in (outer, members))
+    common = _common(outer.column("items"), members.column("items"))
+    linked = (100 * common >= 75 * (na[:, None] + nb[None, :] - common)) & (ga[:, None] != gb[None, :])
+    i, j = np.nonzero(linked)
+    _, first = np.unique(np.stack([i, np.unique(gb, return_inverse=True)[1][j]]), axis=1, return_index=True)
+    return pa.table([outer.column("set").take(pa.array(i[first])), members.column("set").take(pa.array(j[first]))], names=names)
+
+
+def _links_of_long_lists(entries: DataFrame, group: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links between different groups of a long list. The sets outside
+    a list's main group meet all its sets, in chunks of bounded size. """
+    grouped = entries.join(group, "set", "left").withColumn("group", F.coalesce("group", "set"))
     main = (grouped.groupBy("token", "group").agg(F.count(F.lit(1)).alias("k"))
-            .groupBy("token").agg(F.max_by("group", F.struct("k", "group")).alias("main"),
-                                  F.count(F.lit(1)).alias("groups"))
-            .where("groups > 1").select("token", "main"))
-    distance = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    known = compared.select(F.col("b").alias("set"), F.struct(F.col("a").alias("leader"), distance.alias("d")).alias("k")) \
-        .groupBy("set").agg(F.collect_set("k").alias("known"))            # at most a few leaders a list
-    mixed = grouped.join(main, "token").join(known, "set", "left")
-    other = mixed.where(F.col("group") != F.col("main")).select(
-        "token", F.col("set").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("group").alias("ga"),
-        F.col("known").alias("ka"))
-    met = mixed.select("token", F.col("set").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
-                       F.col("group").alias("gb"), F.col("known").alias("kb"), "main")
-    most = (F.least("pa", "pb") + 1 + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1))
-    apart = F.exists("ka", lambda x: F.exists("kb", lambda y: (x["leader"] == y["leader"])
-                                              & (F.abs(x["d"] - y["d"]) > 0.25 + 1e-9)))
-    return (other.join(met, "token")
-            .where((F.col("ga") != F.col("gb")) & ((F.col("gb") == F.col("main")) | (F.col("a") < F.col("b")))
-                   & _fit_sizes(F.col("na"), F.col("nb")) & (7 * most >= 3 * (F.col("na") + F.col("nb")))
-                   & ~F.coalesce(apart, F.lit(False)))
-            .select("a", "b", "na", "nb").distinct())
+            .groupBy("token").agg(F.max_by("group", F.struct("k", "group")).alias("main"), F.max("k").alias("largest"),
+                                  F.sum("k").alias("all"), F.count(F.lit(1)).alias("groups"))
+            .where("groups > 1")
+            .select("token", "main", F.ceil((F.col("all") - F.col("largest")) / OUTER).alias("outer_chunks"),
+                    F.ceil(F.col("all") / MEMBERS).alias("member_chunks")))
+    mixed = grouped.join(main, "token").join(sets, "set")
+    chunk = lambda n: F.pmod(F.xxhash64("set", F.lit(3)), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    outer = mixed.where("group <> main").withColumn("i", chunk("outer_chunks")).withColumn("j", every("member_chunks"))
+    members = mixed.withColumn("j", chunk("member_chunks")).withColumn("i", every("outer_chunks"))
+    key, columns = ["token", "i", "j"], ["set", "n", "group", "items"]
+    sides = [side.select(*[F.col(c).alias(c) for c in key + columns]).groupBy(*key) for side in (outer, members)]
+    return (sides[0].cogroup(sides[1])
+            .applyInArrow(_compare_chunks, "a long, b long").distinct())
 
 
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -384,8 +424,8 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ends = pairs.select(F.col("a").alias("x"), "*").union(pairs.select(F.col("b").alias("x"), "*"))
     best = (ends.groupBy("x").agg(F.max_by(F.struct("a", "b", "na", "nb"), F.struct("times", "a", "b")).alias("p"))
             .select("p.*").distinct())
-    leaders = checkpoint(_leader_pairs(entries))
-    compared = checkpoint(_compare(best.union(leaders).distinct(), sets))
+    entries = checkpoint(_first_shared(entries))
+    compared = checkpoint(_compare(best.union(_leader_pairs(entries)).distinct(), sets))
     links = _linked(compared)
     group = components(links).select(F.col("node").alias("set"), F.col("label").alias("group"))
     # what their groups do not settle
@@ -393,10 +433,8 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .join(group.select(F.col("set").alias("a"), F.col("group").alias("ga")), "a", "left")
             .join(group.select(F.col("set").alias("b"), F.col("group").alias("gb")), "b", "left")
             .where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b", "na", "nb"))
-    left = left.union(_rest_of_long_lists(
-        entries, group, compared.join(leaders.select("a", "b"), ["a", "b"], "left_semi"))).distinct()
-    more = _linked(_compare(left, sets))
-    found = components(links.select("a", "b").union(more.select("a", "b")))
+    more = _linked(_compare(left, sets)).select("a", "b").union(_links_of_long_lists(entries, group, sets))
+    found = components(links.select("a", "b").union(more))
     # smallest document of each set, then of each component
     by_set = document.where("set <> 0").groupBy("set").agg(F.min("doc_id").alias("smallest"))
     named = by_set.join(found.select(F.col("node").alias("set"), "label"), "set", "left") \
