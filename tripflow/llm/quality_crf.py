@@ -192,7 +192,7 @@ def train(x: np.ndarray, weight: np.ndarray, first: np.ndarray, label: np.ndarra
     """``label``: 0 or 1 for each row; ``first``: its first line."""
     share = float(label.mean()) if len(label) else 0.5
     width = 3 * len(FEATURES) + 1
-    if not 0 < share < 1:
+    if not len(label) or not 0 < share < 1:
         return Model(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), np.zeros(width), np.zeros((2, 2)), 0.0,
                      float(_logit(np.array(share))))
     row = np.repeat(np.arange(len(label)), np.diff(first))
