@@ -238,7 +238,7 @@ def score(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col:
     (doc_id, label) of bounded size."""
     sample = checkpoint(sample.select("doc_id", "label", F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(20)).alias("part")))
     found = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
-    stems = learn_stems(found.where("part < 9").select("text", "label").limit(MAX_TRAIN_DOCS))
+    stems = learn_stems(found.where("part < 9").select("text", "label"))
     rows = checkpoint(docs.select(F.col(id_col).alias("doc_id"), features(docs, stems, text_col).alias("f"))
                       .select("doc_id", "f.*"))
     pack = VectorAssembler(inputCols=list(FEATURES), outputCol="x")
