@@ -55,6 +55,10 @@ def test_js_and_chi2_brute_force(spark):
     kl = lambda u, v: sum(ui * math.log(ui / vi) for ui, vi in zip(u, v) if ui > 0)
     assert r["js"] == pytest.approx(math.sqrt(0.5 * (kl(p, m) + kl(q, m))), rel=1e-12)
     e = p[:3] * 100
+    assert r["chi2_stat"] == float("inf") and r["chi2_dof"] == 3      # 3 is new: infinite evidence
+    a, b = _frames(spark, ref, [0] * 10 + [1] * 30)
+    r = drf.category_scores(a, b, ["x"]).collect()[0]
+    e = p[:3] * 40
     assert r["chi2_stat"] == pytest.approx(float(np.sum((np.array([10, 30, 0]) - e) ** 2 / e)), rel=1e-12)
     assert r["chi2_dof"] == 2
 
@@ -103,7 +107,7 @@ def test_retrain_modes(spark):
 def test_prefix_sums_without_groups_matches(spark):
     df = spark.createDataFrame([(float(v), 1) for v in range(500)], "v double, c bigint")
     a = part.prefix_sums(df, [], "v", ["c"], ranges=5).orderBy("v").collect()
-    b = part.prefix_sums(df, [], "v", ["c"], known_rows=500).orderBy("v").collect()
+    b = part.prefix_sums(df, [], "v", ["c"]).orderBy("v").collect()
     assert [r["cum_c"] for r in a] == list(range(1, 501)) == [r["cum_c"] for r in b]
 
 
@@ -114,3 +118,17 @@ def test_retrain_poll_interval_counts_polls(spark):
     out = drf.retrain_decisions(h, poll_interval_s=300).orderBy("period").collect()
     assert [r["requests"] for r in out] == [4, 2, 0, 1]
     assert [r["run_number"] for r in out] == [4, 6, 6, 7]
+
+
+def test_constant_reference_and_new_category_are_drift(spark):
+    ref = spark.createDataFrame([(1.0,)] * 200, "a double")
+    cur = spark.createDataFrame([(50.0,)] * 200, "a double")
+    for method in ("wasserstein", "chi2", "js", "ks"):
+        row = drf.drift_report(ref, cur, ["a"], method).collect()[0]
+        assert row["score"] is not None and row["drifted"], method
+
+
+def test_too_few_rows_are_unknown_not_no_drift(spark):
+    few = spark.createDataFrame([(1.0,)] * 5, "a double")
+    row = drf.drift_summary(drf.drift_report(few, few, ["a"], "js")).collect()[0]
+    assert row["number_of_columns"] == 0 and row["drift_share"] is None and row["retrain"] is None

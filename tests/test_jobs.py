@@ -47,3 +47,30 @@ def test_monitor_drift_job(spark, scratch):
     assert rep.count() == 5 and str(rep.select("run_date").distinct().collect()[0][0]) == "2024-02-01"
     later = jobs.monitor_drift(lake, "2024-02-02 00:00:00", since_date="2024-01-15").collect()[0]
     assert later["number_of_columns"] == 5
+
+
+def test_seven_bronze_columns_and_streamed_trips_reach_the_models(spark, scratch):
+    """No key column anywhere: the combined source keeps every streamed trip."""
+    from pyspark.sql import functions as F
+
+    from tripflow.operators import trips as trp
+    from tripflow.sources.fixtures import BRONZE_COLUMNS, trips_from_events
+    lake = Lake(spark, scratch)
+    raw = trips_from_lineitem(spark, SF0001).select(*BRONZE_COLUMNS)
+    ev = trips_from_events(spark, SF0001).select(*BRONZE_COLUMNS, "date")
+    jobs.load_bronze(lake, raw)
+    lake.table("bronze", "streaming").write(ev, "append", partition_by=["date"])
+    jobs.build_silver_trips(lake, "combined")
+    silver = lake.table("silver", "trips").read()
+    want = trp.clean_trips(raw).count() + trp.clean_trips(ev).count()
+    assert silver.count() == want and trp.clean_trips(ev).count() > 0
+    assert silver.where("trip_key IS NULL OR split IS NULL").count() == 0
+    assert jobs.ingest_hour(lake, "1995-03-15 10:00:00") >= -1
+    names = {r["name"] for r in lake.table("monitoring", "metrics").read().select("name").distinct().collect()}
+    assert {f"data_quality_{x}" for x in ("passed", "checks_total", "checks_passed", "checks_failed", "rows_total")} <= names
+    summ = jobs.monitor_drift(lake, "2024-02-01 00:00:00").collect()[0]
+    assert summ["number_of_columns"] == 5
+    names = {r["name"] for r in lake.table("monitoring", "metrics").read().select("name").distinct().collect()}
+    assert {"drift_feature_score", "drift_feature_detected"} <= names
+    passed = lake.table("monitoring", "metrics").read().where(F.col("name") == "data_quality_passed")
+    assert {r["value"] for r in passed.collect()} == {1.0}

@@ -36,8 +36,8 @@ def _brute_by_series(rows):
 def test_rate_and_changes_brute_force(spark):
     m, rows = _samples(spark)
     w = 1800
-    rate = {(r["labels"], r["ts"]): r["rate"] for r in mt.rate(m, w, bucket_us=HOUR_US).collect()}
-    chg = {(r["labels"], r["ts"]): r["changes"] for r in mt.changes(m, w, bucket_us=HOUR_US).collect()}
+    rate = {(r["labels"], r["ts"]): r["value"] for r in mt.rate(m, w, bucket_us=HOUR_US).collect()}
+    chg = {(r["labels"], r["ts"]): r["value"] for r in mt.changes(m, w, bucket_us=HOUR_US).collect()}
     for s, pts in _brute_by_series(rows).items():
         key = f's="{s}"'
         for i, (t, v) in enumerate(pts):
@@ -58,7 +58,7 @@ def test_rate_and_changes_brute_force(spark):
 
 def test_irate_and_timeline(spark):
     m, rows = _samples(spark, n=200)
-    ir = {(r["labels"], r["ts"]): r["irate"] for r in mt.irate(m, bucket_us=HOUR_US).collect()}
+    ir = {(r["labels"], r["ts"]): r["value"] for r in mt.irate(m, bucket_us=HOUR_US).collect()}
     st = m.withColumn("state", mt.status_level(F.col("value"), [(10.0, "yellow"), (20.0, "red")]))
     runs = mt.state_timeline(st, "state", bucket_us=HOUR_US).collect()
     for s, pts in _brute_by_series(rows).items():
@@ -102,3 +102,33 @@ def test_scalar_compare(spark):
     assert k == one.collect()[0]["value"]
     assert mt.scalar(v) != mt.scalar(v)          # NaN for more than one element
     assert mt.scalar_op(one, "*", 2.0).collect()[0]["value"] == 2 * k
+
+
+def test_vectors_compose(spark):
+    m, rows = _samples(spark, n=60)
+    changed = mt.compare(mt.changes(m, 1800, bucket_us=HOUR_US), ">", 0)
+    assert changed.columns == ["name", "labels", "label_map", "ts", "value"]
+    assert changed.count() == sum(r["value"] > 0 for r in mt.changes(m, 1800, bucket_us=HOUR_US).collect())
+    total = mt.aggregate_by(mt.instant(mt.rate(m, 7200), "2024-01-02 00:00:00", lookback_s=None), [], "count")
+    assert [(r.name, r.labels, r.value) for r in total.collect()] == [("", "", 3.0)]
+    assert mt.rate(m, 86_400 * 7).count() == len(rows)
+    with pytest.raises(ValueError):
+        mt.compare(m.drop("value"), ">", 0)
+
+
+def test_matching_by_ignoring_and_many_to_many(spark):
+    v = mt.normalize(spark.createDataFrame(
+        [("a", {"x": "1", "y": "p"}, 6.0), ("a", {"x": "2", "y": "p"}, 8.0), ("b", {"x": "1"}, 2.0), ("b", {"x": "2"}, 4.0)],
+        "name string, labels map<string,string>, value double").withColumn("ts", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")))
+    a, b = v.where("name = 'a'"), v.where("name = 'b'")
+    got = mt.metric_binary_op(a, b, "/", ignoring=["y"]).collect()
+    assert sorted((r.labels, r.value) for r in got) == [('x="1",y="p"', 3.0), ('x="2",y="p"', 2.0)]
+    assert mt.metric_binary_op(a, b, "/", ignoring=[]).count() == 0
+    with pytest.raises(Exception, match="several right-hand series"):
+        mt.metric_binary_op(a, b, "/", on=["z"]).collect()
+
+
+def test_label_values_are_escaped(spark):
+    df = spark.createDataFrame([({"a": 'x",b="y'},), ({"a": "x", "b": "y"},), ({"a": "1\n2\\"},)], "labels map<string,string>")
+    got = [r[0] for r in df.select(mt.labels_key("labels")).collect()]
+    assert got == ['a="x\\",b=\\"y"', 'a="x",b="y"', 'a="1\\n2\\\\"']

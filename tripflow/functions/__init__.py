@@ -9,6 +9,7 @@ from tripflow.functions.exprs import (  # noqa: F401
     hash_hex,
     micros_between,
     numeric_columns,
+    row_key,
     seconds_between,
     select_existing,
     weekday_monday0,

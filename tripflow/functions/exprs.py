@@ -56,6 +56,12 @@ def hash_bucket(key, seed: int | str = 42, buckets: int = 100) -> Column:
     return (first32 % F.lit(buckets)).cast("int")
 
 
+def row_key(df: DataFrame, cols) -> Column:
+    """A key derived from a row's values: md5 over the columns of ``cols``
+    that exist, nulls marked. Rows with equal values share a key."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in cols if c in df.columns]))
+
+
 def default_numeric(c, default: float = 0.0) -> Column:
     """Null (or non-numeric text) to a default after a lookup."""
     return F.coalesce(F.expr(f"try_cast({c} AS DOUBLE)") if isinstance(c, str)

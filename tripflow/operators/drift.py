@@ -28,9 +28,12 @@ DRIFT_FEATURES = ["trip_distance", "pickup_hour", "pickup_day_of_week",
                   "pickup_month", "passenger_count"]
 THRESHOLDS = {"ks": 0.05, "chi2": 0.05, "wasserstein": 0.1, "js": 0.1}
 P_VALUE_METHODS = {"ks", "chi2"}
+DEFAULT_METHODS = {"trip_distance": "wasserstein", "pickup_hour": "wasserstein", "pickup_day_of_week": "wasserstein",
+                   "pickup_month": "js", "passenger_count": "wasserstein"}
 DATASET_DRIFT_SHARE = 0.5       # dataset drift when share > 0.5 (strict)
 RETRAIN_THRESHOLD = 0.5         # retrain when share >= 0.5
 MIN_CURRENT_ROWS = 100
+MIN_STD = 0.001                 # floor of the divisor of the normed distance
 SMALL_SAMPLE_ROWS = 1000        # automatic choice: small reference -> test statistics
 CATEGORICAL_MAX_UNIQUE = 5      # automatic choice: few distinct values -> categorical
 
@@ -89,7 +92,8 @@ def _ks_pvalue(d: Column, n: Column, m: Column) -> Column:
 
 def cdf_scores(ref: DataFrame, cur: DataFrame, cols: list[str], ranges: int = 64) -> DataFrame:
     """Per feature: KS statistic D, its p-value, Wasserstein-1 distance and
-    the normed distance (divided by the reference's population std).
+    the normed distance (divided by the reference's population std, at
+    least ``MIN_STD``, so that a constant reference still gives a score).
 
     The value-count table is used four times (range cuts, per-feature
     totals, variance, running sums), so it is checkpointed once: it is
@@ -105,9 +109,7 @@ def cdf_scores(ref: DataFrame, cur: DataFrame, cols: list[str], ranges: int = 64
              .agg(F.try_divide(F.sum(F.col("c_ref") * F.pow(F.col("value") - F.col("_mean"), 2)),
                                F.first("n_ref")).alias("_var")))
     stats = stats.join(var, "feature")
-    n_values = vc.count()           # cheap: reads the checkpointed counts
-    ps = prefix_sums(vc, ["feature"], "value", ["c_ref", "c_cur"], ranges=ranges, with_next=True,
-                     known_rows=n_values)
+    ps = prefix_sums(vc, ["feature"], "value", ["c_ref", "c_cur"], ranges=ranges, with_next=True)
     ps = ps.join(F.broadcast(stats), "feature")
     fr = F.try_divide(F.col("cum_c_ref"), F.col("n_ref"))      # null when a side is empty
     fc = F.try_divide(F.col("cum_c_cur"), F.col("n_cur"))
@@ -120,13 +122,14 @@ def cdf_scores(ref: DataFrame, cur: DataFrame, cols: list[str], ranges: int = 64
         "feature", "n_ref", "n_cur", "ks_stat",
         _ks_pvalue(F.col("ks_stat"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double")).alias("ks_pvalue"),
         "wasserstein",
-        F.when(F.col("_var") > 0, F.col("wasserstein") / F.sqrt("_var")).alias("wasserstein_normed"))
+        (F.col("wasserstein") / F.greatest(F.sqrt("_var"), F.lit(MIN_STD))).alias("wasserstein_normed"))
 
 
 def category_scores(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     """Per feature: Jensen–Shannon distance (natural log; zero cells
     skipped) and the chi-square statistic of current counts against
-    reference proportions, with degrees of freedom."""
+    reference proportions, with degrees of freedom over the union of values.
+    A value that the reference lacks makes the statistic infinite."""
     vc = value_counts(ref, cur, cols)
     tot = _totals(vc)
     x = vc.join(F.broadcast(tot), "feature")
@@ -136,18 +139,22 @@ def category_scores(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFram
     term = (F.when(p > 0, p * F.log(p / m)).otherwise(0.0)
             + F.when(q > 0, q * F.log(q / m)).otherwise(0.0))
     e = p * F.col("n_cur")
-    chi = F.when(e > 0, F.pow(F.col("c_cur") - e, 2) / e)
+    chi = F.when(e > 0, F.pow(F.col("c_cur") - e, 2) / e).when(F.col("c_cur") > 0, F.lit(float("inf")))
     return x.groupBy("feature").agg(
         F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"),
         F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.sum(term))).alias("js"),
         F.sum(chi).alias("chi2_stat"),
-        (F.count_if(F.col("c_ref") > 0) - 1).alias("chi2_dof"))
+        (F.count(F.lit(1)) - 1).alias("chi2_dof"))
 
 
-def chi2_pvalue(stat: float, dof: int) -> float:
+def chi2_pvalue(stat: float | None, dof: int) -> float | None:
     """Upper tail of the chi-square distribution (regularised gamma Q),
     evaluated on the driver for the handful of per-feature statistics."""
-    if dof <= 0 or stat is None:
+    if stat is None:
+        return None
+    if math.isinf(stat):
+        return 0.0
+    if dof <= 0:
         return 1.0
     a, x = dof / 2.0, stat / 2.0
     if x <= 0:
@@ -184,7 +191,7 @@ def choose_methods(ref: DataFrame, cols: list[str]) -> dict[str, str]:
     normed Wasserstein; few distinct values → chi-square for small
     references, else Jensen–Shannon."""
     row = ref.agg(F.count(F.lit(1)).alias("n"),
-                  *[F.approx_count_distinct(c).alias(f"u{i}") for i, c in enumerate(cols)]).collect()[0]
+                  *[F.count_distinct(c).alias(f"u{i}") for i, c in enumerate(cols)]).collect()[0]
     small = row["n"] <= SMALL_SAMPLE_ROWS
     out = {}
     for i, c in enumerate(cols):
@@ -194,11 +201,12 @@ def choose_methods(ref: DataFrame, cols: list[str]) -> dict[str, str]:
 
 
 def drift_report(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
-                 method: str | dict = "auto", thresholds: dict | None = None) -> DataFrame:
+                 method: str | dict = DEFAULT_METHODS, thresholds: dict | None = None) -> DataFrame:
     """Per feature ``(feature, method, score, threshold, drifted)``.
 
     ``method``: one of ks / wasserstein / js / chi2 for all columns, a dict
-    per column, or ``auto``. Returns an empty frame when the current set has
+    per column (others: wasserstein), or ``auto``, which lets the size of the
+    reference choose. Returns an empty frame when the current set has
     fewer than 100 rows (C10), checked with ``limit(100).count()``.
     """
     cols = cols or DRIFT_FEATURES
@@ -208,7 +216,8 @@ def drift_report(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
     if cur.limit(MIN_CURRENT_ROWS).count() < MIN_CURRENT_ROWS:
         return spark.createDataFrame([], schema)
     methods = (choose_methods(ref, cols) if method == "auto"
-               else method if isinstance(method, dict) else {c: method for c in cols})
+               else {c: method.get(c, "wasserstein") for c in cols} if isinstance(method, dict)
+               else {c: method for c in cols})
     parts = []
     cdf_cols = [c for c in cols if methods[c] in ("ks", "wasserstein")]
     cat_cols = [c for c in cols if methods[c] in ("js", "chi2")]
@@ -226,7 +235,7 @@ def drift_report(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
         if any(methods[c] == "chi2" for c in cat_cols):
             rows = s.select("feature", "chi2_stat", "chi2_dof").collect()    # <= one row per feature
             pv = {r["feature"]: chi2_pvalue(r["chi2_stat"], r["chi2_dof"]) for r in rows}
-            pmap = F.create_map(*[x for k, v in pv.items() for x in (F.lit(k), F.lit(float(v)))])
+            pmap = F.create_map(*[x for k, v in pv.items() for x in (F.lit(k), F.lit(v).cast("double"))])
             chi_p = F.element_at(pmap, F.col("feature"))
         else:
             chi_p = F.lit(None).cast("double")
@@ -244,8 +253,11 @@ def drift_report(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
 
 def drift_summary(report: DataFrame) -> DataFrame:
     """Dataset-level drift (E9): columns, drifted columns, share, dataset
-    flag (share > 0.5) and retrain flag (share >= 0.5)."""
-    share = F.coalesce(F.avg(F.col("drifted").cast("double")), F.lit(0.0))
+    flag (share > 0.5) and retrain flag (share >= 0.5). Without a report (too
+    few rows), or with a column that has no score, share and flags are null:
+    unknown, not "no drift"."""
+    unknown = F.count_if(F.col("drifted").isNull()) > 0
+    share = F.when(~unknown, F.avg(F.col("drifted").cast("double")))
     return report.agg(
         F.count(F.lit(1)).alias("number_of_columns"),
         F.count_if("drifted").alias("number_of_drifted_columns"),

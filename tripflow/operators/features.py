@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tripflow.functions import duration_min, weekday_monday0
 from tripflow.operators.trips import (DISTANCE_OPEN, DURATION_MIN,
                                       FARE_ZONE_STATS_OPEN, ZONE_MAX, ZONE_MIN)
-from tripflow.plans.partitioning import broadcast_if_bounded
 
 ZONE_FEATURES = ["zone_avg_fare", "zone_avg_duration_min", "zone_avg_distance"]
 ZONE_STATS_COLUMNS = ["zone_id", *ZONE_FEATURES, "zone_trip_count", "event_timestamp"]
@@ -109,7 +108,7 @@ def merge_demand(parts: list[DataFrame], keep_date: bool = False) -> DataFrame:
 def _prefixed_zone_side(zones: DataFrame, key: str, prefix: str) -> DataFrame:
     side = zones.select(F.col("zone_id").alias(key),
                         *[F.col(c).alias(f"{prefix}{c}") for c in ZONE_FEATURES])
-    return broadcast_if_bounded(side, MAX_ZONES)
+    return side
 
 
 def enrich_trips(trips: DataFrame, zones: DataFrame) -> DataFrame:
@@ -125,7 +124,7 @@ def enrich_trips(trips: DataFrame, zones: DataFrame) -> DataFrame:
 def enrich_demand(dem: DataFrame, zones: DataFrame) -> DataFrame:
     """Left join of demand rows with zone statistics on ``zone_id``; missing
     zone → 0 (D1)."""
-    side = broadcast_if_bounded(zones.select("zone_id", *ZONE_FEATURES, "zone_trip_count"), MAX_ZONES)
+    side = zones.select("zone_id", *ZONE_FEATURES, "zone_trip_count")
     j = dem.join(side, "zone_id", "left")
     return j.select(*dem.columns,
                     *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ZONE_FEATURES],

@@ -4,6 +4,11 @@ A metric sample is ``(name, labels map<string,string>, ts, value)``. Series
 identity is ``(name, labels)``; because a map cannot be a grouping key, the
 labels are carried as a canonical text key (``k1="v1",k2="v2"``, sorted).
 
+Every operator of the query language takes and returns vectors with the
+columns ``name, labels, label_map, ts, value``, so they compose: ``instant``
+of a range function is its value at an evaluation time, and aggregates,
+arithmetic and comparisons apply to any of them.
+
 Per-series order operators (lag, range windows, islands) never put a whole
 series into one task: samples are cut into time buckets (default one day)
 per series; the step from the previous bucket comes from a small
@@ -22,12 +27,20 @@ from tripflow.plans.partitioning import with_halo
 
 DAY_US = 86_400_000_000
 SERIES = ["name", "labels"]
+VECTOR = [*SERIES, "label_map", "ts"]      # and value
 
 
 def labels_key(labels) -> Column:
-    """Canonical text of a label map: sorted ``k="v"`` pairs joined by ','."""
+    """Canonical text of a label map: sorted ``k="v"`` pairs joined by ','.
+    Backslash, quote and newline are escaped in values, so different maps
+    have different texts."""
     m = F.col(labels) if isinstance(labels, str) else labels
-    pairs = F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit('="'), e["value"], F.lit('"')))
+
+    def escaped(v):
+        for plain, text in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n")):
+            v = F.replace(v, F.lit(plain), F.lit(text))
+        return v
+    pairs = F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit('="'), escaped(e["value"]), F.lit('"')))
     return F.array_join(F.array_sort(pairs), ",")
 
 
@@ -136,8 +149,7 @@ def increments(m: DataFrame, bucket_us: int = DAY_US) -> DataFrame:
 
 def _range_window(x: DataFrame, window_s: int, bucket_us: int, aggs: list[Column]) -> DataFrame:
     w_us = int(window_s) * 1_000_000
-    if w_us > bucket_us:
-        raise ValueError("window longer than the series bucket")
+    bucket_us = max(bucket_us, w_us)        # a halo reaches back one bucket at most
     h = with_halo(x, F.col("t_us"), bucket_us, w_us)
     w = (Window.partitionBy(*SERIES, "_bucket").orderBy("t_us").rangeBetween(-(w_us - 1), 0))
     return h.select("*", *[a.over(w).alias(f"_w{i}") for i, a in enumerate(aggs)]).where("_home")
@@ -151,14 +163,14 @@ def rate(m: DataFrame, window_s: int = 300, bucket_us: int = DAY_US) -> DataFram
     x = increments(m, bucket_us)
     r = _range_window(x, window_s, bucket_us, [F.sum("inc"), F.sum("dt_us")])
     per_s = F.when(F.col("_w1") > 0, F.col("_w0") / (F.col("_w1") / F.lit(1e6)))
-    return r.select(*SERIES, "ts", F.round(per_s, 6).alias("rate"))
+    return r.select(*VECTOR, F.round(per_s, 6).alias("value"))
 
 
 def irate(m: DataFrame, bucket_us: int = DAY_US) -> DataFrame:
     """``irate``: increase between the last two samples per second (K5)."""
     x = increments(m, bucket_us)
     per_s = F.when(F.col("dt_us") > 0, F.col("inc") / (F.col("dt_us") / F.lit(1e6)))
-    return x.select(*SERIES, "ts", F.round(per_s, 6).alias("irate"))
+    return x.select(*VECTOR, F.round(per_s, 6).alias("value"))
 
 
 def changes(m: DataFrame, window_s: int = 300, bucket_us: int = DAY_US) -> DataFrame:
@@ -166,40 +178,63 @@ def changes(m: DataFrame, window_s: int = 300, bucket_us: int = DAY_US) -> DataF
     consecutive samples that both lie in ``(t - window, t]``."""
     x = increments(m, bucket_us).withColumn("chg0", F.coalesce("chg", F.lit(0)))
     r = _range_window(x, window_s, bucket_us, [F.sum("chg0"), F.first("chg0")])
-    return r.select(*SERIES, "ts", (F.col("_w0") - F.col("_w1")).cast("long").alias("changes"))
+    return r.select(*VECTOR, (F.col("_w0") - F.col("_w1")).cast("double").alias("value"))
+
+
+def _vector(v: DataFrame) -> DataFrame:
+    """``v``, if it is a vector; anything else would be read wrongly."""
+    missing = [c for c in (*VECTOR, "value") if c not in v.columns]
+    if missing:
+        raise ValueError(f"not a vector: it lacks {', '.join(missing)}")
+    return v
 
 
 def aggregate_by(v: DataFrame, by: list[str], fn: str = "sum") -> DataFrame:
-    """``sum/avg/count/min/max by (labels)`` over an instant vector (K8)."""
+    """``sum/avg/count/min/max by (labels)`` over an instant vector (K8). The
+    result has no name, the labels of ``by`` that aren't empty, and the time
+    of its latest element."""
     f = {"sum": F.sum, "avg": F.avg, "count": F.count, "min": F.min, "max": F.max}[fn]
-    keys = [label(v, k).alias(k) for k in by]
-    return v.groupBy(*keys).agg(f("value").alias("value"))
+    keys = [label(_vector(v), k).alias(f"_k_{i}") for i, k in enumerate(by)]
+    out = v.groupBy(*keys).agg(F.max("ts").alias("ts"), f("value").cast("double").alias("value"))
+    empty = F.create_map().cast("map<string,string>")
+    found = F.create_map(*[x for i, k in enumerate(by) for x in (F.lit(k), F.col(f"_k_{i}"))]) if by else empty
+    out = out.withColumn("label_map", F.map_filter(found, lambda _, x: x != ""))
+    return out.select(F.lit("").alias("name"), labels_key("label_map").alias("labels"), "label_map", "ts", "value")
 
 
-def metric_binary_op(left: DataFrame, right: DataFrame, op: str, on: list[str],
-                     clamp_min_right: float | None = None) -> DataFrame:
+def metric_binary_op(left: DataFrame, right: DataFrame, op: str, on: list[str] | None = None,
+                     clamp_min_right: float | None = None, ignoring: list[str] | None = None) -> DataFrame:
     """Label-matched arithmetic ``left <op> on(keys) group_left right`` (D4,
     K9): many left series to one right series per key; right-hand
-    ``clamp_min`` optional. Unmatched left series drop out, as in the query
-    language."""
-    r = right.select(*[label(right, k).alias(f"_k_{k}") for k in on],
-                     F.col("value").alias("_rv"))
+    ``clamp_min`` optional. ``ignoring`` matches on all labels but those (none:
+    on all). Unmatched left series drop out; several right series for a key are
+    an error, as in the query language."""
+    if on is not None and ignoring is not None:
+        raise ValueError("on and ignoring exclude each other")
+
+    def key(v):
+        if on is not None:
+            return F.array(*[label(v, k) for k in on]) if on else F.array(F.lit(""))
+        kept = F.map_filter("label_map", lambda k, x: ~k.isin(*(ignoring or [""])) & (x != ""))
+        return F.array(labels_key(kept))
+    r = _vector(right).groupBy(key(right).alias("_key")).agg(F.max("value").alias("_one"), F.count(F.lit(1)).alias("_n"))
+    many = F.raise_error(F.lit("several right-hand series match one key"))
+    r = r.select("_key", F.when(F.col("_n") > 1, many).otherwise(F.col("_one")).alias("_rv"))
     if clamp_min_right is not None:
         r = r.withColumn("_rv", F.greatest(F.col("_rv"), F.lit(float(clamp_min_right))))
-    l = left.select("*", *[label(left, k).alias(f"_k_{k}") for k in on])
-    j = l.join(r, [f"_k_{k}" for k in on], "inner")
+    j = _vector(left).withColumn("_key", key(left)).join(r, "_key", "inner")
     ops = {"+": F.col("value") + F.col("_rv"), "-": F.col("value") - F.col("_rv"),
            "*": F.col("value") * F.col("_rv"),
            "/": F.when(F.col("_rv") != 0, F.col("value") / F.col("_rv"))}
-    return j.select(*SERIES, F.round(ops[op], 6).alias("value"))
+    return j.select(*VECTOR, F.round(ops[op], 6).alias("value"))
 
 
 def compare(v: DataFrame, op: str, threshold: float) -> DataFrame:
-    """Comparison filter on an instant vector, e.g. ``x > 0``, ``x == 1``."""
+    """Comparison filter on a vector, e.g. ``x > 0``, ``changes(y) > 0``."""
     c = F.col("value")
     conds = {">": c > threshold, ">=": c >= threshold, "<": c < threshold, "<=": c <= threshold,
              "==": c == threshold, "!=": c != threshold}
-    return v.where(conds[op])
+    return _vector(v).where(conds[op])
 
 
 def scalar(v: DataFrame) -> float:

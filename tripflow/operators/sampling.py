@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.functions import hash_bucket, hash_hex
+from tripflow.functions import hash_bucket, hash_hex, row_key
 
 # Above this many rows the boundary bucket is refined by 4 more hex digits.
 MAX_RANK_ROWS = 1_000_000
@@ -143,19 +143,21 @@ def hour_bounds(virtual_dt: str) -> tuple[Column, Column]:
     return start, F.timestamp_add("HOUR", F.lit(1), start)
 
 
-def hour_slice(bronze: DataFrame, virtual_dt: str, batch_size: int = 1000,
+def hour_slice(bronze: DataFrame, virtual_dt: str, batch_size: int | None = None,
                ts: str = "tpep_pickup_datetime", key: str = "trip_key",
                partition_col: str | None = None) -> DataFrame:
-    """Trips whose pickup falls in the hour of ``virtual_dt``, first
-    ``batch_size`` in (pickup time, key) order, with the ``date`` partition
-    value added (C8, G2, J4). The half-open time range is a plain range
+    """Trips whose pickup falls in the hour of ``virtual_dt``, with the ``date``
+    partition value added (C8, G2, J4): the whole hour, or with ``batch_size``
+    the first so many in (pickup time, key) order. Without the column ``key``
+    the order is by the rows' values. The half-open time range is a plain range
     predicate, so it prunes row groups; on a table partitioned by date,
-    ``partition_col`` adds the partition predicate Catalyst cannot derive.
-    The cap of ``batch_size`` is the feature (one micro-batch)."""
+    ``partition_col`` adds the partition predicate Catalyst cannot derive."""
     start, end = hour_bounds(virtual_dt)
     cond = (F.col(ts) >= start) & (F.col(ts) < end)
     if partition_col:
         cond = cond & (F.col(partition_col) == F.date_format(start, "yyyy-MM-dd"))
-    return (bronze.where(cond)
-            .orderBy(ts, key).limit(batch_size)
-            .withColumn("date", F.date_format(start, "yyyy-MM-dd")))
+    hour = bronze.where(cond)
+    if batch_size is not None:
+        order = F.col(key) if key in bronze.columns else row_key(bronze, bronze.columns)
+        hour = hour.orderBy(ts, order).limit(batch_size)
+    return hour.withColumn("date", F.date_format(start, "yyyy-MM-dd"))

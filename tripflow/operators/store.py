@@ -19,7 +19,6 @@ from tripflow.functions import duration_min
 from tripflow.operators.features import MAX_ZONES, ZONE_FEATURES
 from tripflow.operators.trips import (DISTANCE_OPEN, DURATION_MIN, FARE_ZONE_STATS_OPEN,
                                       ZONE_MAX, ZONE_MIN)
-from tripflow.plans.partitioning import broadcast_if_bounded
 
 
 @dataclass(frozen=True)
@@ -82,7 +81,6 @@ def get_online_features(entities: DataFrame, online: DataFrame, view: FeatureVie
     ttl_s = int(view.ttl.total_seconds())
     fresh = F.col(view.ts) >= F.timestamp_add("SECOND", F.lit(-ttl_s), F.to_timestamp_ntz(F.lit(as_of)))
     side = online.where(fresh).select(*view.keys, *view.features, F.lit(True).alias("_found"))
-    side = broadcast_if_bounded(side, view.max_entities)
     j = entities.join(side, list(view.keys), "left")
     feats = []
     for c in view.features:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.functions import duration_min, weekday_monday0
+from tripflow.functions import duration_min, row_key, weekday_monday0
 
 # Fixed values that define the cleaning rules of the reference pipeline.
 ZONE_MIN, ZONE_MAX = 1, 263
@@ -20,6 +20,12 @@ FARE_ZONE_STATS_OPEN = (0.0, 500.0)   # 0 < total_amount < 500 (zone stats)
 DURATION_MIN = (1.0, 180.0)           # 1 <= duration_min <= 180
 PASSENGERS = (0, 9)                   # 0 <= passenger_count <= 9
 
+# Columns of the bronze trip tables, from which a missing row key is derived.
+BRONZE_TRIP_COLUMNS = [
+    "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID",
+    "DOLocationID", "trip_distance", "passenger_count", "total_amount",
+]
+
 SILVER_TRIP_COLUMNS = [
     "pickup_zone_id", "dropoff_zone_id", "trip_distance", "pickup_hour",
     "pickup_day_of_week", "pickup_month", "passenger_count", "duration_min",
@@ -54,13 +60,17 @@ def clean_trips(bronze: DataFrame, keep=("trip_key",), zone_filter: bool = True)
     """bronze trips → silver trip rows (features + targets).
 
     ``zone_filter=False`` gives the older variant (no zone-range filter).
-    ``keep`` passes extra columns through (``trip_key`` drives splits).
-    Rows with a null in any output column are dropped; NaN cannot survive
-    because every double column has a finite upper bound (NaN sorts above
-    every number in Spark).
+    ``keep`` passes extra columns through, nulls included; ``trip_key``, which
+    drives splits, is derived from the row where it is missing or null.
+    Rows with a null feature or target are dropped (an absent
+    ``passenger_count`` is no reason to); NaN cannot survive because every
+    double column has a finite upper bound (NaN sorts above every number in
+    Spark).
     """
-    pu, do = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
-    keep = [k for k in keep if k in bronze.columns]
+    pu, do = (F.col(c).cast("timestamp_ntz") for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime"))
+    derived = row_key(bronze, BRONZE_TRIP_COLUMNS)
+    key = F.coalesce(F.col("trip_key"), derived) if "trip_key" in bronze.columns else derived
+    keep = [key.alias(k) if k == "trip_key" else F.col(k) for k in keep if k == "trip_key" or k in bronze.columns]
     has_pass = "passenger_count" in bronze.columns
     out = bronze.select(
         F.col("PULocationID").alias("pickup_zone_id"),
@@ -81,17 +91,17 @@ def clean_trips(bronze: DataFrame, keep=("trip_key",), zone_filter: bool = True)
     cond = None
     for p in rules.values():
         cond = p if cond is None else cond & p
-    return out.where(cond).na.drop(subset=SILVER_TRIP_COLUMNS + keep)
+    return out.where(cond).na.drop(subset=[c for c in SILVER_TRIP_COLUMNS if has_pass or c != "passenger_count"])
 
 
 def outlier_report(bronze: DataFrame) -> DataFrame:
     """Rows before/after cleaning, % removed and the violations of each rule
     (C9), in a single aggregate pass (no second scan for ``after``)."""
-    pu, do = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
+    pu, do = (F.col(c).cast("timestamp_ntz") for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime"))
     dur = duration_min(pu, do)
     rules = _rule_predicates(F.col("PULocationID"), F.col("DOLocationID"),
                              F.col("trip_distance"), F.col("total_amount"), dur,
-                             F.col("passenger_count"))
+                             F.col("passenger_count") if "passenger_count" in bronze.columns else None)
     ok = None
     for p in rules.values():
         ok = p if ok is None else ok & p

@@ -39,11 +39,23 @@ def _publish(lake: Lake, m: DataFrame) -> None:
                             partition_by=["date"])
 
 
+def _publish_quality(lake: Lake, res: DataFrame) -> None:
+    _publish(lake, mt.to_metrics(qa.published_summary(res), "data_quality_", qa.PUBLISHED, ["table"]))
+
+
+def _gate(lake: Lake, df: DataFrame, table: str) -> None:
+    """Check, publish the result whatever it is, then fail if it failed."""
+    res = qa.validate_or_fail(df, table, fail_on_error=False)
+    _publish_quality(lake, res)
+    failed = [f"{r['check']}({r['column'] or ''}): {r['observed']}" for r in res.collect() if not r["passed"]]
+    if failed:
+        raise qa.QualityError(f"data quality check FAILED for {table}: {', '.join(failed)}")
+
+
 def load_bronze(lake: Lake, raw: DataFrame, mode: str = "overwrite") -> int:
     """Gate and store raw trips (bronze_raw)."""
     res = qa.validate_or_fail(raw, "bronze_raw", fail_on_error=False)
-    _publish(lake, mt.to_metrics(qa.quality_summary(res), "data_quality_",
-                                 ["total_checks", "passed", "failed", "rows"], ["table"]))
+    _publish_quality(lake, res)
     return _t(lake, BRONZE_RAW).write(raw, mode)
 
 
@@ -58,7 +70,7 @@ def build_silver_trips(lake: Lake, data_source: str = "raw", key: str = "trip_ke
     """Clean, split 80/20 by key hash, gate the train part, overwrite."""
     t = trp.clean_trips(_source(lake, data_source))
     t = smp.exact_split(t, key) if exact else smp.hash_split(t, key)
-    qa.validate_or_fail(t.where(F.col("split") == "train"), "silver_trips")
+    _gate(lake, t.where(F.col("split") == "train"), "silver_trips")
     return _t(lake, SILVER_TRIPS).write(t, "overwrite")
 
 
@@ -75,7 +87,7 @@ def build_silver_demand(lake: Lake, data_source: str = "raw", keep_date: bool =
     else:
         key = F.concat_ws("|", "zone_id", F.col("pickup_date").cast("string"), "pickup_hour")
     d = smp.hash_split(d.withColumn("_k", key), "_k").drop("_k")
-    qa.validate_or_fail(d.where(F.col("split") == "train"), "silver_demand")
+    _gate(lake, d.where(F.col("split") == "train"), "silver_demand")
     return _t(lake, SILVER_DEMAND).write(d, "overwrite")
 
 
@@ -89,7 +101,7 @@ def build_gold_zone_stats(lake: Lake, export_path: str | None = None, train_only
         zs = zs.withColumn("event_timestamp", F.date_trunc("day", F.localtimestamp()).cast("timestamp_ntz"))
     else:
         zs = feat.zone_stats(_t(lake, BRONZE_RAW).read())
-    qa.validate_or_fail(zs, "gold_zone_stats")
+    _gate(lake, zs, "gold_zone_stats")
     v = _t(lake, GOLD_ZONES).write(zs, "overwrite")
     if export_path:
         from tripflow.sources.lake import export_features
@@ -104,13 +116,13 @@ def materialize(lake: Lake, end: str, start: str | None = None) -> int:
     return _t(lake, ONLINE).write(out, "overwrite")
 
 
-def ingest_hour(lake: Lake, virtual_dt: str, batch_size: int = 1000) -> int:
-    """One simulator step in batch form: the hour's first trips from bronze
-    raw, gated, appended to bronze streaming by date (J4)."""
+def ingest_hour(lake: Lake, virtual_dt: str, batch_size: int | None = None) -> int:
+    """The trips of one hour (with ``batch_size``, the first so many) from bronze
+    raw, gated, appended to bronze streaming by date."""
     batch = smp.hour_slice(_t(lake, BRONZE_RAW).read(), virtual_dt, batch_size)
     if batch.limit(1).count() == 0:
         return -1
-    qa.validate_or_fail(batch, "bronze_streaming")
+    _gate(lake, batch, "bronze_streaming")
     v = _t(lake, BRONZE_STREAM).write(batch.drop("trip_key") if "trip_key" in batch.columns else batch,
                                       "append", partition_by=["date"])
     _publish(lake, mt.to_metrics(batch.agg(F.max("tpep_pickup_datetime").alias("last")).select(
@@ -132,16 +144,22 @@ def validate_lake(lake: Lake) -> DataFrame:
     return out
 
 
-def monitor_drift(lake: Lake, run_ts: str, method: str = "auto", since_date: str | None = None) -> DataFrame:
+def monitor_drift(lake: Lake, run_ts: str, method: str | dict = drf.DEFAULT_METHODS,
+                  since_date: str | None = None) -> DataFrame:
     """Reference = silver train rows, current = streamed trips (pruned to
     ``date >= since_date`` partitions when given, J6); stores the report and
-    publishes the summary. Returns the one-row summary."""
+    publishes the summary and each feature's score and flag. With too few rows
+    nothing is stored or published. Returns the one-row summary."""
     ref = drf.drift_features(_t(lake, SILVER_TRIPS).read().where(F.col("split") == "train"))
     stream = _t(lake, BRONZE_STREAM).read()
     if since_date:
         stream = stream.where(F.col("date") >= since_date)      # partition pruning
     cur = drf.drift_features(stream)
-    rep = drf.drift_report(ref, cur, drf.DRIFT_FEATURES, method).cache()
+    found = drf.drift_report(ref, cur, drf.DRIFT_FEATURES, method)
+    rows = found.collect()                      # one row per feature
+    rep = lake.spark.createDataFrame(rows, found.schema)
+    if not rows:
+        return drf.drift_summary(rep)
     write_drift_report(lake, rep, run_ts)
     summ = drf.drift_summary(rep)
     _publish(lake, mt.to_metrics(summ.select(F.col("drift_share"), F.col("number_of_drifted_columns"),
@@ -149,6 +167,8 @@ def monitor_drift(lake: Lake, run_ts: str, method: str = "auto", since_date: str
                                              F.col("dataset_drift").cast("int").alias("dataset_drift")),
                                  "drift_", ["drift_share", "number_of_drifted_columns", "number_of_columns",
                                             "dataset_drift"], []))
+    _publish(lake, mt.to_metrics(rep.select("feature", "score", F.col("drifted").cast("int").alias("detected")),
+                                 "drift_feature_", ["score", "detected"], ["feature"]))
     return summ
 
 
@@ -173,12 +193,13 @@ def train_and_register(lake: Lake, target: str = "duration", max_iter: int | Non
     row = spark.createDataFrame([(target, version, float(m["mae"] or 0.0), float(m["rmse"] or 0.0),
                                   float(m["r2"] or 0.0), int(m["n"]))],
                                 "model string, version int, mae double, rmse double, r2 double, test_rows bigint")
+    # the model first: a crash in between must not leave a version without one
+    model.write().overwrite().save(f"{lake.path('models', target)}/v={version}")
     reg.write(row, "append")
     _t(lake, ("monitoring", "runs")).write(
         mdl.log_run(spark, target, version, {**mdl.GBT_PARAMS, **({"maxIter": max_iter} if max_iter else {})},
                     {k: m[k] for k in ("mae", "rmse", "r2") if m[k] is not None},
                     data.where(F.col("split") == "train").count()), "append")
-    model.write().overwrite().save(f"{lake.path('models', target)}/v={version}")
     champion = mdl.resolve_champion(reg.read(), target)
     return {**m, "version": version, "champion_version": champion}
 

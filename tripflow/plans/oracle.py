@@ -87,6 +87,18 @@ ORACLE["clean_trips_combined"] = with_(
     "src AS (SELECT *, NULL::VARCHAR AS date FROM raw UNION ALL SELECT * FROM stream)",
     _clean("src", "clean")) + "SELECT * FROM clean"
 
+_CLEAN_COLUMNS = """pickup_zone_id, dropoff_zone_id, trip_distance, pickup_hour, pickup_day_of_week, pickup_month,
+       passenger_count, duration_min, total_amount"""
+
+ORACLE["clean_trips_bronze_columns"] = with_(
+    RAW, STREAM,
+    "src AS (SELECT * FROM raw UNION ALL SELECT * EXCLUDE (date) FROM stream)",
+    _clean("src", "clean")) + f"SELECT {_CLEAN_COLUMNS} FROM clean"
+
+ORACLE["clean_trips_no_passengers"] = with_(
+    RAW, "src AS (SELECT * REPLACE (0 AS passenger_count) FROM raw)", _clean("src", "clean")) + \
+    "SELECT * REPLACE (CAST(NULL AS INTEGER) AS passenger_count) FROM clean"
+
 ORACLE["outlier_report"] = with_(RAW, """b AS (
   SELECT *, epoch(tpep_dropoff_datetime - tpep_pickup_datetime) / 60.0 AS d,
          coalesce(trip_distance > 0 AND trip_distance < 100, false) AS r_distance,
@@ -122,8 +134,7 @@ FROM (SELECT * FROM d1 UNION ALL SELECT * FROM d2) u GROUP BY ALL"""
 ORACLE["hour_slice"] = with_(STREAM) + """
 SELECT * REPLACE ('2024-01-15' AS date) FROM stream
 WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-15 10:00:00'
-  AND tpep_pickup_datetime < TIMESTAMP '2024-01-15 11:00:00' AND date = '2024-01-15'
-ORDER BY tpep_pickup_datetime, trip_key LIMIT 1000"""
+  AND tpep_pickup_datetime < TIMESTAMP '2024-01-15 11:00:00' AND date = '2024-01-15'"""
 
 ORACLE["enrich_trips"] = with_(RAW, _clean("raw", "clean"), SILVER, _zone_stats("raw", "zs")) + """
 SELECT s.*,
@@ -323,7 +334,7 @@ FROM ks"""
 ORACLE["drift_wasserstein"] = with_(*DRIFT_BASE, *_vc(FEATS), CDF, KS,
                                     "sd AS (SELECT feature, stddev_pop(value) AS s FROM rl GROUP BY feature)") + """
 SELECT feature, round(w1, 6) AS wasserstein,
-       round(CASE WHEN s > 0 THEN w1 / s END, 6) AS wasserstein_normed
+       round(w1 / greatest(s, 0.001), 6) AS wasserstein_normed
 FROM ks JOIN sd USING (feature)"""
 
 CAT = """cat AS (
@@ -331,8 +342,9 @@ CAT = """cat AS (
          sqrt(greatest(0.0, 0.5 * sum(
            CASE WHEN c_ref > 0 THEN (c_ref / n_ref) * ln((c_ref / n_ref) / ((c_ref / n_ref + c_cur / n_cur) / 2)) ELSE 0 END
          + CASE WHEN c_cur > 0 THEN (c_cur / n_cur) * ln((c_cur / n_cur) / ((c_ref / n_ref + c_cur / n_cur) / 2)) ELSE 0 END))) AS js,
-         sum(CASE WHEN c_ref > 0 THEN pow(c_cur - (c_ref / n_ref) * n_cur, 2) / ((c_ref / n_ref) * n_cur) END) AS chi2_stat,
-         count(*) FILTER (WHERE c_ref > 0) - 1 AS chi2_dof
+         sum(CASE WHEN c_ref > 0 THEN pow(c_cur - (c_ref / n_ref) * n_cur, 2) / ((c_ref / n_ref) * n_cur)
+                  WHEN c_cur > 0 THEN CAST('Infinity' AS DOUBLE) END) AS chi2_stat,
+         count(*) - 1 AS chi2_dof
   FROM vc JOIN tot USING (feature) GROUP BY feature, n_ref, n_cur)"""
 
 ORACLE["drift_js"] = with_(*DRIFT_BASE, *_vc(DISC), CAT) + \
@@ -345,9 +357,9 @@ ORACLE["drift_summary"] = with_(*DRIFT_BASE, *_vc(FEATS), CDF, KS,
                                 "sd AS (SELECT feature, stddev_pop(value) AS s FROM rl GROUP BY feature)",
                                 """rep AS (SELECT feature, w1 / s >= 0.1 AS drifted FROM ks JOIN sd USING (feature))""") + """
 SELECT count(*) AS number_of_columns, count(*) FILTER (WHERE drifted) AS number_of_drifted_columns,
-       round(coalesce(avg(CAST(drifted AS DOUBLE)), 0), 6) AS drift_share,
-       round(coalesce(avg(CAST(drifted AS DOUBLE)), 0), 6) > 0.5 AS dataset_drift,
-       round(coalesce(avg(CAST(drifted AS DOUBLE)), 0), 6) >= 0.5 AS retrain
+       round(avg(CAST(drifted AS DOUBLE)), 6) AS drift_share,
+       round(avg(CAST(drifted AS DOUBLE)), 6) > 0.5 AS dataset_drift,
+       round(avg(CAST(drifted AS DOUBLE)), 6) >= 0.5 AS retrain
 FROM rep"""
 
 BY_PERIOD = [*DRIFT_BASE, _long("ref", "rl", DISC), _long("cur", "cl", DISC, extra="date AS period, "),
@@ -436,6 +448,33 @@ SELECT name, labels, ts,
        CAST(sum(coalesce(chg, 0)) OVER r - first_value(coalesce(chg, 0)) OVER r AS BIGINT) AS changes
 FROM inc WINDOW r AS (PARTITION BY name, labels ORDER BY t_us RANGE BETWEEN 1799999999 PRECEDING AND CURRENT ROW)"""
 
+ORACLE["metrics_changed"] = with_(METRICS, INC) + """
+SELECT * FROM (
+  SELECT name, labels, ts, CAST(sum(coalesce(chg, 0)) OVER r - first_value(coalesce(chg, 0)) OVER r AS DOUBLE) AS value
+  FROM inc WINDOW r AS (PARTITION BY name, labels ORDER BY t_us RANGE BETWEEN 1799999999 PRECEDING AND CURRENT ROW)) c
+WHERE value > 0"""
+
+
+def _rate_at(window_us: int) -> str:
+    return f"""rates AS (
+  SELECT name, labels, u, ts,
+         round(CASE WHEN sum(dt_us) OVER r > 0 THEN sum(inc) OVER r / (sum(dt_us) OVER r / 1e6) END, 6) AS value
+  FROM inc WINDOW r AS (PARTITION BY name, labels ORDER BY t_us RANGE BETWEEN {window_us - 1} PRECEDING AND CURRENT ROW)),
+rate_at AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name, labels ORDER BY ts DESC, value DESC NULLS LAST) AS rn
+                 FROM rates WHERE ts <= {AS_OF}) q WHERE rn = 1)"""
+
+
+ORACLE["metrics_sum_rate"] = with_(METRICS, INC, _rate_at(3_600_000_000)) + \
+    "SELECT u, round(sum(value), 6) AS value FROM rate_at GROUP BY u"
+
+ORACLE["metrics_one_minus_avg_rate"] = with_(METRICS, INC, _rate_at(864_000_000_000)) + \
+    "SELECT '' AS name, '' AS labels, round(1 - avg(value), 6) AS value FROM rate_at"
+
+ORACLE["metrics_ratio_of_sums"] = with_(METRICS, _instant(f"ts <= {AS_OF}")) + """
+SELECT u, round(sum(value) FILTER (WHERE name = 'view') / count(value), 6) AS value
+FROM inst GROUP BY u HAVING count(*) FILTER (WHERE name = 'view') > 0"""
+
 ORACLE["metrics_sum_by"] = with_(METRICS, _instant(f"ts <= {AS_OF}")) + \
     "SELECT u, sum(value) AS value FROM inst GROUP BY u"
 

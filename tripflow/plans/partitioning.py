@@ -1,15 +1,9 @@
 """Partitioning helpers used by the operators.
 
-* ``broadcast_if_bounded`` — broadcast a side only when its size has a
-  proven bound; otherwise leave the choice to AQE, which measures the
-  shuffled side at runtime and converts to a broadcast join only under
-  ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (else sort-merge).
 * ``prefix_sums`` — exact running sums along a global order without an
   unpartitioned window: rows are cut into value ranges (approximate
   quantiles), summed per range, range offsets come from a tiny table, and
-  each range is then scanned in its own task. Only when the caller has
-  counted at most ``SMALL_WINDOW_ROWS`` rows does it use one window per
-  group.
+  each range is then scanned in its own task.
 * ``reliable_checkpoint`` — materialise a reused intermediate in the shared
   checkpoint folder (never a local checkpoint).
 * ``with_halo`` — split a long time series into time buckets so one hot
@@ -22,9 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A side may be broadcast when rows * bytes-per-row stays under this.
-BROADCAST_BYTES_LIMIT = 32 * 1024 * 1024
-
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise a reused intermediate into the shared checkpoint folder
@@ -35,20 +26,8 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int | None, row_bytes: int = 64) -> DataFrame:
-    """Broadcast ``df`` only if the caller can prove ``rows <= max_rows``
-    (e.g. one row per zone id in 1..263) and that bound fits the limit."""
-    if max_rows is not None and max_rows * row_bytes <= BROADCAST_BYTES_LIMIT:
-        return F.broadcast(df)
-    return df
-
-
-# Up to this many rows in total, a running sum may use one window task per group.
-SMALL_WINDOW_ROWS = 2_000_000
-
-
 def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
-                ranges: int = 64, with_next: bool = False, known_rows: int | None = None) -> DataFrame:
+                ranges: int = 64, with_next: bool = False) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c`` per group ordered by
     ``order_col``) and optionally ``next_<order_col>`` (the next value in the
     group's order, null for the last row).
@@ -56,29 +35,18 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols:
     ``order_col`` must be unique within a group (callers pre-aggregate by
     value first). Work per task is one value range of one group, so a group
     with a third of all distinct values is still spread over ``ranges`` tasks.
-    When the caller has counted the rows (``known_rows``) and they are at
-    most ``SMALL_WINDOW_ROWS``, one window per group is cheaper and bounded.
     """
     if not group_cols:       # one implicit group: a constant key, never a cross join
         out = prefix_sums(df.withColumn("_g", F.lit(0)), ["_g"], order_col, sum_cols, ranges,
-                          with_next, known_rows)
+                          with_next)
         return out.drop("_g")
     g = list(group_cols)
-    if known_rows is not None and known_rows <= SMALL_WINDOW_ROWS:
-        w = Window.partitionBy(*g).orderBy(order_col)
-        cols = [F.col(c) for c in df.columns]
-        cols += [F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"cum_{c}")
-                 for c in sum_cols]
-        if with_next:
-            cols.append(F.lead(order_col).over(w).alias(f"next_{order_col}"))
-        return df.select(*cols)
     # 1. range cut points per group from approximate quantiles (tiny result)
     probs = [i / ranges for i in range(1, ranges)]
     cuts = df.groupBy(*g).agg(
         F.percentile_approx(order_col, probs, 10000).alias("_cuts"))
     # number of cut points strictly below the value = range id (0..ranges-1)
-    # one row per group (a handful of features): a bounded broadcast
-    ranged = df.join(F.broadcast(cuts), g, "left")
+    ranged = df.join(cuts, g, "left")      # AQE broadcasts the cuts if they measure small
     ranged = ranged.withColumn(
         "_rng", F.size(F.filter("_cuts", lambda c: c < F.col(order_col)))).drop("_cuts")
     # 2. per-range totals and first value; offsets over ranges (tiny table)
@@ -97,8 +65,7 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols:
         "*", *[F.sum(c).over(wl.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_loc_{c}")
                for c in sum_cols],
         *([F.lead(order_col).over(wl).alias("_next_loc")] if with_next else []))
-    # offs has (groups x ranges) rows: bounded by ranges per group
-    out = local.join(F.broadcast(offs), g + ["_rng"], "left")
+    out = local.join(offs, g + ["_rng"], "left")
     cols = [F.col(c) for c in df.columns]
     cols += [(F.col(f"_loc_{c}") + F.coalesce(F.col(f"_off_{c}"), F.lit(0))).alias(f"cum_{c}")
              for c in sum_cols]

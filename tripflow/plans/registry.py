@@ -37,9 +37,7 @@ def streaming(spark, sf):
 
 def silver(spark, sf):
     """clean → split; the silver trip table."""
-    from tripflow.sources.fixtures import _memo
-    return _memo(spark, ("silver", sf),
-                 lambda: smp.hash_split(trp.clean_trips(raw(spark, sf)), "trip_key"))
+    return smp.hash_split(trp.clean_trips(raw(spark, sf)), "trip_key")
 
 
 # ---- trips, zone stats, demand -------------------------------------------
@@ -65,6 +63,21 @@ def clean_trips_combined(spark, sf):
     return trp.clean_trips(src)
 
 
+@query
+def clean_trips_bronze_columns(spark, sf):
+    """The combined source with the catalogue's columns only: no key on either
+    side, none needed."""
+    from tripflow.sources.fixtures import BRONZE_COLUMNS
+    src = trp.load_source(raw(spark, sf).select(*BRONZE_COLUMNS),
+                          streaming(spark, sf).select(*BRONZE_COLUMNS, "date"), "combined")
+    return trp.clean_trips(src).drop("trip_key")
+
+
+@query
+def clean_trips_no_passengers(spark, sf):
+    return trp.clean_trips(raw(spark, sf).drop("passenger_count"))
+
+
 @query
 def outlier_report(spark, sf):
     return trp.outlier_report(raw(spark, sf))
@@ -292,22 +305,56 @@ def metrics_match(spark, sf):
 
 @query
 def metrics_rate(spark, sf):
-    return mt.rate(samples(spark, sf), window_s=3600)
+    return mt.rate(samples(spark, sf), window_s=3600).select("name", "labels", "ts", F.col("value").alias("rate"))
 
 
 @query
 def metrics_irate(spark, sf):
-    return mt.irate(samples(spark, sf))
+    return mt.irate(samples(spark, sf)).select("name", "labels", "ts", F.col("value").alias("irate"))
 
 
 @query
 def metrics_changes(spark, sf):
-    return mt.changes(samples(spark, sf), window_s=1800)
+    return mt.changes(samples(spark, sf), window_s=1800).select(
+        "name", "labels", "ts", F.col("value").cast("long").alias("changes"))
+
+
+def _by_u(v):
+    return v.select(F.element_at("label_map", "u").alias("u"), "value")
+
+
+@query
+def metrics_changed(spark, sf):
+    """changes(x[30m]) > 0"""
+    return mt.compare(mt.changes(samples(spark, sf), window_s=1800), ">", 0).select("name", "labels", "ts", "value")
+
+
+@query
+def metrics_sum_rate(spark, sf):
+    """sum by (u) (rate(x[1h])) at an evaluation time"""
+    rate = mt.instant(mt.rate(samples(spark, sf), window_s=3600), AS_OF, lookback_s=None)
+    return _by_u(mt.aggregate_by(rate, ["u"], "sum")).withColumn("value", F.round("value", 6))
+
+
+@query
+def metrics_one_minus_avg_rate(spark, sf):
+    """1 - avg(rate(x[10d])): a window longer than a bucket, no labels left"""
+    rate = mt.instant(mt.rate(samples(spark, sf), window_s=864_000), AS_OF, lookback_s=None)
+    return mt.scalar_op(mt.aggregate_by(rate, [], "avg"), "-", 1.0, scalar_left=True) \
+        .select("name", "labels", F.round("value", 6).alias("value"))
+
+
+@query
+def metrics_ratio_of_sums(spark, sf):
+    """sum by (u) (view) / ignoring (none) count by (u) (all)"""
+    v = mt.instant(samples(spark, sf), AS_OF, lookback_s=None)
+    views = mt.aggregate_by(mt.match_labels(v, [("__name__", "=", "view"), ("u", "!~", "[89]")]), ["u"], "sum")
+    return _by_u(mt.metric_binary_op(views, mt.aggregate_by(v, ["u"], "count"), "/", ignoring=[]))
 
 
 @query
 def metrics_sum_by(spark, sf):
-    return mt.aggregate_by(mt.instant(samples(spark, sf), AS_OF, lookback_s=None), ["u"], "sum")
+    return _by_u(mt.aggregate_by(mt.instant(samples(spark, sf), AS_OF, lookback_s=None), ["u"], "sum"))
 
 
 @query
@@ -340,12 +387,7 @@ def exposition(spark, sf):
     for t, df in _quality_inputs(spark, sf).items():
         r = qa.validate(df, t)
         res = r if res is None else res.unionByName(r)
-    summ = qa.quality_summary(res).select(
-        "table", F.col("success").cast("int").alias("passed"), F.col("total_checks").alias("checks_total"),
-        F.col("passed").alias("checks_passed"), F.col("failed").alias("checks_failed"),
-        F.col("rows").alias("rows_total"))
-    m1 = mt.to_metrics(summ, "data_quality_", ["passed", "checks_total", "checks_passed",
-                                               "checks_failed", "rows_total"], ["table"])
+    m1 = mt.to_metrics(qa.published_summary(res), "data_quality_", qa.PUBLISHED, ["table"])
     m2 = mt.to_metrics(qa.column_stats(silver(spark, sf), "silver_trips"), "data_column_",
                        ["mean", "std"], ["table", "column"])
     return mt.format_exposition(m1.unionByName(m2))
@@ -435,7 +477,7 @@ import uuid  # noqa: E402
 
 from tripflow.session import checkpoint_dir  # noqa: E402
 from tripflow.sources import catalog as cat  # noqa: E402
-from tripflow.sources.fixtures import BRONZE_COLUMNS  # noqa: E402
+from tripflow.sources.fixtures import BRONZE_COLUMNS, read_table, trips_of_events  # noqa: E402
 from tripflow.streaming import ingest as stm  # noqa: E402
 
 
@@ -455,12 +497,12 @@ def adhoc_sql(spark, sf):
 
 @query
 def demand_stream(spark, sf):
-    """Streaming hourly demand over the events-derived trips, replayed as
-    one feed file per day, read back from the streaming sink."""
+    """Hourly demand of the events-derived trips, read as a stream."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/demand_stream/{uuid.uuid4().hex}"
-    src = streaming(spark, sf).select(*BRONZE_COLUMNS)
-    stm.write_feed(src, f"{base}/feed", "tpep_pickup_datetime", unit="week")
-    return stm.demand_stream(spark, f"{base}/feed", src.schema, f"{base}/out", f"{base}/ckpt")
+    schema = read_table(spark, sf, "events").schema
+    feed = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    src = trips_of_events(feed).select(*BRONZE_COLUMNS)
+    return stm.demand_stream(spark, src, f"{base}/out", f"{base}/ckpt")
 
 
 # ---- further operator variants ----------------------------------------------------
@@ -491,8 +533,8 @@ def metrics_scalar_op(spark, sf):
 @query
 def metrics_avg_by(spark, sf):
     v = mt.instant(samples(spark, sf), AS_OF, lookback_s=None)
-    a = mt.aggregate_by(v, ["u"], "avg").withColumnRenamed("value", "avg_value")
-    c = mt.aggregate_by(v, ["u"], "count").withColumnRenamed("value", "series")
+    a = _by_u(mt.aggregate_by(v, ["u"], "avg")).withColumnRenamed("value", "avg_value")
+    c = _by_u(mt.aggregate_by(v, ["u"], "count")).select("u", F.col("value").cast("long").alias("series"))
     return a.join(c, "u")
 
 

@@ -57,12 +57,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the deployment names a shared (HDFS/object store) folder and
-    we only read it. Only when nothing is configured (local tests) do we make
-    a scratch folder of our own.
+    we only read it. Only when nothing is configured and the master is local
+    (tests) do we make a scratch folder of our own; on a cluster a folder of
+    one machine would lose data, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="tripflow-ckpt-", dir="/tmp")
         try:

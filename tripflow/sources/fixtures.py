@@ -19,59 +19,18 @@ BRONZE_COLUMNS = [
 ]
 
 
-_FRAMES: dict = {}
-# Inputs with fewer files than this many bytes per task are spread over the
-# cores after the scan; big multi-file inputs are never touched.
-SMALL_INPUT_BYTES = 4 * 1024 ** 3
-
-
-def _memo(spark: SparkSession, key: tuple, build):
-    k = (spark.sparkContext.applicationId, id(spark), *key)
-    if k not in _FRAMES:
-        _FRAMES[k] = build()
-    return _FRAMES[k]
-
-
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores. A single-file, single-row-group
-    Parquet table scans in ONE task however it is split; below
-    ``SMALL_INPUT_BYTES`` and with fewer files than cores it is
-    hash-repartitioned once on all its columns (no sort, unlike a
-    round-robin repartition; filters still reach the scan below the
-    exchange; measured faster here than hashing the key column alone).
-    Inputs made of many files — any real lake table — are returned
-    unchanged, without a shuffle."""
-    spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if len(files) >= par:
-        return df
-    jvm = spark.sparkContext._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    size = 0
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        size += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return df.repartition(par, *df.columns) if size <= SMALL_INPUT_BYTES else df
-
-
 def _minutes(n):
     """A day-time interval of ``n`` minutes (adding it is microsecond math)."""
     return F.make_dt_interval(F.lit(0), F.lit(0), n)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table (lazy; the relation is built once per session)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return _memo(spark, ("table", path), lambda: balanced(spark.read.parquet(path)))
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def trips_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` → bronze_raw-shaped trips (plus a unique-ish ``trip_key``)."""
-    return _memo(spark, ("raw", sf_dir), lambda: _trips_from_lineitem(spark, sf_dir))
-
-
-def _trips_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     base = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11 + F.col("l_partkey")) % 1440
     m = base.cast("int")
@@ -93,11 +52,11 @@ def _trips_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trips_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` → bronze_streaming-shaped trips with the ``date`` partition key."""
-    return _memo(spark, ("stream", sf_dir), lambda: _trips_from_events(spark, sf_dir))
+    return trips_of_events(read_table(spark, sf_dir, "events"))
 
 
-def _trips_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+def trips_of_events(ev: DataFrame) -> DataFrame:
+    """The trips of ``events`` rows, read at once or as a stream."""
     return ev.select(
         F.col("ts").alias("tpep_pickup_datetime"),
         (F.col("ts") + _minutes((F.col("event_id") * 7 % 200 - 5).cast("int"))).alias("tpep_dropoff_datetime"),

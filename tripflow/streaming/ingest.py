@@ -1,16 +1,12 @@
-"""Structured Streaming: incremental trip ingest and windowed demand.
+"""Structured Streaming: incremental trip ingest and hourly demand.
 
 * ``ingest_stream`` — file source → per-batch quality gate → append to the
   bronze streaming table partitioned by ``date``. The checkpoint replaces
   the reference's JSON cursor; each micro-batch is written to a directory
   named by its batch id with overwrite, so a batch replayed after a failure
   replaces its own output instead of duplicating it.
-* ``demand_stream`` — event-time hourly trip counts per zone with a
-  watermark, append mode: each (hour, zone) row is emitted once, when the
-  watermark passes the end of the hour.
-
-Timestamps in the driver data are TIMESTAMP_NTZ; watermarks need
-TIMESTAMP, so event time is cast with the session zone and cast back.
+* ``demand_stream`` — hourly trip counts per zone: partial counts per
+  micro-batch, idempotent by batch id, summed when read.
 """
 
 from __future__ import annotations
@@ -18,23 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.operators.metrics import to_metrics
 from tripflow.operators.quality import validate_or_fail
 from tripflow.operators.trips import ZONE_MAX, ZONE_MIN
 
 
-def write_feed(df: DataFrame, feed_dir: str, ts_col: str, unit: str = "week") -> list[str]:
-    """Write ``df`` as one Parquet output per time period (``unit`` of
-    ``date_trunc``), in time order, so a file source that orders by
-    modification time replays them in event order. One distributed write
-    per period; the list of periods is small."""
-    period = F.date_format(F.date_trunc(unit, F.col(ts_col)), "yyyy-MM-dd-HH")
-    periods = [r[0] for r in df.select(period.alias("p")).distinct().orderBy("p").collect()]
-    for p in periods:
-        (df.where(period == p).write.mode("overwrite")
-           .parquet(f"{feed_dir.rstrip('/')}/period={p}"))
-    return periods
-
-
 def feed_stream(spark: SparkSession, feed_dir: str, schema, files_per_trigger: int | None = None) -> DataFrame:
     """File source over a feed folder (new files are picked up by the
     checkpointed file log, in modification-time order)."""
@@ -45,19 +29,25 @@ def feed_stream(spark: SparkSession, feed_dir: str, schema, files_per_trigger: i
 
 
 def ingest_stream(spark: SparkSession, feed_dir: str, schema, table_dir: str, checkpoint: str,
-                  gate_table: str = "bronze_streaming", timeout_s: int = 600,
-                  from_date: str | None = None) -> None:
+                  gate_table: str = "bronze_streaming", timeout_s: int | None = None,
+                  from_date: str | None = None, on_batch=None) -> None:
     """Incremental ingest with a durable cursor (J1, J2, J7): process all
     available feed files (``availableNow``), validate every micro-batch,
     append it by ``date``. ``from_date`` with a fresh checkpoint replays
     from that day on (J3)."""
     def per_batch(batch: DataFrame, batch_id: int):
-        if batch.limit(1).count() == 0:
-            return
-        validate_or_fail(batch, gate_table)
-        (batch.withColumn("date", F.date_format("tpep_pickup_datetime", "yyyy-MM-dd"))
-              .write.mode("overwrite").partitionBy("date")
-              .parquet(f"{table_dir.rstrip('/')}/batch_id={batch_id}"))
+        batch.persist()                         # read once for the gate and the write
+        try:
+            if batch.isEmpty():
+                return
+            validate_or_fail(batch, gate_table)
+            (batch.withColumn("date", F.date_format("tpep_pickup_datetime", "yyyy-MM-dd"))
+                  .write.mode("overwrite").partitionBy("date")
+                  .parquet(f"{table_dir.rstrip('/')}/batch_id={batch_id}"))
+            if on_batch is not None:
+                on_batch(freshness(batch), batch_id)
+        finally:
+            batch.unpersist()
 
     src = feed_stream(spark, feed_dir, schema)
     if from_date:
@@ -71,68 +61,47 @@ def ingest_stream(spark: SparkSession, feed_dir: str, schema, table_dir: str, ch
         raise TimeoutError("ingest_stream did not finish in time")
 
 
-def demand_counts(stream: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Streaming hourly trip counts per pickup zone."""
-    ts = F.col("tpep_pickup_datetime").cast("timestamp")
-    return (stream.where(F.col("PULocationID").between(ZONE_MIN, ZONE_MAX))
-            .select(ts.alias("event_ts"), F.col("PULocationID").alias("zone_id"))
-            .withWatermark("event_ts", watermark)
-            .groupBy(F.window("event_ts", "1 hour"), "zone_id")
-            .agg(F.count(F.lit(1)).alias("trip_count"))
-            .select("zone_id", F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                    "trip_count"))
-
+def demand_stream(spark: SparkSession, source: DataFrame, out_dir: str, checkpoint: str,
+                  timeout_s: int | None = None) -> DataFrame:
+    """Hourly trip counts per pickup zone from a stream of trips (J5). Each
+    micro-batch writes its partial counts to its own folder (a replayed batch
+    overwrites its own), and reading sums them, so rows of any lateness count
+    and a run may stop and resume at any batch."""
+    def per_batch(batch: DataFrame, batch_id: int):
+        (hourly_counts(batch).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}"))
 
-def _run_available(stream_df: DataFrame, out_dir: str, checkpoint: str, timeout_s: int) -> None:
-    q = (stream_df.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).option("path", out_dir)
+    q = (source.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
-        raise TimeoutError("streaming run did not finish in time")
+        raise TimeoutError("demand_stream did not finish in time")
+    return read_demand(spark, out_dir)
 
 
-def demand_stream(spark: SparkSession, feed_dir: str, schema, out_dir: str, checkpoint: str,
-                  watermark: str = "1 hour", timeout_s: int = 600, close: bool = True) -> DataFrame:
-    """Run the streaming demand aggregation over the available feed files
-    into a Parquet sink (exactly-once file sink) and read the result back.
+def freshness(batch: DataFrame) -> DataFrame:
+    """The latest pickup of a batch as a metric sample ``data_freshness_timestamp``."""
+    last = batch.agg(F.max("tpep_pickup_datetime").alias("last")).select(
+        F.lit("bronze.streaming").alias("table"), F.unix_timestamp(F.col("last").cast("timestamp")).alias("freshness_timestamp"))
+    return to_metrics(last, "data_", ["freshness_timestamp"], ["table"])
 
-    Each run resumes from the checkpoint. With ``close`` (end of a replay)
-    two more runs follow, each after one sentinel file past the last event
-    (``write_closing``): the first moves the watermark past the final hour,
-    the second emits the hours it closed."""
-    src = feed_stream(spark, feed_dir, schema)
-    _run_available(demand_counts(src, watermark), out_dir, checkpoint, timeout_s)
-    if close:
-        feed = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(feed_dir)
-        for i, after in enumerate(("2 hours", "3 hours")):
-            sentinel = closing_row(feed, "tpep_pickup_datetime", after)
-            sentinel.write.mode("overwrite").parquet(f"{feed_dir.rstrip('/')}/zz-closing-{i}")
-            _run_available(demand_counts(feed_stream(spark, feed_dir, schema), watermark),
-                           out_dir, checkpoint, timeout_s)
-    return spark.read.parquet(out_dir)
-
-
-def closing_row(df: DataFrame, ts_col: str = "tpep_pickup_datetime", after: str = "2 hours") -> DataFrame:
-    """One row dated ``after`` past the latest event; it only advances the
-    watermark. Its own hour is never emitted in the run it closes (the
-    watermark stays behind it). Its zone is a valid one: a zone filter is
-    pushed below the watermark operator and would drop an invalid zone."""
-    last = df.agg(F.max(ts_col).alias("m"))
-    cols = []
-    for f in df.schema.fields:
-        if f.name == ts_col:
-            cols.append((F.col("m") + F.expr(f"INTERVAL {after}")).cast(f.dataType).alias(f.name))
-        elif f.name == "PULocationID":
-            cols.append(F.lit(ZONE_MIN).cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return last.select(*cols)
+
+def hourly_counts(trips: DataFrame) -> DataFrame:
+    """(zone_id, window_start, trip_count) of trips in valid zones."""
+    return (trips.where(F.col("PULocationID").between(ZONE_MIN, ZONE_MAX))
+            .groupBy(F.col("PULocationID").alias("zone_id"),
+                     F.date_trunc("hour", F.col("tpep_pickup_datetime")).cast("timestamp_ntz").alias("window_start"))
+            .agg(F.count(F.lit(1)).alias("trip_count")))
+
+
+def read_demand(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The sums over all batches that ``demand_stream`` has written."""
+    parts = spark.read.schema("zone_id int, window_start timestamp_ntz, trip_count long, batch_id long").parquet(out_dir)
+    return parts.groupBy("zone_id", "window_start").agg(F.sum("trip_count").alias("trip_count"))
 
 
 def score_stream(stream_df: DataFrame, resolve_model, out_dir: str, checkpoint: str,
-                 out_col: str = "prediction", decimals: int = 2, timeout_s: int = 600) -> None:
+                 out_col: str = "prediction", decimals: int = 2, timeout_s: int | None = None) -> None:
     """Score a stream (I17, I18): every micro-batch first resolves the model
     (e.g. the current champion from the registry), so a newer champion is
     used from the next batch on without a restart; predictions of batch
