@@ -15,12 +15,13 @@ members of a group with each other:
     in common are at most min(positions) + 1 + min(what follows). Pairs that
     pass are counted over all lists; as the prefix is a twentieth longer than
     needed, a linked pair must share more than one of its shingles.
-4.  A list of more than ``LONG`` sets isn't read pair by pair. Its sets are
-    compared with a few leaders, and only where the list can hold the first
-    shingle that two linked sets share.
-5.  Each set is compared with the partner it shares most with, and with its
-    lists' leaders. Linked sets form groups.
-6.  A set's remaining answers derive from its group's: pairs within a group
+4.  A list of more than ``LONG`` sets isn't read pair by pair; it only counts
+    where it can hold the first shingle that two linked sets share.
+5.  What pairs and long lists connect are clusters. A cluster of at most
+    ``CLUSTER_ITEMS`` shingles in all goes to one task, which compares it.
+6.  In larger ones each set is compared with the partner it shares most with
+    and with a few leaders of its long lists. Linked sets form groups.
+7.  A set's remaining answers derive from its group's: pairs within a group
     are settled, and in a long list only sets outside its main group meet
     others, chunk by chunk. All pairs left are compared, and the groups they
     link are joined.
@@ -49,8 +50,10 @@ SKETCH_BITS = 18            # the sketch has 2 ** SKETCH_BITS counters
 FILTER_BITS = 23            # bits of the filter of candidate sets
 LONG = 128                  # sets of a list that are compared pair by pair
 LEADERS = 4                 # sets of a longer list that all its sets are compared with
+CLUSTER_ITEMS = 4_000_000   # shingles of a cluster that one task compares whole (32 MB)
 OUTER, MEMBERS = 512, 2048  # sets of a longer list that one task compares
 COLUMNS = 4096              # shingles of a comparison's matrices
+NO_ID = -(1 << 63)          # stands for a null id
 FLUSH = 400_000             # pairs that a task gathers before it counts them
 
 
@@ -259,6 +262,11 @@ def _whole_lists(pairs: _Pairs, token, ids, n, pos) -> Iterator[pa.RecordBatch]:
             yield from pairs.flush()
 
 
+def _copy_key(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """A key of a set in one document, so that one copy of a set can be told from the others."""
+    return mix(ids.view(np.uint64) ^ mix(doc.astype(np.int64).view(np.uint64))).view(np.int64)
+
+
 def _filter_bits(ids: np.ndarray) -> np.ndarray:
     """Two bit numbers for each id."""
     h = mix(ids.view(np.uint64))
@@ -266,11 +274,13 @@ def _filter_bits(ids: np.ndarray) -> np.ndarray:
 
 
 def _id_filter(ids: DataFrame) -> np.ndarray:
-    """A filter of fixed size that every id of ``ids`` passes, made of one row per used byte."""
+    """A filter of fixed size that every id of ``ids`` passes (with two
+    columns: every set and document), gathered in parts of 64 bits."""
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = np.zeros(1 << FILTER_BITS, bool)
         for batch in batches:
-            mine[_filter_bits(np.asarray(batch.column(0)))] = True
+            key = [np.asarray(batch.column(k)) for k in range(batch.num_columns)]
+            mine[_filter_bits(key[0] if len(key) == 1 else _copy_key(*key))] = True
         packed = np.packbits(mine).view(np.int64)
         at = np.flatnonzero(packed)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(packed[at])], names=["at", "bits"])
@@ -282,15 +292,16 @@ def _id_filter(ids: DataFrame) -> np.ndarray:
 
 
 def _sets(wanted) -> Callable:
-    """(set, items) of the sets that pass the filter."""
+    """(set, items) of the sets that pass the filter, from the document that stands for each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         passes = np.unpackbits(wanted.value).astype(bool)
         for batch in batches:
+            doc = np.asarray(batch.column(1).cast(pa.int64()).fill_null(NO_ID))
             for b in blocks(batch.column(0)):
                 _, h, first = shingles(b)
                 ids = set_ids(h, first)
-                ok = passes[_filter_bits(ids)].reshape(2, -1).all(0)
+                ok = passes[_filter_bits(_copy_key(ids, doc[b.lo:b.hi]))].reshape(2, -1).all(0)
                 new = _unseen(np.where(ok, ids, 0), seen)
                 offsets = np.concatenate([[0], np.cumsum(first[new + 1] - first[new])]).astype(np.int32)
                 items = h[_members(first, new)].view(np.int64)
@@ -356,6 +367,24 @@ def _common(a: pa.ChunkedArray, b: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
+def _cluster_links(cluster: pa.Table) -> pa.Table:
+    """(a, b): links that join what is linked within a cluster, from all its pairs."""
+    items, n = cluster.column("items"), np.asarray(cluster.column("n")).astype(np.int64)
+    common = _common(items, items)
+    x, y = np.nonzero(np.triu(100 * common >= 75 * (n[:, None] + n[None, :] - common), 1))
+    root, keep = list(range(len(n))), []
+    for k, (i, j) in enumerate(zip(x.tolist(), y.tolist(), strict=True)):
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        while root[j] != j:
+            root[j] = j = root[root[j]]
+        if i != j:
+            root[j] = i
+            keep.append(k)
+    ids = cluster.column("set")
+    return pa.table([ids.take(pa.array(x[keep])), ids.take(pa.array(y[keep]))], names=["a", "b"])
+
+
 def _compare_chunks(outer: pa.Table, members: pa.Table) -> pa.Table:
     """(a, b): for each set of ``outer`` one linked set of each other group among ``members``."""
     names = ["a", "b"]
@@ -415,28 +444,41 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .join(in_long.select(F.col("set").alias("b"), F.col("lists").alias("lb")), "b", "left")
         .where(F.col("times") + F.least(F.coalesce("la", F.lit(0)), F.coalesce("lb", F.lit(0))) >= need)
         .select("a", "b", "na", "nb", "times"))
-    wanted = pairs.select("a").union(pairs.select("b")).union(entries.select("set")).distinct().toDF("set")
-    wanted = checkpoint(wanted)
-    shared = spark.sparkContext.broadcast(_id_filter(wanted))
-    sets = checkpoint(texts.mapInArrow(_sets(shared), "set long, items array<long>")
-                      .join(wanted, "set", "left_semi").dropDuplicates(["set"]))
-    # each set with its best partner and its lists' leaders
+    entries = checkpoint(_first_shared(entries))
+    # clusters: what pairs and long lists connect; nothing links two of them
+    first = entries.groupBy("token").agg(F.min("set").alias("a"))
+    cluster = components(pairs.select("a", "b").union(entries.join(first, "token").select("a", F.col("set").alias("b"))))
+    by_set = checkpoint(document.where("set <> 0").groupBy("set").agg(F.min("doc_id").alias("smallest"), F.max("n").alias("n")))
+    wanted = checkpoint(cluster.select(F.col("node").alias("set"), "label").join(by_set, "set"))
+    shared = spark.sparkContext.broadcast(_id_filter(
+        wanted.select("set", F.coalesce("smallest", F.lit(NO_ID)).alias("doc"))))
+    total = wanted.groupBy("label").agg(F.sum("n").alias("_total"))
+    sets = checkpoint(docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("doc"))
+                      .mapInArrow(_sets(shared), "set long, items array<long>")
+                      .join(wanted.join(total, "label").select("set", "label", "n", (F.col("_total") <= CLUSTER_ITEMS).alias("whole")), "set")
+                      .dropDuplicates(["set"]))
+    # a cluster that one task can hold is compared there
+    links = checkpoint(sets.where("whole").select("label", "set", "n", "items").groupBy("label")
+                       .applyInArrow(_cluster_links, "a long, b long"))
+    sets = sets.where("NOT whole").select("set", "items")
+    large = sets.select("set")
+    pairs = pairs.join(large.withColumnRenamed("set", "a"), "a", "left_semi").select("a", "b", "na", "nb", "times")
+    entries = entries.join(large, "set", "left_semi").select("token", "set", "n", "pos")
+    # others: each set with its best partner and its lists' leaders
     ends = pairs.select(F.col("a").alias("x"), "*").union(pairs.select(F.col("b").alias("x"), "*"))
     best = (ends.groupBy("x").agg(F.max_by(F.struct("a", "b", "na", "nb"), F.struct("times", "a", "b")).alias("p"))
             .select("p.*").distinct())
-    entries = checkpoint(_first_shared(entries))
     compared = checkpoint(_compare(best.union(_leader_pairs(entries)).distinct(), sets))
-    links = _linked(compared)
-    group = components(links).select(F.col("node").alias("set"), F.col("label").alias("group"))
+    near = _linked(compared).select("a", "b")
+    group = components(near).select(F.col("node").alias("set"), F.col("label").alias("group"))
     # what their groups do not settle
     left = (pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
             .join(group.select(F.col("set").alias("a"), F.col("group").alias("ga")), "a", "left")
             .join(group.select(F.col("set").alias("b"), F.col("group").alias("gb")), "b", "left")
             .where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b", "na", "nb"))
     more = _linked(_compare(left, sets)).select("a", "b").union(_links_of_long_lists(entries, group, sets))
-    found = components(links.select("a", "b").union(more))
+    found = components(links.union(near).union(more))
     # smallest document of each set, then of each component
-    by_set = document.where("set <> 0").groupBy("set").agg(F.min("doc_id").alias("smallest"))
     named = by_set.join(found.select(F.col("node").alias("set"), "label"), "set", "left") \
         .select("set", "smallest", F.coalesce("label", "set").alias("label"))
     named = checkpoint(named)
