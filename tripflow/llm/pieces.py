@@ -27,7 +27,7 @@ text are not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -41,6 +41,7 @@ MARK = "▁"
 MODEL_FILE = "piece_bpe_32k.model"
 CACHE_WORDS = 400_000       # encoded words that a worker keeps
 MAX_PAIRS = 1_000_000       # pairs of pieces whose merging a worker remembers
+ROWS = 1_000                # rows of a result batch
 BATCH_WORDS = 200_000       # words that are encoded together
 
 
@@ -231,18 +232,21 @@ def encode_texts(texts: list[str | None], pieces: Pieces, cache: dict) -> list[n
     return out
 
 
+def _lists(ids: list[np.ndarray | None]) -> pa.ListArray:
+    size = np.array([0 if x is None else len(x) for x in ids], np.int64)
+    flat = np.concatenate([x for x in ids if x is not None] or [np.zeros(0, np.int32)])
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets, mask=np.array([*(x is None for x in ids), False], bool)),
+                                    pa.array(flat, pa.int32()))
+
+
 def encode(docs: DataFrame, model: bytes, text_col: str = "text", kind: str = "bpe") -> Column:
     """Column array<int>: the ids of each text. The model is a file of fixed size, broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast((model, kind))
 
     def run(column: pa.Array) -> pa.Array:
         pieces, cache = _of_worker(shared)
-        ids = encode_texts(column.to_pylist(), pieces, cache)
-        size = np.array([0 if x is None else len(x) for x in ids], np.int64)
-        flat = np.concatenate([x for x in ids if x is not None] or [np.zeros(0, np.int32)])
-        offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets, mask=np.array([*(x is None for x in ids), False], bool)),
-                                        pa.array(flat, pa.int32()))
+        return _lists(encode_texts(column.to_pylist(), pieces, cache))
 
     run.__annotations__ = {"column": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, "array<int>").asNondeterministic()(F.col(text_col))
@@ -273,12 +277,27 @@ def model_bytes(path: str | None = None) -> bytes:
         return f.read()
 
 
-def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids, n_ids, same): the ids, their number, and whether decoding gives back the text."""
-    out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), encode(docs, model, text_col).alias("ids"))
-    out = out.withColumn("_back", decode(out, model))
-    return out.select("doc_id", "ids", F.when(F.col("ids").isNotNull(), F.size("ids")).cast("long").alias("n_ids"),
-                      (F.col("_back") == F.col("_text")).alias("same"))
+def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text",
+                     kind: str = "bpe") -> DataFrame:
+    """(doc_id, ids, n_ids, same): the ids, their number, and whether decoding
+    gives back the text. Ids go from the worker straight to the result; the
+    texts don't travel back."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, kind))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, cache = _of_worker(shared)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                texts = part.column(1).to_pylist()
+                ids = encode_texts(texts, pieces, cache)
+                same = [None if x is None else pieces.decode(x.tolist()) == t for x, t in zip(ids, texts, strict=True)]
+                size = [None if x is None else len(x) for x in ids]
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids), pa.array(size, pa.int64()),
+                                                  pa.array(same, pa.bool_())], names=["doc_id", "ids", "n_ids", "same"])
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, n_ids long, same boolean")
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
