@@ -5,8 +5,9 @@ are one set. Two sets link when their Jaccard similarity is at least 3/4.
 Components of linked documents are found exactly, without comparing all
 members of a group with each other:
 
-1.  A pass over all texts counts shingles in a sketch of fixed size. Sets are
-    ordered by the sketch's classes (rare first), then by hash. Any order is
+1.  A pass over all texts counts shingles in a sketch of fixed size, of which
+    each task reports what stands out. Sets are ordered by the sketch's
+    classes (rare first), then by hash. Any order is
     right; this one keeps passages that many texts share out of the index.
 2.  Linked sets of sizes x and y share at least ceil(3 (x + y) / 7) shingles,
     so their first quarters share one. The index lists, for each shingle of
@@ -16,7 +17,8 @@ members of a group with each other:
     pass are counted over all lists; as the prefix is a twentieth longer than
     needed, a linked pair must share more than one of its shingles.
 4.  A list of more than ``LONG`` sets isn't read pair by pair; it only counts
-    where it can hold the first shingle that two linked sets share.
+    where it can hold the first shingle that two linked sets share, and for
+    sets that share enough indexed shingles with others at all.
 5.  What pairs and long lists connect are clusters. A cluster of at most
     ``CLUSTER_ITEMS`` shingles in all goes to one task, which compares it.
 6.  In larger ones each set is compared with the partner it shares most with
@@ -43,10 +45,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm.components import components
-from tripflow.llm.text import Block, blocks, checkpoint, mix, sequence_hash, span_hash, table
+from tripflow.llm.text import Block, blocks, checkpoint, filter_rows, mix, sequence_hash, span_hash, table
 
 SHINGLE = 5                 # words
-SKETCH_BITS = 18            # the sketch has 2 ** SKETCH_BITS counters
+SKETCH_BITS = 21            # the sketch has 2 ** SKETCH_BITS counters
 FILTER_BITS = 23            # bits of the filter of candidate sets
 LONG = 128                  # sets of a list that are compared pair by pair
 LEADERS = 4                 # sets of a longer list that all its sets are compared with
@@ -121,22 +123,24 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, h, first = shingles(b)
             ids = set_ids(h, first)
             mine = h[_members(first, _unseen(ids, seen))]
-            sketch += np.bincount((mine >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
+            np.add.at(sketch, (mine >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(b.rows, np.int32)), doc.slice(b.lo, b.rows).cast(pa.int64()), pa.array(ids),
                  pa.array(np.diff(first))], names=names)
-    used = np.flatnonzero(sketch)
+    mean = sketch.mean()
+    used = np.flatnonzero(sketch > mean + 4 * np.sqrt(mean))      # what stands out in this task
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.ones(len(used), np.int32)), pa.nulls(len(used), pa.int64()), pa.array(used), pa.array(sketch[used])],
         names=names)
 
 
 def _classes(sketch: DataFrame) -> np.ndarray:
-    """Order class of each counter: twice the mean or less is 0, then one for each doubling."""
+    """Order class of each counter: 0 up to LONG shingles seen where it stood
+    out, then one more for each doubling."""
     got = sketch.groupBy("set").agg(F.sum("n").alias("n")).toArrow()
     count = np.zeros(1 << SKETCH_BITS)
     count[np.asarray(got.column("set"))] = np.asarray(got.column("n"))
-    return np.clip(np.floor(np.log2(np.maximum(count / max(count.mean(), 1), 1))), 0, 31).astype(np.uint64)
+    return np.clip(np.ceil(np.log2(np.maximum(count / LONG, 1))), 0, 31).astype(np.uint64)
 
 
 def order_key(h: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -179,7 +183,12 @@ class _Pairs:
     names = ["kind", "token", "a", "b", "na", "nb", "pos", "times"]
 
     def __init__(self) -> None:
-        self.parts, self.size = [], 0
+        self.parts, self.size, self.members = [], 0, []
+
+    def count(self, ids, n) -> None:
+        """Sets of a short list with other sets."""
+        self.members.append([ids, n])
+        self.size += len(ids)
 
     def add(self, a, b, na, nb) -> None:
         swap = a > b
@@ -187,7 +196,7 @@ class _Pairs:
         self.size += len(a)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        if self.size:
+        if self.parts:
             a, b, na, nb = (np.concatenate(x) for x in zip(*self.parts, strict=True))
             order = np.lexsort((b, a))
             a, b, na, nb = a[order], b[order], na[order], nb[order]
@@ -197,7 +206,14 @@ class _Pairs:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(zero), pa.array(zero.astype(np.int64)), pa.array(a[new]), pa.array(b[new]), pa.array(na[new]),
                  pa.array(nb[new]), pa.array(zero), pa.array(times.astype(np.int32))], names=self.names)
-        self.parts, self.size = [], 0
+        if self.members:
+            ids, n = (np.concatenate(x) for x in zip(*self.members, strict=True))
+            found, first, times = np.unique(ids, return_index=True, return_counts=True)
+            zero = np.zeros(len(found), np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(zero + 2), pa.array(zero.astype(np.int64)), pa.array(found), pa.array(zero.astype(np.int64)),
+                 pa.array(n[first]), pa.array(zero), pa.array(zero), pa.array(times.astype(np.int32))], names=self.names)
+        self.parts, self.size, self.members = [], 0, []
 
 
 def _long_rows(token, ids, n, pos) -> pa.RecordBatch:
@@ -209,7 +225,8 @@ def _long_rows(token, ids, n, pos) -> pa.RecordBatch:
 
 def _read_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (token, n, set). Pairs of short lists (kind 0), the
-    rows of long lists (kind 1). Holds one batch and the start of a list."""
+    rows of long lists (kind 1), how many short lists with others a set is in
+    (kind 2). Holds one batch and the start of a list."""
     pairs, rest, long_token = _Pairs(), None, None
     for batch in batches:
         cols = [np.asarray(batch.column(k)) for k in range(4)]
@@ -250,6 +267,7 @@ def _whole_lists(pairs: _Pairs, token, ids, n, pos) -> Iterator[pa.RecordBatch]:
         yield _long_rows(token[is_long], ids[is_long], n[is_long], pos[is_long])
     last = np.repeat(begin + size, size)
     at = np.flatnonzero(~is_long & (np.repeat(size, size) > 1))
+    pairs.count(ids[at], n[at])
     step = 1
     while len(at):
         at = at[at + step < last[at]]
@@ -444,6 +462,10 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .join(in_long.select(F.col("set").alias("b"), F.col("lists").alias("lb")), "b", "left")
         .where(F.col("times") + F.least(F.coalesce("la", F.lit(0)), F.coalesce("lb", F.lit(0))) >= need)
         .select("a", "b", "na", "nb", "times"))
+    # a set links with nothing unless it shares as many indexed shingles as any pair must
+    short = lists.where("kind = 2").groupBy(F.col("a").alias("set")).agg(F.sum("times").alias("short"))
+    able = (in_long.join(short, "set", "left").select("set", (F.col("lists") + F.coalesce("short", F.lit(0))).alias("able")))
+    entries = entries.join(able, "set").where(F.col("able") > F.floor(F.col("n") / 20)).select("token", "set", "n", "pos")
     entries = checkpoint(_first_shared(entries))
     # clusters: what pairs and long lists connect; nothing links two of them
     first = entries.groupBy("token").agg(F.min("set").alias("a"))
@@ -503,15 +525,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                          .select(F.col("doc_id").alias("_dropped")).distinct())
     shared = docs.sparkSession.sparkContext.broadcast(_id_filter(dropped))
 
-    def passes(ids: pa.Array) -> pa.Array:
-        known = ids.is_valid()
+    def passes(ids: pa.Array) -> np.ndarray:
         found = np.unpackbits(shared.value).astype(bool)[_filter_bits(np.asarray(ids.cast(pa.int64()).fill_null(0)))]
-        return pa.array(found.reshape(2, -1).all(0) & np.asarray(known))
+        return found.reshape(2, -1).all(0) & np.asarray(ids.is_valid())
 
-    passes.__annotations__ = {"ids": pa.Array, "return": pa.Array}
-    marked = docs.withColumn("_maybe", F.arrow_udf(passes, "boolean")(F.col(id_col)))
-    maybe = marked.where("_maybe").join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
-    return marked.where("NOT _maybe").select(*docs.columns).union(maybe.select(*docs.columns))
+    maybe = filter_rows(docs, id_col, passes).join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
+    return filter_rows(docs, id_col, lambda ids: ~passes(ids)).union(maybe.select(*docs.columns))
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -210,3 +210,23 @@ def text_udf(per_block: Callable[[Block], dict], schema: pa.StructType) -> Calla
     from pyspark.sql.pandas.types import from_arrow_type
     whole.__annotations__ = {"column": pa.Array, "return": pa.Array}
     return F.arrow_udf(whole, from_arrow_type(schema)).asNondeterministic()
+
+
+def filter_rows(docs: DataFrame, column: str, keep: Callable[[pa.Array], np.ndarray], rows: int = 1_000) -> DataFrame:
+    """The rows of ``docs`` for which ``keep`` of a column's values is true.
+    Whole rows pass through the worker a batch at a time, so that no texts wait
+    on disk beside a column function."""
+    place = docs.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows):
+                part = batch.slice(lo, rows)
+                yield part.filter(pa.array(keep(part.column(place))))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def by_block(column: pa.Array, per_block: Callable[[Block], np.ndarray]) -> np.ndarray:
+    """The values of ``per_block`` for all rows of a text column."""
+    return np.concatenate([np.zeros(0, bool), *(per_block(b) for b in blocks(column))]).astype(bool)
