@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.text import Block, blocks, checkpoint, crc_mod, table, text_udf
+from tripflow.llm.text import Block, blocks, by_block, checkpoint, crc_mod, filter_rows, table, text_udf
 
 SLOTS = 1 << 16
 SWITCH = 12.0               # nats that a change of language costs
@@ -324,8 +324,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "p.*"))
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows whose language is known with at least ``min_score``; others go."""
-    return (docs.withColumn("_lang", predict(docs, model))
-            .where((F.col("_lang.lang_pred") != "und") & (F.col("_lang.score") >= min_score))
-            .select(*docs.columns))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def known(b: Block) -> np.ndarray:
+        p = predict_block(b, shared.value)
+        return (np.asarray(p["lang_pred"], object) != "und") & (p["score"] >= min_score)
+
+    return filter_rows(docs, text_col, lambda column: by_block(column, known))

@@ -20,7 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.text import Block, checkpoint, sequence_hash, span_hash, table, text_udf
+from tripflow.llm.text import (
+    Block,
+    by_block,
+    checkpoint,
+    filter_rows,
+    sequence_hash,
+    span_hash,
+    table,
+    text_udf,
+)
 
 # fixed values: the characters that count as symbols
 SYMBOLS = b"#*$%&|<>"
@@ -28,6 +37,7 @@ WINDOW = 8                  # words of a window that must not repeat
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MAX_HOST_RATE = 0.5         # hosts failing at least this (shrunk) share are rejected
+MAX_BROADCAST_HOSTS = 100_000   # rejected hosts up to this number are broadcast, more are joined
 MIN_PRIOR, MAX_PRIOR = 1.0, 1_000_000.0   # bounds of the prior's weight, in documents
 
 _IS_SYMBOL = np.zeros(256, bool)
@@ -88,6 +98,11 @@ def text_counts(text):
     return text_udf(count_block, COUNTS)(text)
 
 
+def _passes(b: Block) -> np.ndarray:
+    c = count_block(b)
+    return ~((c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"]))
+
+
 def base_failed(counts: str = "") -> F.Column:
     c = lambda name: F.col(f"{counts}{name}")
     return (c("n_words") < MIN_WORDS) | (100 * c("n_repeat_words") > MAX_REPEAT_PERCENT * c("n_words"))
@@ -138,8 +153,10 @@ def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",
     """
     counted = docs.select(F.col(host_col).alias("host"), text_counts(F.col(text_col)).alias("c"))
     hosts = host_verdicts(counted.select("host", base_failed("c.").alias("base_failed")), max_rate=max_rate)
-    bad = hosts.where("host_failed").select(F.col("host").alias("_bad_host"))
-    ok = docs.withColumn("_counts", text_counts(F.col(text_col))).where(~base_failed("_counts."))
+    bad = checkpoint(hosts.where("host_failed").select(F.col("host").alias("_bad_host")))
+    if bad.count() <= MAX_BROADCAST_HOSTS:
+        bad = F.broadcast(bad)
+    ok = filter_rows(docs, text_col, lambda column: by_block(column, _passes))
     return (ok.join(bad, F.col(host_col) == F.col("_bad_host"), "left_anti").select(*docs.columns))
 
 
