@@ -33,6 +33,7 @@ DEFAULT_METHODS = {"trip_distance": "wasserstein", "pickup_hour": "wasserstein",
 DATASET_DRIFT_SHARE = 0.5       # dataset drift when share > 0.5 (strict)
 RETRAIN_THRESHOLD = 0.5         # retrain when share >= 0.5
 MIN_CURRENT_ROWS = 100
+PERIOD_BINS = {"trip_distance": 1.0}
 MIN_STD = 0.001                 # floor of the divisor of the normed distance
 SMALL_SAMPLE_ROWS = 1000        # automatic choice: small reference -> test statistics
 CATEGORICAL_MAX_UNIQUE = 5      # automatic choice: few distinct values -> categorical
@@ -267,9 +268,11 @@ def drift_summary(report: DataFrame) -> DataFrame:
 
 
 def drift_by_period(ref: DataFrame, cur: DataFrame, period_col: str, cols: list[str],
-                    threshold: float = THRESHOLDS["js"]) -> DataFrame:
-    """Jensen–Shannon drift of discrete features for every period of the
-    current data in one job: ``(period, feature, score, drifted)``.
+                    threshold: float = THRESHOLDS["js"], bins: dict | None = None) -> DataFrame:
+    """Jensen–Shannon drift of every period of the current data in one job:
+    ``(period, feature, score, drifted)``. ``bins`` gives the bin width of
+    continuous features (default: whole miles of ``trip_distance``), others
+    are compared value by value.
 
     Reference proportions are one row per (feature, value). The join with
     the per-period counts carries no broadcast hint: AQE measures the
@@ -279,6 +282,10 @@ def drift_by_period(ref: DataFrame, cur: DataFrame, period_col: str, cols: list[
     ``ln 2 · p`` each, summed as ``ln 2 · (1 - Σ p over present values)``,
     so no (period × reference value) product is built.
     """
+    bins = PERIOD_BINS if bins is None else bins
+    for c, width in bins.items():
+        if c in cols:
+            ref, cur = (d.withColumn(c, F.floor(F.col(c) / width) * F.lit(float(width))) for d in (ref, cur))
     r = _long(ref, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c_ref"))
     wf = Window.partitionBy("feature")        # one partition per feature of the counted values
     r = r.select("feature", "value", (F.col("c_ref") / F.sum("c_ref").over(wf)).alias("p"))

@@ -256,6 +256,20 @@ def column_stats(df: DataFrame, table: str, exclude=()) -> DataFrame:
         F.lit(table).alias("table"), "e.*")
 
 
+def column_stats_by(df: DataFrame, table: str, period: str, exclude=()) -> DataFrame:
+    """``column_stats`` for every value of ``period``: column means over time
+    (I19), ``(table, period, column, mean, std)``, one partial aggregate."""
+    cols = numeric_columns(df.drop(period), exclude)
+    values = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols]
+    stats = df.groupBy(F.col(period).alias("period")).agg(
+        *[F.avg(x).alias(f"m{i}") for i, x in enumerate(values)],
+        *[F.stddev_samp(x).alias(f"s{i}") for i, x in enumerate(values)])
+    entries = [F.struct(F.lit(c).alias("column"), F.round(f"m{i}", 6).alias("mean"), F.round(f"s{i}", 6).alias("std"))
+               for i, c in enumerate(cols)]
+    return stats.select(F.lit(table).alias("table"), "period", F.explode(F.array(*entries)).alias("e")) \
+        .select("table", "period", "e.*")
+
+
 def age_level(age_seconds: Column, levels=AGE_LEVELS) -> Column:
     """green / yellow / red from an age in seconds."""
     out = F.lit("green")

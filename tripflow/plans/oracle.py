@@ -264,6 +264,11 @@ ORACLE["column_stats"] = with_(RAW, _clean("raw", "clean"), SILVER) + "\nUNION A
     f"""SELECT 'silver_trips' AS "table", '{c}' AS "column", round(avg(CAST({c} AS DOUBLE)), 4) AS mean,
        round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std FROM silver""" for c in _STAT_COLS)
 
+ORACLE["column_means_by_day"] = with_(STREAM) + "\nUNION ALL\n".join(
+    f"""SELECT 'bronze_streaming' AS "table", date AS period, '{c}' AS "column", round(avg(CAST({c} AS DOUBLE)), 6) AS mean,
+       round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std FROM stream GROUP BY date"""
+    for c in ("trip_distance", "passenger_count", "total_amount"))
+
 ORACLE["freshness"] = with_(RAW, STREAM, ZS, """u AS (
   SELECT 'bronze_raw' AS "table", max(tpep_pickup_datetime) AS last_update FROM raw
   UNION ALL SELECT 'bronze_streaming', max(tpep_pickup_datetime) FROM stream
@@ -362,7 +367,9 @@ SELECT count(*) AS number_of_columns, count(*) FILTER (WHERE drifted) AS number_
        round(avg(CAST(drifted AS DOUBLE)), 6) >= 0.5 AS retrain
 FROM rep"""
 
-BY_PERIOD = [*DRIFT_BASE, _long("ref", "rl", DISC), _long("cur", "cl", DISC, extra="date AS period, "),
+BY_PERIOD = [*DRIFT_BASE, "refb AS (SELECT * REPLACE (floor(trip_distance) AS trip_distance) FROM ref)",
+             "curb AS (SELECT * REPLACE (floor(trip_distance) AS trip_distance) FROM cur)",
+             _long("refb", "rl", FEATS), _long("curb", "cl", FEATS, extra="date AS period, "),
              """refp AS (SELECT feature, value, count(*) / sum(count(*)) OVER (PARTITION BY feature) AS p
                          FROM rl GROUP BY feature, value)""",
              """curq AS (SELECT period, feature, value,

@@ -195,6 +195,13 @@ def column_stats(spark, sf):
     return qa.column_stats(silver(spark, sf), "silver_trips")
 
 
+@query
+def column_means_by_day(spark, sf):
+    """Column means over time: mean and standard deviation per day."""
+    return qa.column_stats_by(streaming(spark, sf).select("date", "trip_distance", "passenger_count", "total_amount"),
+                              "bronze_streaming", "date")
+
+
 @query
 def freshness(spark, sf):
     return qa.freshness({
@@ -252,7 +259,7 @@ def drift_summary(spark, sf):
 
 def _daily_history(spark, sf):
     cur = drf.drift_features(streaming(spark, sf), keep=("date",))
-    return drf.drift_by_period(drift_ref(spark, sf), cur, "date", DISCRETE)
+    return drf.drift_by_period(drift_ref(spark, sf), cur, "date", drf.DRIFT_FEATURES)
 
 
 @query
@@ -362,7 +369,7 @@ def metrics_binary_op(spark, sf):
     v = mt.instant(samples(spark, sf), AS_OF, lookback_s=None)
     left = v.where(F.col("name") == "view")
     right = v.where(F.col("name") == "click")
-    return mt.metric_binary_op(left, right, "/", on=["u"], clamp_min_right=1.0)
+    return mt.metric_binary_op(left, right, "/", on=["u"], clamp_min_right=1.0).select("name", "labels", "value")
 
 
 DRIFT_LEVELS = [(0.3, "yellow"), (0.5, "red")]     # fixed values: drift share levels
@@ -437,16 +444,12 @@ def regression_metrics(spark, sf):
     return mdl.regression_metrics(t, "duration_min", "pu_zone_avg_duration_min")
 
 
-# Rows-only checks (a trained model has no SQL twin). Few boosting rounds keep
-# the check quick; the production default is GBT_PARAMS.
-CHECK_ROUNDS = 10
-
+# Rows-only checks: a trained model has no SQL twin.
 
 @query
 def score_trips(spark, sf):
     data = feat.enrich_trips(silver(spark, sf), feat.zone_stats(raw(spark, sf)))
-    model = mdl.train(data.where(F.col("split") == "train"), mdl.TRIP_FEATURES, "duration_min",
-                      max_iter=CHECK_ROUNDS)
+    model = mdl.train(data.where(F.col("split") == "train"), mdl.TRIP_FEATURES, "duration_min")
     return mdl.score(model, data.where(F.col("split") == "test"), "predicted_duration_min", 2) \
         .select("trip_key", "duration_min", "predicted_duration_min")
 
@@ -454,8 +457,7 @@ def score_trips(spark, sf):
 @query
 def score_fares(spark, sf):
     data = feat.enrich_trips(silver(spark, sf), feat.zone_stats(raw(spark, sf)))
-    model = mdl.train(data.where(F.col("split") == "train"), mdl.TRIP_FEATURES, "total_amount",
-                      max_iter=CHECK_ROUNDS)
+    model = mdl.train(data.where(F.col("split") == "train"), mdl.TRIP_FEATURES, "total_amount")
     return mdl.score(model, data.where(F.col("split") == "test"), "predicted_fare", 2) \
         .select("trip_key", "total_amount", "predicted_fare")
 
@@ -465,8 +467,7 @@ def score_demand(spark, sf):
     d = silver_demand(spark, sf)
     data = feat.enrich_demand(d, feat.zone_stats(raw(spark, sf))).withColumn(
         "trip_count", F.col("trip_count").cast("double"))
-    model = mdl.train(data.where(F.col("split") == "train"), mdl.DEMAND_FEATURES, "trip_count",
-                      max_iter=CHECK_ROUNDS)
+    model = mdl.train(data.where(F.col("split") == "train"), mdl.DEMAND_FEATURES, "trip_count")
     return mdl.score(model, data.where(F.col("split") == "test"), "predicted_trips", 1) \
         .select("zone_id", "pickup_hour", "day_of_week", "month", "trip_count", "predicted_trips")
 
