@@ -48,7 +48,7 @@ from tripflow.llm.components import components
 from tripflow.llm.text import Block, blocks, checkpoint, filter_rows, mix, sequence_hash, span_hash, table
 
 SHINGLE = 5                 # words
-SKETCH_BITS = 21            # the sketch has 2 ** SKETCH_BITS counters
+SKETCH_BITS = 20            # the sketch has 2 ** SKETCH_BITS counters
 FILTER_BITS = 23            # bits of the filter of candidate sets
 LONG = 128                  # sets of a list that are compared pair by pair
 LEADERS = 4                 # sets of a longer list that all its sets are compared with
@@ -138,14 +138,15 @@ def _classes(sketch: DataFrame) -> np.ndarray:
     """Order class of each counter: 0 up to LONG shingles seen where it stood
     out, then one more for each doubling."""
     got = sketch.groupBy("set").agg(F.sum("n").alias("n")).toArrow()
-    count = np.zeros(1 << SKETCH_BITS)
-    count[np.asarray(got.column("set"))] = np.asarray(got.column("n"))
-    return np.clip(np.ceil(np.log2(np.maximum(count / LONG, 1))), 0, 31).astype(np.uint64)
+    n = np.maximum(np.asarray(got.column("n")) / LONG, 1)
+    out = np.zeros(1 << SKETCH_BITS, np.uint8)
+    out[np.asarray(got.column("set"))] = np.clip(np.ceil(np.log2(n)), 0, 31)
+    return out
 
 
 def order_key(h: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """A shingle's place in the order of all shingles; also its name in the index."""
-    return ((classes[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] << np.uint64(58))
+    return ((classes[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(58))
             | (h & np.uint64((1 << 58) - 1))).view(np.int64)
 
 
@@ -486,6 +487,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     large = sets.select("set")
     pairs = pairs.join(large.withColumnRenamed("set", "a"), "a", "left_semi").select("a", "b", "na", "nb", "times")
     entries = entries.join(large, "set", "left_semi").select("token", "set", "n", "pos")
+    pairs, entries = checkpoint(pairs), checkpoint(entries)
     # others: each set with its best partner and its lists' leaders
     ends = pairs.select(F.col("a").alias("x"), "*").union(pairs.select(F.col("b").alias("x"), "*"))
     best = (ends.groupBy("x").agg(F.max_by(F.struct("a", "b", "na", "nb"), F.struct("times", "a", "b")).alias("p"))
@@ -498,7 +500,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .join(group.select(F.col("set").alias("a"), F.col("group").alias("ga")), "a", "left")
             .join(group.select(F.col("set").alias("b"), F.col("group").alias("gb")), "b", "left")
             .where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b", "na", "nb"))
-    more = _linked(_compare(left, sets)).select("a", "b").union(_links_of_long_lists(entries, group, sets))
+    more = checkpoint(_linked(_compare(left, sets)).select("a", "b").union(_links_of_long_lists(entries, group, sets)))
     found = components(links.union(near).union(more))
     # smallest document of each set, then of each component
     named = by_set.join(found.select(F.col("node").alias("set"), "label"), "set", "left") \
