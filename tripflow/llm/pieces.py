@@ -60,7 +60,11 @@ class Pieces:
     def __post_init__(self) -> None:
         special = set(self.byte_ids.values()) | self.silent | {self.unknown}
         self.ids = {p: k for k, p in enumerate(self.pieces) if k not in special}
-        self.longest = max(map(len, self.ids), default=1)
+        # sizes of the pieces with the same last three characters (or fewer), longest first
+        sizes: dict[str, set[int]] = {}
+        for p in self.ids:
+            sizes.setdefault(p[-3:], set()).add(len(p))
+        self.sizes = {end: tuple(sorted(x, reverse=True)) for end, x in sizes.items()}
         # characters that no longer piece holds end a word on either side
         inside = {c for p in self.ids if len(p) > 1 for c in p}
         joins_mark = any(MARK in p.lstrip(MARK) for p in self.ids)
@@ -109,16 +113,25 @@ class Pieces:
         """Forward score and last piece of ``word[:end]``; ``state`` holds
         those of all shorter prefixes. A piece of -1 is a character without one."""
         if self.kind == "bpe":
-            for size in range(min(end, self.longest), 0, -1):
-                piece = self.ids.get(word[end - size:end])
-                if piece is None or not self.whole(piece):
-                    continue
-                before = state[end - size][1]
-                if end == size or before == -1 or self.pair_stands(before, piece):
-                    return 0.0, piece
+            ids, fits = self.ids, self.fits
+            for tail in (3, 2, 1):
+                for size in self.sizes.get(word[end - tail:end], ()) if tail <= end else ():
+                    piece = ids.get(word[end - size:end]) if size <= end else None
+                    if piece is None:
+                        continue
+                    stands = fits.get((piece, -1))
+                    if not (self.whole(piece) if stands is None else stands):
+                        continue
+                    before = state[end - size][1]
+                    if before < 0:
+                        return 0.0, piece
+                    stands = fits.get((before, piece))
+                    if self.pair_stands(before, piece) if stands is None else stands:
+                        return 0.0, piece
             return 0.0, -1
         best, last = -float("inf"), -1
-        for size in range(1, min(end, self.longest) + 1):
+        ends = [word[end - tail:end] for tail in (1, 2, 3) if tail <= end]
+        for size in sorted({size for x in ends for size in self.sizes.get(x, ()) if size <= end}):
             piece = self.ids.get(word[end - size:end])
             if piece is not None and state[end - size][0] + self.scores[piece] > best:
                 best, last = state[end - size][0] + self.scores[piece], piece
