@@ -439,6 +439,28 @@ def _links_of_long_lists(entries: DataFrame, group: DataFrame, sets: DataFrame)
             .applyInArrow(_compare_chunks, "a long, b long").distinct())
 
 
+def _links_of_large_clusters(pairs: DataFrame, entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links that join what is linked in the clusters of ``sets`` (set, items)."""
+    large = sets.select("set")
+    pairs = pairs.join(large.withColumnRenamed("set", "a"), "a", "left_semi").select("a", "b", "na", "nb", "times")
+    entries = entries.join(large, "set", "left_semi").select("token", "set", "n", "pos")
+    pairs, entries = checkpoint(pairs), checkpoint(entries)
+    # others: each set with its best partner and its lists' leaders
+    ends = pairs.select(F.col("a").alias("x"), "*").union(pairs.select(F.col("b").alias("x"), "*"))
+    best = (ends.groupBy("x").agg(F.max_by(F.struct("a", "b", "na", "nb"), F.struct("times", "a", "b")).alias("p"))
+            .select("p.*").distinct())
+    compared = checkpoint(_compare(best.union(_leader_pairs(entries)).distinct(), sets))
+    near = _linked(compared).select("a", "b")
+    group = components(near).select(F.col("node").alias("set"), F.col("label").alias("group"))
+    # what their groups do not settle
+    left = (pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
+            .join(group.select(F.col("set").alias("a"), F.col("group").alias("ga")), "a", "left")
+            .join(group.select(F.col("set").alias("b"), F.col("group").alias("gb")), "b", "left")
+            .where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b", "na", "nb"))
+    more = checkpoint(_linked(_compare(left, sets)).select("a", "b").union(_links_of_long_lists(entries, group, sets)))
+    return near.union(more)
+
+
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, set (the id of
     its shingle set, 0 for an empty one)."""
@@ -483,25 +505,10 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # a cluster that one task can hold is compared there
     links = checkpoint(sets.where("whole").select("label", "set", "n", "items").groupBy("label")
                        .applyInArrow(_cluster_links, "a long, b long"))
-    sets = sets.where("NOT whole").select("set", "items")
-    large = sets.select("set")
-    pairs = pairs.join(large.withColumnRenamed("set", "a"), "a", "left_semi").select("a", "b", "na", "nb", "times")
-    entries = entries.join(large, "set", "left_semi").select("token", "set", "n", "pos")
-    pairs, entries = checkpoint(pairs), checkpoint(entries)
-    # others: each set with its best partner and its lists' leaders
-    ends = pairs.select(F.col("a").alias("x"), "*").union(pairs.select(F.col("b").alias("x"), "*"))
-    best = (ends.groupBy("x").agg(F.max_by(F.struct("a", "b", "na", "nb"), F.struct("times", "a", "b")).alias("p"))
-            .select("p.*").distinct())
-    compared = checkpoint(_compare(best.union(_leader_pairs(entries)).distinct(), sets))
-    near = _linked(compared).select("a", "b")
-    group = components(near).select(F.col("node").alias("set"), F.col("label").alias("group"))
-    # what their groups do not settle
-    left = (pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-            .join(group.select(F.col("set").alias("a"), F.col("group").alias("ga")), "a", "left")
-            .join(group.select(F.col("set").alias("b"), F.col("group").alias("gb")), "b", "left")
-            .where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b", "na", "nb"))
-    more = checkpoint(_linked(_compare(left, sets)).select("a", "b").union(_links_of_long_lists(entries, group, sets)))
-    found = components(links.union(near).union(more))
+    large = sets.where("NOT whole").select("set", "items")
+    if not large.isEmpty():
+        links = links.union(_links_of_large_clusters(pairs, entries, large))
+    found = components(links)
     # smallest document of each set, then of each component
     named = by_set.join(found.select(F.col("node").alias("set"), "label"), "set", "left") \
         .select("set", "smallest", F.coalesce("label", "set").alias("label"))
