@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +67,40 @@ def test_components_match_all_pairs(spark, monkeypatch, seed, long, outer, membe
     assert sorted(got, key=key) == sorted(brute(rows), key=key)
 
 
+def test_clusters_of_many_sets_leave_the_one_task(spark, monkeypatch):
+    """The bound is on sets too: no task gets a cluster of more than CLUSTER_SETS."""
+    monkeypatch.setattr(j, "CLUSTER_SETS", 2)
+    monkeypatch.setattr(j, "LONG", 3)
+    sizes, large = spark.sparkContext.accumulator(0), []
+    compare, path = j._cluster_links, j._links_of_large_clusters
+
+    def counted(cluster):
+        if cluster.num_rows > 2:
+            sizes.add(1)
+        return compare(cluster)
+
+    def counted_path(*args):
+        large.append(1)
+        return path(*args)
+    monkeypatch.setattr(j, "_cluster_links", lambda cluster: counted(cluster))
+    monkeypatch.setattr(j, "_links_of_large_clusters", counted_path)
+    rows = corpus(5, groups=12)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in
+           j.join_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    key = lambda r: tuple((x is not None, x or 0) for x in r)
+    assert sorted(got, key=key) == sorted(brute(rows), key=key)
+    assert sizes.value == 0 and large
+
+
+def test_links_of_a_cluster_span_its_components():
+    rng = random.Random(6)
+    sets = [sorted(set(base) - {rng.choice(base)}) for base in ([list(range(k * 100, k * 100 + 20)) for k in range(5)]) for _ in range(80)]
+    got = j._cluster_links(pa.table({"label": [0] * 400, "set": list(range(400)), "n": [len(s) for s in sets], "items": sets}))
+    a, b = got.column("a").to_pylist(), got.column("b").to_pylist()
+    assert len(a) == 400 - 5 and all(x // 80 == y // 80 for x, y in zip(a, b, strict=True))
+    assert {*a, *b} == set(range(400))
+
+
 def test_one_of_each_group_stays(spark):
     rows = [r for r in corpus(4, groups=10) if r[0] is not None]
     docs = spark.createDataFrame(rows, "doc_id long, text string").dropDuplicates(["doc_id"])

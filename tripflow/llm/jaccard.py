@@ -20,7 +20,8 @@ members of a group with each other:
     where it can hold the first shingle that two linked sets share, and for
     sets that share enough indexed shingles with others at all.
 5.  What pairs and long lists connect are clusters. A cluster of at most
-    ``CLUSTER_ITEMS`` shingles in all goes to one task, which compares it.
+    ``CLUSTER_SETS`` sets and ``CLUSTER_ITEMS`` shingles in all goes to one
+    task, which compares it.
 6.  In larger ones each set is compared with the partner it shares most with
     and with a few leaders of its long lists. Linked sets form groups.
 7.  A set's remaining answers derive from its group's: pairs within a group
@@ -53,6 +54,8 @@ FILTER_BITS = 23            # bits of the filter of candidate sets
 LONG = 128                  # sets of a list that are compared pair by pair
 LEADERS = 4                 # sets of a longer list that all its sets are compared with
 CLUSTER_ITEMS = 4_000_000   # shingles of a cluster that one task compares whole (32 MB)
+CLUSTER_SETS = 2048         # sets of such a cluster: their counts in common are a square (16 MB)
+ROWS = 256                  # rows of that square that are tested at a time
 OUTER, MEMBERS = 512, 2048  # sets of a longer list that one task compares
 COLUMNS = 4096              # shingles of a comparison's matrices
 NO_ID = -(1 << 63)          # stands for a null id
@@ -390,18 +393,24 @@ def _cluster_links(cluster: pa.Table) -> pa.Table:
     """(a, b): links that join what is linked within a cluster, from all its pairs."""
     items, n = cluster.column("items"), np.asarray(cluster.column("n")).astype(np.int64)
     common = _common(items, items)
-    x, y = np.nonzero(np.triu(100 * common >= 75 * (n[:, None] + n[None, :] - common), 1))
-    root, keep = list(range(len(n))), []
-    for k, (i, j) in enumerate(zip(x.tolist(), y.tolist(), strict=True)):
-        while root[i] != i:
-            root[i] = i = root[root[i]]
-        while root[j] != j:
-            root[j] = j = root[root[j]]
-        if i != j:
-            root[j] = i
-            keep.append(k)
+    linked = np.zeros(common.shape, bool)
+    for lo in range(0, len(n), ROWS):
+        part = common[lo:lo + ROWS].astype(np.int64)
+        linked[lo:lo + ROWS] = 100 * part >= 75 * (n[lo:lo + ROWS, None] + n[None, :] - part)
+    # from each set to the linked ones that none has reached: one link for each
+    free, x, y = np.ones(len(n), bool), [], []
+    for start in range(len(n)):
+        reached = [start] if free[start] else []
+        free[start] = False
+        while reached:
+            i = reached.pop()
+            new = np.flatnonzero(linked[i] & free)
+            free[new] = False
+            x += [i] * len(new)
+            y += new.tolist()
+            reached += new.tolist()
     ids = cluster.column("set")
-    return pa.table([ids.take(pa.array(x[keep])), ids.take(pa.array(y[keep]))], names=["a", "b"])
+    return pa.table([ids.take(pa.array(x, pa.int64())), ids.take(pa.array(y, pa.int64()))], names=["a", "b"])
 
 
 def _compare_chunks(outer: pa.Table, members: pa.Table) -> pa.Table:
@@ -497,10 +506,11 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = checkpoint(cluster.select(F.col("node").alias("set"), "label").join(by_set, "set"))
     shared = spark.sparkContext.broadcast(_id_filter(
         wanted.select("set", F.coalesce("smallest", F.lit(NO_ID)).alias("doc"))))
-    total = wanted.groupBy("label").agg(F.sum("n").alias("_total"))
+    total = wanted.groupBy("label").agg(F.sum("n").alias("_total"), F.count(F.lit(1)).alias("_sets"))
+    whole = (F.col("_total") <= CLUSTER_ITEMS) & (F.col("_sets") <= CLUSTER_SETS)
     sets = checkpoint(docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("doc"))
                       .mapInArrow(_sets(shared), "set long, items array<long>")
-                      .join(wanted.join(total, "label").select("set", "label", "n", (F.col("_total") <= CLUSTER_ITEMS).alias("whole")), "set")
+                      .join(wanted.join(total, "label").select("set", "label", "n", whole.alias("whole")), "set")
                       .dropDuplicates(["set"]))
     # a cluster that one task can hold is compared there
     links = checkpoint(sets.where("whole").select("label", "set", "n", "items").groupBy("label")
