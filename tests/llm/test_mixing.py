@@ -60,6 +60,30 @@ def test_documents(spark, monkeypatch):
     assert mixed.columns == docs.columns and mixed.count() == len(rows)
 
 
+def test_more_sources_than_the_driver_keeps(spark, monkeypatch):
+    """Three levels of groups: every row has its place, each source within a block a level of its share."""
+    monkeypatch.setattr(m, "FAN", 8)
+    rows = [(k, None if k % 501 == 0 else f"s{k % 501}") for k in range(501 * 12)] + [(10_000 + k, "hot") for k in range(300)]
+    rows += [(20_000 + k, "zero") for k in range(7)] + [(None, "hot")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    weights = {r[1]: 1.0 for r in rows} | {"hot": 25.0, "zero": 0.0}
+    got = m.mix(docs, weights, block_size=3, period=200).orderBy("_position").collect()
+    assert sorted(Counter((r.doc_id, r.source) for r in got).items(), key=str) == sorted(Counter(rows).items(), key=str)
+    assert len({r._position for r in got}) == len(rows)
+    of_slot = defaultdict(set)
+    for r in got:
+        of_slot[r._slot].add((r.source, r._block))
+    blocks = 501 * 4 + 101 + 3
+    assert sorted(of_slot) == list(range(blocks)) and all(len(x) == 1 for x in of_slot.values())
+    order = [next(iter(of_slot[k]))[0] for k in range(blocks)]
+    assert order[-3:] == ["zero"] * 3
+    total, done = 501 + 25, Counter()
+    for t in range(1000):                   # no source is used up so early
+        done[order[t]] += 1
+        assert all(abs(done[s] - (t + 1) * w / total) < 4 for s, w in (("hot", 25), (None, 1), ("s7", 1), ("s500", 1)))
+    assert m.mix(docs).count() == m.in_mixed_order(docs).count() == len(rows)
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert m.mix(docs).count() == 0 and m.in_mixed_order(docs).count() == 0

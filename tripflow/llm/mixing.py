@@ -13,6 +13,15 @@ are. When a source has less than a period's blocks left, its last blocks are
 scheduled slot by slot (P slots at most); then the others share its slots in
 proportion to their weights. Every document gets exactly one slot.
 
+More than ``MAX_SOURCES`` sources form a tree: groups of about ``FAN`` sources
+by hash, groups of groups, up to one. A group has the weight and the blocks of
+all its members, and the same rules deal its slots to them, one task a group:
+a block's number in its source gives its number in the group, and so on up to
+its slot. After any number of slots each source is then within one block a
+level of its share (levels: the logarithm of the sources to the base ``FAN``),
+and a source that is used up leaves its slots to its group first. Shares are
+rounded to whole slots of a period at every level.
+
 Numbering needs no task with a whole source: documents are counted by
 (source, hash range), and numbered within ranges of about ``RANGE`` rows.
 
@@ -25,10 +34,11 @@ ids sort first; no rows give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from heapq import heappop, heappush
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.text import checkpoint, table
@@ -36,8 +46,12 @@ from tripflow.llm.text import checkpoint, table
 BLOCK_SIZE = 32             # documents
 PERIOD = 1000               # slots; at least four for each source
 RANGE = 4_000               # rows of a source that are numbered together
-MAX_SOURCES = 500           # their counts and schedules are kept by the driver
+MAX_SOURCES = 500           # up to so many, the driver keeps their counts and schedules
+FAN = 64                    # members of a group of sources beyond that
 ROW_BYTES, BROADCAST_BYTES = 64, 16_000_000
+PHASE = ("first", "last", "period", "slots")
+PHASES = pa.list_(pa.struct([*((name, pa.int64()) for name in PHASE[:3]), ("slots", pa.list_(pa.int64()))]))
+PHASES_SQL = "array<struct<first:long,last:long,period:long,slots:array<long>>>"
 
 
 def shares(weights: list[float], period: int) -> list[int]:
@@ -101,15 +115,18 @@ def plan(blocks: list[int], weights: list[float], period: int = PERIOD) -> list[
     return out
 
 
-def numbered(docs: DataFrame, id_col: str, source_col: str) -> tuple[DataFrame, dict]:
+def numbered(docs: DataFrame, id_col: str, source_col: str) -> tuple[DataFrame, dict | None, DataFrame]:
     """``docs`` with ``_number`` (from 0 within its source) and ``_source``, and
-    the sources' counts."""
+    the sources' counts: as a dict up to MAX_SOURCES (else None), and as a table
+    (_source, n)."""
     keyed = docs.withColumn("_source", F.col(source_col).cast("string"))
     counts = keyed.groupBy("_source").agg(F.count(F.lit(1)).alias("n"))
     size = {r._source: r.n for r in counts.limit(MAX_SOURCES + 1).collect()}
-    if len(size) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    ranges = max(1, -(-max(size.values(), default=1) // RANGE))
+    sources, largest = len(size), max(size.values(), default=1)
+    if sources > MAX_SOURCES:
+        size, counts = None, checkpoint(counts)
+        sources, largest = counts.agg(F.count(F.lit(1)), F.max("n")).first()
+    ranges = max(1, -(-largest // RANGE))
     # the order within a source: the ranges of a hash, then the hash, then the id
     hashed = keyed.withColumn("_hash", F.xxhash64(F.col(id_col), F.lit("mix"))).withColumn(
         "_range", F.floor(F.shiftrightunsigned("_hash", 33) * F.lit(ranges) / F.lit(1 << 31)).cast("int"))
@@ -117,20 +134,86 @@ def numbered(docs: DataFrame, id_col: str, source_col: str) -> tuple[DataFrame,
     before = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offset = by_range.select(F.col("_source").alias("_s"), F.col("_range").alias("_r"),
                              F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    if len(size) * ranges * ROW_BYTES <= BROADCAST_BYTES:
+    if sources * ranges * ROW_BYTES <= BROADCAST_BYTES:
         offset = F.broadcast(offset)        # one row per source and range
     within = Window.partitionBy("_source", "_range").orderBy("_hash", id_col)
     out = (hashed.withColumn("_k", F.row_number().over(within) - 1)
            .join(offset, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
            .withColumn("_number", F.col("_before") + F.col("_k")))
-    return out.drop("_hash", "_range", "_k", "_s", "_r", "_before"), size
+    return out.drop("_hash", "_range", "_k", "_s", "_r", "_before"), size, counts
+
+
+def _deal(period: int) -> Callable:
+    """The phases of a group's members, from its rows (up, key, weight, blocks)."""
+    def run(members: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(members.column(c).to_pylist() for c in ("_key", "_weight", "_blocks")), strict=True))
+        phases = plan([r[2] for r in rows], [r[1] for r in rows], period)
+        return pa.table([pa.array([r[0] for r in rows], pa.string()),
+                         pa.array([[dict(zip(PHASE, x, strict=True)) for x in p] for p in phases], PHASES)],
+                        names=["_key", "_phases"])
+    return run
+
+
+def _tree_slots(blocks: DataFrame, nodes: DataFrame, period: int) -> DataFrame:
+    """(_leaf, _block, _slot) of all ``blocks`` (_leaf, _block), where ``nodes``
+    (_key, _weight, _blocks) are the sources, ``_leaf`` their keys."""
+    out = blocks.select("_leaf", "_block", F.col("_leaf").alias("_key"), F.col("_block").alias("_slot"))
+    level = 0
+    while True:
+        groups = max(1, -(-nodes.count() // FAN))
+        nodes = nodes.withColumn("_up", F.pmod(F.xxhash64("_key", F.lit(level)), F.lit(groups)).cast("string"))
+        dealt = nodes.groupBy("_up").applyInArrow(_deal(period), f"_key string, _phases {PHASES_SQL}")
+        dealt = checkpoint(dealt.join(nodes.select("_key", "_up"), "_key"))
+        out = checkpoint(out.join(dealt, "_key")
+                         .select("_leaf", "_block", F.col("_up").alias("_key"), _slot_of(F.col("_slot")).alias("_slot")))
+        if groups == 1:
+            return out.select("_leaf", "_block", "_slot")
+        nodes = checkpoint(nodes.groupBy(F.col("_up").alias("_key"))
+                           .agg(F.sum("_weight").alias("_weight"), F.sum("_blocks").alias("_blocks")))
+        level += 1
+
+
+def _slot_of(block: Column) -> Column:
+    """The slot of a block by the column ``_phases`` of its source (see ``plan``)."""
+    own = F.element_at(F.filter("_phases", lambda p: (p["first"] <= block) & (block <= p["last"])), 1)
+    step, n = block - own["first"], F.size(own["slots"])
+    return F.element_at(own["slots"], (step % n + 1).cast("int")) + F.floor(step / n) * own["period"]
+
+
+def _place_many(rows: DataFrame, counts: DataFrame, weights: Mapping[str | None, float] | None, block_size: int,
+                period: int) -> DataFrame:
+    """``rows`` with ``_block`` and ``_slot``, for any number of sources."""
+    leaf = F.coalesce(F.concat(F.lit("s"), "_source"), F.lit(""))       # null is a source, and sorts first
+    nodes = counts.select(leaf.alias("_key"), F.ceil(F.col("n") / block_size).alias("_blocks"))
+    if weights is None:
+        nodes = nodes.withColumn("_weight", F.lit(1.0))
+    else:
+        given = rows.sparkSession.createDataFrame(
+            [("" if s is None else f"s{s}", float(w)) for s, w in weights.items()], "_key string, _weight double")
+        nodes = nodes.join(given, "_key", "left").withColumn("_weight", F.coalesce("_weight", F.lit(0.0)))
+    nodes = checkpoint(nodes.select("_key", "_weight", "_blocks"))
+    rows = rows.withColumn("_block", F.floor(F.col("_number") / block_size)).withColumn("_leaf", leaf)
+    blocks = rows.where(F.col("_number") % block_size == 0).select("_leaf", "_block")
+    first = nodes.where("_weight > 0")
+    last = nodes.where("_weight <= 0").withColumn("_weight", F.lit(1.0))
+    slots, before = [], 0
+    for part in (first, last):
+        total = part.agg(F.sum("_blocks")).first()[0]
+        if total:
+            own = blocks.join(part.select(F.col("_key").alias("_leaf")), "_leaf", "left_semi")
+            slots.append(_tree_slots(own, part, period).withColumn("_slot", F.col("_slot") + before))
+            before += total
+    slots = slots[0] if len(slots) == 1 else slots[0].union(slots[1])
+    return rows.join(slots, ["_leaf", "_block"]).drop("_leaf")
 
 
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, id_col: str = "doc_id",
         source_col: str = "source", block_size: int = BLOCK_SIZE, period: int = PERIOD) -> DataFrame:
     """``docs`` with ``_block`` (its block's number within its source),
     ``_slot`` (the block's) and ``_position`` (the row's place in the mix)."""
-    rows, size = numbered(docs, id_col, source_col)
+    rows, size, counts = numbered(docs, id_col, source_col)
+    if size is None:
+        return _with_position(_place_many(rows, counts, weights, block_size, period), docs, block_size)
     names = sorted(size, key=lambda s: (s is not None, s or ""))
     weight = lambda s: 1.0 if weights is None else float(weights.get(s, 0.0))
     entries, slot = [], 0
@@ -141,18 +224,18 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, id_c
                     for s, phases in zip(group, found, strict=True)]
         slot += sum(blocks)
     schedule = docs.sparkSession.createDataFrame(
-        entries, "_s string, _phases array<struct<first:long,last:long,period:long,slots:array<long>>>")
+        entries, f"_s string, _phases {PHASES_SQL}")
     if 8 * sum(len(p[3]) + 4 for _, phases in entries for p in phases) <= BROADCAST_BYTES:
         schedule = F.broadcast(schedule)    # bounded by sources and period; else a plain join
     placed = (rows.withColumn("_block", F.floor(F.col("_number") / block_size))
               .join(schedule, F.col("_source").eqNullSafe(F.col("_s"))))
-    own = F.element_at(F.filter("_phases", lambda p: (p["first"] <= F.col("_block")) & (F.col("_block") <= p["last"])), 1)
-    placed = placed.withColumn("_p", own).drop("_phases")
-    step, n = F.col("_block") - F.col("_p.first"), F.size("_p.slots")
-    at = F.element_at("_p.slots", (step % n + 1).cast("int")) + F.floor(step / n) * F.col("_p.period")
-    return (placed.withColumn("_slot", at)
-            .withColumn("_position", F.col("_slot") * block_size + F.col("_number") % block_size)
-            .drop("_s", "_p", "_source", "_number"))
+    return _with_position(placed.withColumn("_slot", _slot_of(F.col("_block"))), docs, block_size)
+
+
+def _with_position(placed: DataFrame, docs: DataFrame, block_size: int) -> DataFrame:
+    """The columns of ``docs``, and ``_block``, ``_slot``, ``_position``."""
+    return placed.withColumn("_position", F.col("_slot") * block_size + F.col("_number") % block_size).select(
+        *docs.columns, "_block", "_slot", "_position")
 
 
 def in_mixed_order(docs: DataFrame, weights: Mapping[str | None, float] | None = None) -> DataFrame:
