@@ -33,6 +33,23 @@ def test_exact_split_size(spark):
     assert s.count() == n
 
 
+def test_exact_split_of_shared_keys(spark):
+    """A key that a third of the rows share, also where those rows are equal, or the key is null."""
+    for value in ("id", "id % 7", "1"):
+        t = spark.range(1000).select(
+            F.expr("CASE id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' END").alias("k"), F.expr(value).alias("v"))
+        want = sorted(map(str, t.collect()))
+        for fraction in (0.2, 0.5, 0.9):
+            s = smp.exact_split(t, "k", fraction)
+            assert s.columns == ["k", "v", "split"]
+            assert s.where("split = 'test'").count() == math.ceil(fraction * 1000)
+            assert sorted(map(str, s.drop("split").collect())) == want
+            again = smp.exact_split(t.repartition(3), "k", fraction)
+            assert sorted(map(str, again.collect())) == sorted(map(str, s.collect()))
+    assert smp.exact_split(t.where("v = 0"), "k").count() == 0
+    assert smp.exact_split(t, "k", total=5000).where("split = 'test'").count() == 1000
+
+
 def test_sample_rows_exact_and_brute_force(spark):
     t = trp.clean_trips(trips_from_events(spark, SF001))
     got = _keys(smp.sample_rows(t, 500, "trip_key"))

@@ -6,7 +6,8 @@ table and never funnels it through one task: a histogram of the first hex
 digits of the hash (at most 65 536 rows, collected) finds the boundary
 bucket; whole buckets below it are kept by a filter, and only the boundary
 bucket is ranked. If that bucket is still large (many duplicate keys) it is
-refined by the next hex digits.
+refined by the next hex digits. ``exact_split`` refines it down to one hash and
+ranks nothing; rows of one key are split by a hash of the whole row.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from tripflow.functions import hash_bucket, hash_hex, row_key
 
@@ -71,28 +73,45 @@ def _boundary(df: DataFrame, n: int | float, key: str, seed):
             return base, prefix, need
 
 
-def _threshold(df: DataFrame, n: int | float, key: str, seed) -> tuple[str, str] | None:
-    """(hash, key) of the n-th smallest row in (md5(seed|key), key) order;
-    None when every row is selected, ("", "") when none is."""
-    base, prefix, need = _boundary(df, n, key, seed)
-    if prefix is None:
-        return None
-    if need <= 0:
-        return ("", "")
-    top = (base.where(F.startswith(F.col("_h"), F.lit(prefix)))
-               .orderBy("_h", "_k").limit(need)
-               .agg(F.max(F.struct("_h", "_k")).alias("m")).collect()[0]["m"])
-    return top["_h"], top["_k"]
-
-
-def _selected(key: str, seed, th: tuple[str, str] | None) -> Column:
-    if th is None:
-        return F.lit(True)
-    if th == ("", ""):
-        return F.lit(False)
-    h = hash_hex(key, seed)
-    k = F.col(key).cast("string")
-    return (h < F.lit(th[0])) | ((h == F.lit(th[0])) & (k <= F.lit(th[1])))
+def _cut(rows: DataFrame, hashed: Column, n: int | float) -> tuple[str, int, int] | None:
+    """(hash, need, count) of the n-th smallest hash among ``rows``: its rows
+    are ``count``, of which the first ``need`` belong to the n smallest; None
+    without rows. ``n`` may be a fraction of the rows (``0 < n < 1``). Each
+    round reads four more hex digits of one bucket, until it has one hash: at
+    most eight rounds, whatever the keys."""
+    base, prefix, need = rows.select(hashed.alias("_h")), "", n
+    while True:
+        hist = (base.where(F.startswith(F.col("_h"), F.lit(prefix)))
+                .groupBy(F.substring("_h", len(prefix) + 1, 4).alias("_p"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("_h").alias("lo"), F.max("_h").alias("hi"))
+                .collect())             # <= 16**4 rows by construction
+        if not hist:
+            return None
+        if 0 < need < 1:
+            need = math.ceil(need * sum(r["n"] for r in hist))
+        hist.sort(key=lambda r: r["_p"])
+        for r in hist:
+            if need <= r["n"]:
+                break
+            need -= r["n"]
+        else:                           # more than there are
+            need = r["n"]
+        if r["lo"] == r["hi"]:
+            return r["lo"], need, r["n"]
+        prefix += r["_p"]
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """md5 over all columns. Rows share it only if all their values are equal:
+    each value is hashed by itself, nulls are marked, nested values count as
+    text and as JSON."""
+    def one(f):
+        c = F.col(f"`{f.name}`")
+        text = F.md5(c.cast("string").cast("binary"))
+        if isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType)):
+            text = F.concat(text, F.md5(F.to_json(c).cast("binary")))
+        return F.coalesce(text, F.lit("~"))
+    return F.md5(F.concat_ws("|", *[one(f) for f in df.schema.fields]))
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42, where: Column | None = None,
@@ -127,14 +146,33 @@ def exact_split(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int =
                 col: str = "split", total: int | None = None) -> DataFrame:
     """Split with exactly ``ceil(test_fraction * n)`` test rows (the rule of
     the common train/test split helper), chosen by hash order. ``n`` comes
-    from the first hash histogram unless ``total`` is given."""
+    from the first hash histogram unless ``total`` is given.
+
+    Rows that share the boundary key are told apart by a hash of the whole
+    row. Where equal rows are left, they are one row and a count: that many
+    numbered copies of it are made, so no task gathers them."""
     if test_fraction >= 1:
         return df.withColumn(col, F.lit("test"))
     n_test = math.ceil(test_fraction * total) if total is not None else test_fraction
     if n_test <= 0:
         return df.withColumn(col, F.lit("train"))
-    th = _threshold(df, n_test, key, seed)
-    return df.withColumn(col, F.when(_selected(key, seed, th), F.lit("test")).otherwise(F.lit("train")))
+    label = lambda test: F.when(test, F.lit("test")).otherwise(F.lit("train"))
+    h = F.coalesce(hash_hex(key, seed), F.lit("~"))         # null keys last
+    cut = _cut(df, h, n_test)
+    if cut is None:
+        return df.withColumn(col, F.lit("train"))
+    at, need, count = cut
+    if need == count:
+        return df.withColumn(col, label(h <= at))
+    row = _row_hash(df)
+    row_at, need, count = _cut(df.where(h == at), row, need)
+    if need == count:
+        return df.withColumn(col, label((h < at) | ((h == at) & (row <= row_at))))
+    same = (h == at) & (row == row_at)
+    others = df.where(~same).withColumn(col, label((h < at) | ((h == at) & (row < row_at))))
+    copies = df.sparkSession.range(count).select((F.col("id") < need).alias("_test"))
+    copies = copies.crossJoin(F.broadcast(df.where(same).limit(1)))     # one row
+    return others.unionByName(copies.withColumn(col, label(F.col("_test"))).select(*[f"`{c}`" for c in others.columns]))
 
 
 def hour_bounds(virtual_dt: str) -> tuple[Column, Column]:
