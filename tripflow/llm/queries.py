@@ -6,7 +6,9 @@ from tripflow.llm import (
     jaccard,
     language,
     licences,
+    merkle,
     mixing,
+    periodic,
     pieces,
     quality_crf,
     quality_rules,
@@ -26,6 +28,8 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op13_periodic_runs": periodic.op13_periodic_runs,
 }
 
 # the others have no SQL twin: they are tested by brute force or held-out accuracy
@@ -33,4 +37,5 @@ ORACLE = {
     "op2_license_scans": licences.ORACLE_SQL,
     "op5_exact_top_k": top_k.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
+    "op11_merkle_manifest": merkle.ORACLE_SQL,
 }

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -162,6 +163,34 @@ def sequence_hash(word: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return mix(h)
 
 
+def sequence_prefix(value: np.ndarray) -> np.ndarray:
+    """Prefix for ``span_hash`` over a sequence of 64-bit values (such as the
+    hashes of words) instead of bytes."""
+    out = np.zeros(len(value) + 1, np.uint64)
+    np.cumsum(value * _power(_BASE, len(value)), out=out[1:])
+    return out
+
+
+def joined(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The spans one after another, each followed by one space, and where each
+    begins (spans + 1 values)."""
+    at = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start + 1, out=at[1:])
+    source = np.repeat(start - at[:-1], np.diff(at)) + np.arange(at[-1])
+    out = buf[np.minimum(source, max(len(buf) - 1, 0))] if len(source) else np.zeros(0, np.uint8)
+    out[at[1:] - 1] = 32
+    return out.tobytes(), at
+
+
+def joined_sha256(buf: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> list[str]:
+    """Per row (its spans are ``first[r]``..``first[r + 1]``) the lowercase hex
+    sha256 of its spans joined by one space."""
+    data, at = joined(buf, start, end)
+    data = memoryview(data)
+    lo, hi = at[first[:-1]].tolist(), at[first[1:]].tolist()
+    return [sha256(data[a:max(a, b - 1)]).hexdigest() for a, b in zip(lo, hi, strict=True)]
+
+
 def _string_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if not pa.types.is_large_binary(column.type):
         column = column.cast(pa.large_binary())
