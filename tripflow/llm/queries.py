@@ -12,6 +12,7 @@ from tripflow.llm import (
     pieces,
     quality_crf,
     quality_rules,
+    substrings,
     top_k,
     toxicity,
     url_filter,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_substring_dedup": substrings.op12_substring_dedup,
     "op13_periodic_runs": periodic.op13_periodic_runs,
 }
 
@@ -38,4 +40,5 @@ ORACLE = {
     "op5_exact_top_k": top_k.ORACLE_SQL,
     "op9_quality_rules": quality_rules.ORACLE_SQL,
     "op11_merkle_manifest": merkle.ORACLE_SQL,
+    "op12_substring_dedup": substrings.ORACLE_SQL,
 }
