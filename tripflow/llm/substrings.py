@@ -16,7 +16,8 @@ windows are the same edge if and only if their words are equal.
   to compare.
 * **Branching nodes.** Where paths with different words share a node, the first
   occurrence of each is read again by its coordinates (document, start) and
-  opened into single edges; a join by edge finds those that also start in a
+  opened into single edges. Edges whose hash is in several documents are kept by
+  a join; of these, a join by node and edge finds those that also start in a
   document with a smaller id. This settles where paths begin, part and end.
 * **Coverage.** Settled stretches are gathered per document and their words go.
 
@@ -132,9 +133,10 @@ def _id_type(source: DataFrame) -> str:
 
 
 def open_edges(source: DataFrame, places: DataFrame) -> DataFrame:
-    """(doc_id, node, path, offset, edge) of all edges of the pieces at
-    ``places`` (doc_id, text_key, node, path, start, edges), read from the texts again."""
-    wanted = places.groupBy(*DOC).agg(F.collect_list(F.struct("start", "edges", "node", "path")).alias("places"))
+    """(doc_id, at, edge) of all edges of the pieces at ``places`` (doc_id,
+    text_key, place, start, edges), read from the texts again; ``at`` is
+    place * EDGE + the edge's number in its piece."""
+    wanted = places.groupBy(*DOC).agg(F.collect_list(F.struct("start", "edges", "place")).alias("places"))
 
     def per_block(b: Block, rows: pa.RecordBatch) -> dict:
         _, _, first, value = _values(b)
@@ -142,15 +144,15 @@ def open_edges(source: DataFrame, places: DataFrame) -> DataFrame:
         lists = rows.column(3)
         items = lists.flatten()
         row = np.repeat(np.arange(b.rows), np.asarray(lists.value_lengths()))
-        start, edges, node, path = (np.asarray(items.field(k)) for k in range(4))
+        start, edges, place = (np.asarray(items.field(k)) for k in range(3))
         which = np.repeat(np.arange(len(start)), edges)
         offset = np.arange(len(which)) - np.repeat(np.cumsum(edges) - edges, edges)
         at = first[row][which] + start[which] + offset
-        return {"doc_id": rows.column(0).take(pa.array(row[which])), "node": _long(node[which]), "path": _long(path[which]),
-                "offset": pa.array(offset, pa.int32()), "edge": _long(span_hash(prefix, at, at + EDGE))}
+        return {"doc_id": rows.column(0).take(pa.array(row[which])), "at": _long(place[which] * EDGE + offset),
+                "edge": _long(span_hash(prefix, at, at + EDGE))}
 
     joined = source.join(wanted, DOC).select(*DOC, "text", "places")
-    return _in_batches(joined, per_block, f"doc_id {_id_type(source)}, node long, path long, offset int, edge long")
+    return _in_batches(joined, per_block, f"doc_id {_id_type(source)}, at long, edge long")
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], total: int) -> DataFrame:
@@ -163,11 +165,10 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], total: int)
             .unionByName(rows.join(few.select(keys), keys, "left_anti").join(groups.where(~hot), keys)))
 
 
-def _earlier(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows (with doc_id) whose key also has a row of a smaller doc_id."""
-    groups = (rows.groupBy(*keys).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("n"))
-              .where("least < most"))
-    return join_groups(rows, groups.drop("most"), keys, rows.count()).where("doc_id > least").drop("least", "n")
+def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, least, n) of the keys whose rows have several doc_ids."""
+    return (rows.groupBy(*keys).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("n"))
+            .where("least < most").drop("most"))
 
 
 def repeated_spans(source: DataFrame) -> DataFrame:
@@ -184,10 +185,14 @@ def repeated_spans(source: DataFrame) -> DataFrame:
     whole = (join_groups(found, again, ["node", "path"], total).where("doc_id > least").select(*DOC, "start", "edges"))
     # branching nodes: edges of the first occurrence of each path
     nodes = paths.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    branching = join_groups(paths.drop("n"), nodes, ["node"], paths.count()).select("node", "path", "source.*")
+    branching = checkpoint(join_groups(paths.drop("n"), nodes, ["node"], paths.count())
+                           .select(F.monotonically_increasing_id().alias("place"), "node", "path", "source.*"))
     edges = checkpoint(open_edges(source, branching))
-    single = (_earlier(edges, ["node", "edge"]).groupBy("doc_id", "node", "path")
-              .agg(F.collect_list("offset").alias("offsets")))
+    same = join_groups(edges.select("at", "edge"), _shared(edges, ["edge"]).drop("least"), ["edge"], edges.count())
+    same = checkpoint(same.select("edge", F.floor(F.col("at") / EDGE).alias("place"), (F.col("at") % EDGE).alias("offset"))
+                      .join(branching.select("place", "doc_id", "node", "path"), "place"))
+    earlier = join_groups(same, _shared(same, ["node", "edge"]), ["node", "edge"], same.count()).where("doc_id > least")
+    single = earlier.groupBy("doc_id", "node", "path").agg(F.collect_list("offset").alias("offsets"))
     part = (found.join(single, ["doc_id", "node", "path"])      # all occurrences in that document
             .select(*DOC, F.explode(F.transform("offsets", lambda x: F.col("start") + x)).alias("start"),
                     F.lit(1).alias("edges")))
