@@ -222,7 +222,8 @@ def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, group_col: str = "
     nodes = ["tree", "at", "blocks", "digest"]
     groups = _climb(checkpoint(_parents(leaves.select(nodes), height)), height)
     subroots = groups.groupBy("tree").agg(F.first("top").alias("subroot"))
-    names = _numbered(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("name"),
+    one = F.substring("tree", 1, 0)         # all subroots are one tree
+    names = _numbered(subroots.select(one.alias("tree"), F.col("tree").alias("name"),
                                       F.col("subroot").alias("digest")), ["name"], height)
     roots = (_climb(names.select(nodes), height).join(names.select("at", "name", F.col("digest").alias("subroot")), "at")
              .select(F.col("name").alias("tree"), F.col("path").alias("_rest"), "subroot", F.col("top").alias("root")))

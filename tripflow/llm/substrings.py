@@ -5,9 +5,12 @@ windows are the same edge if and only if their words are equal.
 
 * **Pieces.** Each edge hangs on a node, the least-hashed ``NODE``-word k-mer in
   it (the leftmost of equals), which depends on the edge's words alone. Edges
-  that follow one another on the same occurrence of their node form a piece,
-  one row: (node, path, document, start, number of edges), where path is the
-  hash of all the piece's words.
+  that follow one another on the same occurrence of their node form a piece:
+  (node, path, document, start, number of edges), where path is the hash of all
+  the piece's words. Equal pieces that follow one another (periodic text) are
+  one row with their number.
+* **Shared nodes.** Only nodes that stand in several documents go further; a
+  document's own words, most of a corpus, end here.
 * **Compaction.** Pieces with the same node and path are one path, whatever the
   number of documents; a join brings them the smallest document in which the
   path starts. All edges of a piece in a later document also start there, so
@@ -44,11 +47,11 @@ from pyspark.sql import functions as F
 from tripflow.llm.text import (
     Block,
     blocks,
-    checkpoint,
     joined_sha256,
     sequence_prefix,
     span_hash,
     table,
+    written,
 )
 
 EDGE = 50               # words of a window
@@ -94,6 +97,15 @@ def _pieces(value: np.ndarray, first: np.ndarray, prefix: np.ndarray) -> tuple[n
     return window[new], edges, name[place[new]]
 
 
+def _repeats(row: np.ndarray, start: np.ndarray, edges: np.ndarray, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pieces in order: which differ from the one just before them in the
+    text, and how many equal ones each of those stands for."""
+    same = ((row[1:] == row[:-1]) & (path[1:] == path[:-1]) & (edges[1:] == edges[:-1])
+            & (start[1:] == start[:-1] + edges[:-1]))
+    new = np.flatnonzero(np.concatenate([[True], ~same])) if len(row) else row
+    return new, np.diff(np.append(new, len(row)))
+
+
 def _in_batches(source: DataFrame, per_block: Callable[[Block, pa.RecordBatch], dict], schema: str) -> DataFrame:
     place = source.columns.index("text")
 
@@ -113,19 +125,24 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def pieces(source: DataFrame) -> DataFrame:
-    """(doc_id, text_key, start, edges, node, path) of all pieces of texts (doc_id, text_key, text)."""
+    """(doc_id, text_key, start, edges, times, node, path) of all pieces of
+    texts (doc_id, text_key, text); ``times`` equal pieces follow one another."""
 
     def per_block(b: Block, rows: pa.RecordBatch) -> dict:
         _, _, first, value = _values(b)
         prefix = sequence_prefix(value)
         start, edges, node = _pieces(value, first, prefix)
         row = np.searchsorted(first, start, side="right") - 1
+        path = span_hash(prefix, start, start + edges + EDGE - 1)
+        new, times = _repeats(row, start, edges, path)
+        row, start = row[new], start[new]
         who = pa.array(row)
         return {"doc_id": rows.column(0).take(who), "text_key": rows.column(1).take(who),
-                "start": _long(start - first[row]), "edges": pa.array(edges, pa.int32()), "node": _long(node),
-                "path": _long(span_hash(prefix, start, start + edges + EDGE - 1))}
+                "start": _long(start - first[row]), "edges": pa.array(edges[new], pa.int32()), "times": _long(times),
+                "node": _long(node[new]), "path": _long(path[new])}
 
-    return _in_batches(source, per_block, f"doc_id {_id_type(source)}, text_key long, start long, edges int, node long, path long")
+    return _in_batches(source, per_block,
+                       f"doc_id {_id_type(source)}, text_key long, start long, edges int, times long, node long, path long")
 
 
 def _id_type(source: DataFrame) -> str:
@@ -175,27 +192,30 @@ def repeated_spans(source: DataFrame) -> DataFrame:
     """(doc_id, text_key, start, edges): stretches of windows, by the word of
     the first, that also start in a document with a smaller id. Each such
     window of ``source`` (doc_id, text_key, text) is in at least one."""
-    found = checkpoint(pieces(source.where("doc_id IS NOT NULL")))
-    total = found.count()
-    paths = checkpoint(found.groupBy("node", "path").agg(
+    every = written(pieces(source.where("doc_id IS NOT NULL")))
+    nodes = written(every.groupBy("node").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), (F.min("path") < F.max("path")).alias("branches"),
+        F.count(F.lit(1)).alias("n")).where("least < most").select("node", "branches", "n"))
+    found = written(join_groups(every, nodes, ["node"], every.count()).drop("n"))
+    paths = written(found.groupBy("node", "path").agg(
         F.min(F.struct("doc_id", "text_key", "start", "edges")).alias("source"), F.max("doc_id").alias("last"),
-        F.count(F.lit(1)).alias("n")))
+        F.first("branches").alias("branches"), F.count(F.lit(1)).alias("n")))
     # whole pieces: their path starts in a smaller document
     again = paths.where(F.col("source.doc_id") < F.col("last")).select("node", "path", F.col("source.doc_id").alias("least"), "n")
-    whole = (join_groups(found, again, ["node", "path"], total).where("doc_id > least").select(*DOC, "start", "edges"))
+    whole = (join_groups(found, again, ["node", "path"], found.count()).where("doc_id > least")
+             .select(*DOC, "start", (F.col("edges") * F.col("times")).alias("edges")))
     # branching nodes: edges of the first occurrence of each path
-    nodes = paths.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    branching = checkpoint(join_groups(paths.drop("n"), nodes, ["node"], paths.count())
-                           .select(F.monotonically_increasing_id().alias("place"), "node", "path", "source.*"))
-    edges = checkpoint(open_edges(source, branching))
+    branching = written(paths.where("branches").select(F.monotonically_increasing_id().alias("place"), "node", "path", "source.*"))
+    edges = written(open_edges(source, branching))
     same = join_groups(edges.select("at", "edge"), _shared(edges, ["edge"]).drop("least"), ["edge"], edges.count())
-    same = checkpoint(same.select("edge", F.floor(F.col("at") / EDGE).alias("place"), (F.col("at") % EDGE).alias("offset"))
-                      .join(branching.select("place", "doc_id", "node", "path"), "place"))
+    same = written(same.select("edge", F.floor(F.col("at") / EDGE).alias("place"), (F.col("at") % EDGE).alias("offset"))
+                   .join(branching.select("place", "doc_id", "node", "path"), "place"))
     earlier = join_groups(same, _shared(same, ["node", "edge"]), ["node", "edge"], same.count()).where("doc_id > least")
-    single = earlier.groupBy("doc_id", "node", "path").agg(F.collect_list("offset").alias("offsets"))
-    part = (found.join(single, ["doc_id", "node", "path"])      # all occurrences in that document
-            .select(*DOC, F.explode(F.transform("offsets", lambda x: F.col("start") + x)).alias("start"),
-                    F.lit(1).alias("edges")))
+    single = earlier.groupBy("doc_id", "node", "path").agg(F.collect_set("offset").alias("offsets"))
+    offsets = F.flatten(F.transform(F.sequence(F.lit(0).cast("long"), F.col("times") - 1), lambda k: F.transform(
+        "offsets", lambda x: F.col("start") + k * F.col("edges") + x)))
+    part = (found.where("branches").join(single, ["doc_id", "node", "path"])      # all occurrences in that document
+            .select(*DOC, F.explode(offsets).alias("start"), F.lit(1).cast("long").alias("edges")))
     return whole.unionByName(part)
 
 
