@@ -132,3 +132,78 @@ def test_label_values_are_escaped(spark):
     df = spark.createDataFrame([({"a": 'x",b="y'},), ({"a": "x", "b": "y"},), ({"a": "1\n2\\"},)], "labels map<string,string>")
     got = [r[0] for r in df.select(mt.labels_key("labels")).collect()]
     assert got == ['a="x\\",b=\\"y"', 'a="x",b="y"', 'a="1\\n2\\\\"']
+
+
+def _at(samples, t, w):
+    lo = t - dt.timedelta(seconds=w)
+    return [j for j in range(len(samples)) if lo < samples[j][0] <= t]
+
+
+@pytest.mark.parametrize("step,window", [(240, 1800), (3600, 900), (600, 600)])
+def test_functions_on_steps_against_brute_force(spark, step, window):
+    m, rows = _samples(spark, n=60)
+    steps = mt.Steps("2024-01-01 01:00:00", "2024-01-01 06:30:00", step)
+    t0, t1 = dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 1, 6, 30)
+    times = [t0 + dt.timedelta(seconds=k * step) for k in range(int((t1 - t0).total_seconds()) // step + 1)]
+    want = {f: {} for f in ("last", "rate", "irate", "changes")}
+    for s, pts in _brute_by_series(rows).items():
+        for t in times:
+            idx = _at(pts, t, window)
+            if not idx:
+                continue
+            at = (f's="{s}"', t)
+            inc = [(0.0, 0.0) if j == 0 else (pts[j][1] - pts[j - 1][1] if pts[j][1] >= pts[j - 1][1] else pts[j][1],
+                                              (pts[j][0] - pts[j - 1][0]).total_seconds()) for j in idx]
+            want["last"][at] = pts[idx[-1]][1]
+            if sum(x[1] for x in inc) > 0:
+                want["rate"][at] = round(sum(x[0] for x in inc) / sum(x[1] for x in inc), 6)
+            if len(idx) > 1:
+                want["irate"][at] = round(inc[-1][0] / inc[-1][1], 6)
+            want["changes"][at] = sum(pts[j][1] != pts[j - 1][1] for j in idx[1:])
+    got = {"last": mt.instant(m, lookback_s=window, steps=steps), "rate": mt.rate(m, window, HOUR_US, steps=steps),
+           "irate": mt.irate(m, HOUR_US, steps=steps, window_s=window),
+           "changes": mt.changes(m, window, HOUR_US, steps=steps)}
+    for f, v in got.items():
+        assert v.columns == ["name", "labels", "label_map", "ts", "value"]
+        assert {(r.labels, r.ts): r.value for r in v.collect()} == pytest.approx(want[f]), f
+
+
+def _constant_rate(spark, series=("a",)):
+    """Counters that grow by one a second, a sample a minute."""
+    t = lambda k: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=k)
+    return mt.normalize(spark.createDataFrame(
+        [("x", {"s": s}, t(k), 60.0 * k) for s in series for k in range(6)],
+        "name string, labels map<string,string>, ts timestamp_ntz, value double"))
+
+
+def test_aggregates_keep_times_apart(spark):
+    rate = mt.rate(_constant_rate(spark, "ab"), 300).where("value IS NOT NULL")
+    for fn, want in (("sum", 2.0), ("avg", 1.0), ("count", 2.0), ("max", 1.0)):
+        got = mt.aggregate_by(rate, [], fn).collect()
+        assert len(got) == 5 and {r.value for r in got} == {want}
+    # an instant vector's elements meet at its evaluation time, whatever their samples' times
+    v = mt.instant(_constant_rate(spark).unionByName(_constant_rate(spark, "b").where("ts < '2024-01-01 00:03:00'")),
+                   "2024-01-01 01:00:00", lookback_s=None)
+    assert [r.value for r in mt.aggregate_by(v, [], "count").collect()] == [2.0]
+    assert mt.range_query(_constant_rate(spark), "2024-01-01 00:00:00", "2024-01-01 00:05:00", 60) \
+        .transform(lambda x: mt.aggregate_by(x, [], "sum")).count() == 6
+
+
+def test_matching_is_aligned_in_time(spark):
+    steps = mt.Steps("2024-01-01 00:02:00", "2024-01-01 00:05:00", 60)
+    v = mt.instant(_constant_rate(spark, "ab"), lookback_s=60, steps=steps)
+    a, b = v.where("labels = 's=\"a\"'"), v.where("labels = 's=\"b\"' AND ts <> '2024-01-01 00:04:00'")
+    got = mt.metric_binary_op(a, b, "-", on=[]).collect()
+    assert len(got) == 3 and {r.value for r in got} == {0.0}
+    with pytest.raises(Exception, match="several right-hand series"):
+        mt.metric_binary_op(a, v, "-", on=[]).collect()
+    info = mt.aggregate_by(v, ["s"], "count").withColumn("label_map", F.create_map(F.lit("s"), F.lit("a"), F.lit("zone"), F.lit("z1"))) \
+        .where("labels = 's=\"a\"'")
+    out = mt.metric_binary_op(a, info, "*", on=["s"], group_left=["zone"]).collect()
+    assert len(out) == 4 and {r.labels for r in out} == {'s="a",zone="z1"'} and all(r.label_map["zone"] == "z1" for r in out)
+    total = mt.scalar_steps(mt.aggregate_by(v, [], "sum"))
+    share = mt.by_scalar(a, "/", total).collect()
+    assert len(share) == 4 and {r.value for r in share} == {0.5}
+    assert all(r.value != r.value for r in mt.by_scalar(a, "/", mt.scalar_steps(v)).collect())      # two elements: NaN
+    with pytest.raises(ValueError):
+        mt.instant(a, lookback_s=None, steps=steps)

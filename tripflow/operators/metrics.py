@@ -5,9 +5,18 @@ identity is ``(name, labels)``; because a map cannot be a grouping key, the
 labels are carried as a canonical text key (``k1="v1",k2="v2"``, sorted).
 
 Every operator of the query language takes and returns vectors with the
-columns ``name, labels, label_map, ts, value``, so they compose: ``instant``
-of a range function is its value at an evaluation time, and aggregates,
-arithmetic and comparisons apply to any of them.
+columns ``name, labels, label_map, ts, value``, so they compose. ``instant``,
+``rate``, ``irate`` and ``changes`` take ``steps`` and are then evaluated at
+each of these times (``ts`` is the evaluation time); without steps the range
+functions have a value at each sample. Aggregates, arithmetic and comparisons
+apply to any vector and never mix times: ``instant`` at a single time keeps the
+sample's time as ``ts`` and the evaluation time as ``at``, by which its elements
+meet others.
+
+Evaluation on steps deals each sample to the steps whose window holds it. A
+sample's first and last step are the same for all samples of a pane, so panes
+are aggregated first and dealt out then; the work is panes times window / step,
+however dense the samples are.
 
 Per-series order operators (lag, range windows, islands) never put a whole
 series into one task: samples are cut into time buckets (default one day)
@@ -19,6 +28,8 @@ therefore spread over as many tasks as it has buckets.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +41,19 @@ SERIES = ["name", "labels"]
 VECTOR = [*SERIES, "label_map", "ts"]      # and value
 
 
+@dataclass(frozen=True)
+class Steps:
+    """Evaluation times: ``start``, then every ``step_s`` seconds up to ``end``."""
+
+    start: str
+    end: str
+    step_s: int
+
+    def micros(self) -> tuple[Column, Column, int]:
+        at = lambda text: epoch_micros(F.to_timestamp_ntz(F.lit(text)))
+        return at(self.start), at(self.end), int(self.step_s) * 1_000_000
+
+
 def labels_key(labels) -> Column:
     """Canonical text of a label map: sorted ``k="v"`` pairs joined by ','.
     Backslash, quote and newline are escaped in values, so different maps
@@ -83,31 +107,62 @@ def match_labels(m: DataFrame, matchers: list[tuple[str, str, str]]) -> DataFram
     return m.where(cond)
 
 
-def instant(m: DataFrame, as_of: str, lookback_s: int | None = 300) -> DataFrame:
+def instant(m: DataFrame, as_of: str | None = None, lookback_s: int | None = 300,
+            steps: Steps | None = None) -> DataFrame:
     """Latest sample per series at ``as_of`` (K1): ``ts <= as_of`` and, with a
-    lookback, ``ts > as_of - lookback``. Ties on time keep the larger value."""
+    lookback, ``ts > as_of - lookback``. Ties on time keep the larger value.
+    With ``steps`` the same at each of these times, which need a lookback."""
+    if steps is not None:
+        if lookback_s is None:
+            raise ValueError("steps need a lookback: every sample would be dealt to every later step")
+        out = _at_steps(m, steps, lookback_s, {"s": (F.max, F.struct("t_us", "value"))})
+        return out.select(*VECTOR, F.col("s.value").alias("value"))
     at = F.to_timestamp_ntz(F.lit(as_of))
     cond = F.col("ts") <= at
     if lookback_s is not None:
         cond = cond & (F.col("ts") > F.timestamp_add("SECOND", F.lit(-int(lookback_s)), at))
     last = m.where(cond).groupBy(*SERIES).agg(
         F.max(F.struct("ts", "value")).alias("s"), F.first("label_map").alias("label_map"))
-    return last.select(*SERIES, "label_map", F.col("s.ts").alias("ts"), F.col("s.value").alias("value"))
+    return last.select(*SERIES, "label_map", F.col("s.ts").alias("ts"), F.col("s.value").alias("value"), at.alias("at"))
+
+
+def _at_steps(x: DataFrame, steps: Steps, window_s: int, values: dict[str, tuple]) -> DataFrame:
+    """(name, labels, label_map, ts and each of ``values``) at each step t, over
+    the samples in ``(t - window, t]``; a series without any has no row.
+    ``values`` maps a name to (aggregate, column); the aggregate also merges its
+    own results (sum, min, max)."""
+    start, end, step = steps.micros()
+    window = int(window_s) * 1_000_000
+    whole = lambda c: ((c - c % F.lit(step)) / F.lit(step)).cast("long")  # noqa: E731 - exact: a multiple
+    since = F.timestamp_add("MICROSECOND", F.lit(-window), F.to_timestamp_ntz(F.lit(steps.start)))
+    seen = x.where((F.col("ts") > since) & (F.col("ts") <= F.to_timestamp_ntz(F.lit(steps.end))))
+    # the first step at or after the sample, the last one before the sample's time plus the window
+    first = whole(F.greatest(F.col("t_us") - start, F.lit(0)) + F.lit(step - 1))
+    last = F.least(whole(F.col("t_us") + F.lit(window) - start - 1), whole(end - start))
+    panes = (seen.groupBy(*SERIES, first.alias("_first"), last.alias("_last"))
+             .agg(F.first("label_map").alias("label_map"), *[f(c).alias(n) for n, (f, c) in values.items()])
+             .where("_first <= _last"))
+    dealt = panes.withColumn("_step", F.explode(F.sequence("_first", "_last")))
+    ts = F.timestamp_add("MICROSECOND", F.col("_step") * F.lit(step), F.to_timestamp_ntz(F.lit(steps.start)))
+    return (dealt.groupBy(*SERIES, "_step")
+            .agg(F.first("label_map").alias("label_map"), *[f(n).alias(n) for n, (f, _) in values.items()])
+            .withColumn("ts", ts).drop("_step"))
 
 
 def range_query(m: DataFrame, start: str, end: str, step_s: int) -> DataFrame:
     """Series over a time range at a fixed step (K2): at each step time t the
     last sample in ``(t - step, t]``. Implemented as a grouping by the step
-    that closes each sample (partial aggregation, no per-step product)."""
+    that closes each sample (partial aggregation, no per-step product). The
+    result is a vector; its time is also there as ``step_ts``."""
     step_us = int(step_s) * 1_000_000
     s_us = epoch_micros(F.to_timestamp_ntz(F.lit(start)))
     e_us = epoch_micros(F.to_timestamp_ntz(F.lit(end)))
     t_step = F.ceil((F.col("t_us") - s_us) / F.lit(step_us)) * F.lit(step_us) + s_us
     x = m.where((F.col("t_us") > s_us - F.lit(step_us)) & (F.col("t_us") <= e_us))
-    g = x.groupBy(*SERIES, t_step.alias("step_us")).agg(F.max(F.struct("t_us", "value")).alias("s"))
-    return g.select(*SERIES, F.timestamp_add("MICROSECOND", F.col("step_us"),
-                                             F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))).alias("step_ts"),
-                    F.col("s.value").alias("value"))
+    g = x.groupBy(*SERIES, t_step.alias("step_us")).agg(F.max(F.struct("t_us", "value")).alias("s"),
+                                                        F.first("label_map").alias("label_map"))
+    ts = F.timestamp_add("MICROSECOND", F.col("step_us"), F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")))
+    return g.select(*SERIES, "label_map", ts.alias("ts"), F.col("s.value").alias("value"), ts.alias("step_ts"))
 
 
 def with_previous(m: DataFrame, cols: list[str], bucket_us: int = DAY_US) -> DataFrame:
@@ -134,10 +189,14 @@ def with_previous(m: DataFrame, cols: list[str], bucket_us: int = DAY_US) -> Dat
                     *[F.coalesce(f"_p_{c}", f"_pl_{c}").alias(f"prev_{c}") for c in cols])
 
 
-def increments(m: DataFrame, bucket_us: int = DAY_US) -> DataFrame:
+def increments(m: DataFrame, bucket_us: int = DAY_US, stale_s: int | None = None) -> DataFrame:
     """Per sample: counter increase since the previous sample (a drop is a
-    reset: the whole new value counts), time step in µs, change flag."""
+    reset: the whole new value counts), time step in µs, change flag. A
+    previous sample more than ``stale_s`` seconds older doesn't count."""
     x = with_previous(m, ["value"], bucket_us)
+    if stale_s is not None:
+        near = F.col("t_us") - F.col("prev_t_us") <= F.lit(int(stale_s) * 1_000_000)
+        x = x.withColumn("prev_value", F.when(near, F.col("prev_value"))).withColumn("prev_t_us", F.when(near, F.col("prev_t_us")))
     inc = F.when(F.col("value") >= F.col("prev_value"), F.col("value") - F.col("prev_value")) \
            .otherwise(F.col("value"))
     return x.select("*",
@@ -155,27 +214,53 @@ def _range_window(x: DataFrame, window_s: int, bucket_us: int, aggs: list[Column
     return h.select("*", *[a.over(w).alias(f"_w{i}") for i, a in enumerate(aggs)]).where("_home")
 
 
-def rate(m: DataFrame, window_s: int = 300, bucket_us: int = DAY_US) -> DataFrame:
-    """``rate(x[window])`` at every sample (K4): counter increase over the
-    samples in ``(t - window, t]`` (each with its step from the previous
-    sample, resets corrected) divided by the summed steps; per second, no
-    extrapolation."""
-    x = increments(m, bucket_us)
+def _recent(m: DataFrame, steps: Steps, window_s: int, stale_s: int | None) -> DataFrame:
+    """The samples that can have a part in the steps: with ``stale_s`` older
+    ones are not read (the bound is on ``ts``, so it reaches the scan)."""
+    m = m.where(F.col("ts") <= F.to_timestamp_ntz(F.lit(steps.end)))
+    if stale_s is None:
+        return m
+    back = F.lit(-int(window_s) - int(stale_s))
+    return m.where(F.col("ts") > F.timestamp_add("SECOND", back, F.to_timestamp_ntz(F.lit(steps.start))))
+
+
+def rate(m: DataFrame, window_s: int = 300, bucket_us: int = DAY_US, steps: Steps | None = None,
+         stale_s: int | None = None) -> DataFrame:
+    """``rate(x[window])`` (K4): counter increase over the samples in
+    ``(t - window, t]`` (each with its step from the previous sample, resets
+    corrected) divided by the summed steps; per second, no extrapolation. At
+    every sample (null without a step), or at each of ``steps`` (no element
+    without one)."""
+    if steps is not None:
+        x = increments(_recent(m, steps, window_s, stale_s), bucket_us, stale_s)
+        r = _at_steps(x, steps, window_s, {"_w0": (F.sum, F.col("inc")), "_w1": (F.sum, F.col("dt_us"))})
+        return r.where("_w1 > 0").select(*VECTOR, F.round(F.col("_w0") / (F.col("_w1") / F.lit(1e6)), 6).alias("value"))
+    x = increments(m, bucket_us, stale_s)
     r = _range_window(x, window_s, bucket_us, [F.sum("inc"), F.sum("dt_us")])
     per_s = F.when(F.col("_w1") > 0, F.col("_w0") / (F.col("_w1") / F.lit(1e6)))
     return r.select(*VECTOR, F.round(per_s, 6).alias("value"))
 
 
-def irate(m: DataFrame, bucket_us: int = DAY_US) -> DataFrame:
-    """``irate``: increase between the last two samples per second (K5)."""
+def irate(m: DataFrame, bucket_us: int = DAY_US, steps: Steps | None = None, window_s: int = 300) -> DataFrame:
+    """``irate``: increase between the last two samples per second (K5): at
+    every sample, or at each of ``steps`` where both lie in ``(t - window, t]``."""
+    if steps is not None:
+        x = increments(_recent(m, steps, window_s, window_s), bucket_us)
+        r = _at_steps(x, steps, window_s, {"s": (F.max, F.struct("t_us", "value", "inc", "dt_us"))})
+        both = (F.col("s.dt_us") > 0) & (F.col("s.t_us") - F.col("s.dt_us") > epoch_micros(F.col("ts")) - F.lit(int(window_s) * 1_000_000))
+        return r.where(both).select(*VECTOR, F.round(F.col("s.inc") / (F.col("s.dt_us") / F.lit(1e6)), 6).alias("value"))
     x = increments(m, bucket_us)
     per_s = F.when(F.col("dt_us") > 0, F.col("inc") / (F.col("dt_us") / F.lit(1e6)))
     return x.select(*VECTOR, F.round(per_s, 6).alias("value"))
 
 
-def changes(m: DataFrame, window_s: int = 300, bucket_us: int = DAY_US) -> DataFrame:
-    """``changes(x[window])`` at every sample (K6): value changes between
-    consecutive samples that both lie in ``(t - window, t]``."""
+def changes(m: DataFrame, window_s: int = 300, bucket_us: int = DAY_US, steps: Steps | None = None) -> DataFrame:
+    """``changes(x[window])`` (K6): value changes between consecutive samples
+    that both lie in ``(t - window, t]``, at every sample or at each of ``steps``."""
+    if steps is not None:
+        x = increments(_recent(m, steps, window_s, window_s), bucket_us).withColumn("chg0", F.coalesce("chg", F.lit(0)))
+        r = _at_steps(x, steps, window_s, {"_n": (F.sum, F.col("chg0")), "_f": (F.min, F.struct("t_us", "value", "chg0"))})
+        return r.select(*VECTOR, (F.col("_n") - F.col("_f.chg0")).cast("double").alias("value"))
     x = increments(m, bucket_us).withColumn("chg0", F.coalesce("chg", F.lit(0)))
     r = _range_window(x, window_s, bucket_us, [F.sum("chg0"), F.first("chg0")])
     return r.select(*VECTOR, (F.col("_w0") - F.col("_w1")).cast("double").alias("value"))
@@ -189,26 +274,38 @@ def _vector(v: DataFrame) -> DataFrame:
     return v
 
 
+def _time(v: DataFrame) -> Column:
+    """The evaluation time of a vector's elements."""
+    return F.col("at") if "at" in v.columns else F.col("ts")
+
+
+def _timed(v: DataFrame) -> list[str]:
+    return ["at"] if "at" in v.columns else []
+
+
 def aggregate_by(v: DataFrame, by: list[str], fn: str = "sum") -> DataFrame:
-    """``sum/avg/count/min/max by (labels)`` over an instant vector (K8). The
-    result has no name, the labels of ``by`` that aren't empty, and the time
-    of its latest element."""
+    """``sum/avg/count/min/max by (labels)`` (K8) over the elements of each
+    evaluation time. The result has no name, the labels of ``by`` that aren't
+    empty, and the time of its latest element."""
     f = {"sum": F.sum, "avg": F.avg, "count": F.count, "min": F.min, "max": F.max}[fn]
     keys = [label(_vector(v), k).alias(f"_k_{i}") for i, k in enumerate(by)]
-    out = v.groupBy(*keys).agg(F.max("ts").alias("ts"), f("value").cast("double").alias("value"))
+    out = v.groupBy(*keys, _time(v).alias("_t")).agg(F.max("ts").alias("ts"), f("value").cast("double").alias("value"))
     empty = F.create_map().cast("map<string,string>")
     found = F.create_map(*[x for i, k in enumerate(by) for x in (F.lit(k), F.col(f"_k_{i}"))]) if by else empty
-    out = out.withColumn("label_map", F.map_filter(found, lambda _, x: x != ""))
-    return out.select(F.lit("").alias("name"), labels_key("label_map").alias("labels"), "label_map", "ts", "value")
+    out = out.withColumn("label_map", F.map_filter(found, lambda _, x: x != "")).withColumnRenamed("_t", "at")
+    return out.select(F.lit("").alias("name"), labels_key("label_map").alias("labels"), "label_map", "ts", "value", *_timed(v))
 
 
 def metric_binary_op(left: DataFrame, right: DataFrame, op: str, on: list[str] | None = None,
-                     clamp_min_right: float | None = None, ignoring: list[str] | None = None) -> DataFrame:
+                     clamp_min_right: float | None = None, ignoring: list[str] | None = None,
+                     group_left: list[str] | None = None) -> DataFrame:
     """Label-matched arithmetic ``left <op> on(keys) group_left right`` (D4,
-    K9): many left series to one right series per key; right-hand
-    ``clamp_min`` optional. ``ignoring`` matches on all labels but those (none:
-    on all). Unmatched left series drop out; several right series for a key are
-    an error, as in the query language."""
+    K9) at each evaluation time: many left series to one right series per key;
+    right-hand ``clamp_min`` optional. ``ignoring`` matches on all labels but
+    those (none: on all). The labels in ``group_left`` are taken over from the
+    right (an empty one removes the left's). Unmatched left elements drop out;
+    several right elements for a key at one time are an error, as in the query
+    language."""
     if on is not None and ignoring is not None:
         raise ValueError("on and ignoring exclude each other")
 
@@ -217,16 +314,25 @@ def metric_binary_op(left: DataFrame, right: DataFrame, op: str, on: list[str] |
             return F.array(*[label(v, k) for k in on]) if on else F.array(F.lit(""))
         kept = F.map_filter("label_map", lambda k, x: ~k.isin(*(ignoring or [""])) & (x != ""))
         return F.array(labels_key(kept))
-    r = _vector(right).groupBy(key(right).alias("_key")).agg(F.max("value").alias("_one"), F.count(F.lit(1)).alias("_n"))
+    taken = group_left or []
+    r = (_vector(right).groupBy(key(right).alias("_key"), _time(right).alias("_time"))
+         .agg(F.max("value").alias("_one"), F.count(F.lit(1)).alias("_n"),
+              *[F.max(label(right, k)).alias(f"_g{i}") for i, k in enumerate(taken)]))
     many = F.raise_error(F.lit("several right-hand series match one key"))
-    r = r.select("_key", F.when(F.col("_n") > 1, many).otherwise(F.col("_one")).alias("_rv"))
+    r = r.select("_key", "_time", F.when(F.col("_n") > 1, many).otherwise(F.col("_one")).alias("_rv"),
+                 *[f"_g{i}" for i in range(len(taken))])
     if clamp_min_right is not None:
         r = r.withColumn("_rv", F.greatest(F.col("_rv"), F.lit(float(clamp_min_right))))
-    j = _vector(left).withColumn("_key", key(left)).join(r, "_key", "inner")
+    j = _vector(left).withColumn("_key", key(left)).withColumn("_time", _time(left)).join(r, ["_key", "_time"], "inner")
     ops = {"+": F.col("value") + F.col("_rv"), "-": F.col("value") - F.col("_rv"),
            "*": F.col("value") * F.col("_rv"),
            "/": F.when(F.col("_rv") != 0, F.col("value") / F.col("_rv"))}
-    return j.select(*VECTOR, F.round(ops[op], 6).alias("value"))
+    if taken:
+        own = F.map_filter("label_map", lambda k, _: ~k.isin(*taken))
+        new = F.create_map(*[x for i, k in enumerate(taken) for x in (F.lit(k), F.col(f"_g{i}"))])
+        j = j.withColumn("label_map", F.map_concat(own, F.map_filter(new, lambda _, x: x != ""))) \
+             .withColumn("labels", labels_key("label_map"))
+    return j.select(*VECTOR, F.round(ops[op], 6).alias("value"), *_timed(left))
 
 
 def compare(v: DataFrame, op: str, threshold: float) -> DataFrame:
@@ -251,6 +357,24 @@ def scalar_op(v: DataFrame, op: str, k: float, scalar_left: bool = False) -> Dat
     return v.withColumn("value", ops[op])
 
 
+def scalar_steps(v: DataFrame) -> DataFrame:
+    """``scalar(v)`` at each evaluation time, (at, scalar): the value of the one
+    element, NaN where there are more."""
+    one = F.when(F.count(F.lit(1)) == 1, F.max("value")).otherwise(F.lit(float("nan")))
+    return _vector(v).groupBy(_time(v).alias("at")).agg(one.alias("scalar"))
+
+
+def by_scalar(v: DataFrame, op: str, s: DataFrame, scalar_left: bool = False) -> DataFrame:
+    """Arithmetic between a vector and a scalar of each evaluation time (K9),
+    ``s`` from ``scalar_steps``; where it has none, or a NaN, the value is NaN."""
+    at = s.select(F.col("at").alias("_at"), F.col("scalar").alias("_s"))
+    j = _vector(v).join(at, _time(v) == F.col("_at"), "left")
+    k = F.coalesce("_s", F.lit(float("nan")))
+    a, b = (k, F.col("value")) if scalar_left else (F.col("value"), k)
+    ops = {"+": a + b, "-": a - b, "*": a * b, "/": F.when(b != 0, a / b)}
+    return j.withColumn("value", F.round(ops[op], 6)).drop("_at", "_s")
+
+
 def status_level(value: Column, levels: list[tuple[float, str]], base: str = "green") -> Column:
     """Threshold levels (K11): ``base`` below the first threshold, then the
     name of the highest threshold reached."""

@@ -489,6 +489,67 @@ ORACLE["metrics_binary_op"] = with_(METRICS, _instant(f"ts <= {AS_OF}")) + """
 SELECT l.name, l.labels, round(CASE WHEN greatest(r.value, 1.0) != 0 THEN l.value / greatest(r.value, 1.0) END, 6) AS value
 FROM (SELECT * FROM inst WHERE name = 'view') l JOIN (SELECT * FROM inst WHERE name = 'click') r ON l.u = r.u"""
 
+# ---- range queries: every step joined with the samples of its window
+
+def _grid(first: str, last: str, step: int) -> str:
+    return (f"grid AS (SELECT unnest(generate_series(TIMESTAMP '{first}', TIMESTAMP '{last}', "
+            f"INTERVAL {step} SECOND)) AS t)")
+
+
+DAY_GRID = _grid("2024-01-15 00:00:00", "2024-01-16 00:00:00", 240)
+WEEK_GRID = _grid("2024-01-13 00:00:00", "2024-01-20 00:00:00", 3600)
+
+
+def _in_window(src: str, hours: int) -> str:
+    return f"FROM {src} m JOIN grid ON m.ts <= t AND m.ts > t - INTERVAL {hours} HOUR"
+
+
+NEAR_INC = """near AS (
+  SELECT * REPLACE (CASE WHEN dt_us <= 2 * 86400 * 1e6 THEN inc END AS inc, CASE WHEN dt_us <= 2 * 86400 * 1e6 THEN dt_us END AS dt_us)
+  FROM inc)"""
+RATE_STEPS = f"""rate_steps AS (
+  SELECT name, labels, u, t AS ts, round(sum(inc) / (sum(dt_us) / 1e6), 6) AS value
+  {_in_window('near', 6)} GROUP BY name, labels, u, t HAVING sum(dt_us) > 0)"""
+LAST_STEPS = """last_steps AS (
+  SELECT name, labels, u, t AS ts, max((t_us, value))[2] AS value %s GROUP BY name, labels, u, t)"""
+IRATE_STEPS = f"""two AS (SELECT name, labels, t, max((t_us, m.value, inc, dt_us)) AS s {_in_window('inc', 12)} GROUP BY name, labels, t),
+irate_steps AS (
+  SELECT name, labels, t AS ts, round(s[3] / (s[4] / 1e6), 6) AS value FROM two
+  WHERE s[4] > 0 AND s[1] - s[4] > epoch_us(t - INTERVAL 12 HOUR))"""
+_POINTS = "SELECT name, labels, ts, value FROM "
+
+ORACLE["metrics_instant_steps"] = with_(METRICS, DAY_GRID, LAST_STEPS % _in_window("metrics", 3)) + _POINTS + "last_steps"
+
+ORACLE["metrics_rate_steps"] = with_(METRICS, INC, NEAR_INC, DAY_GRID, RATE_STEPS) + _POINTS + "rate_steps"
+
+ORACLE["metrics_irate_steps"] = with_(METRICS, INC, WEEK_GRID, IRATE_STEPS) + _POINTS + "irate_steps"
+
+ORACLE["metrics_changes_steps"] = with_(METRICS, WEEK_GRID, f"""w AS (
+  SELECT name, labels, t AS ts, m.value, lag(m.value) OVER (PARTITION BY name, labels, t ORDER BY t_us, m.value) AS pv
+  {_in_window('metrics', 12)})""") + """
+SELECT name, labels, ts, CAST(count(*) FILTER (WHERE value != pv) AS DOUBLE) AS value
+FROM w GROUP BY name, labels, ts HAVING count(*) FILTER (WHERE value != pv) > 1"""
+
+ORACLE["metrics_sum_rate_steps"] = with_(METRICS, INC, NEAR_INC, DAY_GRID, RATE_STEPS) + """
+SELECT '' AS name, 'u="' || u || '"' AS labels, ts, round(sum(value), 6) AS value FROM rate_steps GROUP BY u, ts"""
+
+ORACLE["metrics_avg_irate_steps"] = with_(METRICS, INC, WEEK_GRID, IRATE_STEPS) + """
+SELECT ts, round(avg(value), 8) AS mean, CAST(count(*) AS DOUBLE) AS series FROM irate_steps GROUP BY ts"""
+
+ORACLE["metrics_rate_ratio_steps"] = with_(METRICS, INC, NEAR_INC, DAY_GRID, RATE_STEPS) + """
+SELECT '' AS name, 'u="' || u || '"' AS labels, ts,
+       round(CASE WHEN sum(value) != 0 THEN sum(value) FILTER (WHERE name = 'view') / sum(value) END, 6) AS value
+FROM rate_steps GROUP BY u, ts HAVING count(*) FILTER (WHERE name = 'view') > 0"""
+
+ORACLE["metrics_group_left_steps"] = with_(METRICS, WEEK_GRID, LAST_STEPS % _in_window("metrics", 24)) + """
+SELECT '' AS name, 'region="' || r_name || '",u="' || u || '"' AS labels, ts, max(value) AS value
+FROM last_steps JOIN region ON u = CAST(r_regionkey AS VARCHAR) GROUP BY u, r_name, ts"""
+
+ORACLE["metrics_scalar_steps"] = with_(METRICS, WEEK_GRID, LAST_STEPS % _in_window("metrics", 6)) + """
+SELECT '' AS name, 'u="' || u || '"' AS labels, ts,
+       round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY ts), 6) AS value
+FROM last_steps GROUP BY u, ts"""
+
 ORACLE["status_level"] = with_(*BY_PERIOD, HIST) + """
 SELECT period, drift_share,
        CASE WHEN drift_share >= 0.5 THEN 'red' WHEN drift_share >= 0.3 THEN 'yellow' ELSE 'green' END AS level

@@ -301,7 +301,8 @@ def metrics_instant_lookback(spark, sf):
 
 @query
 def metrics_range(spark, sf):
-    return mt.range_query(samples(spark, sf), "2024-01-10 00:00:00", "2024-01-12 00:00:00", 3600)
+    return mt.range_query(samples(spark, sf), "2024-01-10 00:00:00", "2024-01-12 00:00:00", 3600) \
+        .select("name", "labels", "step_ts", "value")
 
 
 @query
@@ -372,6 +373,80 @@ def metrics_binary_op(spark, sf):
     return mt.metric_binary_op(left, right, "/", on=["u"], clamp_min_right=1.0).select("name", "labels", "value")
 
 
+# range queries: functions evaluated at a dashboard's steps, matched and aggregated time by time
+
+DAY_STEPS = mt.Steps("2024-01-15 00:00:00", "2024-01-16 00:00:00", 240)
+WEEK_STEPS = mt.Steps("2024-01-13 00:00:00", "2024-01-20 00:00:00", 3600)
+RATE_WINDOW, STALE = 6 * 3600, 2 * 86_400
+
+
+def _points(v):
+    return v.select("name", "labels", "ts", "value")
+
+
+@query
+def metrics_instant_steps(spark, sf):
+    return _points(mt.instant(samples(spark, sf), lookback_s=3 * 3600, steps=DAY_STEPS))
+
+
+@query
+def metrics_rate_steps(spark, sf):
+    """rate(x[6h]) every 240 s of a day"""
+    return _points(mt.rate(samples(spark, sf), RATE_WINDOW, steps=DAY_STEPS, stale_s=STALE))
+
+
+@query
+def metrics_irate_steps(spark, sf):
+    """irate(x[12h]) every hour of a week"""
+    return _points(mt.irate(samples(spark, sf), steps=WEEK_STEPS, window_s=12 * 3600))
+
+
+@query
+def metrics_changes_steps(spark, sf):
+    """changes(x[12h]) > 1 every hour of a week"""
+    return _points(mt.compare(mt.changes(samples(spark, sf), 12 * 3600, steps=WEEK_STEPS), ">", 1))
+
+
+@query
+def metrics_sum_rate_steps(spark, sf):
+    """sum by (u) (rate(x[6h])) every 240 s of a day"""
+    rate = mt.rate(samples(spark, sf), RATE_WINDOW, steps=DAY_STEPS, stale_s=STALE)
+    return _points(mt.aggregate_by(rate, ["u"], "sum")).withColumn("value", F.round("value", 6))
+
+
+@query
+def metrics_avg_irate_steps(spark, sf):
+    """avg(irate(x[12h])) and its number of series, every hour of a week"""
+    v = mt.irate(samples(spark, sf), steps=WEEK_STEPS, window_s=12 * 3600)
+    mean, n = mt.aggregate_by(v, [], "avg"), mt.aggregate_by(v, [], "count")
+    return mean.select("ts", F.round("value", 8).alias("mean")).join(n.select("ts", F.col("value").alias("series")), "ts")
+
+
+@query
+def metrics_rate_ratio_steps(spark, sf):
+    """sum by (u) (rate(view[6h])) / on (u) sum by (u) (rate(x[6h])), every 240 s of a day"""
+    rate = mt.rate(samples(spark, sf), RATE_WINDOW, steps=DAY_STEPS, stale_s=STALE)
+    views = mt.aggregate_by(mt.match_labels(rate, [("__name__", "=", "view")]), ["u"], "sum")
+    return _points(mt.metric_binary_op(views, mt.aggregate_by(rate, ["u"], "sum"), "/", on=["u"]))
+
+
+@query
+def metrics_group_left_steps(spark, sf):
+    """max by (u) (x) * on (u) group_left (region) region_info, every hour of a week"""
+    from tripflow.sources.fixtures import region_info
+    v = mt.aggregate_by(mt.instant(samples(spark, sf), lookback_s=86_400, steps=WEEK_STEPS), ["u"], "max")
+    info = mt.instant(mt.normalize(region_info(spark, sf)), lookback_s=90 * 86_400, steps=WEEK_STEPS)
+    return _points(mt.metric_binary_op(v, info, "*", on=["u"], group_left=["region"]))
+
+
+@query
+def metrics_scalar_steps(spark, sf):
+    """100 * count by (u) (x) / scalar(count(x)), every hour of a week"""
+    v = mt.instant(samples(spark, sf), lookback_s=6 * 3600, steps=WEEK_STEPS)
+    every = mt.scalar_steps(mt.aggregate_by(v, [], "count"))
+    return _points(mt.by_scalar(mt.scalar_op(mt.aggregate_by(v, ["u"], "count"), "*", 100.0), "/", every))
+
+
 DRIFT_LEVELS = [(0.3, "yellow"), (0.5, "red")]     # fixed values: drift share levels
 
 

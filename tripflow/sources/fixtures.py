@@ -86,6 +86,14 @@ def metrics_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def region_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``region`` → one info sample each: ``region_info{u="<key>",region="<name>"} 1``."""
+    return read_table(spark, sf_dir, "region").select(
+        F.lit("region_info").alias("name"),
+        F.create_map(F.lit("u"), F.col("r_regionkey").cast("string"), F.lit("region"), F.col("r_name")).alias("labels"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ts"), F.lit(1.0).alias("value"))
+
+
 # --- DuckDB twins (used only by the oracle SQL) ---------------------------
 
 TRIPS_LINEITEM_SQL = """
