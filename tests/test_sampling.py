@@ -64,10 +64,16 @@ def test_sample_more_than_rows_keeps_all(spark):
     assert smp.sample_rows(t, 10 ** 9, "trip_key").count() == t.count()
 
 
-def test_sample_refines_large_boundary_bucket(spark, monkeypatch):
-    monkeypatch.setattr(smp, "MAX_RANK_ROWS", 0)   # force refinement by more hex digits
-    t = trp.clean_trips(trips_from_events(spark, SF001))
-    assert smp.sample_rows(t, 321, "trip_key").count() == 321
+def test_sample_of_shared_keys(spark):
+    """Keys that a third of the rows share, also where those rows are equal, or the key is null."""
+    for value in ("id", "id % 7", "1"):
+        t = spark.range(1000).select(
+            F.expr("CASE id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' END").alias("k"), F.expr(value).alias("v"))
+        for n in (0, 1, 321, 500, 999, 1000):
+            got = smp.sample_rows(t, n, "k")
+            assert got.count() == n
+            assert sorted(map(str, got.collect())) == sorted(map(str, smp.sample_rows(t.repartition(3), n, "k").collect()))
+    assert smp.sample_rows(t.limit(0), 5, "k").count() == 0
 
 
 def test_hour_slice_caps_and_orders(spark):

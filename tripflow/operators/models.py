@@ -8,6 +8,8 @@ scoring is ``Model.transform`` — batch or inside a streaming
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,10 +28,8 @@ DEMAND_FEATURES = [
 ]
 # Boosting parameters (rounds, learning rate, seed); MLlib grows
 # depth-limited trees, depth 5 is the closest to 31 leaves.
+MAX_TRAIN_ROWS, MAX_TEST_ROWS = 1_000_000, 250_000     # fixed values: rows that a fit and its test read
 GBT_PARAMS = {"maxIter": 200, "stepSize": 0.1, "maxDepth": 5, "seed": 42}
-# Dashboard MAE levels.
-MAE_LEVELS = {"duration": [(5.0, "yellow"), (10.0, "red")], "fare": [(5.0, "yellow"), (10.0, "red")],
-              "demand": [(3.0, "yellow"), (8.0, "red")]}
 
 
 def train(df: DataFrame, features: list[str], label: str, max_iter: int | None = None, **params):
@@ -98,3 +98,47 @@ def resolve_champion(registry: DataFrame, model: str) -> int | None:
     rows = (champions(registry.where(F.col("model") == model))
             .orderBy(F.col("version").desc()).select("champion_version").limit(1).collect())
     return rows[0][0] if rows else None
+
+
+@dataclass(frozen=True)
+class Champion:
+    """A loaded champion: its model, name and version."""
+
+    model: object
+    name: str
+    version: int
+
+    def score(self, df: DataFrame, out_col: str = "prediction", decimals: int = 2) -> DataFrame:
+        """``score`` with the model's name and version on each row."""
+        return score(self.model, df, out_col, decimals).withColumns(
+            {"model_name": F.lit(self.name), "model_version": F.lit(self.version)})
+
+
+class Champions:
+    """The champions of a registry, loaded from where their models were saved
+    (I18): ``root/<name>/v=<version>``. Each call asks the registry, and loads
+    only when the champion has changed; one model is kept for each name."""
+
+    def __init__(self, registry: Callable[[], DataFrame], root: str):
+        self._registry, self._root = registry, root.rstrip("/")
+        self._loaded: dict[str, Champion] = {}
+
+    def get(self, name: str) -> Champion | None:
+        from pyspark.ml import PipelineModel
+        version = resolve_champion(self._registry(), name)
+        if version is None:
+            return None
+        have = self._loaded.get(name)
+        if have is None or have.version != version:
+            have = Champion(PipelineModel.load(f"{self._root}/{name}/v={version}"), name, int(version))
+            self._loaded[name] = have
+        return have
+
+
+def model_metrics(spark: SparkSession, name: str, metrics: dict, train_rows: int) -> DataFrame:
+    """A trained model's ``model_mae``, ``_rmse``, ``_r2``, ``_train_rows`` and
+    ``_retrain_timestamp`` (A15), as a one-row frame for ``to_metrics``."""
+    one = [(name, *(None if metrics[k] is None else float(metrics[k]) for k in ("mae", "rmse", "r2")),
+            int(train_rows), int(time.time()))]
+    return spark.createDataFrame(one, "model string, mae double, rmse double, r2 double, train_rows long, "
+                                      "retrain_timestamp long")

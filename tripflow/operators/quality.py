@@ -9,6 +9,8 @@ metrics table, or turned into a failure.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -144,25 +146,45 @@ def validate(df: DataFrame, table: str, spec: dict | None = None, missing: str =
     reference behaviour) or reported as failed (``missing='fail'``).
     An unknown table with no spec passes with only the row count.
     """
+    rules = rule_columns(df, table, spec)
+    one = df.agg(*rules.counts)     # the single scan for all per-column rules
+    return checks(one, df, table, rules, missing)
+
+
+@dataclass(frozen=True)
+class RuleColumns:
+    """A rule set on a frame: (column, rules) that apply, those whose column is
+    absent, and the aggregates ``rows``, ``v_0``, ``v_1``, ... that count rows
+    and each column's violations."""
+
+    spec: dict
+    present: list[tuple[str, dict]]
+    absent: list[tuple[str, dict]]
+    counts: list[Column]
+
+
+def rule_columns(df: DataFrame, table: str, spec: dict | None = None, where: Column | None = None) -> RuleColumns:
+    """The aggregates of a rule set, over the rows of ``where`` (all)."""
     spec = RULES.get(table, {"min_rows": 0, "columns": {}}) if spec is None else spec
-    spark = df.sparkSession
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    cols = []
-    absent = []
+    here = F.lit(True) if where is None else where
+    counts = [F.count_if(here).alias("rows")]
+    present, absent = [], []
     for c, rules in spec.get("columns", {}).items():
         if c not in df.columns:
             absent.append((c, rules))
             continue
-        cols.append((c, rules))
-        v = None
-        if not rules.get("nullable", True):
-            v = _is_null(df, c)
+        present.append((c, rules))
+        v = _is_null(df, c) if not rules.get("nullable", True) else F.lit(False)
         rv = _range_violation(rules, c)
-        if rv is not None:
-            v = rv if v is None else (v | rv)
-        aggs.append((F.count_if(F.coalesce(v, F.lit(False))) if v is not None
-                     else F.lit(0).cast("long")).alias(f"v_{len(cols) - 1}"))
-    one = df.agg(*aggs)            # the single scan for all per-column rules
+        v = v if rv is None else (v | F.coalesce(rv, F.lit(False)))
+        counts.append(F.count_if(here & v).alias(f"v_{len(present) - 1}"))
+    return RuleColumns(spec, present, absent, counts)
+
+
+def checks(one: DataFrame, df: DataFrame, table: str, rules_of: RuleColumns, missing: str = "skip") -> DataFrame:
+    """The checks (see ``validate``) from a one-row frame of the rules' counts;
+    ``df`` is read for unique keys only."""
+    spec, cols, absent, spark = rules_of.spec, rules_of.present, rules_of.absent, one.sparkSession
     min_rows = int(spec.get("min_rows", 0) or 0)
     entries = []
     if min_rows:

@@ -2,12 +2,9 @@
 
 Nothing here depends on the partitioning of the input: every row's fate is
 a function of ``md5(seed|key)``. Exact-size selection never sorts the whole
-table and never funnels it through one task: a histogram of the first hex
-digits of the hash (at most 65 536 rows, collected) finds the boundary
-bucket; whole buckets below it are kept by a filter, and only the boundary
-bucket is ranked. If that bucket is still large (many duplicate keys) it is
-refined by the next hex digits. ``exact_split`` refines it down to one hash and
-ranks nothing; rows of one key are split by a hash of the whole row.
+table and never funnels it through one task: counts by the next hex digits of
+the hash (at most 65 536 a round, collected) narrow the boundary down to one
+hash, and a filter selects; rows of one key are split by a hash of the whole row.
 """
 
 from __future__ import annotations
@@ -20,9 +17,6 @@ from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from tripflow.functions import hash_bucket, hash_hex, row_key
 
-# Above this many rows the boundary bucket is refined by 4 more hex digits.
-MAX_RANK_ROWS = 1_000_000
-
 
 def hash_split(df: DataFrame, key: str, test_pct: int = 20, seed: int = 42,
                col: str = "split") -> DataFrame:
@@ -31,48 +25,6 @@ def hash_split(df: DataFrame, key: str, test_pct: int = 20, seed: int = 42,
                               .otherwise(F.lit("train")))
 
 
-def _histogram(base: DataFrame, prefix: str, width: int = 4) -> list:
-    cond = F.lit(True) if not prefix else F.startswith(F.col("_h"), F.lit(prefix))
-    hist = (base.where(cond)
-            .groupBy(F.substring("_h", len(prefix) + 1, width).alias("_p"))
-            .count().collect())          # <= 16**width rows by construction
-    hist.sort(key=lambda r: r["_p"])
-    return hist
-
-
-def _boundary(df: DataFrame, n: int | float, key: str, seed):
-    """Find the hash bucket holding the n-th smallest row in
-    (md5(seed|key), key) order: returns ``(base, prefix, need)`` — rows
-    whose hash starts below ``prefix`` are all selected, plus the first
-    ``need`` rows of the bucket ``prefix``; ``prefix is None`` when the
-    frame has at most n rows. ``n`` may be a fraction of the total
-    (``0 < n < 1``), resolved with the first histogram, so no separate count
-    is needed."""
-    h = hash_hex(key, seed)
-    base = df.select(h.alias("_h"), F.col(key).cast("string").alias("_k"))
-    prefix, need, width = "", n, 4
-    first = True
-    while True:
-        hist = _histogram(base, prefix, width)
-        total = sum(r["count"] for r in hist)
-        if first:                       # later rounds refine one bucket: need <= total
-            if 0 < need < 1:
-                need = math.ceil(need * total)
-            if total <= need:
-                return base, None, need
-            first = False
-        if need <= 0:
-            return base, "", 0
-        cum = 0
-        for r in hist:
-            if cum + r["count"] >= need:
-                prefix, need, bucket_rows = prefix + r["_p"], need - cum, r["count"]
-                break
-            cum += r["count"]
-        if bucket_rows <= MAX_RANK_ROWS or len(prefix) >= 32:
-            return base, prefix, need
-
-
 def _cut(rows: DataFrame, hashed: Column, n: int | float) -> tuple[str, int, int] | None:
     """(hash, need, count) of the n-th smallest hash among ``rows``: its rows
     are ``count``, of which the first ``need`` belong to the n smallest; None
@@ -116,32 +68,39 @@ def _row_hash(df: DataFrame) -> Column:
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42, where: Column | None = None,
                 when: str = "after_filter") -> DataFrame:
-    """Exactly ``min(n, rows)`` rows: the n smallest in ``(md5(seed|key), key)``
-    order (G3). ``where`` with ``when='before_filter'`` samples first and then
-    filters, as an in-engine ``USING SAMPLE`` next to a WHERE does; the
-    default filters first. ``key`` should be unique for an exact count.
-
-    After the bucket histogram the result is one plan: whole buckets below
-    the boundary by a filter, plus the first rows of the boundary bucket
-    by a bounded top-k — no separate ranking pass."""
+    """Exactly ``min(n, rows)`` rows: the n smallest in ``(md5(seed|key), row
+    hash)`` order (G3). ``where`` with ``when='before_filter'`` samples first and
+    then filters, as an in-engine ``USING SAMPLE`` next to a WHERE does; the
+    default filters first.
+
+    The n-th smallest hash comes from counts by hash digits (see ``_cut``); the
+    result is then one filter. Rows that share the boundary key are told apart
+    by a hash of the whole row, equal rows by a count: nothing is ranked."""
     if when not in ("after_filter", "before_filter"):
         raise ValueError("when must be 'after_filter' or 'before_filter'")
     src = df.where(where) if (where is not None and when == "after_filter") else df
-    _, prefix, need = _boundary(src, n, key, seed)
-    if prefix is None:
-        out = src
-    else:
-        h = hash_hex(key, seed)
-        k = F.col(key).cast("string")
-        below = src.where(F.substring(h, 1, len(prefix)) < F.lit(prefix))
-        edge = (src.where(F.startswith(h, F.lit(prefix)))
-                   .orderBy(h, k).limit(need))
-        out = below.unionByName(edge)
+    out = _smallest(src, n, F.coalesce(hash_hex(key, seed), F.lit("~")))
     if where is not None and when == "before_filter":
         out = out.where(where)
     return out
 
 
+def _smallest(src: DataFrame, n: int, h: Column) -> DataFrame:
+    """The n rows of ``src`` with the smallest (hash, row hash); of equal rows as many as fit."""
+    cut = _cut(src, h, n) if n > 0 else None
+    if cut is None:
+        return src.limit(0)
+    at, need, count = cut
+    if need == count:
+        return src.where(h <= at)
+    row = _row_hash(src)
+    row_at, need, count = _cut(src.where(h == at), row, need)
+    if need == count:
+        return src.where((h < at) | ((h == at) & (row <= row_at)))
+    copies = src.sparkSession.range(need).crossJoin(F.broadcast(src.where((h == at) & (row == row_at)).limit(1)))
+    return src.where((h < at) | ((h == at) & (row < row_at))).unionByName(copies.select(*[f"`{c}`" for c in src.columns]))
+
+
 def exact_split(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int = 42,
                 col: str = "split", total: int | None = None) -> DataFrame:
     """Split with exactly ``ceil(test_fraction * n)`` test rows (the rule of

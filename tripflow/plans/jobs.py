@@ -8,7 +8,7 @@ one-row results, rule results and small registry tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.operators import drift as drf
@@ -19,7 +19,9 @@ from tripflow.operators import quality as qa
 from tripflow.operators import sampling as smp
 from tripflow.operators import store as fs
 from tripflow.operators import trips as trp
-from tripflow.sources.lake import Lake, write_drift_report
+from tripflow.operators.observed import Observed
+from tripflow.sources.lake import Lake, PlainTable, path_exists, read_months, write_drift_report
+from tripflow.streaming.ingest import feed_stream, ingest_stream, score_stream
 
 BRONZE_RAW, BRONZE_STREAM = ("bronze", "raw"), ("bronze", "streaming")
 SILVER_TRIPS, SILVER_DEMAND = ("silver", "trips"), ("silver", "demand")
@@ -39,29 +41,64 @@ def _publish(lake: Lake, m: DataFrame) -> None:
                             partition_by=["date"])
 
 
-def _publish_quality(lake: Lake, res: DataFrame) -> None:
-    _publish(lake, mt.to_metrics(qa.published_summary(res), "data_quality_", qa.PUBLISHED, ["table"]))
+def _gated(lake: Lake, ref, df: DataFrame, rules: str, mode: str = "overwrite", where: Column | None = None,
+           strict: bool = True) -> int:
+    """Write ``df``, checking it in the same pass (the rows of ``where``). The
+    checks and column statistics are published whatever they are; if one failed,
+    ``strict`` raises before the new version is committed."""
+    seen = Observed(df, rules, where=where)
 
-
-def _gate(lake: Lake, df: DataFrame, table: str) -> None:
-    """Check, publish the result whatever it is, then fail if it failed."""
-    res = qa.validate_or_fail(df, table, fail_on_error=False)
-    _publish_quality(lake, res)
-    failed = [f"{r['check']}({r['column'] or ''}): {r['observed']}" for r in res.collect() if not r["passed"]]
-    if failed:
-        raise qa.QualityError(f"data quality check FAILED for {table}: {', '.join(failed)}")
+    def gate(written: DataFrame) -> None:
+        _publish(lake, seen.metrics(seen.checks(written)))
+        if strict:
+            seen.fail()
+    return _t(lake, ref).write(seen.watch(df), mode, gate=gate)
 
 
 def load_bronze(lake: Lake, raw: DataFrame, mode: str = "overwrite") -> int:
-    """Gate and store raw trips (bronze_raw)."""
-    res = qa.validate_or_fail(raw, "bronze_raw", fail_on_error=False)
-    _publish_quality(lake, res)
-    return _t(lake, BRONZE_RAW).write(raw, mode)
+    """Store raw trips (bronze_raw). They are checked and the checks published;
+    trips that fail are stored all the same, silver is where they end."""
+    return _gated(lake, BRONZE_RAW, raw, "bronze_raw", mode, strict=False)
+
+
+def load_months(lake: Lake, root: str, months: str, pattern: str = "yellow_tripdata_{month}.parquet") -> int:
+    """Load monthly files given as ``"2024-01,2024-02"`` (A1): each month is
+    checked by itself, the first replaces bronze_raw, the others are appended."""
+    version = -1
+    for k, month in enumerate(m.strip() for m in months.split(",") if m.strip()):
+        version = load_bronze(lake, read_months(lake.spark, root, month, pattern), "append" if k else "overwrite")
+    return version
+
+
+def append_trips(lake: Lake, trips: DataFrame, feed: str) -> None:
+    """Put a batch of streamed trips into bronze_streaming under a feed's name;
+    the same feed again replaces what it brought before."""
+    out = trips.withColumn("date", F.date_format("tpep_pickup_datetime", "yyyy-MM-dd")).withColumn("feed", F.lit(feed))
+    seen = Observed(trips.drop("date"), "bronze_streaming", ts_col="tpep_pickup_datetime")
+
+    def gate(staged: DataFrame) -> None:
+        _publish(lake, seen.metrics(seen.checks(staged)))
+        seen.fail()
+    _stream(lake).replace_partitions(seen.watch(out), ["date", "feed"], gate)
+
+
+def ingest_feed(lake: Lake, feed_dir: str, checkpoint: str, schema, from_date: str | None = None,
+                files_per_trigger: int | None = None) -> None:
+    """Take new feed files into bronze_streaming (J1), the table that drift
+    monitoring and the combined source read; every batch publishes its checks,
+    column statistics and latest pickup (J7)."""
+    ingest_stream(lake.spark, feed_dir, schema, _stream(lake).path, checkpoint, from_date=from_date,
+                  files_per_trigger=files_per_trigger,
+                  on_batch=lambda seen, results, _: _publish(lake, seen.metrics(results)))
+
+
+def _stream(lake: Lake) -> PlainTable:
+    return lake.plain(*BRONZE_STREAM)
 
 
 def _source(lake: Lake, data_source: str) -> DataFrame:
     raw = _t(lake, BRONZE_RAW).read() if _t(lake, BRONZE_RAW).exists() else None
-    stream = _t(lake, BRONZE_STREAM).read() if _t(lake, BRONZE_STREAM).exists() else None
+    stream = _stream(lake).read().drop("feed") if _stream(lake).exists() else None
     return trp.load_source(raw, stream, data_source)
 
 
@@ -70,8 +107,7 @@ def build_silver_trips(lake: Lake, data_source: str = "raw", key: str = "trip_ke
     """Clean, split 80/20 by key hash, gate the train part, overwrite."""
     t = trp.clean_trips(_source(lake, data_source))
     t = smp.exact_split(t, key) if exact else smp.hash_split(t, key)
-    _gate(lake, t.where(F.col("split") == "train"), "silver_trips")
-    return _t(lake, SILVER_TRIPS).write(t, "overwrite")
+    return _gated(lake, SILVER_TRIPS, t, "silver_trips", where=F.col("split") == "train")
 
 
 def build_silver_demand(lake: Lake, data_source: str = "raw", keep_date: bool = False) -> int:
@@ -87,8 +123,7 @@ def build_silver_demand(lake: Lake, data_source: str = "raw", keep_date: bool =
     else:
         key = F.concat_ws("|", "zone_id", F.col("pickup_date").cast("string"), "pickup_hour")
     d = smp.hash_split(d.withColumn("_k", key), "_k").drop("_k")
-    _gate(lake, d.where(F.col("split") == "train"), "silver_demand")
-    return _t(lake, SILVER_DEMAND).write(d, "overwrite")
+    return _gated(lake, SILVER_DEMAND, d, "silver_demand", where=F.col("split") == "train")
 
 
 def build_gold_zone_stats(lake: Lake, export_path: str | None = None, train_only: bool = False) -> int:
@@ -101,8 +136,7 @@ def build_gold_zone_stats(lake: Lake, export_path: str | None = None, train_only
         zs = zs.withColumn("event_timestamp", F.date_trunc("day", F.localtimestamp()).cast("timestamp_ntz"))
     else:
         zs = feat.zone_stats(_t(lake, BRONZE_RAW).read())
-    _gate(lake, zs, "gold_zone_stats")
-    v = _t(lake, GOLD_ZONES).write(zs, "overwrite")
+    v = _gated(lake, GOLD_ZONES, zs, "gold_zone_stats")
     if export_path:
         from tripflow.sources.lake import export_features
         export_features(_t(lake, GOLD_ZONES).read(), export_path)
@@ -118,17 +152,12 @@ def materialize(lake: Lake, end: str, start: str | None = None) -> int:
 
 def ingest_hour(lake: Lake, virtual_dt: str, batch_size: int | None = None) -> int:
     """The trips of one hour (with ``batch_size``, the first so many) from bronze
-    raw, gated, appended to bronze streaming by date."""
+    raw into bronze streaming, as a feed of that hour's name. -1 without any."""
     batch = smp.hour_slice(_t(lake, BRONZE_RAW).read(), virtual_dt, batch_size)
-    if batch.limit(1).count() == 0:
+    if batch.isEmpty():
         return -1
-    _gate(lake, batch, "bronze_streaming")
-    v = _t(lake, BRONZE_STREAM).write(batch.drop("trip_key") if "trip_key" in batch.columns else batch,
-                                      "append", partition_by=["date"])
-    _publish(lake, mt.to_metrics(batch.agg(F.max("tpep_pickup_datetime").alias("last")).select(
-        F.lit("bronze.streaming").alias("table"), F.unix_timestamp(F.col("last").cast("timestamp"))
-        .alias("freshness_timestamp")), "data_", ["freshness_timestamp"], ["table"]))
-    return v
+    append_trips(lake, batch.drop("trip_key"), f"hour-{virtual_dt[:13].replace(' ', 'T')}")
+    return 0
 
 
 def validate_lake(lake: Lake) -> DataFrame:
@@ -138,8 +167,9 @@ def validate_lake(lake: Lake) -> DataFrame:
               "silver_demand": SILVER_DEMAND, "gold_zone_stats": GOLD_ZONES}
     out = None
     for name, ref in tables.items():
-        if _t(lake, ref).exists():
-            r = qa.validate(_t(lake, ref).read(), name)
+        t = _stream(lake) if ref == BRONZE_STREAM else _t(lake, ref)
+        if t.exists():
+            r = qa.validate(t.read(), name)
             out = r if out is None else out.unionByName(r)
     return out
 
@@ -151,7 +181,7 @@ def monitor_drift(lake: Lake, run_ts: str, method: str | dict = drf.DEFAULT_METH
     publishes the summary and each feature's score and flag. With too few rows
     nothing is stored or published. Returns the one-row summary."""
     ref = drf.drift_features(_t(lake, SILVER_TRIPS).read().where(F.col("split") == "train"))
-    stream = _t(lake, BRONZE_STREAM).read()
+    stream = _stream(lake).read()
     if since_date:
         stream = stream.where(F.col("date") >= since_date)      # partition pruning
     cur = drf.drift_features(stream)
@@ -172,9 +202,13 @@ def monitor_drift(lake: Lake, run_ts: str, method: str | dict = drf.DEFAULT_METH
     return summ
 
 
-def train_and_register(lake: Lake, target: str = "duration", max_iter: int | None = None) -> dict:
+def train_and_register(lake: Lake, target: str = "duration", max_iter: int | None = None,
+                       max_train_rows: int | None = mdl.MAX_TRAIN_ROWS,
+                       max_test_rows: int | None = mdl.MAX_TEST_ROWS) -> dict:
     """Train one model family, evaluate on the test split, append to the
-    registry and report whether it became champion (I10, I15, I16)."""
+    registry, publish the model's metrics and report whether it became champion
+    (I10, I15, I16, A15). Trip models read exact samples of at most so many
+    train and test rows (None: all)."""
     zones = _t(lake, GOLD_ZONES).read()
     if target == "demand":
         data = feat.enrich_demand(_t(lake, SILVER_DEMAND).read(), zones)
@@ -184,26 +218,55 @@ def train_and_register(lake: Lake, target: str = "duration", max_iter: int | Non
         feats, dec = mdl.TRIP_FEATURES, 2
         label = "duration_min" if target == "duration" else "total_amount"
     data = data.withColumn(label, F.col(label).cast("double"))
-    model = mdl.train(data.where(F.col("split") == "train"), feats, label, max_iter=max_iter)
-    m = mdl.regression_metrics(mdl.score(model, data.where(F.col("split") == "test"), decimals=dec),
-                               label).collect()[0].asDict()
+    train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+    if target != "demand":
+        train = smp.sample_rows(train, max_train_rows, "trip_key") if max_train_rows else train
+        test = smp.sample_rows(test, max_test_rows, "trip_key") if max_test_rows else test
+    model = mdl.train(train, feats, label, max_iter=max_iter)
+    m = mdl.regression_metrics(mdl.score(model, test, decimals=dec), label).collect()[0].asDict()
+    train_rows = train.count()
     reg = _t(lake, REGISTRY)
-    version = (reg.read().where(F.col("model") == target).count() + 1) if reg.exists() else 1
     spark = lake.spark
+    # the model first, under the first version that nobody has: saving fails where one stands
+    version = (reg.read().where(F.col("model") == target).count() + 1) if reg.exists() else 1
+    while path_exists(spark, f"{_models(lake)}/{target}/v={version}"):
+        version += 1
+    model.save(f"{_models(lake)}/{target}/v={version}")
     row = spark.createDataFrame([(target, version, float(m["mae"] or 0.0), float(m["rmse"] or 0.0),
                                   float(m["r2"] or 0.0), int(m["n"]))],
                                 "model string, version int, mae double, rmse double, r2 double, test_rows bigint")
-    # the model first: a crash in between must not leave a version without one
-    model.write().overwrite().save(f"{lake.path('models', target)}/v={version}")
     reg.write(row, "append")
     _t(lake, ("monitoring", "runs")).write(
         mdl.log_run(spark, target, version, {**mdl.GBT_PARAMS, **({"maxIter": max_iter} if max_iter else {})},
                     {k: m[k] for k in ("mae", "rmse", "r2") if m[k] is not None},
-                    data.where(F.col("split") == "train").count()), "append")
+                    train_rows), "append")
+    _publish(lake, mt.to_metrics(mdl.model_metrics(spark, target, m, train_rows), "model_",
+                                 ["mae", "rmse", "r2", "train_rows", "retrain_timestamp"], ["model"])
+             .where(F.col("value").isNotNull()))
     champion = mdl.resolve_champion(reg.read(), target)
     return {**m, "version": version, "champion_version": champion}
 
 
+def _models(lake: Lake) -> str:
+    return f"{lake.root.rstrip('/')}/models"
+
+
+def champions(lake: Lake) -> mdl.Champions:
+    """The lake's champions, loaded by version."""
+    return mdl.Champions(lambda: _t(lake, REGISTRY).read(), _models(lake))
+
+
+def score_feed(lake: Lake, feed_dir: str, schema, out_dir: str, checkpoint: str, target: str = "duration",
+               files_per_trigger: int | None = None) -> None:
+    """Score new feed files with the target's champion (I17, I18): trips are
+    cleaned and given the current zone features; each batch asks for the
+    champion anew and writes its name and version on every row."""
+    clean = trp.clean_trips(feed_stream(lake.spark, feed_dir, schema, files_per_trigger))
+    known = champions(lake)
+    score_stream(feat.enrich_trips(clean, _t(lake, GOLD_ZONES).read()), lambda: known.get(target), out_dir, checkpoint,
+                 {"duration": "predicted_duration_min", "fare": "predicted_fare"}[target])
+
+
 def retrain(lake: Lake, data_source: str = "combined", max_iter: int | None = None,
             refresh_zone_stats: bool = True) -> list[dict]:
     """Rebuild silver (and by default gold, so the models never join stale

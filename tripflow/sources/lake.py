@@ -18,9 +18,11 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 LOG_SCHEMA = ("version bigint, mode string, ts double, rows bigint, files bigint, "
@@ -59,6 +61,9 @@ class Lake:
     def table(self, layer: str, name: str) -> "Table":
         return Table(self.spark, self.path(layer, name))
 
+    def plain(self, layer: str, name: str) -> "PlainTable":
+        return PlainTable(self.spark, self.path(layer, name))
+
     def register(self, tables: dict[str, tuple[str, str]]) -> list[str]:
         """Expose tables to SQL under names (A3): ``{view: (layer, name)}``.
         Views are lazy; a query over them prunes columns and pushes filters
@@ -125,9 +130,11 @@ class Table:
                 .drop("v"))
 
     def write(self, df: DataFrame, mode: str = "append", partition_by: list[str] | None = None,
-              schema=None) -> int:
+              schema=None, gate: Callable[[DataFrame], None] | None = None) -> int:
         """Write a new version (A5): ``append`` / ``overwrite`` / ``error``
-        (fail if the table exists). ``schema`` enforces types by cast (A6)."""
+        (fail if the table exists). ``schema`` enforces types by cast (A6).
+        ``gate`` gets the written rows before they are committed; if it raises,
+        no version comes about. Rows are counted by the write itself."""
         if mode not in ("append", "overwrite", "error", "compact"):
             raise ValueError(f"unknown mode {mode!r}")
         if mode == "error" and self.exists():
@@ -138,12 +145,14 @@ class Table:
         latest = self.latest_version()
         version = 0 if latest is None else latest + 1
         vdir = f"{self.path}/data/v={version}"
-        w = df.write.mode("overwrite")
+        counted = Observation()
+        w = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(vdir)
-        written = self.spark.read.parquet(vdir)
-        rows = written.count()
+        rows = int(counted.get["rows"])
+        if gate is not None:
+            gate(self.spark.read.schema(df.schema).parquet(vdir))
         _, files = _dir_bytes_files(self.spark, vdir)
         rec = {"version": version, "mode": "overwrite" if mode == "error" else mode, "ts": time.time(),
                "rows": rows, "files": files, "partition_by": list(partition_by or []),
@@ -170,6 +179,54 @@ class Table:
         return {"version": v, "files_before": before_files, "files_after": int(after)}
 
 
+class PlainTable:
+    """A folder of partitioned Parquet that any reader can open. Writing
+    replaces whole partitions, so writing the same partitions again changes
+    nothing: a replay neither adds nor loses rows."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def exists(self) -> bool:
+        """Whether a partition has been published."""
+        fs, p = _jpath(self.spark, self.path)
+        return bool(fs.exists(p)) and any(
+            f.isDirectory() and not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(p))
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+    def replace_partitions(self, df: DataFrame, partition_by: list[str],
+                           gate: Callable[[DataFrame], None] | None = None) -> None:
+        """Replace the partitions that ``df`` has rows for. They are written
+        beside the table (readers skip names with an underscore), shown to
+        ``gate``, and moved into place; if the gate raises, the table stays as
+        it was."""
+        staged = f"{self.path}/_staged/{uuid.uuid4().hex}"
+        try:
+            df.write.partitionBy(*partition_by).parquet(staged)
+            if gate is not None:
+                gate(self.spark.read.schema(df.schema).parquet(staged))
+            self._publish(staged, len(partition_by))
+        finally:
+            fs, p = _jpath(self.spark, staged)
+            fs.delete(p, True)
+
+    def _publish(self, staged: str, depth: int) -> None:
+        fs, root = _jpath(self.spark, staged)
+        level = [root]
+        for _ in range(depth):      # the partition folders of this one write
+            level = [f.getPath() for d in level for f in fs.listStatus(d)
+                     if f.isDirectory() and not f.getPath().getName().startswith(("_", "."))]
+        base = root.toUri().getPath().rstrip("/")
+        for folder in level:
+            _, target = _jpath(self.spark, self.path + folder.toUri().getPath()[len(base):])
+            fs.delete(target, True)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(folder, target):
+                raise OSError(f"could not move {folder} to {target}")
+
+
 def read_months(spark: SparkSession, root: str, months: str,
                 pattern: str = "yellow_tripdata_{month}.parquet") -> DataFrame:
     """Read monthly Parquet files given as ``"2024-01,2024-02"`` as one frame
@@ -178,10 +235,12 @@ def read_months(spark: SparkSession, root: str, months: str,
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
-def export_features(df: DataFrame, path: str) -> None:
-    """Write a feature table as one Parquet file for a feature server.
-    Rows stream through one writing task, none is held back."""
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+def export_features(df: DataFrame, path: str, rows_per_file: int = 10_000_000) -> None:
+    """Write a feature table for a feature server (A11): one Parquet file up to
+    ``rows_per_file`` rows, else as many as needed. The plan above runs with its
+    own parallelism; only its finished rows are brought together, dealt evenly."""
+    rows = df.count()
+    df.repartition(max(1, -(-rows // rows_per_file))).write.mode("overwrite").parquet(path)
 
 
 def write_drift_report(lake: Lake, report: DataFrame, run_ts: str) -> int:

@@ -1,22 +1,26 @@
 """Structured Streaming: incremental trip ingest and hourly demand.
 
-* ``ingest_stream`` — file source → per-batch quality gate → append to the
-  bronze streaming table partitioned by ``date``. The checkpoint replaces
-  the reference's JSON cursor; each micro-batch is written to a directory
-  named by its batch id with overwrite, so a batch replayed after a failure
-  replaces its own output instead of duplicating it.
+* ``ingest_stream`` — file source → per-batch quality gate → the plain Parquet
+  table that the jobs read, partitioned by ``date`` and ``feed`` (the feed file
+  a row came from). The checkpoint replaces the reference's JSON cursor. A file
+  is never split over micro-batches, so replaying it, by whatever batches,
+  replaces its own partitions and nothing else. Rows, checks, column statistics
+  and the latest pickup are observed in the write itself.
 * ``demand_stream`` — hourly trip counts per zone: partial counts per
   micro-batch, idempotent by batch id, summed when read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.operators.metrics import to_metrics
-from tripflow.operators.quality import validate_or_fail
+from tripflow.operators.models import Champion, score
+from tripflow.operators.observed import Observed
 from tripflow.operators.trips import ZONE_MAX, ZONE_MIN
+from tripflow.sources.lake import PlainTable
 
 
 def feed_stream(spark: SparkSession, feed_dir: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -30,28 +34,36 @@ def feed_stream(spark: SparkSession, feed_dir: str, schema, files_per_trigger: i
 
 def ingest_stream(spark: SparkSession, feed_dir: str, schema, table_dir: str, checkpoint: str,
                   gate_table: str = "bronze_streaming", timeout_s: int | None = None,
-                  from_date: str | None = None, on_batch=None) -> None:
+                  from_date: str | None = None, on_batch: Callable[[Observed, DataFrame, int], None] | None = None,
+                  files_per_trigger: int | None = None) -> None:
     """Incremental ingest with a durable cursor (J1, J2, J7): process all
-    available feed files (``availableNow``), validate every micro-batch,
-    append it by ``date``. ``from_date`` with a fresh checkpoint replays
-    from that day on (J3)."""
+    available feed files (``availableNow``), check every micro-batch while it is
+    written, and publish it by ``date`` and ``feed``. A batch that fails its
+    checks raises and leaves the table as it was. ``from_date`` with a fresh
+    checkpoint replays whole days from that one on (J3), into the same table or
+    another. ``on_batch(seen, checks, batch_id)`` gets each batch's observed
+    metrics and checks, also of a batch that fails."""
+    table = PlainTable(spark, table_dir)
+
     def per_batch(batch: DataFrame, batch_id: int):
-        batch.persist()                         # read once for the gate and the write
-        try:
-            if batch.isEmpty():
-                return
-            validate_or_fail(batch, gate_table)
-            (batch.withColumn("date", F.date_format("tpep_pickup_datetime", "yyyy-MM-dd"))
-                  .write.mode("overwrite").partitionBy("date")
-                  .parquet(f"{table_dir.rstrip('/')}/batch_id={batch_id}"))
+        seen = Observed(batch.drop("feed"), gate_table, ts_col="tpep_pickup_datetime")
+
+        def gate(staged: DataFrame) -> None:
+            if not seen.rows:
+                return                          # nothing new: nothing to check or publish
+            results = seen.checks(staged)
             if on_batch is not None:
-                on_batch(freshness(batch), batch_id)
-        finally:
-            batch.unpersist()
+                on_batch(seen, results, batch_id)
+            seen.fail()
+
+        table.replace_partitions(seen.watch(batch.withColumn("date", day)), ["date", "feed"], gate)
 
-    src = feed_stream(spark, feed_dir, schema)
+    day = F.date_format("tpep_pickup_datetime", "yyyy-MM-dd")
+    # the file's path below the feed folder, as a name that is safe in a path
+    below = F.substring_index(F.col("_metadata.file_path"), f"/{feed_dir.rstrip('/').split('/')[-1]}/", -1)
+    src = feed_stream(spark, feed_dir, schema, files_per_trigger).withColumn("feed", F.sha2(below, 256).substr(1, 16))
     if from_date:
-        src = src.where(F.col("tpep_pickup_datetime") >= F.to_timestamp_ntz(F.lit(from_date)))
+        src = src.where(F.to_date("tpep_pickup_datetime") >= F.to_date(F.lit(from_date)))
     q = (src.writeStream
          .foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -79,13 +91,6 @@ def demand_stream(spark: SparkSession, source: DataFrame, out_dir: str, checkpoi
     return read_demand(spark, out_dir)
 
 
-def freshness(batch: DataFrame) -> DataFrame:
-    """The latest pickup of a batch as a metric sample ``data_freshness_timestamp``."""
-    last = batch.agg(F.max("tpep_pickup_datetime").alias("last")).select(
-        F.lit("bronze.streaming").alias("table"), F.unix_timestamp(F.col("last").cast("timestamp")).alias("freshness_timestamp"))
-    return to_metrics(last, "data_", ["freshness_timestamp"], ["table"])
-
-
 def hourly_counts(trips: DataFrame) -> DataFrame:
     """(zone_id, window_start, trip_count) of trips in valid zones."""
     return (trips.where(F.col("PULocationID").between(ZONE_MIN, ZONE_MAX))
@@ -103,15 +108,18 @@ def read_demand(spark: SparkSession, out_dir: str) -> DataFrame:
 def score_stream(stream_df: DataFrame, resolve_model, out_dir: str, checkpoint: str,
                  out_col: str = "prediction", decimals: int = 2, timeout_s: int | None = None) -> None:
     """Score a stream (I17, I18): every micro-batch first resolves the model
-    (e.g. the current champion from the registry), so a newer champion is
-    used from the next batch on without a restart; predictions of batch
-    ``b`` are written to ``batch_id=b`` with overwrite (idempotent replay)."""
-    from tripflow.operators.models import score
-
+    (a fitted one, or a ``Champion``, whose name and version then stand on each
+    row), so a newer champion is used from the next batch on without a restart;
+    predictions of batch ``b`` are written to ``batch_id=b`` with overwrite
+    (idempotent replay). Without a model the batch fails, and is tried again by
+    the next start."""
     def per_batch(batch: DataFrame, batch_id: int):
         model = resolve_model()
-        (score(model, batch, out_col, decimals).write.mode("overwrite")
-         .parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}"))
+        if model is None:
+            raise LookupError("no champion to score with")
+        scored = (model.score(batch, out_col, decimals) if isinstance(model, Champion)
+                  else score(model, batch, out_col, decimals))
+        scored.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
 
     q = (stream_df.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
