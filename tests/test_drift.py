@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tripflow.operators import drift as drf
 from tripflow.plans import partitioning as part
@@ -63,10 +64,45 @@ def test_js_and_chi2_brute_force(spark):
     assert r["chi2_dof"] == 2
 
 
-def test_chi2_pvalue_known_values():
-    assert drf.chi2_pvalue(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-9)
-    assert drf.chi2_pvalue(18.307038053275146, 10) == pytest.approx(0.05, abs=1e-9)
-    assert drf.chi2_pvalue(0.0, 3) == 1.0
+def test_chi2_pvalue_known_values(spark):
+    rows = [(3.841458820694124, 1, 0.05), (18.307038053275146, 10, 0.05), (0.0, 3, 1.0), (2.0, 2, math.exp(-1)),
+            (float("inf"), 4, 0.0), (None, 4, None), (5.0, 0, 1.0), (1.0, 1, math.erfc(math.sqrt(0.5))),
+            (50.0, 1, math.erfc(5.0)), (5000.0, 3, 0.0), (0.001, 1, math.erfc(math.sqrt(0.0005)))]
+    # an even number of degrees is a finite sum: e^-x (1 + x + ... + x^(a-1) / (a-1)!)
+    for a in (2, 7, 50, 400):
+        for ratio in (0.3, 0.9, 1.0, 1.1, 1.6):
+            x = a * ratio
+            terms = [math.exp(k * math.log(x) - x - math.lgamma(k + 1)) for k in range(a)]
+            rows.append((2 * x, 2 * a, math.fsum(terms)))
+    df = spark.createDataFrame([(k, s, d) for k, (s, d, _) in enumerate(rows)], "k int, s double, d int")
+    got = df.select("k", drf.chi2_pvalue(F.col("s"), F.col("d")).alias("p")).orderBy("k").collect()
+    for r, (s, d, want) in zip(got, rows):
+        assert r.p == (None if want is None else pytest.approx(want, rel=1e-8, abs=1e-10)), (s, d)
+
+
+def test_counts_of_parts_add_up(spark):
+    rng = np.random.default_rng(1)
+    rows = [(f"d{int(rng.integers(0, 4))}", float(rng.integers(0, 30)), int(rng.integers(0, 6))) for _ in range(600)]
+    df = spark.createDataFrame(rows, "date string, x double, y int")
+    ref, cur = df.where("date = 'd0'"), df.where("date <> 'd0'")
+    methods = {"x": "ks", "y": "chi2"}
+    want = drf.drift_report(ref, cur, ["x", "y"], methods)
+    counts = drf.drift_counts(df, ["x", "y"], by=("date",))
+    got = drf.report_from_counts(counts.where("date = 'd0'"), counts.where("date <> 'd0'"), ["x", "y"], methods)
+    assert sorted(got.collect()) == sorted(want.collect()) and want.count() == 2
+    assert drf.report_from_counts(counts, counts.limit(0), ["x", "y"], methods).count() == 0
+
+
+def test_reports_of_all_sorts(spark):
+    docs = [(1, None), (2, "{"), (3, "[]"), (4, '{"metrics":[]}'), (5, '{"metrics":"x"}'), (6, '{"metrics":[1,null,{"config":5}]}'),
+            (7, '{"metrics":[{"config":{"type":"DriftedColumnsCount"},"value":{"count":"2"}}]}'),
+            (8, '{"metrics":[{"config":{"type":"ValueDrift"},"value":null},{"config":{"type":"ValueDrift"},"value":"0.01"}]}')]
+    out = drf.parse_drift_report(spark.createDataFrame(docs, "id int, report string"), keep=("id",)).collect()
+    got = {r.id: (r.status, r.number_of_drifted_columns, r.drift_share, r.number_of_columns, r.flagged_columns, r.dataset_drift) for r in out}
+    gone = (None,) * 5
+    assert len(out) == 8 and got == {
+        1: ("unparsable", *gone), 2: ("unparsable", *gone), 3: ("no_metrics", *gone), 4: ("no_metrics", *gone), 5: ("no_metrics", *gone),
+        6: ("ok", None, None, 0, 0, None), 7: ("ok", 2, None, 0, 0, None), 8: ("ok", None, None, 2, 1, None)}
 
 
 def test_prefix_sums_brute_force(spark):

@@ -118,6 +118,11 @@ def test_feed_to_retrain(spark, scratch):
     assert lake.table("silver", "trips").read().count() == trp.clean_trips(raw).count() + trp.clean_trips(ev).count()
     jobs.build_gold_zone_stats(lake)
     assert jobs.monitor_drift(lake, "2024-02-01 00:00:00").collect()[0]["number_of_columns"] == 5
+    # the kept counts give the report that the trips themselves give
+    train = lake.table("silver", "trips").read().where("split = 'train'")
+    want_report = jobs.drf.drift_report(jobs.drf.drift_features(train), jobs.drf.drift_features(ev))
+    kept = lake.table("monitoring", "drift_reports").read().select(*want_report.columns)
+    assert sorted(kept.collect()) == sorted(want_report.collect())
     found = jobs.train_and_register(lake, "duration", max_iter=2, max_train_rows=200, max_test_rows=50)
     assert found["n"] == 50 and _metric(lake, "model_train_rows") == [200.0]
     assert {len(_metric(lake, f"model_{m}")) for m in ("mae", "rmse", "r2", "retrain_timestamp")} == {1}

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripflow.operators.trips import DISTANCE_OPEN, PASSENGERS, ZONE_MAX, ZONE_MIN
@@ -67,10 +67,29 @@ def _long(df: DataFrame, cols: list[str]) -> DataFrame:
     return s.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def drift_counts(df: DataFrame, cols: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, feature, value, n): how often each value occurs, per ``by`` (such as
+    a day). Counts of parts add up: a table of them answers for any set of days
+    without their rows (J6)."""
+    rows = df.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])).alias("s"))
+    return (rows.select(*by, "s.*").where(F.col("value").isNotNull() & ~F.isnan("value"))
+            .groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def merge_counts(counts: DataFrame) -> DataFrame:
+    """(feature, value, n) over all parts in ``counts``."""
+    return counts.groupBy("feature", "value").agg(F.sum("n").alias("n"))
+
+
 def value_counts(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     """(feature, value, c_ref, c_cur) over the union of observed values."""
-    r = _long(ref, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c_ref"))
-    c = _long(cur, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c_cur"))
+    return join_counts(drift_counts(ref, cols), drift_counts(cur, cols))
+
+
+def join_counts(ref: DataFrame, cur: DataFrame) -> DataFrame:
+    """(feature, value, c_ref, c_cur) of two sets of counts (feature, value, n)."""
+    r, c = ref.withColumnRenamed("n", "c_ref"), cur.withColumnRenamed("n", "c_cur")
     return (r.join(c, ["feature", "value"], "full")
              .select("feature", "value", F.coalesce("c_ref", F.lit(0)).alias("c_ref"),
                      F.coalesce("c_cur", F.lit(0)).alias("c_cur")))
@@ -100,7 +119,12 @@ def cdf_scores(ref: DataFrame, cur: DataFrame, cols: list[str], ranges: int = 64
     totals, variance, running sums), so it is checkpointed once: it is
     already reduced to one row per distinct value and feature.
     """
-    vc = reliable_checkpoint(value_counts(ref, cur, cols))
+    return cdf_scores_of(value_counts(ref, cur, cols), ranges)
+
+
+def cdf_scores_of(counts: DataFrame, ranges: int = 64) -> DataFrame:
+    """``cdf_scores`` of value counts (feature, value, c_ref, c_cur)."""
+    vc = reliable_checkpoint(counts)
     # per feature: sizes and reference mean, then the reference variance
     # (two passes over the counts, numerically safe); one row per feature
     stats = vc.groupBy("feature").agg(
@@ -131,7 +155,11 @@ def category_scores(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFram
     skipped) and the chi-square statistic of current counts against
     reference proportions, with degrees of freedom over the union of values.
     A value that the reference lacks makes the statistic infinite."""
-    vc = value_counts(ref, cur, cols)
+    return category_scores_of(value_counts(ref, cur, cols))
+
+
+def category_scores_of(vc: DataFrame) -> DataFrame:
+    """``category_scores`` of value counts (feature, value, c_ref, c_cur)."""
     tot = _totals(vc)
     x = vc.join(F.broadcast(tot), "feature")
     p = F.try_divide(F.col("c_ref"), F.col("n_ref"))
@@ -148,42 +176,44 @@ def category_scores(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFram
         (F.count(F.lit(1)) - 1).alias("chi2_dof"))
 
 
-def chi2_pvalue(stat: float | None, dof: int) -> float | None:
-    """Upper tail of the chi-square distribution (regularised gamma Q),
-    evaluated on the driver for the handful of per-feature statistics."""
-    if stat is None:
-        return None
-    if math.isinf(stat):
-        return 0.0
-    if dof <= 0:
-        return 1.0
-    a, x = dof / 2.0, stat / 2.0
-    if x <= 0:
-        return 1.0
-    if x < a + 1:   # series for P
-        term = s = 1.0 / a
-        ap = a
-        for _ in range(1000):
-            ap += 1
-            term *= x / ap
-            s += term
-            if abs(term) < abs(s) * 1e-15:
-                break
-        return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - math.lgamma(a)))
-    b, c, d = x + 1 - a, 1e300, 1 / (x + 1 - a)       # continued fraction for Q
-    h = d
-    for i in range(1, 1000):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = b + an / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1 / d
-        h *= d * c
-        if abs(d * c - 1) < 1e-15:
-            break
-    return min(1.0, math.exp(-x + a * math.log(x) - math.lgamma(a)) * h)
+GAMMA_STEPS = 1_000     # terms of the series and of the continued fraction
+
+
+def _log_gamma(a: Column) -> Column:
+    """ln Γ(a), a > 0: Stirling's series at a + 8, stepped down by Γ(a + 1) = a Γ(a)."""
+    z = a + 8
+    series = 1 / (12 * z) - 1 / (360 * F.pow(z, F.lit(3))) + 1 / (1260 * F.pow(z, F.lit(5))) - 1 / (1680 * F.pow(z, F.lit(7)))
+    up = (z - 0.5) * F.log(z) - z + F.lit(0.5 * math.log(2 * math.pi)) + series
+    return up - sum((F.log(a + k) for k in range(1, 8)), F.log(a))
+
+
+def chi2_pvalue(stat: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution: the regularised incomplete
+    gamma function Q(dof / 2, stat / 2), as a column expression. Below a + 1 from
+    the power series of P, else from the continued fraction of Q (both summed
+    within the expression). An infinite statistic has p-value 0; no degree of
+    freedom, or no difference, has 1."""
+    a, x = dof / F.lit(2.0), stat / F.lit(2.0)
+    double = lambda v: F.lit(float(v))
+    steps = F.sequence(F.lit(1), F.lit(GAMMA_STEPS))
+    front = F.exp(a * F.log(x) - x - _log_gamma(a))
+    # P: sum of x^k / (a (a + 1) ... (a + k))
+    series = F.aggregate(steps, F.struct((1 / a).alias("term"), (1 / a).alias("sum")),
+                         lambda s, k: F.struct((s["term"] * x / (a + k)).alias("term"),
+                                               (s["sum"] + s["term"] * x / (a + k)).alias("sum")), lambda s: s["sum"])
+    # Q: the fraction's convergents, each from the one before (modified Lentz)
+    def convergent(s, k):
+        over, b = -k * (k - a), x + 1 - a + 2 * k
+        d = 1 / (over * s["d"] + b)
+        c = b + over / s["c"]
+        return F.struct(c.alias("c"), d.alias("d"), (s["h"] * d * c).alias("h"))
+    start = 1 / (x + 1 - a)
+    fraction = F.aggregate(steps, F.struct(double(1e300).alias("c"), start.alias("d"), start.alias("h")), convergent,
+                           lambda s: s["h"])
+    tail = F.when(x < a + 1, 1 - front * series).otherwise(front * fraction)
+    bounded = F.greatest(double(0), F.least(double(1), tail))
+    return (F.when(stat.isNull() | dof.isNull(), F.lit(None).cast("double")).when((dof <= 0) | (stat <= 0), double(1))
+            .when(stat == double("inf"), double(0)).otherwise(bounded))
 
 
 def choose_methods(ref: DataFrame, cols: list[str]) -> dict[str, str]:
@@ -211,37 +241,53 @@ def drift_report(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
     fewer than 100 rows (C10), checked with ``limit(100).count()``.
     """
     cols = cols or DRIFT_FEATURES
-    th = {**THRESHOLDS, **(thresholds or {})}
-    spark = ref.sparkSession
-    schema = "feature string, method string, score double, threshold double, drifted boolean"
     if cur.limit(MIN_CURRENT_ROWS).count() < MIN_CURRENT_ROWS:
-        return spark.createDataFrame([], schema)
+        return _no_report(ref.sparkSession)
     methods = (choose_methods(ref, cols) if method == "auto"
                else {c: method.get(c, "wasserstein") for c in cols} if isinstance(method, dict)
                else {c: method for c in cols})
-    parts = []
     cdf_cols = [c for c in cols if methods[c] in ("ks", "wasserstein")]
     cat_cols = [c for c in cols if methods[c] in ("js", "chi2")]
-    if cdf_cols:
-        s = cdf_scores(ref, cur, cdf_cols)
-        mcol = F.element_at(F.create_map(*[x for c in cdf_cols for x in (F.lit(c), F.lit(methods[c]))]),
-                            F.col("feature"))
-        parts.append(s.select("feature", mcol.alias("method"),
-                              F.when(mcol == "ks", F.col("ks_pvalue"))
-                               .otherwise(F.col("wasserstein_normed")).alias("score")))
-    if cat_cols:
-        s = category_scores(ref, cur, cat_cols)
-        mcol = F.element_at(F.create_map(*[x for c in cat_cols for x in (F.lit(c), F.lit(methods[c]))]),
-                            F.col("feature"))
-        if any(methods[c] == "chi2" for c in cat_cols):
-            rows = s.select("feature", "chi2_stat", "chi2_dof").collect()    # <= one row per feature
-            pv = {r["feature"]: chi2_pvalue(r["chi2_stat"], r["chi2_dof"]) for r in rows}
-            pmap = F.create_map(*[x for k, v in pv.items() for x in (F.lit(k), F.lit(v).cast("double"))])
-            chi_p = F.element_at(pmap, F.col("feature"))
-        else:
-            chi_p = F.lit(None).cast("double")
-        parts.append(s.select("feature", mcol.alias("method"),
-                              F.when(mcol == "js", F.col("js")).otherwise(chi_p).alias("score")))
+    return _report(cdf_scores(ref, cur, cdf_cols) if cdf_cols else None,
+                   category_scores(ref, cur, cat_cols) if cat_cols else None, methods, thresholds)
+
+
+def report_from_counts(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
+                       methods: dict | str = DEFAULT_METHODS, thresholds: dict | None = None) -> DataFrame:
+    """``drift_report`` of stored counts (feature, value, n; several rows a value
+    are added up): it reads counts, not trips (J6). Methods are explicit."""
+    cols = cols or DRIFT_FEATURES
+    methods = {c: methods if isinstance(methods, str) else methods.get(c, "wasserstein") for c in cols}
+    ref, cur = merge_counts(ref), reliable_checkpoint(merge_counts(cur))
+    # every row of the features counts once for each
+    rows = cur.groupBy("feature").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
+    if rows < MIN_CURRENT_ROWS:
+        return _no_report(ref.sparkSession)
+    both = join_counts(ref, cur)
+    pick = lambda names: both.where(F.col("feature").isin(*names))
+    cdf_cols = [c for c in cols if methods[c] in ("ks", "wasserstein")]
+    cat_cols = [c for c in cols if methods[c] in ("js", "chi2")]
+    return _report(cdf_scores_of(pick(cdf_cols)) if cdf_cols else None,
+                   category_scores_of(pick(cat_cols)) if cat_cols else None, methods, thresholds)
+
+
+def _no_report(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "feature string, method string, score double, threshold double, drifted boolean")
+
+
+def _report(cdf: DataFrame | None, categories: DataFrame | None, methods: dict, thresholds: dict | None) -> DataFrame:
+    """The report's rows from the scores of the two kinds of methods."""
+    th = {**THRESHOLDS, **(thresholds or {})}
+    method = F.element_at(F.create_map(*[x for c, m in methods.items() for x in (F.lit(c), F.lit(m))]), F.col("feature"))
+    parts = []
+    if cdf is not None:
+        parts.append(cdf.select("feature", method.alias("method"),
+                                F.when(method == "ks", F.col("ks_pvalue")).otherwise(F.col("wasserstein_normed")).alias("score")))
+    if categories is not None:
+        score = F.col("js")
+        if "chi2" in methods.values():
+            score = F.when(method == "js", score).otherwise(chi2_pvalue(F.col("chi2_stat"), F.col("chi2_dof")))
+        parts.append(categories.select("feature", method.alias("method"), score.alias("score")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -351,10 +397,6 @@ def retrain_decisions(history: DataFrame, ts_col: str = "period", share_col: str
 
 # --- drift report documents (B16) ---------------------------------------------
 
-REPORT_SCHEMA = ("metrics array<struct<config: struct<type: string, column: string, "
-                 "threshold: double, method: string>, value: string>>")
-
-
 def to_report_json(by_period: DataFrame, method: str = "js") -> DataFrame:
     """One JSON report per period in the shape of the drift library's
     output: a ``DriftedColumnsCount`` metric (count, share) and one
@@ -377,24 +419,33 @@ def to_report_json(by_period: DataFrame, method: str = "js") -> DataFrame:
 
 
 def parse_drift_report(df: DataFrame, json_col: str = "report", keep=("period",)) -> DataFrame:
-    """Summary of a drift report document (B16): drifted-column count and
-    share from the counter metric, number of per-column metrics, dataset
-    flag (share > 0.5). Per-column flags follow the method's direction
-    (p-value below threshold, or distance at/above it); without a method
-    the score is read as a p-value, as the reference does."""
-    parsed = df.select(*keep, F.from_json(F.col(json_col), REPORT_SCHEMA).alias("r"))
-    m = parsed.select(*keep, F.explode("r.metrics").alias("m"))
-    is_count = F.col("m.config.type").contains("DriftedColumnsCount")
-    is_value = F.col("m.config.type").contains("ValueDrift")
-    score = F.col("m.value").cast("double")
-    thr = F.coalesce(F.col("m.config.threshold"), F.lit(0.05))
-    distance = F.col("m.config.method").isin("wasserstein", "js")
-    drifted = F.when(distance, score >= thr).otherwise(score < thr)
-    agg = m.groupBy(*keep).agg(
-        F.max(F.when(is_count, F.get_json_object("m.value", "$.count").cast("long"))).alias("number_of_drifted_columns"),
-        F.max(F.when(is_count, F.get_json_object("m.value", "$.share").cast("double"))).alias("drift_share"),
-        F.count_if(is_value).alias("number_of_columns"),
-        F.count_if(is_value & drifted).alias("flagged_columns"))
-    return agg.select(*keep, F.coalesce("number_of_drifted_columns", F.lit(0)).alias("number_of_drifted_columns"),
-                      F.coalesce("drift_share", F.lit(0.0)).alias("drift_share"), "number_of_columns",
-                      "flagged_columns", (F.coalesce("drift_share", F.lit(0.0)) > DATASET_DRIFT_SHARE).alias("dataset_drift"))
+    """Summary of each drift report document (B16), one row a document whatever
+    it holds: ``status`` (``ok``; ``no_metrics`` where it has no list of metrics,
+    or an empty one; ``unparsable``), drifted-column count and share from the
+    counter metric, number of per-column metrics and how many are flagged, and
+    the dataset flag (share > 0.5). What a document doesn't say is null, not 0.
+
+    Documents are read as VARIANT, so metrics of any shape stand side by side;
+    numbers may be given as text. Per-column flags follow the method's direction
+    (p-value below threshold, or distance at/above it); without a method the
+    score is read as a p-value, without a threshold as against 0.05, as the
+    reference does. A column without a score is not flagged."""
+    get = lambda v, path, kind: F.try_variant_get(v, path, kind)
+    doc = F.try_parse_json(F.col(json_col).cast("string"))
+    docs = df.select(*keep, doc.alias("_doc"), get(doc, "$.metrics", "array<variant>").alias("_metrics"))
+    is_a = lambda m, name: F.coalesce(F.contains(get(m, "$.config.type", "string"), F.lit(name)), F.lit(False))
+
+    def flagged(m):
+        score, limit = get(m, "$.value", "double"), F.coalesce(get(m, "$.config.threshold", "double"), F.lit(0.05))
+        distance = F.coalesce(get(m, "$.config.method", "string").isin("wasserstein", "js"), F.lit(False))
+        return F.coalesce(F.when(distance, score >= limit).otherwise(score < limit), F.lit(False))
+    metrics = F.coalesce("_metrics", F.array().cast("array<variant>"))
+    columns = F.filter(metrics, lambda m: is_a(m, "ValueDrift"))
+    counter = F.try_element_at(F.filter(metrics, lambda m: is_a(m, "DriftedColumnsCount")), F.lit(1))
+    share = get(counter, "$.value.share", "double")
+    status = (F.when(F.col("_doc").isNull(), "unparsable").when(F.size(metrics) == 0, "no_metrics").otherwise("ok"))
+    return docs.select(
+        *keep, get(counter, "$.value.count", "bigint").alias("number_of_drifted_columns"), share.alias("drift_share"),
+        F.when(status == "ok", F.size(columns)).cast("long").alias("number_of_columns"),
+        F.when(status == "ok", F.size(F.filter(columns, flagged))).cast("long").alias("flagged_columns"),
+        (share > DATASET_DRIFT_SHARE).alias("dataset_drift"), status.alias("status"))

@@ -31,7 +31,7 @@ def zone_stats(bronze: DataFrame, ts_mode: str = "zone") -> DataFrame:
     (older variant, E4). The global maximum is taken over the aggregated
     result, which has at most 263 rows.
     """
-    pu, do = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
+    pu, do = (F.col(c).cast("timestamp_ntz") for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime"))
     trips = bronze.select(
         F.col("PULocationID").alias("zone_id"), "total_amount", "trip_distance",
         duration_min(pu, do).alias("duration_min"), pu.alias("pickup_ts"),
@@ -73,7 +73,7 @@ def demand(bronze: DataFrame, zone_filter: bool = True, keep_date: bool = False)
     month are functions of the date, so they are derived after the
     aggregate instead of being grouping keys. The date is dropped unless
     ``keep_date`` (then it is ``pickup_date``)."""
-    pu = F.col("tpep_pickup_datetime")
+    pu = F.col("tpep_pickup_datetime").cast("timestamp_ntz")
     src = bronze.where(F.col("PULocationID").between(ZONE_MIN, ZONE_MAX)) if zone_filter else bronze
     agg = src.groupBy(
         F.col("PULocationID").alias("zone_id"),

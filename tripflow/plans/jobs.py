@@ -79,6 +79,7 @@ def append_trips(lake: Lake, trips: DataFrame, feed: str) -> None:
     def gate(staged: DataFrame) -> None:
         _publish(lake, seen.metrics(seen.checks(staged)))
         seen.fail()
+        _keep_counts(lake, staged)
     _stream(lake).replace_partitions(seen.watch(out), ["date", "feed"], gate)
 
 
@@ -89,7 +90,23 @@ def ingest_feed(lake: Lake, feed_dir: str, checkpoint: str, schema, from_date: s
     column statistics and latest pickup (J7)."""
     ingest_stream(lake.spark, feed_dir, schema, _stream(lake).path, checkpoint, from_date=from_date,
                   files_per_trigger=files_per_trigger,
-                  on_batch=lambda seen, results, _: _publish(lake, seen.metrics(results)))
+                  on_batch=lambda seen, results, _: _publish(lake, seen.metrics(results)),
+                  on_pass=lambda staged: _keep_counts(lake, staged))
+
+
+def _keep_counts(lake: Lake, staged: DataFrame) -> None:
+    """The value counts of a batch of streamed trips, by its days and feeds, for
+    drift (J6). A batch whose trips all fall away still replaces its counts: an
+    entry without a feature stands for it."""
+    parts = ["date", "feed"]
+    counts = drf.drift_counts(drf.drift_features(staged, keep=tuple(parts)), drf.DRIFT_FEATURES, by=tuple(parts))
+    marks = staged.select(*parts).distinct().select(*parts, F.lit("").alias("feature"), F.lit(0.0).alias("value"),
+                                                    F.lit(0).cast("long").alias("n"))
+    _counts(lake).replace_partitions(counts.unionByName(marks), parts)
+
+
+def _counts(lake: Lake) -> PlainTable:
+    return lake.plain("monitoring", "drift_counts")
 
 
 def _stream(lake: Lake) -> PlainTable:
@@ -179,13 +196,16 @@ def monitor_drift(lake: Lake, run_ts: str, method: str | dict = drf.DEFAULT_METH
     """Reference = silver train rows, current = streamed trips (pruned to
     ``date >= since_date`` partitions when given, J6); stores the report and
     publishes the summary and each feature's score and flag. With too few rows
-    nothing is stored or published. Returns the one-row summary."""
+    nothing is stored or published. Returns the one-row summary. Streamed trips
+    are read as the counts kept of them, unless the method is to be chosen from
+    the data."""
     ref = drf.drift_features(_t(lake, SILVER_TRIPS).read().where(F.col("split") == "train"))
-    stream = _stream(lake).read()
-    if since_date:
-        stream = stream.where(F.col("date") >= since_date)      # partition pruning
-    cur = drf.drift_features(stream)
-    found = drf.drift_report(ref, cur, drf.DRIFT_FEATURES, method)
+    since = F.col("date") >= since_date if since_date else F.lit(True)      # partition pruning
+    if method != "auto" and _counts(lake).exists():
+        cur = _counts(lake).read().where(since & (F.col("feature") != ""))
+        found = drf.report_from_counts(drf.drift_counts(ref, drf.DRIFT_FEATURES), cur, drf.DRIFT_FEATURES, method)
+    else:
+        found = drf.drift_report(ref, drf.drift_features(_stream(lake).read().where(since)), drf.DRIFT_FEATURES, method)
     rows = found.collect()                      # one row per feature
     rep = lake.spark.createDataFrame(rows, found.schema)
     if not rows:

@@ -7,7 +7,7 @@ result types (INTEGER for hour/day/month, BIGINT for sums).
 
 from __future__ import annotations
 
-from tripflow.sources.fixtures import METRICS_EVENTS_SQL, TRIPS_EVENTS_SQL, TRIPS_LINEITEM_SQL
+from tripflow.sources.fixtures import FOREIGN_REPORTS_SQL, METRICS_EVENTS_SQL, TRIPS_EVENTS_SQL, TRIPS_LINEITEM_SQL
 
 ORACLE: dict[str, str] = {}
 
@@ -705,3 +705,75 @@ SELECT feature, method,
        CAST(CASE method WHEN 'ks' THEN 0.05 WHEN 'chi2' THEN 0.05 ELSE 0.1 END AS DOUBLE) AS threshold,
        CASE method WHEN 'ks' THEN ks_p < 0.05 WHEN 'wasserstein' THEN wn >= 0.1 WHEN 'js' THEN js >= 0.1 END AS drifted
 FROM m"""
+
+
+# ---- drift from mergeable counts, report documents, lineage, small operators
+
+ORACLE["drift_daily_counts"] = with_(STREAM, CUR, _long("cur", "cl", FEATS, extra="date, ")) + \
+    "SELECT date, feature, value, count(*) AS n FROM cl GROUP BY ALL"
+
+ORACLE["drift_summary_merged"] = ORACLE["drift_summary"]
+
+ORACLE["drift_report_recent"] = with_(RAW, f"stream AS (SELECT * FROM ({TRIPS_EVENTS_SQL}) WHERE date >= '2024-01-15')",
+                                      _clean("raw", "clean"), SILVER, REF, CUR, *_vc(FEATS), CDF, KS, CAT,
+                                      "sd AS (SELECT feature, stddev_pop(value) AS s FROM rl GROUP BY feature)") + """
+SELECT feature, 'wasserstein' AS method, round(w1 / greatest(s, 0.001), 6) AS score, CAST(0.1 AS DOUBLE) AS threshold,
+       w1 / greatest(s, 0.001) >= 0.1 AS drifted
+FROM ks JOIN sd USING (feature) WHERE feature != 'pickup_month'
+UNION ALL SELECT feature, 'js', round(js, 6), CAST(0.1 AS DOUBLE), js >= 0.1 FROM cat WHERE feature = 'pickup_month'"""
+
+# P(a, x) = sum over n of x^(a + n) e^-x / gamma(a + n + 1)
+ORACLE["drift_chi2_pvalue"] = with_(RAW, _clean("raw", "clean"), SILVER, REF,
+                                    REF.replace("ref AS", "cur AS").replace("'train'", "'test'"), *_vc(DISC), CAT) + """
+SELECT feature, chi2_dof,
+       round(CASE WHEN chi2_stat = 'Infinity'::DOUBLE THEN 0.0 WHEN chi2_stat <= 0 OR chi2_dof <= 0 THEN 1.0
+             ELSE greatest(0.0, 1 - list_sum(list_transform(range(0, 3000), lambda n:
+               exp((chi2_dof / 2 + n) * ln(chi2_stat / 2) - chi2_stat / 2 - lgamma(chi2_dof / 2 + n + 1))))) END, 6) AS p_value
+FROM cat"""
+
+ORACLE["parse_foreign_reports"] = f"""
+WITH d AS ({FOREIGN_REPORTS_SQL}),
+j AS (SELECT event_id, json_valid(report) AS valid, CASE WHEN json_valid(report) THEN json(report) END AS doc FROM d),
+m AS (SELECT event_id, unnest(json_extract(doc, '$.metrics[*]')) AS m FROM j WHERE valid),
+t AS (
+  SELECT event_id, coalesce(m->>'$.config.type', '') AS type, TRY_CAST(m->>'$.value' AS DOUBLE) AS score,
+         coalesce(TRY_CAST(m->>'$.config.threshold' AS DOUBLE), 0.05) AS threshold,
+         coalesce(m->>'$.config.method', '') IN ('wasserstein', 'js') AS distance,
+         TRY_CAST(m->>'$.value.count' AS BIGINT) AS n, TRY_CAST(m->>'$.value.share' AS DOUBLE) AS share FROM m),
+g AS (
+  SELECT event_id, max(n) FILTER (WHERE contains(type, 'DriftedColumnsCount')) AS n,
+         max(share) FILTER (WHERE contains(type, 'DriftedColumnsCount')) AS share,
+         count(*) FILTER (WHERE contains(type, 'ValueDrift')) AS k,
+         count(*) FILTER (WHERE contains(type, 'ValueDrift') AND CASE WHEN distance THEN score >= threshold ELSE score < threshold END) AS f
+  FROM t GROUP BY event_id)
+SELECT event_id, n AS number_of_drifted_columns, share AS drift_share, k AS number_of_columns, f AS flagged_columns,
+       share > 0.5 AS dataset_drift,
+       CASE WHEN NOT valid THEN 'unparsable' WHEN k IS NULL THEN 'no_metrics' ELSE 'ok' END AS status
+FROM j LEFT JOIN g USING (event_id)"""
+
+ORACLE["stale_tables"] = f"""
+WITH RECURSIVE fresh AS ({ORACLE["freshness"]}),
+target(t, sla) AS (VALUES ('bronze_raw', 86400), ('bronze_streaming', 600), ('silver_trips', 3600), ('silver_demand', 3600),
+                          ('gold_zone_stats', 86400)),
+edge(t, up) AS (VALUES ('silver_trips', 'bronze_raw'), ('silver_trips', 'bronze_streaming'), ('silver_demand', 'bronze_raw'),
+                       ('silver_demand', 'bronze_streaming'), ('gold_zone_stats', 'bronze_raw')),
+stale AS (
+  SELECT t, t AS late, 0 AS depth, sla FROM fresh JOIN target ON "table" = t WHERE NOT within_sla
+  UNION ALL
+  SELECT edge.t, late, depth + 1, least(stale.sla, target.sla)
+  FROM stale JOIN edge ON up = stale.t JOIN target ON target.t = edge.t)
+SELECT t AS "table", late AS late_table, CAST(min(depth) AS INTEGER) AS depth, CAST(min(sla) AS BIGINT) AS tightest_sla_seconds
+FROM stale GROUP BY t, late"""
+
+ORACLE["validate_tables"] = _quality_union() + "SELECT * FROM allq"
+
+ORACLE["select_existing"] = with_(STREAM) + "SELECT trip_key, total_amount, date FROM stream"
+
+ORACLE["trips_of_months"] = with_(RAW) + """
+SELECT strftime(tpep_pickup_datetime, '%Y-%m') AS month, count(*) AS trips FROM raw
+WHERE strftime(tpep_pickup_datetime, '%Y-%m') IN ('1995-03', '1995-04', '1996-12') GROUP BY 1"""
+
+ORACLE["freshness_samples"] = with_(STREAM) + """
+SELECT 'data_freshness_timestamp' AS name, 'table="' || date || '"' AS labels,
+       CAST(epoch_us(max(tpep_pickup_datetime)) // 1000000 AS DOUBLE) AS value
+FROM stream GROUP BY date"""

@@ -483,7 +483,7 @@ from tripflow.operators import store as fs  # noqa: E402
 
 @query
 def parse_drift_report(spark, sf):
-    return drf.parse_drift_report(drf.to_report_json(_daily_history(spark, sf)))
+    return drf.parse_drift_report(drf.to_report_json(_daily_history(spark, sf))).drop("status")
 
 
 def online_table(spark, sf):
@@ -627,6 +627,85 @@ def parse_props(spark, sf):
 
 @query
 def drift_report(spark, sf):
-    """Per-feature report with the automatic method choice (reference size
-    and distinct values decide between KS, Wasserstein, chi-square, JS)."""
-    return drf.drift_report(drift_ref(spark, sf), drift_cur(spark, sf), drf.DRIFT_FEATURES, method="auto")
+    """Per-feature report by the normed Wasserstein distance."""
+    return drf.drift_report(drift_ref(spark, sf), drift_cur(spark, sf), drf.DRIFT_FEATURES, method="wasserstein")
+
+
+# ---- drift from mergeable counts, report documents, lineage, small operators -------------
+
+def _daily_counts(spark, sf):
+    return drf.drift_counts(drf.drift_features(streaming(spark, sf), keep=("date",)), drf.DRIFT_FEATURES, by=("date",))
+
+
+@query
+def drift_daily_counts(spark, sf):
+    """The table that drift is monitored from: value counts per day and feature."""
+    return _daily_counts(spark, sf)
+
+
+@query
+def drift_summary_merged(spark, sf):
+    """``drift_summary`` of the daily counts, added up."""
+    ref = drf.drift_counts(drift_ref(spark, sf), drf.DRIFT_FEATURES)
+    return drf.drift_summary(drf.report_from_counts(ref, _daily_counts(spark, sf), methods="wasserstein"))
+
+
+@query
+def drift_report_recent(spark, sf):
+    """The report of the days since the 15th from their counts, each feature by its default method."""
+    ref = drf.drift_counts(drift_ref(spark, sf), drf.DRIFT_FEATURES)
+    return drf.report_from_counts(ref, _daily_counts(spark, sf).where("date >= '2024-01-15'"))
+
+
+@query
+def drift_chi2_pvalue(spark, sf):
+    """Chi-square test of the test rows against the train rows."""
+    both = silver(spark, sf)
+    s = drf.category_scores(*(drf.drift_features(both.where(F.col("split") == x)) for x in ("train", "test")), DISCRETE)
+    return s.select("feature", "chi2_dof", F.round(drf.chi2_pvalue(F.col("chi2_stat"), F.col("chi2_dof")), 6).alias("p_value"))
+
+
+@query
+def parse_foreign_reports(spark, sf):
+    """Report documents of all sorts, one row a document."""
+    from tripflow.sources.fixtures import foreign_reports
+    return drf.parse_drift_report(foreign_reports(spark, sf), keep=("event_id",))
+
+
+@query
+def stale_tables(spark, sf):
+    """Late tables and all that is built from them."""
+    return cat.stale_tables(freshness(spark, sf))
+
+
+@query
+def validate_tables(spark, sf):
+    """Every check of all five tables."""
+    res = None
+    for t, df in _quality_inputs(spark, sf).items():
+        r = qa.validate(df, t)
+        res = r if res is None else res.unionByName(r)
+    return res
+
+
+@query
+def select_existing(spark, sf):
+    from tripflow.functions import select_existing as existing
+    return existing(streaming(spark, sf), ["trip_key", "airport_fee", "total_amount", "congestion_surcharge", "date"])
+
+
+@query
+def trips_of_months(spark, sf):
+    """Trips per month of a comma list."""
+    months = spark.range(1).select(F.explode(F.split(F.lit("1995-03, 1995-04,1996-12"), r",\s*")).alias("month"))
+    trips = raw(spark, sf).select(F.date_format("tpep_pickup_datetime", "yyyy-MM").alias("month"))
+    return trips.join(F.broadcast(months), "month").groupBy("month").agg(F.count(F.lit(1)).alias("trips"))
+
+
+@query
+def freshness_samples(spark, sf):
+    """The latest pickup of each day's batch as Unix time, a metric sample per day."""
+    last = streaming(spark, sf).groupBy(F.col("date").alias("table")).agg(
+        F.unix_timestamp(F.max("tpep_pickup_datetime").cast("timestamp")).alias("freshness_timestamp"))
+    return mt.to_metrics(last, "data_", ["freshness_timestamp"], ["table"]).select(
+        "name", mt.labels_key("labels").alias("labels"), "value")

@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 # target, partitioning, upstream tables and column contracts
 # (type, nullable, min, max, unique).
 CATALOG = [
-    {"name": "bronze_raw", "layer": "bronze", "path": "bronze/raw", "freshness_sla": "24h",
+    {"name": "bronze_raw", "owner": "data-engineering", "format": "parquet",
+     "description": "Raw trip records as they were delivered",
+     "layer": "bronze", "path": "bronze/raw", "freshness_sla": "24h",
      "partition_by": [], "upstream": [],
      "columns": [("tpep_pickup_datetime", "timestamp", False, None, None, False),
                  ("tpep_dropoff_datetime", "timestamp", False, None, None, False),
@@ -23,7 +25,9 @@ CATALOG = [
                  ("trip_distance", "float", False, 0, None, False),
                  ("passenger_count", "int", True, 0, 9, False),
                  ("total_amount", "float", False, None, None, False)]},
-    {"name": "bronze_streaming", "layer": "bronze", "path": "bronze/streaming", "freshness_sla": "10m",
+    {"name": "bronze_streaming", "owner": "data-engineering", "format": "parquet",
+     "description": "Streamed batches of trips, partitioned by date",
+     "layer": "bronze", "path": "bronze/streaming", "freshness_sla": "10m",
      "partition_by": ["date"], "upstream": [],
      "columns": [("tpep_pickup_datetime", "timestamp", False, None, None, False),
                  ("tpep_dropoff_datetime", "timestamp", False, None, None, False),
@@ -33,7 +37,9 @@ CATALOG = [
                  ("passenger_count", "int", True, 0, 9, False),
                  ("total_amount", "float", False, None, None, False),
                  ("date", "string", True, None, None, False)]},
-    {"name": "silver_trips", "layer": "silver", "path": "silver/trips", "freshness_sla": "1h",
+    {"name": "silver_trips", "owner": "ml-engineering", "format": "parquet",
+     "description": "Cleaned trips with engineered features, outliers removed",
+     "layer": "silver", "path": "silver/trips", "freshness_sla": "1h",
      "partition_by": [], "upstream": ["bronze_raw", "bronze_streaming"],
      "columns": [("pickup_zone_id", "int", False, 1, 263, False),
                  ("dropoff_zone_id", "int", False, 1, 263, False),
@@ -44,14 +50,18 @@ CATALOG = [
                  ("passenger_count", "int", False, 0, 9, False),
                  ("duration_min", "float", False, 1, 180, False),
                  ("total_amount", "float", False, 1, 500, False)]},
-    {"name": "silver_demand", "layer": "silver", "path": "silver/demand", "freshness_sla": "1h",
+    {"name": "silver_demand", "owner": "ml-engineering", "format": "parquet",
+     "description": "Trip counts per zone per hour",
+     "layer": "silver", "path": "silver/demand", "freshness_sla": "1h",
      "partition_by": [], "upstream": ["bronze_raw", "bronze_streaming"],
      "columns": [("zone_id", "int", False, 1, 263, False),
                  ("pickup_hour", "int", False, 0, 23, False),
                  ("day_of_week", "int", False, 0, 6, False),
                  ("month", "int", False, 1, 12, False),
                  ("trip_count", "int", False, 1, None, False)]},
-    {"name": "gold_zone_stats", "layer": "gold", "path": "gold/zone_stats", "freshness_sla": "24h",
+    {"name": "gold_zone_stats", "owner": "ml-engineering", "format": "parquet",
+     "description": "Statistics per zone for the feature store",
+     "layer": "gold", "path": "gold/zone_stats", "freshness_sla": "24h",
      "partition_by": [], "upstream": ["bronze_raw"],
      "columns": [("zone_id", "int", False, 1, 263, True),
                  ("zone_avg_fare", "float", True, 0, None, False),
@@ -87,9 +97,10 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def catalog_df(spark: SparkSession) -> DataFrame:
     rows = [(t["name"], t["layer"], t["path"], t["freshness_sla"], sla_seconds(t["freshness_sla"]),
-             t["partition_by"], t["upstream"]) for t in CATALOG]
+             t["partition_by"], t["upstream"], t["owner"], t["format"], t["description"]) for t in CATALOG]
     return spark.createDataFrame(rows, "name string, layer string, path string, freshness_sla string, "
-                                       "sla_seconds int, partition_by array<string>, upstream array<string>")
+                                       "sla_seconds int, partition_by array<string>, upstream array<string>, "
+                                       "owner string, format string, description string")
 
 
 def columns_df(spark: SparkSession) -> DataFrame:
@@ -105,18 +116,21 @@ def lineage_df(spark: SparkSession) -> DataFrame:
     return catalog_df(spark).select(F.col("name").alias("table"), F.explode("upstream").alias("upstream"))
 
 
-def rules_from_catalog(name: str) -> dict:
-    """A quality rule set derived from the catalogue contract (the stricter
-    declared constraints, which the reference declares but never checks)."""
-    t = next(x for x in CATALOG if x["name"] == name)
-    cols = {}
-    for c, _ty, nullable, lo, hi, uq in t["columns"]:
-        r = {"nullable": nullable}
-        if lo is not None:
-            r["min"] = lo
-        if hi is not None:
-            r["max"] = hi
-        if uq:
-            r["unique"] = True
-        cols[c] = r
-    return {"min_rows": 1, "columns": cols}
+def stale_tables(freshness: DataFrame) -> DataFrame:
+    """Which tables a late one makes stale (A14, I6): ``(table, late_table,
+    depth, tightest_sla_seconds)`` for every table that misses its target in
+    ``freshness`` (table, within_sla) and all tables built from it, at any
+    distance; with the tightest target on the way. A recursive query over the
+    upstream edges, as deep as there are tables at most."""
+    spark = freshness.sparkSession
+    tables = catalog_df(spark).select(F.col("name").alias("table"), F.col("sla_seconds").cast("long").alias("sla"))
+    late = freshness.where(~F.col("within_sla")).select("table").join(tables, "table")
+    edges = lineage_df(spark).join(tables, "table")
+    return spark.sql(f"""
+        WITH RECURSIVE stale AS (
+          SELECT table AS late_table, table, 0 AS depth, sla AS tightest FROM {{late}}
+          UNION ALL
+          SELECT s.late_table, e.table, s.depth + 1, least(s.tightest, e.sla)
+          FROM stale s JOIN {{edges}} e ON e.upstream = s.table WHERE s.depth < {len(CATALOG)})
+        SELECT table, late_table, min(depth) AS depth, min(tightest) AS tightest_sla_seconds
+        FROM stale GROUP BY table, late_table""", late=late, edges=edges)

@@ -94,6 +94,22 @@ def region_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ts"), F.lit(1.0).alias("value"))
 
 
+def foreign_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` → report documents (event_id, report) of all sorts: complete
+    ones, without metrics, with metrics that lack parts, and broken text."""
+    digit = (F.col("event_id") % 10).cast("string")
+    two = F.lpad((F.col("event_id") % 100).cast("string"), 2, "0")
+    whole = F.concat(F.lit('{"metrics":[{"config":{"type":"DriftedColumnsCount(drift_share=0.5)"},"value":{"count":'), digit,
+                     F.lit(',"share":0.'), digit, F.lit('}},{"config":{"type":"ValueDrift(column=a)","column":"a","threshold":0.3},"value":0.'),
+                     two, F.lit('},{"config":{"type":"ValueDrift(column=b)","column":"b","method":"js"},"value":"0.'), two, F.lit('"}]}'))
+    parts = F.concat(F.lit('{"metrics":[{"config":{"type":"ValueDrift","column":"a"}},{"config":null},7,{"config":{"type":"ValueDrift"},'
+                           '"value":0.'), two, F.lit('}]}'))
+    return read_table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_type") == "view", whole).when(F.col("event_type") == "purchase", parts)
+        .when(F.col("event_type") == "click", F.lit('{"metrics":[]}')).when(F.col("event_type") == "signup", F.col("props"))
+        .when(F.col("event_type") == "error", F.substring(whole, 1, 30)).alias("report"))
+
+
 # --- DuckDB twins (used only by the oracle SQL) ---------------------------
 
 TRIPS_LINEITEM_SQL = """
@@ -124,3 +140,15 @@ SELECT event_type AS name, 'u="' || CAST(user_id % 5 AS VARCHAR) || '"' AS label
        ts, CAST(event_id % 97 AS DOUBLE) AS value, CAST(user_id % 5 AS VARCHAR) AS u,
        epoch_us(ts) AS t_us
 FROM events"""
+
+FOREIGN_REPORTS_SQL = """
+SELECT event_id, CASE event_type
+  WHEN 'view' THEN '{"metrics":[{"config":{"type":"DriftedColumnsCount(drift_share=0.5)"},"value":{"count":' || event_id % 10 ||
+       ',"share":0.' || event_id % 10 || '}},{"config":{"type":"ValueDrift(column=a)","column":"a","threshold":0.3},"value":0.' ||
+       lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') || '},{"config":{"type":"ValueDrift(column=b)","column":"b","method":"js"},"value":"0.' ||
+       lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') || '"}]}'
+  WHEN 'purchase' THEN '{"metrics":[{"config":{"type":"ValueDrift","column":"a"}},{"config":null},7,{"config":{"type":"ValueDrift"},"value":0.' ||
+       lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') || '}]}'
+  WHEN 'click' THEN '{"metrics":[]}' WHEN 'signup' THEN props
+  WHEN 'error' THEN '{"metrics":[{"config":{"type":' END AS report
+FROM events"""

@@ -35,14 +35,15 @@ def feed_stream(spark: SparkSession, feed_dir: str, schema, files_per_trigger: i
 def ingest_stream(spark: SparkSession, feed_dir: str, schema, table_dir: str, checkpoint: str,
                   gate_table: str = "bronze_streaming", timeout_s: int | None = None,
                   from_date: str | None = None, on_batch: Callable[[Observed, DataFrame, int], None] | None = None,
-                  files_per_trigger: int | None = None) -> None:
+                  files_per_trigger: int | None = None, on_pass: Callable[[DataFrame], None] | None = None) -> None:
     """Incremental ingest with a durable cursor (J1, J2, J7): process all
     available feed files (``availableNow``), check every micro-batch while it is
     written, and publish it by ``date`` and ``feed``. A batch that fails its
     checks raises and leaves the table as it was. ``from_date`` with a fresh
     checkpoint replays whole days from that one on (J3), into the same table or
     another. ``on_batch(seen, checks, batch_id)`` gets each batch's observed
-    metrics and checks, also of a batch that fails."""
+    metrics and checks, also of a batch that fails; ``on_pass(rows)`` the rows of
+    one that passes, before they are published."""
     table = PlainTable(spark, table_dir)
 
     def per_batch(batch: DataFrame, batch_id: int):
@@ -55,6 +56,8 @@ def ingest_stream(spark: SparkSession, feed_dir: str, schema, table_dir: str, ch
             if on_batch is not None:
                 on_batch(seen, results, batch_id)
             seen.fail()
+            if on_pass is not None:
+                on_pass(staged)
 
         table.replace_partitions(seen.watch(batch.withColumn("date", day)), ["date", "feed"], gate)
 
