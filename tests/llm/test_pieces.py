@@ -60,10 +60,10 @@ def test_prefixes_are_scored_once(model):
     assert len(calls) == len(set(calls)) == len("▁understands") + 1
 
 
-def test_a_small_cache_changes_nothing(model, monkeypatch):
+def test_batches_change_nothing(model):
     v = p.load(model)
-    texts = [f"word{k} and more {k * k}" for k in range(300)]
-    want = [list(x) for x in p.encode_texts(texts, v, {})]
-    monkeypatch.setattr(p, "CACHE_WORDS", 10)
-    monkeypatch.setattr(p, "BATCH_WORDS", 20)
-    assert [list(x) for x in p.encode_texts(texts, v, {})] == want
+    texts = [f"word{k} and more {k * k}" for k in range(300)] + [None, ""]
+    want = [None if x is None else list(x) for x in p.encode_texts(texts, v)]
+    one = [x for t in texts for x in p.encode_texts([t], v)]
+    assert [None if x is None else list(x) for x in one] == want
+    assert [v.decode(x) for x in want[:300]] == texts[:300] and want[300:] == [None, []]

@@ -2,7 +2,7 @@
 
 Texts are normalised as the model asks (a space becomes the mark, one mark
 goes before the text) and cut into marked words. The distinct words of a
-batch that no earlier batch of the worker had are sorted and traversed
+batch (about BATCH_BYTES of whole texts) are sorted and traversed
 depth-first as a trie: the forward scores of a prefix are computed once, when
 the traversal enters it, and serve every word below it.
 
@@ -27,8 +27,10 @@ text are not read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,9 @@ from tripflow.llm.text import table
 
 MARK = "▁"
 MODEL_FILE = "piece_bpe_32k.model"
-CACHE_WORDS = 400_000       # encoded words that a worker keeps
-MAX_PAIRS = 1_000_000       # pairs of pieces whose merging a worker remembers
+MAX_PAIRS = 250_000         # pairs of pieces whose merging a worker remembers
 ROWS = 1_000                # rows of a result batch
-BATCH_WORDS = 200_000       # words that are encoded together
+BATCH_BYTES = 16_000_000    # texts whose distinct words are encoded together (whole rows)
 
 
 @dataclass
@@ -71,8 +72,8 @@ class Pieces:
         solid = "".join(sorted(re.escape(c) for c in inside if c != MARK))
         self.cut = None if joins_mark else re.compile(f"{MARK}*[{solid}]+|{MARK}+|[^{MARK}{solid}]") if solid \
             else re.compile(".", re.S)
-        self.halves: dict[int, tuple[int, int]] = {}
         self.fits: dict[tuple[int, int], bool] = {}
+        self.tails: dict[str, tuple[int, ...]] = {}
 
     # -- byte-pair merging -------------------------------------------------
 
@@ -109,25 +110,36 @@ class Pieces:
 
     # -- the trie ----------------------------------------------------------
 
+    def ends(self, word: str, end: int) -> tuple[int, ...]:
+        """Sizes, longest first, of the pieces that may end at ``end``."""
+        if end < 3:
+            return self.sizes.get(word[:end], ()) + (self.sizes.get(word[end - 1:end], ()) if end == 2 else ())
+        tail = word[end - 3:end]
+        known = self.tails.get(tail)
+        if known is None:
+            if len(self.tails) > MAX_PAIRS:
+                self.tails.clear()
+            known = self.tails[tail] = sum((self.sizes.get(tail[k:], ()) for k in range(3)), ())
+        return known
+
     def last_piece(self, word: str, end: int, state: list) -> tuple[float, int]:
         """Forward score and last piece of ``word[:end]``; ``state`` holds
         those of all shorter prefixes. A piece of -1 is a character without one."""
         if self.kind == "bpe":
             ids, fits = self.ids, self.fits
-            for tail in (3, 2, 1):
-                for size in self.sizes.get(word[end - tail:end], ()) if tail <= end else ():
-                    piece = ids.get(word[end - size:end]) if size <= end else None
-                    if piece is None:
-                        continue
-                    stands = fits.get((piece, -1))
-                    if not (self.whole(piece) if stands is None else stands):
-                        continue
-                    before = state[end - size][1]
-                    if before < 0:
-                        return 0.0, piece
-                    stands = fits.get((before, piece))
-                    if self.pair_stands(before, piece) if stands is None else stands:
-                        return 0.0, piece
+            for size in self.ends(word, end):
+                piece = ids.get(word[end - size:end]) if size <= end else None
+                if piece is None:
+                    continue
+                stands = fits.get((piece, -1))
+                if not (self.whole(piece) if stands is None else stands):
+                    continue
+                before = state[end - size][1]
+                if before < 0:
+                    return 0.0, piece
+                stands = fits.get((before, piece))
+                if self.pair_stands(before, piece) if stands is None else stands:
+                    return 0.0, piece
             return 0.0, -1
         best, last = -float("inf"), -1
         ends = [word[end - tail:end] for tail in (1, 2, 3) if tail <= end]
@@ -141,10 +153,14 @@ class Pieces:
         return best, last
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Ids of each word. The words are sorted, so that those with a common
-        prefix follow each other; ``state`` is the path from the trie's root,
-        cut back to the common prefix and extended along each word."""
-        out, state, last = {}, [(0.0, -2)], ""
+        """Ids of each word."""
+        return dict(self.encoded_words(words))
+
+    def encoded_words(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
+        """Each word with its ids. The words are sorted, so that those with a
+        common prefix follow each other; ``state`` is the path from the trie's
+        root, cut back to the common prefix and extended along each word."""
+        state, last = [(0.0, -2)], ""
         for word in sorted(words):
             same = 0
             for x, y in zip(last, word, strict=False):
@@ -164,8 +180,7 @@ class Pieces:
                 else:
                     ids.append(piece)
                     end -= len(self.pieces[piece])
-            out[word] = ids[::-1]
-        return out
+            yield word, ids[::-1]
 
     def unknown_ids(self, character: str) -> list[int]:
         if self.byte_ids:
@@ -185,6 +200,13 @@ class Pieces:
         text = b"".join([self.surface[k] for k in ids]).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
+    def stands_for(self, ids: np.ndarray, text: str) -> bool:
+        """Whether ``decode`` of the ids gives the text (compared as bytes)."""
+        surface = self.surface
+        data = b"".join([surface[k] for k in ids.tolist()])
+        data = data[1:] if data.startswith(b" ") else data
+        return data == text.encode("utf-8", "surrogatepass") or data.decode("utf-8", "replace") == text
+
     @property
     def surface(self) -> list[bytes]:
         """UTF-8 bytes that each id stands for."""
@@ -215,34 +237,33 @@ def load(model: bytes, kind: str = "bpe") -> Pieces:
 _worker: dict = {}
 
 
-def _of_worker(shared) -> tuple[Pieces, dict]:
-    """The vocabulary and the encoded words that this worker keeps."""
+def _of_worker(shared) -> Pieces:
+    """The vocabulary, kept by the worker."""
     key = hash(shared.value)
     if _worker.get("key") != key:
-        _worker.update(key=key, pieces=load(*shared.value), cache={})
-    return _worker["pieces"], _worker["cache"]
-
-
-def encode_texts(texts: list[str | None], pieces: Pieces, cache: dict) -> list[np.ndarray | None]:
-    """Ids of each text. ``cache`` (word: ids) is kept within CACHE_WORDS."""
-    out: list[np.ndarray | None] = []
-    lo = 0
-    while lo < len(texts):
-        split, n, hi = [], 0, lo
-        while hi < len(texts) and (n < BATCH_WORDS or hi == lo):
-            split.append(None if texts[hi] is None else pieces.words(texts[hi]))
-            n += len(split[-1] or ())
-            hi += 1
-        new = {w for words in split if words for w in words if w not in cache}
-        if len(cache) + len(new) > CACHE_WORDS:
-            cache.clear()
-            new = {w for words in split if words for w in words}
-        cache.update((w, np.array(ids, np.int32)) for w, ids in pieces.encode_words(new).items())
-        for words in split:
-            out.append(None if words is None else
-                       np.concatenate([cache[w] for w in words]) if words else np.zeros(0, np.int32))
-        lo = hi
-    return out
+        _worker.update(key=key, pieces=load(*shared.value))
+    return _worker["pieces"]
+
+
+def encode_texts(texts: Iterable[str | None], pieces: Pieces) -> Iterator[np.ndarray | None]:
+    """Ids of each text. The words are numbered as they come, the distinct ones
+    encoded once, in one traversal, and each text's ids picked by its numbers."""
+    number: dict[str, int] = {}
+    rows = [None if t is None else np.array([number.setdefault(w, len(number)) for w in pieces.words(t)], np.int32)
+            for t in texts]
+    flat, start, size = array("i"), np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
+    for word, ids in pieces.encoded_words(number):
+        k = number[word]
+        start[k], size[k] = len(flat), len(ids)
+        flat.extend(ids)
+    del number
+    every = np.array(flat, np.int32)
+    for row in rows:
+        if row is None:
+            yield None
+        else:
+            n = size[row]
+            yield every[np.repeat(start[row] - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
 
 def _lists(ids: list[np.ndarray | None]) -> pa.ListArray:
@@ -258,8 +279,7 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", kind: str = "b
     shared = docs.sparkSession.sparkContext.broadcast((model, kind))
 
     def run(column: pa.Array) -> pa.Array:
-        pieces, cache = _of_worker(shared)
-        return _lists(encode_texts(column.to_pylist(), pieces, cache))
+        return _lists(list(encode_texts(column.to_pylist(), _of_worker(shared))))
 
     run.__annotations__ = {"column": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, "array<int>").asNondeterministic()(F.col(text_col))
@@ -270,7 +290,7 @@ def decode(ids: DataFrame, model: bytes, ids_col: str = "ids", kind: str = "bpe"
     shared = ids.sparkSession.sparkContext.broadcast((model, kind))
 
     def run(column: pa.Array) -> pa.Array:
-        pieces, _ = _of_worker(shared)
+        pieces = _of_worker(shared)
         column = column.cast(pa.list_(pa.int32()))
         flat, off = np.asarray(column.flatten()), np.concatenate([[0], np.cumsum(np.asarray(column.value_lengths().fill_null(0)))])
         known = np.asarray(column.is_valid())
@@ -298,17 +318,29 @@ def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text
     shared = docs.sparkSession.sparkContext.broadcast((model, kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, cache = _of_worker(shared)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
+        pieces = _of_worker(shared)
+        parts, size = [], 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            found = encode_texts((t for part in parts for t in part.column(1).to_pylist()), pieces)
+            for part in parts:
+                ids = list(islice(found, part.num_rows))
                 texts = part.column(1).to_pylist()
-                ids = encode_texts(texts, pieces, cache)
-                same = [None if x is None else pieces.decode(x.tolist()) == t for x, t in zip(ids, texts, strict=True)]
-                size = [None if x is None else len(x) for x in ids]
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids), pa.array(size, pa.int64()),
+                same = [None if x is None else pieces.stands_for(x, t) for x, t in zip(ids, texts, strict=True)]
+                n = [None if x is None else len(x) for x in ids]
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids), pa.array(n, pa.int64()),
                                                   pa.array(same, pa.bool_())], names=["doc_id", "ids", "n_ids", "same"])
 
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS):
+                parts.append(batch.slice(lo, ROWS))
+                size += parts[-1].nbytes
+                if size > BATCH_BYTES:
+                    yield from done()
+                    parts, size = [], 0
+        yield from done()
+        pa.default_memory_pool().release_unused()
+
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, n_ids long, same boolean")
 
