@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -72,7 +73,7 @@ def test_clusters_of_many_sets_leave_the_one_task(spark, monkeypatch):
     monkeypatch.setattr(j, "CLUSTER_SETS", 2)
     monkeypatch.setattr(j, "LONG", 3)
     sizes, large = spark.sparkContext.accumulator(0), []
-    compare, path = j._cluster_links, j._links_of_large_clusters
+    compare, path = j._cluster_labels, j._links_of_large_clusters
 
     def counted(cluster):
         if cluster.num_rows > 2:
@@ -82,7 +83,7 @@ def test_clusters_of_many_sets_leave_the_one_task(spark, monkeypatch):
     def counted_path(*args):
         large.append(1)
         return path(*args)
-    monkeypatch.setattr(j, "_cluster_links", lambda cluster: counted(cluster))
+    monkeypatch.setattr(j, "_cluster_labels", lambda cluster: counted(cluster))
     monkeypatch.setattr(j, "_links_of_large_clusters", counted_path)
     rows = corpus(5, groups=12)
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in
@@ -92,13 +93,14 @@ def test_clusters_of_many_sets_leave_the_one_task(spark, monkeypatch):
     assert sizes.value == 0 and large
 
 
-def test_links_of_a_cluster_span_its_components():
+def test_labels_of_a_cluster_are_its_components_smallest():
     rng = random.Random(6)
     sets = [sorted(set(base) - {rng.choice(base)}) for base in ([list(range(k * 100, k * 100 + 20)) for k in range(5)]) for _ in range(80)]
-    got = j._cluster_links(pa.table({"label": [0] * 400, "set": list(range(400)), "n": [len(s) for s in sets], "items": sets}))
-    a, b = got.column("a").to_pylist(), got.column("b").to_pylist()
-    assert len(a) == 400 - 5 and all(x // 80 == y // 80 for x, y in zip(a, b, strict=True))
-    assert {*a, *b} == set(range(400))
+    sets.append(list(range(900, 920)))      # links with none
+    ids = rng.sample(range(-1000, 1000), 401)
+    got = j._cluster_labels(pa.table({"label": [0] * 401, "set": ids, "n": [len(s) for s in sets], "items": sets}))
+    label = dict(zip(got.column("node").to_pylist(), got.column("label").to_pylist(), strict=True))
+    assert label == {x: min(ids[k // 80 * 80:k // 80 * 80 + 80]) for k, x in enumerate(ids[:400])}
 
 
 def test_one_of_each_group_stays(spark):
@@ -124,3 +126,18 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(200, 260)] + [(300, 300)]
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert {got[k] for k in range(100, 161)} == {100} and {got[k] for k in range(200, 260)} == {7}
+
+
+def test_components_of_random_edges_in_chunks(spark, monkeypatch):
+    import tripflow.llm.components as c
+    rng = random.Random(8)
+    edges = [(rng.randrange(-400, 400), rng.randrange(-400, 400)) for _ in range(330)]
+    label = {x: x for e in edges for x in e}
+    for _ in range(len(label)):
+        for x, y in edges:
+            label[x] = label[y] = min(label[x], label[y])
+    df = spark.createDataFrame(edges * 2, "a long, b long")
+    assert dict(tuple(r) for r in components(df).collect()) == label
+    node, root = c._contract(*(np.array(x) for x in zip(*edges)))
+    assert dict(zip(node.tolist(), root.tolist())) == label
+    assert components(df.limit(0)).count() == 0

@@ -51,7 +51,7 @@ from tripflow.llm.text import Block, blocks, checkpoint, filter_rows, mix, seque
 SHINGLE = 5                 # words
 SKETCH_BITS = 20            # the sketch has 2 ** SKETCH_BITS counters
 FILTER_BITS = 23            # bits of the filter of candidate sets
-LONG = 128                  # sets of a list that are compared pair by pair
+LONG = 32                   # sets of a list that are compared pair by pair
 LEADERS = 4                 # sets of a longer list that all its sets are compared with
 CLUSTER_ITEMS = 4_000_000   # shingles of a cluster that one task compares whole (32 MB)
 CLUSTER_SETS = 2048         # sets of such a cluster: their counts in common are a square (16 MB)
@@ -389,28 +389,28 @@ def _common(a: pa.ChunkedArray, b: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
-def _cluster_links(cluster: pa.Table) -> pa.Table:
-    """(a, b): links that join what is linked within a cluster, from all its pairs."""
+def _cluster_labels(cluster: pa.Table) -> pa.Table:
+    """(node, label): the sets of a cluster that link with others, each with the
+    smallest set that it is connected with, from all pairs of the cluster."""
     items, n = cluster.column("items"), np.asarray(cluster.column("n")).astype(np.int64)
     common = _common(items, items)
     linked = np.zeros(common.shape, bool)
     for lo in range(0, len(n), ROWS):
         part = common[lo:lo + ROWS].astype(np.int64)
         linked[lo:lo + ROWS] = 100 * part >= 75 * (n[lo:lo + ROWS, None] + n[None, :] - part)
-    # from each set to the linked ones that none has reached: one link for each
-    free, x, y = np.ones(len(n), bool), [], []
-    for start in range(len(n)):
+    ids = np.asarray(cluster.column("set"))
+    label, free = ids.copy(), np.ones(len(n), bool)
+    for start in np.argsort(ids).tolist():      # a component is first met at its smallest set
         reached = [start] if free[start] else []
         free[start] = False
         while reached:
-            i = reached.pop()
-            new = np.flatnonzero(linked[i] & free)
+            new = np.flatnonzero(linked[reached.pop()] & free)
             free[new] = False
-            x += [i] * len(new)
-            y += new.tolist()
+            label[new] = ids[start]
             reached += new.tolist()
-    ids = cluster.column("set")
-    return pa.table([ids.take(pa.array(x, pa.int64())), ids.take(pa.array(y, pa.int64()))], names=["a", "b"])
+    np.fill_diagonal(linked, False)
+    some = linked.any(axis=1)
+    return pa.table([pa.array(ids[some]), pa.array(label[some])], names=["node", "label"])
 
 
 def _compare_chunks(outer: pa.Table, members: pa.Table) -> pa.Table:
@@ -512,13 +512,12 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                       .mapInArrow(_sets(shared), "set long, items array<long>")
                       .join(wanted.join(total, "label").select("set", "label", "n", whole.alias("whole")), "set")
                       .dropDuplicates(["set"]))
-    # a cluster that one task can hold is compared there
-    links = checkpoint(sets.where("whole").select("label", "set", "n", "items").groupBy("label")
-                       .applyInArrow(_cluster_links, "a long, b long"))
+    # a cluster that one task can hold is compared there, and nothing links it with another
+    found = (sets.where("whole").select("label", "set", "n", "items").groupBy("label")
+             .applyInArrow(_cluster_labels, "node long, label long"))
     large = sets.where("NOT whole").select("set", "items")
     if not large.isEmpty():
-        links = links.union(_links_of_large_clusters(pairs, entries, large))
-    found = components(links)
+        found = found.union(components(_links_of_large_clusters(pairs, entries, large)))
     # smallest document of each set, then of each component
     named = by_set.join(found.select(F.col("node").alias("set"), "label"), "set", "left") \
         .select("set", "smallest", F.coalesce("label", "set").alias("label"))
