@@ -51,7 +51,7 @@ from tripflow.llm.text import Block, blocks, checkpoint, filter_rows, mix, seque
 SHINGLE = 5                 # words
 SKETCH_BITS = 20            # the sketch has 2 ** SKETCH_BITS counters
 FILTER_BITS = 23            # bits of the filter of candidate sets
-LONG = 32                   # sets of a list that are compared pair by pair
+LONG = 128                  # sets of a list that are compared pair by pair
 LEADERS = 4                 # sets of a longer list that all its sets are compared with
 CLUSTER_ITEMS = 4_000_000   # shingles of a cluster that one task compares whole (32 MB)
 CLUSTER_SETS = 2048         # sets of such a cluster: their counts in common are a square (16 MB)
@@ -59,6 +59,7 @@ ROWS = 256                  # rows of that square that are tested at a time
 OUTER, MEMBERS = 512, 2048  # sets of a longer list that one task compares
 COLUMNS = 4096              # shingles of a comparison's matrices
 NO_ID = -(1 << 63)          # stands for a null id
+LEAST = 4                   # shingles of a counter that a task reports at all
 FLUSH = 400_000             # pairs that a task gathers before it counts them
 
 
@@ -131,7 +132,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(np.zeros(b.rows, np.int32)), doc.slice(b.lo, b.rows).cast(pa.int64()), pa.array(ids),
                  pa.array(np.diff(first))], names=names)
     mean = sketch.mean()
-    used = np.flatnonzero(sketch > mean + 4 * np.sqrt(mean))      # what stands out in this task
+    used = np.flatnonzero(sketch >= max(mean + 4 * np.sqrt(mean), LEAST))      # what stands out in this task
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.ones(len(used), np.int32)), pa.nulls(len(used), pa.int64()), pa.array(used), pa.array(sketch[used])],
         names=names)
