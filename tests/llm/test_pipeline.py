@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)} and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(names)
 
 
