@@ -6,51 +6,59 @@ released at slot floor(j P / a) and due by slot ceil((j + 1) P / a); earliest
 deadline first fills the slots. After any number of slots each source is
 within one block of its share.
 
+Sources of the same weight and the same number of blocks form a class. A class
+is scheduled like one source with the weight and the blocks of all its
+members, and its members take its slots in turn: a class is less than one
+block from its share, so each of m members less than 1/m by that, and at most
+1 - 1/m by the turns. That is less than one block again, for any number of
+sources. All members of a class are used up together.
+
 Weights are whole numbers of slots in a period of P slots, so one period's
 schedule serves all periods, and a block's slot follows from its number alone:
-the driver only handles sources x P numbers, however many documents there
-are. When a source has less than a period's blocks left, its last blocks are
-scheduled slot by slot (P slots at most); then the others share its slots in
-proportion to their weights. Every document gets exactly one slot.
-
-More than ``MAX_SOURCES`` sources form a tree: groups of about ``FAN`` sources
-by hash, groups of groups, up to one. A group has the weight and the blocks of
-all its members, and the same rules deal its slots to them, one task a group:
-a block's number in its source gives its number in the group, and so on up to
-its slot. After any number of slots each source is then within one block a
-level of its share (levels: the logarithm of the sources to the base ``FAN``),
-and a source that is used up leaves its slots to its group first. Shares are
-rounded to whole slots of a period at every level.
-
-Numbering needs no task with a whole source: documents are counted by
-(source, hash range), and numbered within ranges of about ``RANGE`` rows.
-
-Defined cases: null sources are one source; without weights all sources weigh
-the same; a source without a given weight, or with none above 0, goes last, by
-the same rules with equal weights; ties between deadlines go to the source
-whose name sorts first (null first); repeated rows each have a place; null
-ids sort first; no rows give no rows.
+the driver only handles classes x P numbers, however many documents and
+sources of a class there are. When a class has less than a period's blocks
+left, its last blocks are scheduled slot by slot (P slots at most); then the
+others share its slots in proportion to their weights. Every document gets
+exactly one slot.
+
+Without given weights a source weighs its number of blocks to the power
+``POWER``, so that small sources are raised against large ones and classes
+follow from numbers of blocks alone.
+
+Numbering needs no task with a whole source or a whole class: rows are counted
+by (source, hash range), and numbered within ranges of about ``RANGE`` rows;
+sources within their class likewise. The order within a source follows the
+hash of the id, then the id, then the row's other plain columns; it does not
+depend on the other sources, nor on the number of ranges.
+
+Defined cases: null sources are one source; a source without a given weight,
+or with none above 0, goes last, by the same rules with equal weights; an
+infinite weight is an error; ties between deadlines go to the class of larger
+weight, then of more blocks; repeated rows each have a place; null ids are
+hashed like any other; columns of ``docs`` may have any names, but for ``mix``
+those named like its three own columns, which it replaces; no rows give no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from heapq import heappop, heappush
+from math import isinf
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BinaryType, BooleanType, DateType, NumericType, StringType, TimestampNTZType,
+                               TimestampType)
 
 from tripflow.llm.text import checkpoint, table
 
 BLOCK_SIZE = 32             # documents
-PERIOD = 1000               # slots; at least four for each source
+PERIOD = 1000               # slots; at least four for each class
+POWER = 0.7                 # of a source's blocks, its weight where none are given
 RANGE = 4_000               # rows of a source that are numbered together
-MAX_SOURCES = 500           # up to so many, the driver keeps their counts and schedules
-FAN = 64                    # members of a group of sources beyond that
-ROW_BYTES, BROADCAST_BYTES = 64, 16_000_000
-PHASE = ("first", "last", "period", "slots")
-PHASES = pa.list_(pa.struct([*((name, pa.int64()) for name in PHASE[:3]), ("slots", pa.list_(pa.int64()))]))
+ROW_BYTES, BROADCAST_BYTES = 96, 16_000_000
+PLAIN = (BinaryType, BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType)
+ADDED = ("_block", "_slot", "_position")
 PHASES_SQL = "array<struct<first:long,last:long,period:long,slots:array<long>>>"
 
 
@@ -70,11 +78,11 @@ def shares(weights: list[float], period: int) -> list[int]:
 
 
 def edf_slots(share: list[int], period: int, blocks: list[int] | None = None) -> list[int]:
-    """The source of each slot of a period, by earliest deadline among released
-    blocks. With ``blocks`` (blocks that each source has left), it stops when
-    the first source has none left."""
-    future = [(0, s) for s in range(len(share))]            # (release, source), a heap
-    ready: list[tuple[int, int]] = []                       # (deadline, source), a heap
+    """The class of each slot of a period, by earliest deadline among released
+    blocks. With ``blocks`` (blocks that each class has left), it stops when
+    the first class has none left."""
+    future = [(0, s) for s in range(len(share))]            # (release, class), a heap
+    ready: list[tuple[int, int]] = []                       # (deadline, class), a heap
     done, out = [0] * len(share), []
     for slot in range(period):
         while future and future[0][0] <= slot:
@@ -91,7 +99,7 @@ def edf_slots(share: list[int], period: int, blocks: list[int] | None = None) ->
 
 
 def plan(blocks: list[int], weights: list[float], period: int = PERIOD) -> list[list[tuple]]:
-    """For each source its phases (first, last, period, slots): the source's
+    """For each class its phases (first, last, period, slots): the class's
     block j in first..last has the slot
     slots[(j - first) mod len(slots)] + (j - first) div len(slots) * period."""
     left, first, slot = list(blocks), [0] * len(blocks), 0
@@ -115,136 +123,119 @@ def plan(blocks: list[int], weights: list[float], period: int = PERIOD) -> list[
     return out
 
 
-def numbered(docs: DataFrame, id_col: str, source_col: str) -> tuple[DataFrame, dict | None, DataFrame]:
-    """``docs`` with ``_number`` (from 0 within its source) and ``_source``, and
-    the sources' counts: as a dict up to MAX_SOURCES (else None), and as a table
-    (_source, n)."""
-    keyed = docs.withColumn("_source", F.col(source_col).cast("string"))
-    counts = keyed.groupBy("_source").agg(F.count(F.lit(1)).alias("n"))
-    size = {r._source: r.n for r in counts.limit(MAX_SOURCES + 1).collect()}
-    sources, largest = len(size), max(size.values(), default=1)
-    if sources > MAX_SOURCES:
-        size, counts = None, checkpoint(counts)
-        sources, largest = counts.agg(F.count(F.lit(1)), F.max("n")).first()
-    ranges = max(1, -(-largest // RANGE))
-    # the order within a source: the ranges of a hash, then the hash, then the id
-    hashed = keyed.withColumn("_hash", F.xxhash64(F.col(id_col), F.lit("mix"))).withColumn(
-        "_range", F.floor(F.shiftrightunsigned("_hash", 33) * F.lit(ranges) / F.lit(1 << 31)).cast("int"))
-    by_range = checkpoint(hashed.groupBy("_source", "_range").agg(F.count(F.lit(1)).alias("_n")))
-    before = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offset = by_range.select(F.col("_source").alias("_s"), F.col("_range").alias("_r"),
-                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    if sources * ranges * ROW_BYTES <= BROADCAST_BYTES:
-        offset = F.broadcast(offset)        # one row per source and range
-    within = Window.partitionBy("_source", "_range").orderBy("_hash", id_col)
-    out = (hashed.withColumn("_k", F.row_number().over(within) - 1)
-           .join(offset, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
-           .withColumn("_number", F.col("_before") + F.col("_k")))
-    return out.drop("_hash", "_range", "_k", "_s", "_r", "_before"), size, counts
-
-
-def _deal(period: int) -> Callable:
-    """The phases of a group's members, from its rows (up, key, weight, blocks)."""
-    def run(members: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(members.column(c).to_pylist() for c in ("_key", "_weight", "_blocks")), strict=True))
-        phases = plan([r[2] for r in rows], [r[1] for r in rows], period)
-        return pa.table([pa.array([r[0] for r in rows], pa.string()),
-                         pa.array([[dict(zip(PHASE, x, strict=True)) for x in p] for p in phases], PHASES)],
-                        names=["_key", "_phases"])
-    return run
-
-
-def _tree_slots(blocks: DataFrame, nodes: DataFrame, period: int) -> DataFrame:
-    """(_leaf, _block, _slot) of all ``blocks`` (_leaf, _block), where ``nodes``
-    (_key, _weight, _blocks) are the sources, ``_leaf`` their keys."""
-    out = blocks.select("_leaf", "_block", F.col("_leaf").alias("_key"), F.col("_block").alias("_slot"))
-    level = 0
-    while True:
-        groups = max(1, -(-nodes.count() // FAN))
-        nodes = nodes.withColumn("_up", F.pmod(F.xxhash64("_key", F.lit(level)), F.lit(groups)).cast("string"))
-        dealt = nodes.groupBy("_up").applyInArrow(_deal(period), f"_key string, _phases {PHASES_SQL}")
-        dealt = checkpoint(dealt.join(nodes.select("_key", "_up"), "_key"))
-        out = checkpoint(out.join(dealt, "_key")
-                         .select("_leaf", "_block", F.col("_up").alias("_key"), _slot_of(F.col("_slot")).alias("_slot")))
-        if groups == 1:
-            return out.select("_leaf", "_block", "_slot")
-        nodes = checkpoint(nodes.groupBy(F.col("_up").alias("_key"))
-                           .agg(F.sum("_weight").alias("_weight"), F.sum("_blocks").alias("_blocks")))
-        level += 1
-
-
 def _slot_of(block: Column) -> Column:
-    """The slot of a block by the column ``_phases`` of its source (see ``plan``)."""
+    """The slot of a block by the column ``_phases`` of its class (see ``plan``)."""
     own = F.element_at(F.filter("_phases", lambda p: (p["first"] <= block) & (block <= p["last"])), 1)
     step, n = block - own["first"], F.size(own["slots"])
     return F.element_at(own["slots"], (step % n + 1).cast("int")) + F.floor(step / n) * own["period"]
 
 
-def _place_many(rows: DataFrame, counts: DataFrame, weights: Mapping[str | None, float] | None, block_size: int,
-                period: int) -> DataFrame:
-    """``rows`` with ``_block`` and ``_slot``, for any number of sources."""
-    leaf = F.coalesce(F.concat(F.lit("s"), "_source"), F.lit(""))       # null is a source, and sorts first
-    nodes = counts.select(leaf.alias("_key"), F.ceil(F.col("n") / block_size).alias("_blocks"))
+def _hash(*keys: Column) -> Column:
+    """63 bits, not negative: its order and that of its leading bits agree."""
+    return F.shiftrightunsigned(F.xxhash64(*keys, F.lit("mix")), 1)
+
+
+def numbered(rows: DataFrame, groups: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` (_group, _hash, ...), with ``_number`` from 0 within their group
+    by (_hash, *order), and with the columns of ``groups`` (_group, n, ...),
+    one row a group, n rows in it. Groups are not null."""
+    known = groups.agg(F.count(F.lit(1)), F.max("n")).first()
+    ranges = max(1, -(-(known[1] or 0) // RANGE))
+    ranged = rows.withColumn("_range", F.floor(F.shiftright("_hash", 32) * F.lit(ranges) / F.lit(1 << 31)).cast("int"))
+    by_range = checkpoint(ranged.groupBy("_group", "_range").agg(F.count(F.lit(1)).alias("_n")))
+    before = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offset = by_range.select("_group", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offset = offset.join(groups, "_group")
+    if known[0] * ranges * ROW_BYTES <= BROADCAST_BYTES:
+        offset = F.broadcast(offset)        # one row per group and range
+    within = Window.partitionBy("_group", "_range").orderBy("_hash", *order)
+    return (ranged.withColumn("_k", F.row_number().over(within) - 1).join(offset, ["_group", "_range"])
+            .withColumn("_number", F.col("_before") + F.col("_k")).drop("_range", "_k", "_before"))
+
+
+def _sources(rows: DataFrame, weights: Mapping[str | None, float] | None, block_size: int) -> DataFrame:
+    """(_group, n, _weight, _blocks): every source, its rows, given weight (0 if none above) and blocks."""
+    counts = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("n"))
     if weights is None:
-        nodes = nodes.withColumn("_weight", F.lit(1.0))
+        counts = counts.withColumn("_weight", F.lit(1.0))
     else:
+        if any(isinf(w) for w in weights.values()):
+            raise ValueError("an infinite weight")
         given = rows.sparkSession.createDataFrame(
-            [("" if s is None else f"s{s}", float(w)) for s, w in weights.items()], "_key string, _weight double")
-        nodes = nodes.join(given, "_key", "left").withColumn("_weight", F.coalesce("_weight", F.lit(0.0)))
-    nodes = checkpoint(nodes.select("_key", "_weight", "_blocks"))
-    rows = rows.withColumn("_block", F.floor(F.col("_number") / block_size)).withColumn("_leaf", leaf)
-    blocks = rows.where(F.col("_number") % block_size == 0).select("_leaf", "_block")
-    first = nodes.where("_weight > 0")
-    last = nodes.where("_weight <= 0").withColumn("_weight", F.lit(1.0))
-    slots, before = [], 0
-    for part in (first, last):
-        total = part.agg(F.sum("_blocks")).first()[0]
-        if total:
-            own = blocks.join(part.select(F.col("_key").alias("_leaf")), "_leaf", "left_semi")
-            slots.append(_tree_slots(own, part, period).withColumn("_slot", F.col("_slot") + before))
-            before += total
-    slots = slots[0] if len(slots) == 1 else slots[0].union(slots[1])
-    return rows.join(slots, ["_leaf", "_block"]).drop("_leaf")
+            [("" if s is None else f"s{s}", float(w) if w > 0 else 0.0) for s, w in weights.items()],
+            "_group string, _weight double")
+        counts = counts.join(given, "_group", "left").withColumn("_weight", F.coalesce("_weight", F.lit(0.0)))
+    return checkpoint(counts.withColumn("_blocks", F.ceil(F.col("n") / block_size)))
+
+
+def _schedule(classes: list[tuple[float, int, int]], raised: bool, period: int) -> list[list[tuple]]:
+    """The phases of each class (weight of a member, blocks of a member,
+    members), those without weight last. ``raised``: weights are blocks to the
+    power ``POWER``."""
+    out: list[list[tuple]] = [[] for _ in classes]
+    slot = 0
+    for wanted in (True, False):
+        part = [k for k, c in enumerate(classes) if (c[0] > 0) is wanted]
+        member = [classes[k][1] ** POWER if raised else classes[k][0] if wanted else 1.0 for k in part]
+        blocks = [classes[k][1] * classes[k][2] for k in part]
+        found = plan(blocks, [w * classes[k][2] for w, k in zip(member, part, strict=True)], period)
+        for k, phases in zip(part, found, strict=True):
+            out[k] = [(first, last, size, [slot + x for x in own]) for first, last, size, own in phases]
+        slot += sum(blocks)
+    return out
+
+
+def _placed(docs: DataFrame, weights: Mapping[str | None, float] | None, id_col: str, source_col: str,
+            block_size: int, period: int) -> DataFrame:
+    """(_row, _block, _slot, _position): the rows of ``docs`` as structs, and their places."""
+    spark = docs.sparkSession
+    plain = [f.name for f in docs.schema.fields if isinstance(f.dataType, PLAIN)]
+    of = lambda name: F.col("_row")[name]
+    source = of(source_col).cast("string")
+    rows = docs.select(F.struct("*").alias("_row")).select(
+        "_row", F.coalesce(F.concat(F.lit("s"), source), F.lit("")).alias("_group"),        # null is a source
+        _hash(of(id_col)).alias("_hash"), of(id_col).alias("_id"),
+        F.xxhash64(*[of(c) for c in plain], F.lit("tie")).alias("_tie"))
+    sources = _sources(rows, weights, block_size)
+    classes = sorted(((r._weight, r._blocks, r.m) for r in sources.groupBy("_weight", "_blocks")
+                      .agg(F.count(F.lit(1)).alias("m")).collect()), key=lambda c: (-c[0], -c[1]))
+    schedule = _schedule(classes, weights is None, period)
+    # each source's turn within its class
+    named = spark.createDataFrame([(k, w, b, m) for k, (w, b, m) in enumerate(classes)],
+                                  "_class long, _weight double, _blocks long, _members long")
+    of_class = named.select(F.col("_class").cast("string").alias("_group"), F.col("_members").alias("n"), "_class")
+    turns = numbered(sources.join(named, ["_weight", "_blocks"]).select(
+        F.col("_class").cast("string").alias("_group"), F.col("_group").alias("_source"), F.col("n").alias("_rows"),
+        "_members", _hash(F.col("_group")).alias("_hash")), of_class, ["_source"])
+    turns = checkpoint(turns.select(F.col("_source").alias("_group"), F.col("_rows").alias("n"), "_class", "_members",
+                                    F.col("_number").alias("_turn")))
+    phases = spark.createDataFrame(list(enumerate(schedule)), f"_class long, _phases {PHASES_SQL}")
+    if 8 * sum(len(p[3]) + 4 for own in schedule for p in own) <= BROADCAST_BYTES:
+        phases = F.broadcast(phases)        # classes x period numbers; beyond, a join that adaptive planning picks
+    block = F.floor(F.col("_number") / block_size)
+    return (numbered(rows, turns, ["_id", "_tie"]).join(phases, "_class").withColumn("_block", block)
+            .withColumn("_slot", _slot_of(F.col("_block") * F.col("_members") + F.col("_turn")))
+            .select("_row", *ADDED[:2], (F.col("_slot") * block_size + F.col("_number") % block_size).alias("_position")))
 
 
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, id_col: str = "doc_id",
         source_col: str = "source", block_size: int = BLOCK_SIZE, period: int = PERIOD) -> DataFrame:
     """``docs`` with ``_block`` (its block's number within its source),
     ``_slot`` (the block's) and ``_position`` (the row's place in the mix)."""
-    rows, size, counts = numbered(docs, id_col, source_col)
-    if size is None:
-        return _with_position(_place_many(rows, counts, weights, block_size, period), docs, block_size)
-    names = sorted(size, key=lambda s: (s is not None, s or ""))
-    weight = lambda s: 1.0 if weights is None else float(weights.get(s, 0.0))
-    entries, slot = [], 0
-    for group in ([s for s in names if weight(s) > 0], [s for s in names if weight(s) <= 0]):
-        blocks = [-(-size[s] // block_size) for s in group]
-        found = plan(blocks, [weight(s) if weight(s) > 0 else 1.0 for s in group], period)
-        entries += [(s, [(a, z, p, [slot + x for x in at]) for a, z, p, at in phases])
-                    for s, phases in zip(group, found, strict=True)]
-        slot += sum(blocks)
-    schedule = docs.sparkSession.createDataFrame(
-        entries, f"_s string, _phases {PHASES_SQL}")
-    if 8 * sum(len(p[3]) + 4 for _, phases in entries for p in phases) <= BROADCAST_BYTES:
-        schedule = F.broadcast(schedule)    # bounded by sources and period; else a plain join
-    placed = (rows.withColumn("_block", F.floor(F.col("_number") / block_size))
-              .join(schedule, F.col("_source").eqNullSafe(F.col("_s"))))
-    return _with_position(placed.withColumn("_slot", _slot_of(F.col("_block"))), docs, block_size)
-
-
-def _with_position(placed: DataFrame, docs: DataFrame, block_size: int) -> DataFrame:
-    """The columns of ``docs``, and ``_block``, ``_slot``, ``_position``."""
-    return placed.withColumn("_position", F.col("_slot") * block_size + F.col("_number") % block_size).select(
-        *docs.columns, "_block", "_slot", "_position")
+    placed = _placed(docs, weights, id_col, source_col, block_size, period)
+    return placed.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in ADDED], *ADDED)
 
 
-def in_mixed_order(docs: DataFrame, weights: Mapping[str | None, float] | None = None) -> DataFrame:
+def in_mixed_order(docs: DataFrame, weights: Mapping[str | None, float] | None = None, id_col: str = "doc_id",
+                   source_col: str = "source") -> DataFrame:
     """The rows of ``docs``, all of them, with their columns, sorted by their place in the mix."""
-    return (mix(docs, weights).repartitionByRange(F.col("_position")).sortWithinPartitions("_position")
-            .select(*docs.columns))
+    placed = _placed(docs, weights, id_col, source_col, BLOCK_SIZE, PERIOD)
+    return (placed.repartitionByRange(F.col("_position")).sortWithinPartitions("_position")
+            .select(*[F.col("_row")[c].alias(c) for c in docs.columns]))
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's block, slot and position; a source weighs its blocks to the power ``POWER``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mix(docs).select("doc_id", "source", F.col("_block").alias("block"), F.col("_slot").alias("slot"),
                             F.col("_position").alias("position"))
