@@ -1,3 +1,5 @@
+import duckdb
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tripflow.llm import licences as s
@@ -24,6 +26,62 @@ def test_rules(spark):
     assert s.scan(docs.limit(0)).count() == 0
 
 
+HEADERS = {
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+    "MIT": "The MIT License (MIT)\n\nCopyright (c) 2020 A B\n\n" + MIT,
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+2. Redistributions in binary form must reproduce the above copyright notice.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS".""",
+    "BSD-3-Clause": "// SPDX-License-Identifier: BSD-3-Clause\nint main() {}",
+    "GPL-2.0-only": "/* SPDX-License-Identifier:GPL-2.0-only */ code",
+}
+UNNAMED = ["SPDX-License-Identifier: MIT OR ISC\n", "SPDX-License-Identifier:\nMIT", "the mit license plate"]
+# two known sentences in one cut, the later of the list first
+TURNED = "Provided by the copyright holders? This software is provided by the copyright holders and contributors as is and " \
+         "redistributions in binary form must reproduce the above copyright notice"
+
+
+def test_headers_are_known_in_text_order(spark):
+    docs = spark.createDataFrame([*HEADERS.items(), *((f"{k}", t) for k, t in enumerate(UNNAMED)), ("turned", TURNED)],
+                                 "doc_id string, text string")
+    got = {r.doc_id: r for r in s.scan(docs).collect()}
+    for name in HEADERS:
+        assert (got[name].licences, got[name].n_unmatched) == (name, 0), got[name]
+    assert got["Apache-2.0"].sentence_ids == "<apache-grant><apache-copy><apache-asis>"
+    assert got["MIT"].sentence_ids == "<mit-title><mit-permission><mit-notice><asis-warranty>"
+    assert all(got[f"{k}"].licences == "" for k in range(len(UNNAMED)))
+    assert got["turned"].sentence_ids == "<bsd-warranty><bsd-binary>"
+
+
+def test_sql_on_the_same_texts(spark):
+    texts = [t for t, _, _ in CASES] + list(HEADERS.values()) + UNNAMED + [TURNED]
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    con = duckdb.connect()
+    con.register("documents", documents)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(map(tuple, s.scan(docs).collect())) == sorted(con.execute(s.ORACLE_SQL).fetchall())
+
+
 def test_earlier_rules_take_longer_sequences_first(spark):
     text = ("Redistribution and use in source and binary forms, with or without modification, are permitted. "
             "Redistributions of source code must retain the above copyright notice. "

@@ -37,3 +37,33 @@ def test_no_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_odd_rows(spark):
+    """Nulls, an empty and a very long text, repeated rows and clashing names through every stage."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    text = docs.where("doc_id = 1").first().text
+    base = docs.select(*docs.columns, *[F.lit(k).alias(c) for k, c in enumerate(
+        ["_bad_host", "_dropped", "_block", "_row", "position", "_position", "ids", "n"])])
+    row = lambda **kw: base.where("doc_id = 1").select(*[F.lit(kw[c]).cast(base.schema[c].dataType).alias(c) if c in kw
+                                                        else F.col(c) for c in base.columns])
+    odd = [row(doc_id=900_001, text=None), row(doc_id=900_002, text=""), row(doc_id=None), row(doc_id=900_003, source=None),
+           row(doc_id=900_004, lang=None, n_chars=None), row(doc_id=900_005, text=" ".join(f"w{k} the" for k in range(100_000)))]
+    for d in odd:
+        base = base.union(d)
+    base = base.union(base.where("doc_id in (2, 3)"))
+    rows = base
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        last, rows = rows, stage(spark, rows, SF)
+        if k < 4:
+            assert rows.columns == base.columns, name
+        if name == "quality_rules":
+            assert not {900_001, 900_002} & {r.doc_id for r in rows.select("doc_id").collect()}
+        if name == "near_duplicates":       # copies of document 1 go, rows under a null id and repeated rows stay
+            kept = [r.doc_id for r in rows.select("doc_id").collect()]
+            assert 1 in kept and not {900_003, 900_004} & set(kept) and None in kept and kept.count(2) == kept.count(3) == 2
+    got = rows.collect()
+    assert len(got) == last.count() and len({r.position for r in got}) == len(got) and all(r.same for r in got)
+    order = {r.doc_id: k for k, r in enumerate(last.select("doc_id").collect()) if r.doc_id not in (2, 3)}
+    places = sorted((r.position, order[r.doc_id]) for r in got if r.doc_id in order)
+    assert [k for _, k in places] == sorted(order.values()) and text is not None

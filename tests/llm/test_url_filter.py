@@ -79,3 +79,49 @@ def test_hosts_that_link_to_blocked_hosts_are_blocked(spark):
 
 def test_no_rows(spark):
     assert u.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def brute_verdicts(pages):
+    """{host: verdict} of hosts, by power iteration to its limit."""
+    judged = [(*parts(url), html) for url, html in pages]
+    judged = [(h, rule(h, p, u.RULES)[0], html) for h, p, html in judged]
+    count = {h: sum(x[0] == h for x in judged) for h, _, _ in judged}
+    weight = {}
+    for h, _, html in judged:
+        for target in re.findall(u._LINK, html or ""):
+            e = (h, target.lower())
+            weight[e] = weight.get(e, 0) + 1
+    for h in count:
+        parent = h.partition(".")[2]
+        if h and parent in count and parent:
+            for e in ((h, parent), (parent, h)):
+                weight[e] = weight.get(e, 0) + 1
+    edges = [(a, b, w) for (a, b), w in weight.items() if a and b and a != b]
+    rates = {}
+    for kind, own in (("allow", edges), ("block", [(b, a, w) for a, b, w in edges])):
+        seeds = {h: sum(x[:2] == (h, kind) for x in judged) for h in count}
+        total = sum(seeds.values())
+        rank = brute_rank(own, {h: n / total for h, n in seeds.items() if n}) if total else {}
+        rates[kind] = {h: rank.get(h, 0.0) * total / count[h] for h in count}
+    return {h: "block" if rates["block"][h] >= u.MIN_DISTRUST and rates["block"][h] > rates["allow"][h] else "allow"
+            for h in count}, rates
+
+
+def test_verdicts_at_the_settings_of_the_query(spark):
+    """Chains of links behind blocked and allowed pages, with very different numbers of pages."""
+    link = lambda *hosts: "".join(f'<a href="http://{h}/x">' for h in hosts)
+    pages = [(f"http://seed.net/fr/{k}", link("c0.org") if k % 3 else None) for k in range(60)]
+    pages += [(f"http://c{k}.org/", link(f"c{k + 1}.org", "seed.net")) for k in range(12)]
+    pages += [(f"http://d{k}.org/", link(f"d{k + 1}.org" if k < 19 else "seed.net")) for k in range(20)]
+    pages += [("http://a.com/1", link("d3.org", "c1.org"))] * 9 + [("http://example.com/en/1", link("d5.org"))] * 5
+    pages += [(None, link("d1.org")), ("x", None), ("http://sub.seed.net/", None), ("http://" + "long." * 2000 + "org/" + "p" * 50_000, None)]
+    want, rates = brute_verdicts(pages)
+    got = u.judge_urls(spark.createDataFrame([(k, *p) for k, p in enumerate(pages)], "page_id long, url string, html string")).collect()
+    near = 0
+    for r in got:
+        host, path = parts(pages[r.page_id][0])
+        assert r.verdict == (rule(host, path, u.RULES)[0] or want[host]), (host, r)
+        for kind, rate in (("allow", r.trust_rate), ("block", r.distrust_rate)):
+            assert abs(rate - rates[kind][host]) <= u.RATE_TOLERANCE
+        near += rates["block"][host] > 0
+    assert len(got) == len(pages) and near > 60 and {"block", "allow"} == set(want.values())

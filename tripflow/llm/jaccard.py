@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm.components import components
-from tripflow.llm.text import Block, blocks, checkpoint, filter_rows, mix, sequence_hash, span_hash, table
+from tripflow.llm.text import Block, blocks, checkpoint, filter_rows, fresh, mix, sequence_hash, span_hash, table
 
 SHINGLE = 5                 # words
 SKETCH_BITS = 20            # the sketch has 2 ** SKETCH_BITS counters
@@ -538,17 +538,20 @@ def prefix_rest(n: Column) -> Column:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is its component's smallest, with their
-    columns; of repeated rows of one id, all stay. A filter of fixed size
-    spares most rows that stay the shuffle of the exact anti-join."""
+    columns, which may have any names. Ids name rows: rows of one id stay or go
+    together (all of them go if one of its texts is linked to a smaller id),
+    and rows under a null id stay, as nothing names them. A filter of fixed
+    size spares most rows that stay the shuffle of the exact anti-join."""
+    name = fresh("_dropped", docs)
     dropped = checkpoint(join_documents(docs, id_col, text_col).where("component_id <> doc_id")
-                         .select(F.col("doc_id").alias("_dropped")).distinct())
+                         .select(F.col("doc_id").alias(name)).distinct())
     shared = docs.sparkSession.sparkContext.broadcast(_id_filter(dropped))
 
     def passes(ids: pa.Array) -> np.ndarray:
         found = np.unpackbits(shared.value).astype(bool)[_filter_bits(np.asarray(ids.cast(pa.int64()).fill_null(0)))]
         return found.reshape(2, -1).all(0) & np.asarray(ids.is_valid())
 
-    maybe = filter_rows(docs, id_col, passes).join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
+    maybe = filter_rows(docs, id_col, passes).join(dropped, F.col(id_col) == F.col(name), "left_anti")
     return filter_rows(docs, id_col, lambda ids: ~passes(ids)).union(maybe.select(*docs.columns))
 
 

@@ -1,17 +1,21 @@
 """License scans by sentence rules.
 
 A text is cut into sentences, each is normalised (A-Z lower-cased, every run
-of other characters than a-z and 0-9 made one space) and mapped to the
-identifiers of the known licence sentences that it holds. The identifiers of
-a text, in order, form a sequence like ``<apache-grant><all-rights>``; ordered
+of other characters than a-z and 0-9 made one space) and mapped to known
+licence sentences: by its whole normalised text where that is known (titles,
+lines of SPDX identifiers), else to those that it holds, whose places in it
+order them. The identifiers of a text, in its order, form a sequence like
+``<apache-grant><all-rights>``; ordered
 rules (sequences of identifiers) are matched against it, each taking what it
 matches away from the rules after it. Everything is a column expression over
 the whole text of each row; nothing is shuffled.
 
 Defined cases: a null or empty text has no sentences and no licence; a
 repeated row is scanned like any other; two rules for the same sequence: the
-first wins; sentences that no rule takes are counted as unmatched; other
-columns are not read.
+first wins; known sentences that start at one place go in the order of
+``SENTENCES``; sentences that no rule takes are counted as unmatched; an SPDX
+line names one licence, so one with an expression (``MIT OR ISC``) or an unknown
+name is no known sentence; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # fixed values: known sentences, as patterns of their normalised form
 SENTENCES = [
     ("apache-grant", "licensed under the apache license version 2 0"),
-    ("apache-copy", "you may obtain a copy of the license at http www apache org licenses license 2 0"),
+    ("apache-copy", "you may obtain a copy of the license at( http www apache org licenses license 2 0)?"),
     ("apache-asis", "distributed under the license is distributed on an as is basis"),
     ("mit-grant", "released under the mit license|licensed under the mit license"),
     ("mit-permission", "permission is hereby granted free of charge to any person obtaining a copy"),
@@ -53,15 +57,23 @@ SENTENCES = [
     ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("all-rights", "all rights reserved"),
 ]
+# fixed values: whole sentences that are titles
+TITLES = [("mit-title", "the mit license mit"), ("mit-title", "the mit license"), ("mit-title", "mit license"),
+          ("isc-title", "isc license"), ("bsd3-title", "bsd 3 clause license"), ("bsd2-title", "bsd 2 clause license")]
+# fixed values: names that an SPDX line may give
+SPDX = ["MIT", "ISC", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+        "GPL-3.0-or-later", "MPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "Unlicense"]
 # fixed values: rules in the order in which they are tried
 RULES = [
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-warranty"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
+    ("MIT", ["mit-title", "mit-permission", "mit-notice", "asis-warranty"]),
     ("MIT", ["mit-permission", "mit-notice", "asis-warranty"]),
     ("MIT", ["mit-permission", "mit-notice"]),
     ("MIT", ["mit-grant"]),
+    ("ISC", ["isc-title", "isc-permission"]),
     ("ISC", ["isc-permission"]),
     ("LGPL", ["lgpl-redistribute", "gpl3-later"]),
     ("LGPL", ["lgpl-redistribute"]),
@@ -80,6 +92,11 @@ RULES = [
     ("CC-BY-SA-4.0", ["cc-by-sa"]),
     ("CC-BY-4.0", ["cc-by"]),
     ("Unlicense", ["unlicense"]),
+    *((name, [f"spdx-{name.lower()}"]) for name in SPDX),
+    ("MIT", ["mit-title"]),
+    ("ISC", ["isc-title"]),
+    ("BSD-3-Clause", ["bsd3-title"]),
+    ("BSD-2-Clause", ["bsd2-title"]),
     ("all-rights-reserved", ["all-rights"]),
 ]
 
@@ -89,11 +106,16 @@ HINT = ("licen[sc]e|warrant|redistribut|permission|rights reserved|cc0|public do
 # A sentence ends at .!?; or : before white space, or at a blank line.
 _END = r"([.!?;:])[ \t\n\x0B\f\r]+|\n[ \t\r]*\n"
 _CUT = "\u0001"
+# An SPDX line's value is a sentence with its label, up to the end of the line or of a comment.
+_SPDX = r"spdx-license-identifier:[ \t]*([^\n\r*<]*)"
+WHOLE = dict((s, f"<{name}>") for name, s in TITLES) | {
+    "spdx license identifier " + name.lower().replace("-", " ").replace(".", " "): f"<spdx-{name.lower()}>" for name in SPDX}
 
 
 def sentences(text: Column) -> Column:
     """Array of the normalised sentences that have a hint."""
     low = F.translate(text, UPPER, LOWER)
+    low = F.regexp_replace(low, _SPDX, f"{_CUT}spdx license identifier $1{_CUT}")
     cut = F.split(F.regexp_replace(low, _END, f"$1{_CUT}"), _CUT)
     normal = F.transform(cut, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
     return F.filter(normal, lambda s: s.rlike(HINT))
@@ -101,9 +123,14 @@ def sentences(text: Column) -> Column:
 
 def identifiers(normal: Column) -> Column:
     """The identifiers of all sentences of an array, as ``<a><b>``."""
-    known = lambda s: F.concat(*[F.when(s.rlike(f"(^| )({p})( |$)"), f"<{name}>").otherwise("")
-                                 for name, p in SENTENCES])
-    return F.array_join(F.transform(normal, known), "")
+    whole = F.create_map(*[F.lit(x) for kv in WHOLE.items() for x in kv])
+    # a sentence holds at most a few; only those are placed
+    held = lambda s: F.filter(F.array(*[
+        F.when(s.rlike(f"(^| )({p})( |$)"), F.struct(F.regexp_instr(s, F.lit(f"(^| )({p})( |$)")).alias("at"),
+                                                     F.lit(k).alias("k"), F.lit(f"<{name}>").alias("id")))
+        for k, (name, p) in enumerate(SENTENCES)]), lambda x: x.isNotNull())
+    placed = lambda s: F.array_join(F.transform(F.array_sort(held(s)), lambda x: x["id"]), "")
+    return F.array_join(F.transform(normal, lambda s: F.coalesce(F.try_element_at(whole, s), placed(s))), "")
 
 
 def match_rules(sequence: Column) -> Column:
@@ -144,7 +171,8 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    known = " || ".join(f"CASE WHEN regexp_matches(s, '(^| )({p})( |$)') THEN '<{name}>' ELSE '' END" for name, p in SENTENCES)
+    listed = ", ".join(f"({k}, '{name}', '{p}')" for k, (name, p) in enumerate(SENTENCES))
+    whole = ", ".join(f"('{s}', '{name}')" for s, name in WHOLE.items())
     steps, last = [], "seq"
     for k, (name, ids) in enumerate(RULES):
         pattern = "".join(f"<{x}>" for x in ids)
@@ -154,13 +182,23 @@ def _oracle() -> str:
         last = f"r{k}"
     return rf"""
 WITH doc AS (SELECT row_number() OVER () AS k, doc_id,
-  translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
+  regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), 'spdx-license-identifier:[ \t]*([^\n\r*<]*)',
+                 chr(1) || 'spdx license identifier \1' || chr(1), 'g') AS t FROM documents),
+known(k2, name, p) AS (VALUES {listed}),
+whole(s, ids) AS (VALUES {whole}),
 cut AS (
   SELECT k, unnest(string_split(regexp_replace(t, '([.!?;:])[ \t\n\x0B\f\r]+|\n[ \t\r]*\n', '\1' || chr(1), 'g'), chr(1))) AS s,
          generate_subscripts(string_split(regexp_replace(t, '([.!?;:])[ \t\n\x0B\f\r]+|\n[ \t\r]*\n', '\1' || chr(1), 'g'), chr(1)), 1) AS i
   FROM doc),
 norm AS (SELECT k, i, trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) AS s FROM cut),
-ids AS (SELECT k, string_agg({known}, '' ORDER BY i) AS sentence_ids FROM norm WHERE regexp_matches(s, '{HINT}') GROUP BY k),
+hinted AS (SELECT k, i, s FROM norm WHERE regexp_matches(s, '{HINT}')),
+distinct_s AS (SELECT DISTINCT s FROM hinted),
+parts AS (
+  SELECT s, string_agg('<' || name || '>', '' ORDER BY length(regexp_extract(s, '^(.*?)(?:^| )(?:' || p || ')(?: |$)', 1)), k2) AS ids
+  FROM distinct_s, known WHERE regexp_matches(s, '(^| )(' || p || ')( |$)') GROUP BY s),
+ids AS (
+  SELECT k, string_agg(coalesce(whole.ids, parts.ids, ''), '' ORDER BY i) AS sentence_ids
+  FROM hinted LEFT JOIN whole USING (s) LEFT JOIN parts USING (s) GROUP BY k),
 seq AS (
   SELECT doc.k, doc_id, coalesce(sentence_ids, '') AS sentence_ids, coalesce(sentence_ids, '') AS rest,
          CAST([] AS VARCHAR[]) AS found FROM doc LEFT JOIN ids USING (k)),

@@ -311,8 +311,8 @@ def model_bytes(path: str | None = None) -> bytes:
 
 
 def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text",
-                     kind: str = "bpe") -> DataFrame:
-    """(doc_id, ids, n_ids, same): the ids, their number, and whether decoding
+                     kind: str = "bpe", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, ids, n_ids, same, *keep): the ids, their number, and whether decoding
     gives back the text. Ids go from the worker straight to the result; the
     texts don't travel back."""
     shared = docs.sparkSession.sparkContext.broadcast((model, kind))
@@ -329,7 +329,8 @@ def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text
                 same = [None if x is None else pieces.stands_for(x, t) for x, t in zip(ids, texts, strict=True)]
                 n = [None if x is None else len(x) for x in ids]
                 yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids), pa.array(n, pa.int64()),
-                                                  pa.array(same, pa.bool_())], names=["doc_id", "ids", "n_ids", "same"])
+                                                  pa.array(same, pa.bool_()), *part.columns[2:]],
+                                                 names=["doc_id", "ids", "n_ids", "same", *keep])
 
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
@@ -341,8 +342,9 @@ def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text
         yield from done()
         pa.default_memory_pool().release_unused()
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, n_ids long, same boolean")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep)
+    kept = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, n_ids long, same boolean{kept}")
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,16 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.text import (
-    Block,
-    by_block,
-    checkpoint,
-    filter_rows,
-    sequence_hash,
-    span_hash,
-    table,
-    text_udf,
-)
+from tripflow.llm.text import Block, by_block, checkpoint, filter_rows, fresh, sequence_hash, span_hash, table, text_udf
+
 
 # fixed values: the characters that count as symbols
 SYMBOLS = b"#*$%&|<>"
@@ -150,14 +142,16 @@ def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",
     """The rows of ``docs`` that ``judge`` keeps, with their columns.
 
     Texts are read twice (once for the host rates) rather than shuffled.
+    Columns may have any names.
     """
     counted = docs.select(F.col(host_col).alias("host"), text_counts(F.col(text_col)).alias("c"))
     hosts = host_verdicts(counted.select("host", base_failed("c.").alias("base_failed")), max_rate=max_rate)
-    bad = checkpoint(hosts.where("host_failed").select(F.col("host").alias("_bad_host")))
+    name = fresh("_bad_host", docs)
+    bad = checkpoint(hosts.where("host_failed").select(F.col("host").alias(name)))
     if bad.count() <= MAX_BROADCAST_HOSTS:
         bad = F.broadcast(bad)
     ok = filter_rows(docs, text_col, lambda column: by_block(column, _passes))
-    return (ok.join(bad, F.col(host_col) == F.col("_bad_host"), "left_anti").select(*docs.columns))
+    return (ok.join(bad, F.col(host_col) == F.col(name), "left_anti").select(*docs.columns))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

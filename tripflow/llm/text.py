@@ -253,6 +253,14 @@ def text_udf(per_block: Callable[[Block], dict], schema: pa.StructType) -> Calla
     return F.arrow_udf(whole, from_arrow_type(schema)).asNondeterministic()
 
 
+def fresh(name: str, docs: DataFrame) -> str:
+    """``name``, with underscores added until no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def filter_rows(docs: DataFrame, column: str, keep: Callable[[pa.Array], np.ndarray], rows: int = 1_000) -> DataFrame:
     """The rows of ``docs`` for which ``keep`` of a column's values is true.
     Whole rows pass through the worker a batch at a time, so that no texts wait

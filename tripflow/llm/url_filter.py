@@ -13,7 +13,10 @@ longest rule that fits a url decides. Other urls take their host's verdict:
   at least ``MIN_DISTRUST`` and exceeds its trust rate, else allowed.
 
 Ranks are host tables; each turn is a join with the edges, aggregated before
-the shuffle, and a checkpoint, until ranks move by less than ``TOLERANCE``.
+the shuffle, and a checkpoint, until no host's rate can still move by more
+than ``RATE_TOLERANCE``: what is left to move is at most d / (1 - d) times
+what the last turn moved. That shrinks by d each turn, so the number of turns
+grows with the logarithm of the seed pages.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path,
 no rule, and is allowed unless its (empty) host were blocked; a null html has
@@ -23,6 +26,8 @@ they occur; no pages give no rows. Other columns are not read.
 
 from __future__ import annotations
 
+from math import ceil, log
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +39,7 @@ RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
          ("block", "net/es/"), ("block", "net/fr/")]
 MAX_RULES = 10_000          # rules travel within the plan
 DAMPING = 0.6
-TOLERANCE = 1e-3
-MAX_TURNS = 50
+RATE_TOLERANCE = 1e-3      # pages for each page of a host
 MIN_DISTRUST = 0.5
 
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -88,12 +92,15 @@ def host_edges(pages: DataFrame, host: str = "host", html: str = "html") -> Data
             .groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight")))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE,
-              max_turns: int = MAX_TURNS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = 1e-6,
+              max_turns: int | None = None) -> DataFrame:
     """Personalised PageRank of several kinds at once: ``edges`` (kind, src,
     dst, weight), ``seeds`` (kind, host, seed), (kind, host, rank) out. Seeds
     of a kind sum to 1; so do its ranks. What a host without edges would pass
-    on returns to the seeds."""
+    on returns to the seeds. No rank is further than ``tolerance`` from its
+    limit; ``max_turns`` is by default what that can take at most."""
+    if max_turns is None:
+        max_turns = max(1, ceil(log(tolerance * (1 - damping) / 4) / log(damping)))
     total = edges.groupBy("kind", "src").agg(F.sum("weight").alias("all"))
     edges = checkpoint(edges.join(total, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("all")).alias("share")))
     ends = edges.select("kind", F.col("src").alias("host")).union(edges.select("kind", F.col("dst").alias("host")))
@@ -115,7 +122,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tole
                           .select("kind", "host", "seed", "passes_on", "old", new.alias("rank")))
         moved = step.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] or 0.0
         rank = step.drop("old")
-        if moved < tolerance:
+        if moved * damping / (1 - damping) < tolerance:
             break
     return rank.select("kind", "host", "rank")
 
@@ -134,7 +141,7 @@ def host_verdicts(judged: DataFrame, min_distrust: float = MIN_DISTRUST) -> Data
     seeds = (hosts.where("allowed > 0").select(F.lit("trust").alias("kind"), "host", (F.col("allowed") / max(allow, 1)).alias("seed"))
              .union(hosts.where("blocked > 0").select(F.lit("distrust").alias("kind"), "host",
                                                       (F.col("blocked") / max(block, 1)).alias("seed"))))
-    rank = checkpoint(propagate(edges, seeds))
+    rank = checkpoint(propagate(edges, seeds, tolerance=RATE_TOLERANCE / max(allow, block, 1)))
     of = lambda kind, n: rank.where(F.col("kind") == kind).select("host", (F.col("rank") * n).alias(kind))
     rate = lambda kind: F.round(F.coalesce(F.col(kind), F.lit(0.0)) / F.col("pages"), 9)
     out = hosts.join(of("trust", allow), "host", "left").join(of("distrust", block), "host", "left").select(
