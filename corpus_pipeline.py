@@ -7,9 +7,10 @@ returns the columns of its input. An empty table passes through every stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripflow.llm import jaccard, language, mixing, pieces, quality_rules
-from tripflow.llm.text import checkpoint, table
+from tripflow.llm.text import table, written
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +34,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids, n_ids, same): every document encoded, and whether its ids decode to its text."""
-    return pieces.encode_documents(docs, pieces.model_bytes())
+    """(doc_id, ids, n_ids, same, position): every document encoded, whether its
+    ids decode to its text, and its place in the mix, which depends on the rows
+    alone and so is that of the stage before."""
+    mixed = mixing.mix(docs).select("doc_id", "text", F.col("_position").alias("position"))
+    return pieces.encode_documents(mixed, pieces.model_bytes(), keep=("position",))
 
 
 STAGES = [
@@ -51,10 +55,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of all stages over the whole ``documents`` table, each
-    stage's result written to the shared checkpoint folder and read again."""
+    stage's result written as Parquet to the shared checkpoint folder and read again."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = checkpoint(docs)
+            docs = written(docs)
     return docs

@@ -1,4 +1,9 @@
 """Driver contract: entry, query/oracle registry and DuckDB parity on sf0.001."""
+import os
+import shutil
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -52,3 +57,19 @@ def test_no_cross_joins_in_plans(spark, name):
     nested-loop join."""
     plan = E.queries()[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_entry_without_the_training_data_operators(tmp_path):
+    """A copy of the entry beside the library alone has the library's queries; any other import error shows."""
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    shutil.copytree(f"{root}/tripflow", tmp_path / "tripflow", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    run = lambda: subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(sorted(e.queries()), len(e.oracle_sql()))"],
+                                 cwd=tmp_path, capture_output=True, text=True, timeout=120, check=False)
+    first = run()
+    assert first.returncode == 0 and first.stdout.startswith(str(sorted(OWN))), first.stderr
+    (tmp_path / "tripflow" / "llm").mkdir()
+    assert run().returncode == 0            # an empty folder is no subpackage
+    (tmp_path / "tripflow" / "llm" / "__init__.py").write_text("")
+    (tmp_path / "corpus_pipeline.py").write_text("import no_such_library\n")
+    assert "no_such_library" in run().stderr
