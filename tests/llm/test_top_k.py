@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,9 +19,10 @@ def brute(rows, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("shard", "block", "stop"), [(4096, 512, 64), (37, 2, 5)])
-def test_results_match_all_scores(spark, monkeypatch, shard, block, stop):
-    for name, value in (("SHARD", shard), ("QUERY_BLOCK", block), ("STOP", stop)):
+@pytest.mark.parametrize(("shard", "block", "stop", "items", "wave"),
+                         [(4096, 512, 64, 1 << 21, 65_536), (37, 2, 5, 1 << 21, 65_536), (37, 2, 5, 48, 10)])
+def test_results_match_all_scores(spark, monkeypatch, shard, block, stop, items, wave):
+    for name, value in (("SHARD", shard), ("QUERY_BLOCK", block), ("STOP", stop), ("QUERY_ITEMS", items), ("WAVE", wave)):
         monkeypatch.setattr(t, name, value)
     rng = random.Random(3)
     rows = [(k, [rng.gauss(0, 0.2) for _ in range(8)]) for k in range(400)]
@@ -39,3 +41,27 @@ def test_few_or_no_vectors(spark):
     assert [tuple(r) for r in t.top_k(x, x.where("vec_id = 0")).orderBy("rank").collect()] == [(0, 1, 1, 32768), (0, 2, 2, -32768)]
     one = x.where("vec_id = 0")
     assert t.top_k(one, one).count() == 0 and t.top_k(x.limit(0), x.limit(0)).count() == 0
+
+
+def test_search_of_a_shard_matches_all_products():
+    rng = np.random.default_rng(5)
+    for n, width in ((0, 3), (3, 4), (500, 16)):
+        x = np.floor(rng.normal(0, 40, (n, width)) * (rng.random((n, width)) < 0.6)).astype(np.int64)
+        x[n // 2:n // 2 + 20] = x[:1]                                        # ties
+        q, ids = x[::7].copy(), rng.permutation(n) + 10
+        index = t.ImpactIndex(x)
+        assert sum(hi - lo for level in index.levels for _, lo, hi in level[0]) == np.count_nonzero(x)
+        every = x @ q.T
+        for stop, floor in ((0, None), (5, None), (0, np.full(len(q), 900)), (64, np.full(len(q), -(10 ** 15)))):
+            of, near, score = t.search(index, ids, q, ids[::7], t.K, stop, floor)
+            for k in range(len(q)):
+                want = sorted((-int(s), int(i)) for s, i in zip(every[:, k], ids, strict=True) if i != ids[::7][k])[:t.K]
+                want = [(i, -s) for s, i in want if floor is None or -s >= floor[k]]
+                assert list(zip(near[of == k].tolist(), score[of == k].tolist(), strict=True)) == want
+
+
+def test_large_components_are_scored_as_integers():
+    x = np.array([[2 ** 30, 1], [2 ** 30, 2], [2 ** 30 - 1, 2 ** 30], [1, 2 ** 30]], np.int64)
+    of, near, score = t.search(t.ImpactIndex(x), np.arange(4), x[:1], np.array([9]), 3)
+    assert list(zip(near.tolist(), score.tolist(), strict=True)) == [
+        (1, 2 ** 60 + 2), (0, 2 ** 60 + 1), (2, 2 ** 60)]

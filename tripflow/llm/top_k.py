@@ -1,38 +1,56 @@
 """Exact top-k search by inner product with an impact-ordered index.
 
-Vectors are spread over shards of about ``SHARD`` rows, queries over blocks of
-about ``QUERY_BLOCK``; each shard meets each block once, whatever their
-number. Within a shard the index holds one posting per non-zero component,
-its impact quantised to its binary exponent. Segments of postings are added
-to the queries' scores in order of descending impact. After each segment, a
-vector's score is known within the most that its unread postings can add
-(the smaller of |rest|2 |q|2 and |rest|max |q|1). A query stops only when this
-proves that at most ``STOP`` vectors can still be among its k highest, or at
-the index's end; those vectors are scored exactly. Shard results meet in one
-ranking per query.
+Vectors stay where they lie: each task reads its own, ``SHARD`` rows at a time
+(fewer if they are wide), and turns them into an index. This holds one posting
+(vector, weight) per non-zero component, in segments of one impact and one
+component each; the impact is the weight's binary exponent. Queries come to the
+vectors, ``QUERY_ITEMS`` components a broadcast, whatever their number.
+
+Segments are added to the queries' scores in order of descending impact. After
+each impact, a vector's score is known within the most that its unread postings
+can add (the smaller of |rest|2 |q|2 and |rest|max |q|1). A query stops only
+when this proves that at most ``STOP`` vectors can still be among its k highest,
+or at the index's end; those vectors are scored exactly.
+
+A task keeps its k best for each query, and what a query's k-th score is so far
+rules vectors out in the shards that follow. Vectors are searched in waves, each
+``GROWTH`` times all before it (by hash); a wave starts with the k-th scores of
+those before. What a wave sends on for a query therefore doesn't grow with
+the table but for a task's k best, and vectors are never shuffled or copied.
 
 Defined cases: null vectors, and those with a null or non-finite component,
 take no part; vectors of differing lengths are filled up with zeros; rows with
-the same id and vector count once; a row with the query's id is its own, not a
-candidate; ties go to the smaller id; fewer than k candidates give fewer rows;
-null ids take no part; no rows give no rows. |256 x| must stay below 2 ** 31.
+the same id and vector count once; several vectors under one query id share one
+ranking; a row with the query's id is its own, not a candidate; ties go to the
+smaller id; fewer than k candidates give fewer rows; null ids take no part; no
+rows give no rows. |256 x| must stay below 2 ** 31 and scores below 2 ** 63.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from uuid import uuid4
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripflow.llm.text import checkpoint, table
+from tripflow.llm.text import table, written
+from tripflow.session import checkpoint_dir
 
 K = 5
 SCALE = 256
 QUERY_STEP = 50             # ids divisible by this are queries
-SHARD = 4096
-QUERY_BLOCK = 512
+SHARD = 4096                # vectors of an index,
+SHARD_ITEMS = 1 << 18       # and components at most, but for a single wider vector
+QUERY_BLOCK = 512           # queries scored together
+QUERY_ITEMS = 1 << 21       # components of the queries that are broadcast together (16 MB)
+WAVE = 65_536               # vectors of the first wave, at most
+GROWTH = 8
 STOP = 64
+NO_SCORE = -(1 << 63)
+FOUND = "query_id long, vec_id long, score long"
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -45,94 +63,179 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
             .dropDuplicates(["vec_id", "x"]))
 
 
-def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    lists = column.combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks)
+def _matrix(lists: pa.Array, width: int) -> np.ndarray:
     size = np.asarray(lists.value_lengths()).astype(np.int64)
-    out = np.zeros((len(lists), width))
+    out = np.zeros((len(lists), width), np.int64)
     row = np.repeat(np.arange(len(lists)), size)
     place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
     out[row, place] = np.asarray(lists.flatten())
     return out
 
 
-def _width(column: pa.ChunkedArray) -> int:
-    return max((int(np.asarray(c.value_lengths()).max()) for c in column.chunks if len(c)), default=0)
-
-
 class ImpactIndex:
-    """The postings of a shard: segments of one quantised impact each, from
-    the highest; for each, what remains unread of each vector after it."""
+    """The postings of a shard's vectors ``x``: sorted arrays ``vec`` and
+    ``weight``, cut into segments. A level of ``levels`` is one impact, from the
+    highest: its segments (component, from, to), and the length and the largest
+    weight of what is unread of each vector after it."""
 
     def __init__(self, x: np.ndarray) -> None:
-        impact = np.frexp(np.abs(x))[1] * (x != 0)
-        self.x, self.segments, rest = x, [], x.copy()
-        for level in sorted(set(np.unique(impact)) - {0}, reverse=True):
-            segment = np.where(impact == level, x, 0.0)
-            rest = rest - segment
-            self.segments.append((segment, np.sqrt((rest * rest).sum(1)), np.abs(rest).max(1, initial=0.0)))
-
-
-def search(index: ImpactIndex, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(query number, vector number, score) of each query's k best, exactly."""
-    n, m = len(ids), len(q)
-    score = np.zeros((m, n))
-    own = q_ids[:, None] == ids[None, :]
-    size2, size1 = np.sqrt((q * q).sum(1)), np.abs(q).sum(1)
-    active, out = np.arange(m), []
-    none = np.zeros(n)
-    for turn, (segment, rest2, rest_max) in enumerate(index.segments or [(np.zeros_like(index.x), none, none)]):
-        score[active] += q[active] @ segment.T
-        most = np.minimum(np.outer(size2[active], rest2), np.outer(size1[active], rest_max)) * (1 + 1e-9)
-        low = np.where(own[active], -np.inf, score[active] - most)
-        kth = np.partition(low, n - k, axis=1)[:, n - k] if n >= k else np.full(len(active), -np.inf)
-        possible = (score[active] + most >= kth[:, None]) & ~own[active]
-        done = (possible.sum(1) <= max(STOP, k)) | (turn + 1 >= len(index.segments))
-        for row in np.flatnonzero(done):
-            at = np.flatnonzero(possible[row])
-            exact = (index.x[at] @ q[active[row]]).astype(np.int64)
+        self.x = x
+        vec, component = np.nonzero(x)
+        weight = x[vec, component].astype(np.float64)
+        impact = np.frexp(np.abs(weight))[1]
+        order = np.lexsort((vec, component, -impact))
+        self.vec, self.weight = vec[order], weight[order]
+        component, impact = component[order], impact[order]
+        begin = np.flatnonzero((np.diff(component, prepend=-1) != 0) | (np.diff(impact, prepend=1 << 20) != 0))
+        end = np.append(begin[1:], len(vec))
+        rest2, rest_max = np.zeros(len(x)), np.zeros(len(x))
+        self.levels = []
+        for level in np.unique(impact):         # what is unread adds up from the lowest
+            of = np.flatnonzero(impact[begin] == level)
+            self.levels.append((list(zip(component[begin[of]].tolist(), begin[of].tolist(), end[of].tolist(), strict=True)),
+                                np.sqrt(rest2), rest_max.copy()))
+            lo, hi = begin[of[0]], end[of[-1]]
+            rest2 += np.bincount(self.vec[lo:hi], self.weight[lo:hi] ** 2, len(x))
+            np.maximum.at(rest_max, self.vec[lo:hi], np.abs(self.weight[lo:hi]))
+        self.levels.reverse()
+        self.size2 = np.sqrt(rest2)
+
+
+def search(index: ImpactIndex, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int, stop: int = STOP,
+           floor: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(query number, vector id, score) of each query's k best, exactly; those
+    below the query's ``floor`` may be missing."""
+    n, active, out = len(ids), np.arange(len(q)), []
+    floor = np.full(len(q), NO_SCORE) if floor is None else floor
+    weight = q.astype(np.float64)
+    size2, size1 = np.sqrt((weight * weight).sum(1)), np.abs(weight).sum(1)
+    score = np.zeros((n, len(q)))
+    nothing = np.zeros(n)
+    levels = index.levels or [([], nothing, nothing)]
+    for turn, (segments, rest2, rest_max) in enumerate(levels):
+        for component, lo, hi in segments:
+            w = weight[active, component]
+            if w.any():
+                score[index.vec[lo:hi]] += index.weight[lo:hi, None] * w
+        most = np.minimum(np.outer(rest2, size2[active]), np.outer(rest_max, size1[active])) * (1 + 1e-9)
+        most += np.outer(index.size2, size2[active] * 1e-12)        # more than sums of doubles are off by
+        own = ids[:, None] == q_ids[active]
+        least = floor[active].astype(np.float64)
+        least -= np.abs(least) * 1e-12
+        new = np.flatnonzero(floor[active] == NO_SCORE)
+        if len(new):
+            least[new] = -np.inf
+            if n >= k:
+                low = np.where(own[:, new], -np.inf, score[:, new] - most[:, new])
+                least[new] = np.partition(low, n - k, axis=0)[n - k]
+        possible = (score + most >= least) & ~own
+        done = (possible.sum(0) <= max(stop, k)) | (turn + 1 == len(levels))
+        for column in np.flatnonzero(done).tolist():
+            at = np.flatnonzero(possible[:, column])
+            exact = index.x[at] @ q[active[column]]
             best = np.lexsort((ids[at], -exact))[:k]
-            out.append((np.full(len(best), active[row]), at[best], exact[best]))
-        active = active[~done]
-        if not len(active):
+            best = best[exact[best] >= floor[active[column]]]
+            out.append((np.full(len(best), active[column]), ids[at][best], exact[best]))
+        if done.all():
             break
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-
-def _shard_search(k: int):
-    def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
-        if not vectors.num_rows or not queries.num_rows:
-            return pa.table([pa.array([], pa.int64())] * 3, names=names)
-        width = max(_width(vectors.column("x")), _width(queries.column("x")), 1)
-        x, q = _matrix(vectors.column("x"), width), _matrix(queries.column("x"), width)
-        ids, q_ids = np.asarray(vectors.column("vec_id")), np.asarray(queries.column("vec_id"))
-        a, b, s = search(ImpactIndex(x), ids, q, q_ids, k)
-        return pa.table([pa.array(q_ids[a]), pa.array(ids[b]), pa.array(s)], names=names)
+        active, score = active[~done], score[:, ~done]
+    return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*out, strict=True)) if out else \
+        tuple(np.zeros((3, 0), np.int64))
+
+
+def _best(found: list, k: int) -> tuple[np.ndarray, ...]:
+    """Each query's k best of several results of ``search``."""
+    of, ids, score = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((ids, -score, of))
+    of = of[order]
+    order = order[np.arange(len(of)) - np.searchsorted(of, of) < k]
+    return tuple(np.concatenate(x)[order] for x in zip(*found, strict=True))
+
+
+def _shards(batches: Iterator[pa.RecordBatch], width: int, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    ids, x = np.zeros(0, np.int64), np.zeros((0, width), np.int64)
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            part = batch.slice(lo, rows)
+            ids = np.concatenate([ids, np.asarray(part.column(0))])
+            x = np.concatenate([x, _matrix(part.column(1), width)])
+            if len(ids) >= rows:
+                yield ids[:rows], x[:rows]
+                ids, x = ids[rows:], x[rows:]
+    if len(ids):
+        yield ids, x
+
+
+def _search_shards(shared, width: int, rows: int, block: int, stop: int, k: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q_ids, q, floor = shared.value
+        floor, best = floor.copy(), tuple(np.zeros((3, 0), np.int64))
+        for ids, x in _shards(batches, width, rows):
+            index, found = ImpactIndex(x), [best]
+            for lo in range(0, len(q), block):
+                part = slice(lo, lo + block)
+                of, near, score = search(index, ids, q[part], q_ids[part], k, stop, floor[part])
+                found.append((of + lo, near, score))
+            best = _best(found, k)
+            last = np.flatnonzero(np.arange(len(best[0])) - np.searchsorted(best[0], best[0]) == k - 1)
+            floor[best[0][last]] = np.maximum(floor[best[0][last]], best[2][last])
+        yield pa.RecordBatch.from_arrays([pa.array(q_ids[best[0]]), pa.array(best[1]), pa.array(best[2])],
+                                         names=["query_id", "vec_id", "score"])
     return run
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
-    """(query_id, rank, vec_id, score) of ``vectors`` (vec_id, x) for each row
-    of ``queries`` (vec_id, x)."""
-    n, m = vectors.count(), queries.count()
-    shards, parts = max(1, -(-n // SHARD)), max(1, -(-m // QUERY_BLOCK))
-    spread = vectors.select("vec_id", "x", F.pmod(F.xxhash64("vec_id", "x"), F.lit(shards)).alias("shard"),
-                            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
-    asked = queries.select("vec_id", "x", F.pmod(F.xxhash64("vec_id", "x"), F.lit(parts)).alias("part"),
-                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
-    found = (spread.groupBy("shard", "part").cogroup(asked.groupBy("shard", "part"))
-             .applyInArrow(_shard_search(k), "query_id long, vec_id long, score long"))
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 
 
+def _floors(best: DataFrame, q_ids: np.ndarray, k: int) -> np.ndarray:
+    """The k-th score of each query so far."""
+    kth = best.where(F.col("rank") == k).select("query_id", "score").orderBy("query_id").toArrow()
+    ids, score = np.asarray(kth.column(0)), np.asarray(kth.column(1))
+    if not len(ids):
+        return np.full(len(q_ids), NO_SCORE)
+    at = np.minimum(np.searchsorted(ids, q_ids), len(ids) - 1)
+    return np.where(ids[at] == q_ids, score[at], NO_SCORE)
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
+    """(query_id, rank, vec_id, score) of ``vectors`` (vec_id, x) for each row
+    of ``queries`` (vec_id, x). Both are read several times: give tables."""
+    spark = vectors.sparkSession
+    (n, wide), (m, wide_q) = (d.agg(F.count(F.lit(1)), F.max(F.size("x"))).first() for d in (vectors, queries))
+    if not n or not m:
+        return _ranked(spark.createDataFrame([], FOUND), k)
+    width = max(wide, wide_q, 1)
+    rows, parts = max(1, min(SHARD, SHARD_ITEMS // width)), -(-m // max(1, QUERY_ITEMS // width))
+    waves = 1
+    while WAVE * GROWTH ** (waves - 1) < n:
+        waves += 1
+    draw = F.pmod(F.xxhash64("vec_id", "x"), F.lit(GROWTH ** (waves - 1)))
+    wave = sum(((draw >= GROWTH ** i).cast("int") for i in range(waves - 1)), F.lit(0))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/found-{uuid4().hex}"
+    for part in range(parts):
+        block = queries.where(F.pmod(F.xxhash64("vec_id", "x"), F.lit(parts)) == part).select("vec_id", "x").toArrow()
+        if not block.num_rows:
+            continue
+        q_ids = np.asarray(block.column(0))
+        q = np.concatenate([_matrix(c, width) for c in block.column(1).chunks])
+        floor, best = np.full(len(q), NO_SCORE), None
+        for turn in range(waves):
+            shared = spark.sparkContext.broadcast((q_ids, q, floor))
+            found = vectors.where(wave == turn).select("vec_id", "x").mapInArrow(
+                _search_shards(shared, width, rows, QUERY_BLOCK, STOP, k), FOUND)
+            best = _ranked(found if best is None else best.drop("rank").unionByName(found), k)
+            if turn + 1 < waves:
+                best = written(best)
+                floor = _floors(best, q_ids, k)
+        best.write.mode("append").parquet(path)
+    return _ranked(spark.read.schema(f"{FOUND}, rank int").parquet(path).drop("rank"), k)
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = checkpoint(quantised(table(spark, sf_dir, "embeddings")))
+    vectors = written(quantised(table(spark, sf_dir, "embeddings")))
     return top_k(vectors, vectors.where(F.col("vec_id") % QUERY_STEP == 0))
 
 
