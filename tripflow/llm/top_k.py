@@ -44,11 +44,12 @@ SCALE = 256
 QUERY_STEP = 50             # ids divisible by this are queries
 SHARD = 4096                # vectors of an index,
 SHARD_ITEMS = 1 << 18       # and components at most, but for a single wider vector
-QUERY_BLOCK = 512           # queries scored together
+QUERY_BLOCK = 128           # queries scored together
 QUERY_ITEMS = 1 << 21       # components of the queries that are broadcast together (16 MB)
 WAVE = 65_536               # vectors of the first wave, at most
 GROWTH = 8
-STOP = 64
+STOP = 256                  # vectors that may be left to score exactly
+CHECKS = 16                 # looks at the bounds, at most, while an index is read
 NO_SCORE = -(1 << 63)
 FOUND = "query_id long, vec_id long, score long"
 
@@ -75,8 +76,8 @@ def _matrix(lists: pa.Array, width: int) -> np.ndarray:
 class ImpactIndex:
     """The postings of a shard's vectors ``x``: sorted arrays ``vec`` and
     ``weight``, cut into segments. A level of ``levels`` is one impact, from the
-    highest: its segments (component, from, to), and the length and the largest
-    weight of what is unread of each vector after it."""
+    highest: its segments (component, from, to) and the length of what is unread
+    of each vector after it."""
 
     def __init__(self, x: np.ndarray) -> None:
         self.x = x
@@ -84,52 +85,59 @@ class ImpactIndex:
         weight = x[vec, component].astype(np.float64)
         impact = np.frexp(np.abs(weight))[1]
         order = np.lexsort((vec, component, -impact))
-        self.vec, self.weight = vec[order], weight[order]
-        component, impact = component[order], impact[order]
+        vec, component, weight, impact = vec[order], component[order], weight[order], impact[order]
         begin = np.flatnonzero((np.diff(component, prepend=-1) != 0) | (np.diff(impact, prepend=1 << 20) != 0))
         end = np.append(begin[1:], len(vec))
-        rest2, rest_max = np.zeros(len(x)), np.zeros(len(x))
-        self.levels = []
+        rest, self.levels = np.zeros(len(x)), []
         for level in np.unique(impact):         # what is unread adds up from the lowest
             of = np.flatnonzero(impact[begin] == level)
-            self.levels.append((list(zip(component[begin[of]].tolist(), begin[of].tolist(), end[of].tolist(), strict=True)),
-                                np.sqrt(rest2), rest_max.copy()))
+            segments = zip(component[begin[of]].tolist(), begin[of].tolist(), end[of].tolist(), strict=True)
+            self.levels.append((list(segments), np.sqrt(rest)))
             lo, hi = begin[of[0]], end[of[-1]]
-            rest2 += np.bincount(self.vec[lo:hi], self.weight[lo:hi] ** 2, len(x))
-            np.maximum.at(rest_max, self.vec[lo:hi], np.abs(self.weight[lo:hi]))
+            rest += np.bincount(vec[lo:hi], weight[lo:hi] ** 2, len(x))
         self.levels.reverse()
-        self.size2 = np.sqrt(rest2)
+        self.vec, self.weight = vec, weight.astype(np.float32)
+        self.slack = np.sqrt(rest) * (x.shape[1] + 8) * 2.0 ** -23     # more than sums of floats are off by
 
 
 def search(index: ImpactIndex, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int, stop: int = STOP,
            floor: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """(query number, vector id, score) of each query's k best, exactly; those
-    below the query's ``floor`` may be missing."""
-    n, active, out = len(ids), np.arange(len(q)), []
+    below the query's ``floor`` may be missing. Until they are scored exactly,
+    scores are those of queries of length 1."""
+    n, active, out, read, read_until = len(ids), np.arange(len(q)), [], 0, 0
     floor = np.full(len(q), NO_SCORE) if floor is None else floor
-    weight = q.astype(np.float64)
-    size2, size1 = np.sqrt((weight * weight).sum(1)), np.abs(weight).sum(1)
-    score = np.zeros((n, len(q)))
-    nothing = np.zeros(n)
-    levels = index.levels or [([], nothing, nothing)]
-    for turn, (segments, rest2, rest_max) in enumerate(levels):
+    size = np.sqrt((q.astype(np.float64) ** 2).sum(1))
+    size[size == 0] = 1
+    weight = (q / size[:, None]).T.astype(np.float32)
+    score = np.zeros((n, len(q)), np.float32)
+    longest = max((hi - lo for level, _ in index.levels for _, lo, hi in level), default=0)
+    have, more = (np.empty((longest, len(q)), np.float32) for _ in range(2))
+    levels = index.levels or [([], np.zeros(n))]
+    for turn, (segments, rest) in enumerate(levels):
         for component, lo, hi in segments:
-            w = weight[active, component]
-            if w.any():
-                score[index.vec[lo:hi]] += index.weight[lo:hi, None] * w
-        most = np.minimum(np.outer(rest2, size2[active]), np.outer(rest_max, size1[active])) * (1 + 1e-9)
-        most += np.outer(index.size2, size2[active] * 1e-12)        # more than sums of doubles are off by
+            vec, old, add = index.vec[lo:hi], have[:hi - lo], more[:hi - lo]
+            np.take(score, vec, axis=0, out=old, mode="clip")
+            np.multiply(index.weight[lo:hi, None], weight[component], out=add)
+            old += add
+            score[vec] = old
+            read += hi - lo
+        last = turn + 1 == len(levels)
+        if read - read_until < len(index.vec) / CHECKS and not last:
+            continue
+        read_until = read
+        most = (rest * (1 + 1e-6) + index.slack).astype(np.float32)[:, None]
         own = ids[:, None] == q_ids[active]
-        least = floor[active].astype(np.float64)
-        least -= np.abs(least) * 1e-12
+        least = floor[active] / size[active]
+        least -= np.abs(least) * 1e-6
         new = np.flatnonzero(floor[active] == NO_SCORE)
         if len(new):
             least[new] = -np.inf
             if n >= k:
-                low = np.where(own[:, new], -np.inf, score[:, new] - most[:, new])
+                low = np.where(own[:, new], -np.inf, score[:, new] - most)
                 least[new] = np.partition(low, n - k, axis=0)[n - k]
-        possible = (score + most >= least) & ~own
-        done = (possible.sum(0) <= max(stop, k)) | (turn + 1 == len(levels))
+        possible = (score >= least.astype(np.float32) - most) & ~own
+        done = (possible.sum(0) <= max(stop, k)) | last
         for column in np.flatnonzero(done).tolist():
             at = np.flatnonzero(possible[:, column])
             exact = index.x[at] @ q[active[column]]
@@ -138,7 +146,9 @@ def search(index: ImpactIndex, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray
             out.append((np.full(len(best), active[column]), ids[at][best], exact[best]))
         if done.all():
             break
-        active, score = active[~done], score[:, ~done]
+        if done.any():
+            active, score, weight = active[~done], np.compress(~done, score, 1), np.compress(~done, weight, 1)
+            have, more = (np.empty((longest, len(active)), np.float32) for _ in range(2))
     return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*out, strict=True)) if out else \
         tuple(np.zeros((3, 0), np.int64))
 
