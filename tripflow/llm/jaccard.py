@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm.components import components
-from tripflow.llm.text import Block, blocks, checkpoint, filter_rows, fresh, mix, sequence_hash, span_hash, table
+from tripflow.llm.text import Block, blocks, filter_rows, fresh, mix, sequence_hash, span_hash, table, written
 
 SHINGLE = 5                 # words
 SKETCH_BITS = 20            # the sketch has 2 ** SKETCH_BITS counters
@@ -454,12 +454,12 @@ def _links_of_large_clusters(pairs: DataFrame, entries: DataFrame, sets: DataFra
     large = sets.select("set")
     pairs = pairs.join(large.withColumnRenamed("set", "a"), "a", "left_semi").select("a", "b", "na", "nb", "times")
     entries = entries.join(large, "set", "left_semi").select("token", "set", "n", "pos")
-    pairs, entries = checkpoint(pairs), checkpoint(entries)
+    pairs, entries = written(pairs), written(entries)
     # others: each set with its best partner and its lists' leaders
     ends = pairs.select(F.col("a").alias("x"), "*").union(pairs.select(F.col("b").alias("x"), "*"))
     best = (ends.groupBy("x").agg(F.max_by(F.struct("a", "b", "na", "nb"), F.struct("times", "a", "b")).alias("p"))
             .select("p.*").distinct())
-    compared = checkpoint(_compare(best.union(_leader_pairs(entries)).distinct(), sets))
+    compared = written(_compare(best.union(_leader_pairs(entries)).distinct(), sets))
     near = _linked(compared).select("a", "b")
     group = components(near).select(F.col("node").alias("set"), F.col("label").alias("group"))
     # what their groups do not settle
@@ -467,7 +467,7 @@ def _links_of_large_clusters(pairs: DataFrame, entries: DataFrame, sets: DataFra
             .join(group.select(F.col("set").alias("a"), F.col("group").alias("ga")), "a", "left")
             .join(group.select(F.col("set").alias("b"), F.col("group").alias("gb")), "b", "left")
             .where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b", "na", "nb"))
-    more = checkpoint(_linked(_compare(left, sets)).select("a", "b").union(_links_of_long_lists(entries, group, sets)))
+    more = written(_linked(_compare(left, sets)).select("a", "b").union(_links_of_long_lists(entries, group, sets)))
     return near.union(more)
 
 
@@ -476,21 +476,21 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     its shingle set, 0 for an empty one)."""
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text"))
-    profile = checkpoint(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    profile = written(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
                          .mapInArrow(_profile, "kind int, doc_id long, set long, n long"))
     document = profile.where("kind = 0").drop("kind")
     classes = spark.sparkContext.broadcast(_classes(profile.where("kind = 1")))
     index = (texts.mapInArrow(_postings(classes), "token long, set long, n int, pos int")
              .repartition("token").sortWithinPartitions("token", "n", "set"))
-    lists = checkpoint(index.mapInArrow(
+    lists = written(index.mapInArrow(
         _read_lists, "kind int, token long, a long, b long, na int, nb int, pos int, times int"))
     entries = lists.where("kind = 1").select("token", F.col("a").alias("set"), F.col("na").alias("n"), "pos").distinct()
-    entries = checkpoint(entries)
+    entries = written(entries)
     in_long = entries.groupBy("set").agg(F.count(F.lit(1)).alias("lists"))
     # pairs that share enough of their prefixes
     need = F.ceil(3 * (F.col("na") + F.col("nb")) / 7) - F.greatest(prefix_rest(F.col("na")), prefix_rest(F.col("nb")))
     counted = lists.where("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("times").alias("times"))
-    pairs = checkpoint(
+    pairs = written(
         counted.join(in_long.select(F.col("set").alias("a"), F.col("lists").alias("la")), "a", "left")
         .join(in_long.select(F.col("set").alias("b"), F.col("lists").alias("lb")), "b", "left")
         .where(F.col("times") + F.least(F.coalesce("la", F.lit(0)), F.coalesce("lb", F.lit(0))) >= need)
@@ -499,17 +499,17 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     short = lists.where("kind = 2").groupBy(F.col("a").alias("set")).agg(F.sum("times").alias("short"))
     able = (in_long.join(short, "set", "left").select("set", (F.col("lists") + F.coalesce("short", F.lit(0))).alias("able")))
     entries = entries.join(able, "set").where(F.col("able") > F.floor(F.col("n") / 20)).select("token", "set", "n", "pos")
-    entries = checkpoint(_first_shared(entries))
+    entries = written(_first_shared(entries))
     # clusters: what pairs and long lists connect; nothing links two of them
     first = entries.groupBy("token").agg(F.min("set").alias("a"))
     cluster = components(pairs.select("a", "b").union(entries.join(first, "token").select("a", F.col("set").alias("b"))))
-    by_set = checkpoint(document.where("set <> 0").groupBy("set").agg(F.min("doc_id").alias("smallest"), F.max("n").alias("n")))
-    wanted = checkpoint(cluster.select(F.col("node").alias("set"), "label").join(by_set, "set"))
+    by_set = written(document.where("set <> 0").groupBy("set").agg(F.min("doc_id").alias("smallest"), F.max("n").alias("n")))
+    wanted = written(cluster.select(F.col("node").alias("set"), "label").join(by_set, "set"))
     shared = spark.sparkContext.broadcast(_id_filter(
         wanted.select("set", F.coalesce("smallest", F.lit(NO_ID)).alias("doc"))))
     total = wanted.groupBy("label").agg(F.sum("n").alias("_total"), F.count(F.lit(1)).alias("_sets"))
     whole = (F.col("_total") <= CLUSTER_ITEMS) & (F.col("_sets") <= CLUSTER_SETS)
-    sets = checkpoint(docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("doc"))
+    sets = written(docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("doc"))
                       .mapInArrow(_sets(shared), "set long, items array<long>")
                       .join(wanted.join(total, "label").select("set", "label", "n", whole.alias("whole")), "set")
                       .dropDuplicates(["set"]))
@@ -522,7 +522,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # smallest document of each set, then of each component
     named = by_set.join(found.select(F.col("node").alias("set"), "label"), "set", "left") \
         .select("set", "smallest", F.coalesce("label", "set").alias("label"))
-    named = checkpoint(named)
+    named = written(named)
     lowest = named.groupBy("label").agg(F.min("smallest").alias("component_id"))
     named = named.join(lowest, "label").select("set", "component_id")
     return (document.join(named, "set", "left")
@@ -543,7 +543,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     and rows under a null id stay, as nothing names them. A filter of fixed
     size spares most rows that stay the shuffle of the exact anti-join."""
     name = fresh("_dropped", docs)
-    dropped = checkpoint(join_documents(docs, id_col, text_col).where("component_id <> doc_id")
+    dropped = written(join_documents(docs, id_col, text_col).where("component_id <> doc_id")
                          .select(F.col("doc_id").alias(name)).distinct())
     shared = docs.sparkSession.sparkContext.broadcast(_id_filter(dropped))
 
