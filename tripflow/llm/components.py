@@ -52,14 +52,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) for every node of ``edges`` (two long columns); label is
     the smallest node that it is connected with.
 
-    The edges of one end's hash share a task, which contracts them: long paths
+    Tasks contract the edges they have to one for each node, then those of
+    one node's hash share a task, which contracts them again: long paths
     become short, and several edges of a node one. Each turn then takes the
     smallest label among a node's neighbours and the label of that label, until
     nothing changes. Minima are aggregated before the shuffle, so a node with
     very many edges is one row per task.
     """
-    stars = (edges.select(F.col(a).alias("u"), F.col(b).alias("v")).repartition("u")
-             .mapInArrow(_stars, "u long, v long"))
+    stars = (edges.select(F.col(a).alias("u"), F.col(b).alias("v")).mapInArrow(_stars, "u long, v long")
+             .repartition("u").mapInArrow(_stars, "u long, v long"))
     both = checkpoint(
         stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     label = checkpoint(both.groupBy(F.col("u").alias("node"))
