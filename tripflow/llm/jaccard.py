@@ -5,10 +5,10 @@ are one set. Two sets link when their Jaccard similarity is at least 3/4.
 Components of linked documents are found exactly, without comparing all
 members of a group with each other:
 
-1.  A pass over all texts counts shingles in a sketch of fixed size, of which
-    each task reports what stands out. Sets are ordered by the sketch's
-    classes (rare first), then by hash. Any order is
-    right; this one keeps passages that many texts share out of the index.
+1.  A pass over all texts counts shingles in a sketch of fixed size a task;
+    the tasks' sketches are added up. Sets are ordered by the sketch's classes
+    (rare first), then by hash. Any order is right; this one keeps passages
+    that many texts share out of the index.
 2.  Linked sets of sizes x and y share at least ceil(3 (x + y) / 7) shingles,
     so their first quarters share one. The index lists, for each shingle of
     a set's first ``prefix`` shingles, (set, size, position), sorted by size.
@@ -59,7 +59,7 @@ ROWS = 256                  # rows of that square that are tested at a time
 OUTER, MEMBERS = 512, 2048  # sets of a longer list that one task compares
 COLUMNS = 4096              # shingles of a comparison's matrices
 NO_ID = -(1 << 63)          # stands for a null id
-LEAST = 4                   # shingles of a counter that a task reports at all
+SKETCH_BLOCK = 256          # counters of a row of the sketch
 FLUSH = 400_000             # pairs that a task gathers before it counts them
 
 
@@ -117,10 +117,10 @@ def _members(first: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document (kind 0: id, set, size); per task the sketch (kind 1: 0, counter, count)."""
+    """Per document (kind 0: id, set, size); per task its sketch (kind 1: block of counters, their counts)."""
     seen: set = set()
     sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-    names = ["kind", "doc_id", "set", "n"]
+    names = ["kind", "doc_id", "set", "n", "counts"]
     for batch in batches:
         doc = batch.column(0)
         for b in blocks(batch.column(1)):
@@ -130,22 +130,38 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(sketch, (mine >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(b.rows, np.int32)), doc.slice(b.lo, b.rows).cast(pa.int64()), pa.array(ids),
-                 pa.array(np.diff(first))], names=names)
-    mean = sketch.mean()
-    used = np.flatnonzero(sketch >= max(mean + 4 * np.sqrt(mean), LEAST))      # what stands out in this task
+                 pa.array(np.diff(first)), pa.nulls(b.rows, pa.binary())], names=names)
+    counts = np.minimum(sketch, 0xFFFF).astype(np.uint16).reshape(-1, SKETCH_BLOCK)
+    used = np.flatnonzero(counts.any(1))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(np.ones(len(used), np.int32)), pa.nulls(len(used), pa.int64()), pa.array(used), pa.array(sketch[used])],
-        names=names)
+        [pa.array(np.ones(len(used), np.int32)), pa.nulls(len(used), pa.int64()), pa.array(used),
+         pa.nulls(len(used), pa.int64()), pa.array([x.tobytes() for x in counts[used]], pa.binary())], names=names)
+
+
+def _summed(kind: type) -> Callable:
+    """Counts (of type ``kind``) of the blocks that a task reads, added up as they come."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                total.setdefault(block, np.zeros(SKETCH_BLOCK, np.int64)).__iadd__(np.frombuffer(counts.as_buffer(), kind))
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()),
+                                          pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["set", "counts"])
+    return run
 
 
 def _classes(sketch: DataFrame) -> np.ndarray:
-    """Order class of each counter: 0 up to LONG shingles seen where it stood
-    out, then one more for each doubling."""
-    got = sketch.groupBy("set").agg(F.sum("n").alias("n")).toArrow()
-    n = np.maximum(np.asarray(got.column("n")) / LONG, 1)
-    out = np.zeros(1 << SKETCH_BITS, np.uint8)
-    out[np.asarray(got.column("set"))] = np.clip(np.ceil(np.log2(n)), 0, 31)
-    return out
+    """Order class of each counter: 0 up to LONG shingles more than the mean of
+    all counters, or as long as chance explains the excess; then one more for
+    each doubling. The driver receives one number a counter."""
+    part = sketch.select("set", "counts").mapInArrow(_summed(np.uint16), "set long, counts binary")
+    got = part.repartition("set").mapInArrow(_summed(np.int64), "set long, counts binary").toArrow()
+    total = np.zeros(((1 << SKETCH_BITS) // SKETCH_BLOCK, SKETCH_BLOCK), np.int64)
+    for block, counts in zip(got.column(0).to_pylist(), got.column(1), strict=True):
+        total[block] = np.frombuffer(counts.as_buffer(), np.int64)
+    total = total.ravel()
+    more = total - total.mean()
+    return np.where(more > 4 * np.sqrt(total.mean()), np.clip(np.ceil(np.log2(np.maximum(more / LONG, 1))), 0, 31), 0).astype(np.uint8)
 
 
 def order_key(h: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -477,8 +493,8 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text"))
     profile = written(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-                         .mapInArrow(_profile, "kind int, doc_id long, set long, n long"))
-    document = profile.where("kind = 0").drop("kind")
+                         .mapInArrow(_profile, "kind int, doc_id long, set long, n long, counts binary"))
+    document = profile.where("kind = 0").drop("kind", "counts")
     classes = spark.sparkContext.broadcast(_classes(profile.where("kind = 1")))
     index = (texts.mapInArrow(_postings(classes), "token long, set long, n int, pos int")
              .repartition("token").sortWithinPartitions("token", "n", "set"))
