@@ -207,3 +207,39 @@ def test_matching_is_aligned_in_time(spark):
     assert all(r.value != r.value for r in mt.by_scalar(a, "/", mt.scalar_steps(v)).collect())      # two elements: NaN
     with pytest.raises(ValueError):
         mt.instant(a, lookback_s=None, steps=steps)
+
+
+@pytest.mark.parametrize("window,bucket", [(1800, HOUR_US), (7200, HOUR_US), (10_000, HOUR_US), (3 * 86_400, HOUR_US)])
+def test_windows_of_any_length_and_rows_at_one_time(spark, window, bucket):
+    """Windows shorter and longer than a bucket, several samples at one time, repeated rows."""
+    rng = np.random.default_rng(11)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for s in range(2):
+        for _ in range(150):
+            t = t0 + dt.timedelta(seconds=int(rng.integers(0, 200)) * 1800 // (1 + s * 3))
+            rows.append(("m", {"s": str(s)}, t, float(rng.integers(0, 5))))
+    rows += rows[::7]
+    m = mt.normalize(spark.createDataFrame(rows, "name string, labels map<string,string>, ts timestamp_ntz, value double"))
+    got_rate = sorted((r["labels"], r["ts"], r["value"]) for r in mt.rate(m, window, bucket_us=bucket).fillna(-1.0, ["value"]).collect())
+    got_chg = sorted((r["labels"], r["ts"], r["value"]) for r in mt.changes(m, window, bucket_us=bucket).collect())
+    want_rate, want_chg = [], []
+    for s, pts in _brute_by_series(rows).items():
+        for t, _ in pts:
+            at = [j for j, (u, _) in enumerate(pts) if t - dt.timedelta(seconds=window) < u <= t]
+            inc = sum(pts[j][1] - pts[j - 1][1] if pts[j][1] >= pts[j - 1][1] else pts[j][1] for j in at if j)
+            step = sum((pts[j][0] - pts[j - 1][0]).total_seconds() for j in at if j)
+            want_rate.append((f's="{s}"', t, round(inc / step, 6) if step > 0 else -1.0))
+            want_chg.append((f's="{s}"', t, float(sum(pts[j][1] != pts[j - 1][1] for j in at[1:]))))
+    assert [x[:2] for x in got_rate] == [x[:2] for x in sorted(want_rate)]
+    assert [x[2] for x in got_rate] == pytest.approx([x[2] for x in sorted(want_rate)], abs=2e-6)
+    assert got_chg == sorted(want_chg)
+
+
+def test_range_windows_are_running_aggregates(spark):
+    """No frame that moves along with the row: its work would grow with the samples in a window."""
+    m, _ = _samples(spark, n=5)
+    for v in (mt.rate(m, 864_000), mt.rate(m, 3600), mt.changes(m, 3600)):
+        plan = v._jdf.queryExecution().optimizedPlan().toString()
+        frames = [line for line in plan.splitlines() if "specifiedwindowframe(RangeFrame" in line and "t_us" in line]
+        assert frames and all("RangeFrame, unboundedpreceding$()" in f for f in frames)

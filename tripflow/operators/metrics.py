@@ -21,8 +21,8 @@ however dense the samples are.
 Per-series order operators (lag, range windows, islands) never put a whole
 series into one task: samples are cut into time buckets (default one day)
 per series; the step from the previous bucket comes from a small
-(series × bucket) table, and range windows see the tail of the previous
-bucket through a halo copy. A series holding a third of all samples is
+(series × bucket) table, and range windows are put together from running
+aggregates of time blocks. A series holding a third of all samples is
 therefore spread over as many tasks as it has buckets.
 """
 
@@ -34,7 +34,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.functions import epoch_micros
-from tripflow.plans.partitioning import with_halo
 
 DAY_US = 86_400_000_000
 SERIES = ["name", "labels"]
@@ -206,12 +205,44 @@ def increments(m: DataFrame, bucket_us: int = DAY_US, stale_s: int | None = None
                            (F.col("value") != F.col("prev_value")).cast("int")).alias("chg"))
 
 
-def _range_window(x: DataFrame, window_s: int, bucket_us: int, aggs: list[Column]) -> DataFrame:
+def _range_window(x: DataFrame, window_s: int, bucket_us: int, values: list[tuple]) -> DataFrame:
+    """Add ``_w<i>`` for each (aggregate, column) of ``values``: the aggregate over
+    the samples of the series in ``(t - window, t]``, peers of the row included. The
+    aggregate also merges its own results (sum, min).
+
+    Time is cut into blocks of which a window spans exactly ``k``. The window is
+    then the end of the block k before the row's own, the blocks between, and the
+    row's own block up to it: running aggregates, so that the work per sample
+    doesn't grow with the samples in a window, and nothing is subtracted."""
     w_us = int(window_s) * 1_000_000
-    bucket_us = max(bucket_us, w_us)        # a halo reaches back one bucket at most
-    h = with_halo(x, F.col("t_us"), bucket_us, w_us)
-    w = (Window.partitionBy(*SERIES, "_bucket").orderBy("t_us").rangeBetween(-(w_us - 1), 0))
-    return h.select("*", *[a.over(w).alias(f"_w{i}") for i, a in enumerate(aggs)]).where("_home")
+    k = next(n for n in range(-(-w_us // bucket_us), w_us + 1) if w_us % n == 0)
+    block = lambda t: F.floor(t / F.lit(w_us // k)).cast("long")
+    running = (Window.unboundedPreceding, Window.currentRow)
+    # the end of a block: samples later than t - window, which is asked for by a row at that time
+    asks = F.array(F.struct(F.col("t_us").alias("at"), F.lit(0).alias("ask")),
+                   F.struct((F.col("t_us") - F.lit(w_us)).alias("at"), F.lit(1).alias("ask")))
+    both = x.withColumn("_a", F.explode(asks)).withColumn("_b", block(F.col("_a.at")))
+    late = Window.partitionBy(*SERIES, "_b").orderBy(F.desc("_a.at"), F.desc("_a.ask")).rowsBetween(*running)
+    out = both.select("*", *[f(F.when(F.col("_a.ask") == 0, c)).over(late).alias(f"_e{i}")
+                             for i, (f, c) in enumerate(values)]).where("_a.ask = 1").drop("_a")
+    # the row's own block
+    early = Window.partitionBy(*SERIES, "_b").orderBy("t_us").rangeBetween(*running)
+    out = out.withColumn("_b", block(F.col("t_us")))
+    out = out.select("*", *[f(c).over(early).alias(f"_o{i}") for i, (f, c) in enumerate(values)])
+    parts = ["_e", "_o"]
+    if k > 1:                               # blocks between, one row per (series, block)
+        blocks = x.groupBy(*SERIES, block(F.col("t_us")).alias("_b")).agg(
+            *[f(c).alias(f"_t{i}") for i, (f, c) in enumerate(values)])
+        between = Window.partitionBy(*SERIES).orderBy("_b").rangeBetween(1 - k, -1)
+        blocks = blocks.select(*SERIES, "_b", *[f(f"_t{i}").over(between).alias(f"_m{i}") for i, (f, _) in enumerate(values)])
+        out, parts = out.join(blocks, [*SERIES, "_b"], "left"), ["_e", "_m", "_o"]
+
+    def merged(f, i):
+        found = [F.col(f"{p}{i}") for p in parts]
+        if f is F.min:
+            return F.least(*found)
+        return F.when(F.coalesce(*found).isNotNull(), sum((F.coalesce(c, F.lit(0)) for c in found[1:]), F.coalesce(found[0], F.lit(0))))
+    return out.select(*x.columns, *[merged(f, i).alias(f"_w{i}") for i, (f, _) in enumerate(values)])
 
 
 def _recent(m: DataFrame, steps: Steps, window_s: int, stale_s: int | None) -> DataFrame:
@@ -236,7 +267,7 @@ def rate(m: DataFrame, window_s: int = 300, bucket_us: int = DAY_US, steps: Step
         r = _at_steps(x, steps, window_s, {"_w0": (F.sum, F.col("inc")), "_w1": (F.sum, F.col("dt_us"))})
         return r.where("_w1 > 0").select(*VECTOR, F.round(F.col("_w0") / (F.col("_w1") / F.lit(1e6)), 6).alias("value"))
     x = increments(m, bucket_us, stale_s)
-    r = _range_window(x, window_s, bucket_us, [F.sum("inc"), F.sum("dt_us")])
+    r = _range_window(x, window_s, bucket_us, [(F.sum, F.col("inc")), (F.sum, F.col("dt_us"))])
     per_s = F.when(F.col("_w1") > 0, F.col("_w0") / (F.col("_w1") / F.lit(1e6)))
     return r.select(*VECTOR, F.round(per_s, 6).alias("value"))
 
@@ -262,8 +293,9 @@ def changes(m: DataFrame, window_s: int = 300, bucket_us: int = DAY_US, steps: S
         r = _at_steps(x, steps, window_s, {"_n": (F.sum, F.col("chg0")), "_f": (F.min, F.struct("t_us", "value", "chg0"))})
         return r.select(*VECTOR, (F.col("_n") - F.col("_f.chg0")).cast("double").alias("value"))
     x = increments(m, bucket_us).withColumn("chg0", F.coalesce("chg", F.lit(0)))
-    r = _range_window(x, window_s, bucket_us, [F.sum("chg0"), F.first("chg0")])
-    return r.select(*VECTOR, (F.col("_w0") - F.col("_w1")).cast("double").alias("value"))
+    first = F.struct("t_us", "value", "prev_t_us", "chg0")      # in the order of ``with_previous``
+    r = _range_window(x, window_s, bucket_us, [(F.sum, F.col("chg0")), (F.min, first)])
+    return r.select(*VECTOR, (F.col("_w0") - F.col("_w1.chg0")).cast("double").alias("value"))
 
 
 def _vector(v: DataFrame) -> DataFrame:
