@@ -1,4 +1,5 @@
 """Drift scores against brute force on small samples, and invariants."""
+import itertools
 import math
 
 import numpy as np
@@ -168,3 +169,20 @@ def test_too_few_rows_are_unknown_not_no_drift(spark):
     few = spark.createDataFrame([(1.0,)] * 5, "a double")
     row = drf.drift_summary(drf.drift_report(few, few, ["a"], "js")).collect()[0]
     assert row["number_of_columns"] == 0 and row["drift_share"] is None and row["retrain"] is None
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_values_of_one_feature_never_meet_in_one_task(spark, repeated):
+    """Cut points and offsets are broadcast: nothing is shuffled by the group
+    alone, and the default ranges are exact whatever the values."""
+    df = spark.range(20_000).select(F.lit("a").alias("g"), (F.pow(F.col("id"), 2) if repeated else F.col("id") * 1.0).alias("v"),
+                                    F.lit(2).cast("long").alias("c"))
+    if repeated:
+        df = df.unionByName(df.select(F.lit("b").alias("g"), (-F.col("v")).alias("v"), "c"))
+    out = part.prefix_sums(part.reliable_checkpoint(df), ["g"], "v", ["c"], with_next=True)
+    joins = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    assert joins and all("BroadcastHashJoin" in j for j in joins)
+    for _, rows in itertools.groupby(sorted(out.collect(), key=lambda r: (r["g"], r["v"])), key=lambda r: r["g"]):
+        rows = list(rows)
+        assert [r["cum_c"] for r in rows] == list(range(2, 2 * len(rows) + 2, 2))
+        assert [r["next_v"] for r in rows] == [r["v"] for r in rows[1:]] + [None]

@@ -110,7 +110,7 @@ def _ks_pvalue(d: Column, n: Column, m: Column) -> Column:
     return p
 
 
-def cdf_scores(ref: DataFrame, cur: DataFrame, cols: list[str], ranges: int = 64) -> DataFrame:
+def cdf_scores(ref: DataFrame, cur: DataFrame, cols: list[str], ranges: int = 256) -> DataFrame:
     """Per feature: KS statistic D, its p-value, Wasserstein-1 distance and
     the normed distance (divided by the reference's population std, at
     least ``MIN_STD``, so that a constant reference still gives a score).
@@ -122,7 +122,7 @@ def cdf_scores(ref: DataFrame, cur: DataFrame, cols: list[str], ranges: int = 64
     return cdf_scores_of(value_counts(ref, cur, cols), ranges)
 
 
-def cdf_scores_of(counts: DataFrame, ranges: int = 64) -> DataFrame:
+def cdf_scores_of(counts: DataFrame, ranges: int = 256) -> DataFrame:
     """``cdf_scores`` of value counts (feature, value, c_ref, c_cur)."""
     vc = reliable_checkpoint(counts)
     # per feature: sizes and reference mean, then the reference variance

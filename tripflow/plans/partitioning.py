@@ -6,14 +6,13 @@
   each range is then scanned in its own task.
 * ``reliable_checkpoint`` — materialise a reused intermediate in the shared
   checkpoint folder (never a local checkpoint).
-* ``with_halo`` — split a long time series into time buckets so one hot
-  series does not land in a single task; rows near a bucket start are
-  copied into the next bucket so range windows stay exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -27,7 +26,7 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
 
 
 def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
-                ranges: int = 64, with_next: bool = False) -> DataFrame:
+                ranges: int = 256, with_next: bool = False) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c`` per group ordered by
     ``order_col``) and optionally ``next_<order_col>`` (the next value in the
     group's order, null for the last row).
@@ -35,6 +34,8 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols:
     ``order_col`` must be unique within a group (callers pre-aggregate by
     value first). Work per task is one value range of one group, so a group
     with a third of all distinct values is still spread over ``ranges`` tasks.
+    Groups are few (cut points and offsets, ``ranges`` a group, are broadcast):
+    joined by a shuffle on the group, all its values would meet in one task.
     """
     if not group_cols:       # one implicit group: a constant key, never a cross join
         out = prefix_sums(df.withColumn("_g", F.lit(0)), ["_g"], order_col, sum_cols, ranges,
@@ -45,10 +46,14 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols:
     probs = [i / ranges for i in range(1, ranges)]
     cuts = df.groupBy(*g).agg(
         F.percentile_approx(order_col, probs, 10000).alias("_cuts"))
-    # number of cut points strictly below the value = range id (0..ranges-1)
-    ranged = df.join(cuts, g, "left")      # AQE broadcasts the cuts if they measure small
-    ranged = ranged.withColumn(
-        "_rng", F.size(F.filter("_cuts", lambda c: c < F.col(order_col)))).drop("_cuts")
+    wide = math.isqrt(ranges)
+    cuts = cuts.withColumn("_wide", F.filter("_cuts", lambda c, i: (i + 1) % wide == 0))
+    # number of cut points strictly below the value = range id (0..ranges-1):
+    # counted among every ``wide``-th one, then among those up to the next of these
+    below = lambda c: F.size(F.filter(c, lambda x: x < F.col(order_col)))
+    ranged = df.join(F.broadcast(cuts), g, "left").withColumn("_lo", below("_wide") * wide)
+    ranged = ranged.withColumn("_rng", F.col("_lo") + below(F.slice("_cuts", F.col("_lo") + 1, F.lit(wide - 1)))) \
+                   .drop("_cuts", "_wide", "_lo")
     # 2. per-range totals and first value; offsets over ranges (tiny table)
     tot_aggs = [F.sum(c).alias(f"_tot_{c}") for c in sum_cols]
     tot_aggs.append(F.min(order_col).alias("_first"))
@@ -65,26 +70,10 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols:
         "*", *[F.sum(c).over(wl.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_loc_{c}")
                for c in sum_cols],
         *([F.lead(order_col).over(wl).alias("_next_loc")] if with_next else []))
-    out = local.join(offs, g + ["_rng"], "left")
+    out = local.join(F.broadcast(offs), g + ["_rng"], "left")
     cols = [F.col(c) for c in df.columns]
     cols += [(F.col(f"_loc_{c}") + F.coalesce(F.col(f"_off_{c}"), F.lit(0))).alias(f"cum_{c}")
              for c in sum_cols]
     if with_next:
         cols.append(F.coalesce(F.col("_next_loc"), F.col("_next_first")).alias(f"next_{order_col}"))
     return out.select(*cols)
-
-
-def with_halo(df: DataFrame, t_micros: Column, bucket_micros: int, halo_micros: int) -> DataFrame:
-    """Assign ``_bucket`` = floor(t / bucket) and ``_home`` (True in the
-    row's own bucket). Rows in the last ``halo_micros`` of bucket b are also
-    copied into bucket b+1 with ``_home = False``, so a window that looks
-    back at most ``halo_micros`` from a row of b+1 sees every row it needs.
-    Results are kept only for ``_home`` rows. Requires halo <= bucket."""
-    b = F.floor(t_micros / F.lit(bucket_micros)).cast("long")
-    in_tail = (t_micros >= (b + 1) * F.lit(bucket_micros) - F.lit(halo_micros))
-    copies = F.when(in_tail, F.array(F.struct(b.alias("b"), F.lit(True).alias("h")),
-                                     F.struct((b + 1).alias("b"), F.lit(False).alias("h")))) \
-              .otherwise(F.array(F.struct(b.alias("b"), F.lit(True).alias("h"))))
-    return (df.withColumn("_c", F.explode(copies))
-              .withColumn("_bucket", F.col("_c.b")).withColumn("_home", F.col("_c.h"))
-              .drop("_c"))
