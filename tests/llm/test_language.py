@@ -78,3 +78,19 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = g.op4_language_id(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert len(got) > 100 and sum(r.lang == r.lang_pred for r in got) >= 0.97 * len(got)
+
+
+def test_working_arrays_stay_small():
+    """A batch of 6 MB is counted in blocks: what a worker holds at once is a
+    few machine words per byte of a block, not of the batch."""
+    import tracemalloc
+
+    text = "Some words of a text with a few more words in it. " * 40
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 3000), pa.array([text] * 3000)], names=["lang", "text"])
+    whole = {(r["lang"], r["kind"], r["slot"]): r["n"] for b in g._count(iter([batch])) for r in b.to_pylist()}
+    tracemalloc.start()
+    list(g._count(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n for (_, kind, _), n in whole.items() if kind == 1) == 3000 * sum(c.isalpha() for c in text)
+    assert peak < 90_000_000
