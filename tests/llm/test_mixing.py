@@ -127,3 +127,14 @@ def test_clashing_columns(spark):
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert m.mix(docs).count() == 0 and m.in_mixed_order(docs).count() == 0
+
+
+def test_small_tables_start_no_python_worker(spark, monkeypatch):
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('s', id % 7) AS source")
+    made, create = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **k: made.append(create(*a, **k)) or made[-1])
+    assert m.mix(docs, {"s1": 2.0, "s3": 1.0}).count() == 300 and len(made) == 3
+    m.mix(docs.limit(0), {}).collect()
+    assert len(made) == 6
+    for df in made:
+        assert "PythonRDD" not in df._jdf.queryExecution().toRdd().toDebugString()

@@ -45,6 +45,7 @@ from collections.abc import Mapping
 from heapq import heappop, heappush
 from math import isinf
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, BooleanType, DateType, NumericType, StringType, TimestampNTZType,
@@ -59,7 +60,8 @@ RANGE = 4_000               # rows of a source that are numbered together
 ROW_BYTES, BROADCAST_BYTES = 96, 16_000_000
 PLAIN = (BinaryType, BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType)
 ADDED = ("_block", "_slot", "_position")
-PHASES_SQL = "array<struct<first:long,last:long,period:long,slots:array<long>>>"
+PHASES = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("period", pa.int64()),
+                            ("slots", pa.list_(pa.int64()))]))
 
 
 def shares(weights: list[float], period: int) -> list[int]:
@@ -153,6 +155,14 @@ def numbered(rows: DataFrame, groups: DataFrame, order: list[str]) -> DataFrame:
             .withColumn("_number", F.col("_before") + F.col("_k")).drop("_range", "_k", "_before"))
 
 
+def _handed(spark: SparkSession, rows: list[tuple], **types: pa.DataType) -> DataFrame:
+    """The driver's ``rows`` as a table. As Arrow they reach the executors
+    without a Python worker, which else stays in their memory."""
+    columns = zip(*rows, strict=True) if rows else [()] * len(types)
+    return spark.createDataFrame(pa.table({name: pa.array(list(c), kind)
+                                           for (name, kind), c in zip(types.items(), columns, strict=True)}))
+
+
 def _sources(rows: DataFrame, weights: Mapping[str | None, float] | None, block_size: int) -> DataFrame:
     """(_group, n, _weight, _blocks): every source, its rows, given weight (0 if none above) and blocks."""
     counts = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("n"))
@@ -161,9 +171,9 @@ def _sources(rows: DataFrame, weights: Mapping[str | None, float] | None, block_
     else:
         if any(isinf(w) for w in weights.values()):
             raise ValueError("an infinite weight")
-        given = rows.sparkSession.createDataFrame(
-            [("" if s is None else f"s{s}", float(w) if w > 0 else 0.0) for s, w in weights.items()],
-            "_group string, _weight double")
+        given = _handed(rows.sparkSession,
+                        [("" if s is None else f"s{s}", float(w) if w > 0 else 0.0) for s, w in weights.items()],
+                        _group=pa.string(), _weight=pa.float64())
         counts = counts.join(given, "_group", "left").withColumn("_weight", F.coalesce("_weight", F.lit(0.0)))
     return checkpoint(counts.withColumn("_blocks", F.ceil(F.col("n") / block_size)))
 
@@ -201,15 +211,17 @@ def _placed(docs: DataFrame, weights: Mapping[str | None, float] | None, id_col:
                       .agg(F.count(F.lit(1)).alias("m")).collect()), key=lambda c: (-c[0], -c[1]))
     schedule = _schedule(classes, weights is None, period)
     # each source's turn within its class
-    named = spark.createDataFrame([(k, w, b, m) for k, (w, b, m) in enumerate(classes)],
-                                  "_class long, _weight double, _blocks long, _members long")
+    named = _handed(spark, [(k, w, b, m) for k, (w, b, m) in enumerate(classes)],
+                    _class=pa.int64(), _weight=pa.float64(), _blocks=pa.int64(), _members=pa.int64())
     of_class = named.select(F.col("_class").cast("string").alias("_group"), F.col("_members").alias("n"), "_class")
     turns = numbered(sources.join(named, ["_weight", "_blocks"]).select(
         F.col("_class").cast("string").alias("_group"), F.col("_group").alias("_source"), F.col("n").alias("_rows"),
         "_members", _hash(F.col("_group")).alias("_hash")), of_class, ["_source"])
     turns = checkpoint(turns.select(F.col("_source").alias("_group"), F.col("_rows").alias("n"), "_class", "_members",
                                     F.col("_number").alias("_turn")))
-    phases = spark.createDataFrame(list(enumerate(schedule)), f"_class long, _phases {PHASES_SQL}")
+    names = [f.name for f in PHASES.value_type]
+    phases = _handed(spark, [(k, [dict(zip(names, p, strict=True)) for p in own]) for k, own in enumerate(schedule)],
+                     _class=pa.int64(), _phases=PHASES)
     if 8 * sum(len(p[3]) + 4 for own in schedule for p in own) <= BROADCAST_BYTES:
         phases = F.broadcast(phases)        # classes x period numbers; beyond, a join that adaptive planning picks
     block = F.floor(F.col("_number") / block_size)
