@@ -186,3 +186,21 @@ def test_values_of_one_feature_never_meet_in_one_task(spark, repeated):
         rows = list(rows)
         assert [r["cum_c"] for r in rows] == list(range(2, 2 * len(rows) + 2, 2))
         assert [r["next_v"] for r in rows] == [r["v"] for r in rows[1:]] + [None]
+
+
+def test_counts_are_added_up_in_one_deal(spark):
+    """Stored counts with several rows a value, and values of one side only; a
+    task adds up its own share of the values, however few partitions a shuffle has."""
+    n = 20_000
+    ref = spark.range(2 * n).selectExpr("'x' AS feature", f"CAST(id % {n} AS double) AS value", "1L AS n")
+    cur = spark.range(n).selectExpr("'x' AS feature", f"CAST(id + {n // 2} AS double) AS value", "3L AS n")
+    both = drf.add_counts(ref, cur)
+    assert both.rdd.getNumPartitions() == drf.COUNT_PARTITIONS
+    most = both.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most < 5 * 1.5 * n / drf.COUNT_PARTITIONS
+    got = both.groupBy("c_ref", "c_cur").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 3, n // 2), (2, 0, n // 2), (2, 3, n // 2)]
+    # the running sums over their ranges are dealt out likewise
+    sums = part.prefix_sums(part.reliable_checkpoint(both), ["feature"], "value", ["c_ref"])
+    most = sums.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most < 10 * 1.5 * n / part.RANGE_TASKS

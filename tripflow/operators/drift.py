@@ -35,6 +35,7 @@ RETRAIN_THRESHOLD = 0.5         # retrain when share >= 0.5
 MIN_CURRENT_ROWS = 100
 PERIOD_BINS = {"trip_distance": 1.0}
 MIN_STD = 0.001                 # floor of the divisor of the normed distance
+COUNT_PARTITIONS = 200          # tasks that stored counts are added up in: so many are written without a sort buffer
 SMALL_SAMPLE_ROWS = 1000        # automatic choice: small reference -> test statistics
 CATEGORICAL_MAX_UNIQUE = 5      # automatic choice: few distinct values -> categorical
 
@@ -77,11 +78,6 @@ def drift_counts(df: DataFrame, cols: list[str], by: tuple[str, ...] = ()) -> Da
             .groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
-def merge_counts(counts: DataFrame) -> DataFrame:
-    """(feature, value, n) over all parts in ``counts``."""
-    return counts.groupBy("feature", "value").agg(F.sum("n").alias("n"))
-
-
 def value_counts(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     """(feature, value, c_ref, c_cur) over the union of observed values."""
     return join_counts(drift_counts(ref, cols), drift_counts(cur, cols))
@@ -95,6 +91,17 @@ def join_counts(ref: DataFrame, cur: DataFrame) -> DataFrame:
                      F.coalesce("c_cur", F.lit(0)).alias("c_cur")))
 
 
+def add_counts(ref: DataFrame, cur: DataFrame) -> DataFrame:
+    """``join_counts`` of stored counts, where a value may have several rows: both
+    sides are dealt out once to ``COUNT_PARTITIONS`` tasks and added up there, so
+    that a task holds its share of the values and not one map a side and step."""
+    none = F.lit(0).cast("long")
+    rows = (ref.select("feature", "value", F.col("n").alias("c_ref"), none.alias("c_cur"))
+            .unionByName(cur.select("feature", "value", none.alias("c_ref"), F.col("n").alias("c_cur"))))
+    return (rows.repartition(COUNT_PARTITIONS, "feature", "value").groupBy("feature", "value")
+            .agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur")))
+
+
 def _totals(vc: DataFrame) -> DataFrame:
     return vc.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"),
                                      F.count(F.lit(1)).alias("n_values"))
@@ -119,12 +126,11 @@ def cdf_scores(ref: DataFrame, cur: DataFrame, cols: list[str], ranges: int = 25
     totals, variance, running sums), so it is checkpointed once: it is
     already reduced to one row per distinct value and feature.
     """
-    return cdf_scores_of(value_counts(ref, cur, cols), ranges)
+    return cdf_scores_of(reliable_checkpoint(value_counts(ref, cur, cols)), ranges)
 
 
-def cdf_scores_of(counts: DataFrame, ranges: int = 256) -> DataFrame:
-    """``cdf_scores`` of value counts (feature, value, c_ref, c_cur)."""
-    vc = reliable_checkpoint(counts)
+def cdf_scores_of(vc: DataFrame, ranges: int = 256) -> DataFrame:
+    """``cdf_scores`` of checkpointed value counts (feature, value, c_ref, c_cur)."""
     # per feature: sizes and reference mean, then the reference variance
     # (two passes over the counts, numerically safe); one row per feature
     stats = vc.groupBy("feature").agg(
@@ -258,12 +264,11 @@ def report_from_counts(ref: DataFrame, cur: DataFrame, cols: list[str] | None =
     are added up): it reads counts, not trips (J6). Methods are explicit."""
     cols = cols or DRIFT_FEATURES
     methods = {c: methods if isinstance(methods, str) else methods.get(c, "wasserstein") for c in cols}
-    ref, cur = merge_counts(ref), reliable_checkpoint(merge_counts(cur))
+    both = reliable_checkpoint(add_counts(ref, cur))
     # every row of the features counts once for each
-    rows = cur.groupBy("feature").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
+    rows = both.groupBy("feature").agg(F.sum("c_cur").alias("n")).agg(F.max("n")).first()[0] or 0
     if rows < MIN_CURRENT_ROWS:
         return _no_report(ref.sparkSession)
-    both = join_counts(ref, cur)
     pick = lambda names: both.where(F.col("feature").isin(*names))
     cdf_cols = [c for c in cols if methods[c] in ("ks", "wasserstein")]
     cat_cols = [c for c in cols if methods[c] in ("js", "chi2")]

@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+RANGE_TASKS = 200       # tasks that value ranges are dealt to, whatever their size: so many are written without a sort buffer
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise a reused intermediate into the shared checkpoint folder
     (``spark.checkpoint.dir``) and cut its lineage. Unlike a local
@@ -66,7 +69,7 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols:
         F.lead("_first").over(wg).alias("_next_first"))
     # 3. local running sums inside each (group, range); add the offsets
     wl = Window.partitionBy(*g, "_rng").orderBy(order_col)
-    local = ranged.select(
+    local = ranged.repartition(min(ranges, RANGE_TASKS), *g, "_rng").select(
         "*", *[F.sum(c).over(wl.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_loc_{c}")
                for c in sum_cols],
         *([F.lead(order_col).over(wl).alias("_next_loc")] if with_next else []))
