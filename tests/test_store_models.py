@@ -1,6 +1,7 @@
 """Feature store, champions, metrics and model training."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tripflow.operators import features as feat
@@ -72,3 +73,30 @@ def test_champion_mae_never_increases(spark):
     champ = [mae[r["champion_version"]] for r in out]
     assert all(a >= b for a, b in zip(champ, champ[1:]))
     assert champ[-1] == min(mae.values())
+
+
+def test_fits_read_stored_tables(spark, scratch, monkeypatch):
+    """A fit reads its rows several times: from stored trips and zones, not by
+    deriving and cleaning the trips anew. The rows are the same."""
+    from tripflow.plans import registry as R
+    spark.range(600).selectExpr(
+        "id AS l_orderkey", "id * 7 % 200 AS l_partkey", "id % 10 AS l_suppkey", "cast(id % 7 AS int) AS l_linenumber",
+        "cast(id % 50 + 1 AS double) AS l_quantity", "900.0D + id * 150 AS l_extendedprice", "id % 9 / 100.0D AS l_tax",
+        "cast('1995-01-01' AS timestamp_ntz) + make_dt_interval(cast(id % 90 AS int)) AS l_shipdate",
+    ).write.parquet(f"{scratch}/lineitem.parquet")
+    read = []
+
+    def train(df, features, label):
+        read.append(df)
+        raise InterruptedError
+    monkeypatch.setattr(R.mdl, "train", train)
+    for query in (R.score_trips, R.score_fares, R.score_demand):
+        with pytest.raises(InterruptedError):
+            query(spark, scratch)
+    trips = feat.enrich_trips(R.silver(spark, scratch), feat.zone_stats(R.raw(spark, scratch)))
+    demand = feat.enrich_demand(R.silver_demand(spark, scratch), feat.zone_stats(R.raw(spark, scratch)))
+    for got, want in zip(read, (trips, trips, demand), strict=True):
+        assert got.inputFiles() and all("/table-" in f for f in got.inputFiles())
+        want = want.where("split = 'train'").select(*got.columns)
+        assert got.count() == want.count() > 0
+        assert got.exceptAll(want).isEmpty()

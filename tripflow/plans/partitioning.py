@@ -6,11 +6,13 @@
   each range is then scanned in its own task.
 * ``reliable_checkpoint`` — materialise a reused intermediate in the shared
   checkpoint folder (never a local checkpoint).
+* ``written`` — the same as a Parquet table.
 """
 
 from __future__ import annotations
 
 import math
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +30,17 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table beside the checkpoints and read it again:
+    as ``reliable_checkpoint``, but compressed, with columns that can be left
+    unread and a size known to the planner."""
+    from tripflow.session import checkpoint_dir
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, sum_cols: list[str],
                 ranges: int = 256, with_next: bool = False) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c`` per group ordered by

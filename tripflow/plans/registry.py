@@ -149,7 +149,11 @@ from tripflow.operators import quality as qa  # noqa: E402
 
 
 def silver_demand(spark, sf):
-    d = feat.demand(raw(spark, sf), keep_date=True)
+    return _demand_split(raw(spark, sf))
+
+
+def _demand_split(bronze):
+    d = feat.demand(bronze, keep_date=True)
     key = F.concat_ws("|", F.col("zone_id").cast("string"), F.col("pickup_date").cast("string"),
                       F.col("pickup_hour").cast("string"))
     return smp.hash_split(d.withColumn("demand_key", key), "demand_key").drop("pickup_date", "demand_key")
@@ -479,6 +483,7 @@ def exposition(spark, sf):
 
 from tripflow.operators import models as mdl  # noqa: E402
 from tripflow.operators import store as fs  # noqa: E402
+from tripflow.plans.partitioning import written  # noqa: E402
 
 
 @query
@@ -521,9 +526,23 @@ def regression_metrics(spark, sf):
 
 # Rows-only checks: a trained model has no SQL twin.
 
+def _bronze(spark, sf):
+    """Trips and zone statistics, stored as in the lake: what is derived for a
+    trip is a column then, not an expression repeated in each rule."""
+    bronze = written(raw(spark, sf))
+    return bronze, written(feat.zone_stats(bronze))
+
+
+def _stored_trips(spark, sf):
+    """Enriched silver trips. A fit reads them several times and its scoring
+    once more, so the cleaned trips are stored too."""
+    bronze, zones = _bronze(spark, sf)
+    return feat.enrich_trips(written(smp.hash_split(trp.clean_trips(bronze), "trip_key")), zones)
+
+
 @query
 def score_trips(spark, sf):
-    data = feat.enrich_trips(silver(spark, sf), feat.zone_stats(raw(spark, sf)))
+    data = _stored_trips(spark, sf)
     model = mdl.train(data.where(F.col("split") == "train"), mdl.TRIP_FEATURES, "duration_min")
     return mdl.score(model, data.where(F.col("split") == "test"), "predicted_duration_min", 2) \
         .select("trip_key", "duration_min", "predicted_duration_min")
@@ -531,7 +550,7 @@ def score_trips(spark, sf):
 
 @query
 def score_fares(spark, sf):
-    data = feat.enrich_trips(silver(spark, sf), feat.zone_stats(raw(spark, sf)))
+    data = _stored_trips(spark, sf)
     model = mdl.train(data.where(F.col("split") == "train"), mdl.TRIP_FEATURES, "total_amount")
     return mdl.score(model, data.where(F.col("split") == "test"), "predicted_fare", 2) \
         .select("trip_key", "total_amount", "predicted_fare")
@@ -539,8 +558,8 @@ def score_fares(spark, sf):
 
 @query
 def score_demand(spark, sf):
-    d = silver_demand(spark, sf)
-    data = feat.enrich_demand(d, feat.zone_stats(raw(spark, sf))).withColumn(
+    bronze, zones = _bronze(spark, sf)
+    data = feat.enrich_demand(written(_demand_split(bronze)), zones).withColumn(
         "trip_count", F.col("trip_count").cast("double"))
     model = mdl.train(data.where(F.col("split") == "train"), mdl.DEMAND_FEATURES, "trip_count")
     return mdl.score(model, data.where(F.col("split") == "test"), "predicted_trips", 1) \
