@@ -558,8 +558,8 @@ def score_fares(spark, sf):
 
 @query
 def score_demand(spark, sf):
-    bronze, zones = _bronze(spark, sf)
-    data = feat.enrich_demand(written(_demand_split(bronze)), zones).withColumn(
+    bronze, zones = _bronze(spark, sf)      # demand is not stored: its shuffle serves all reads of the fit
+    data = feat.enrich_demand(_demand_split(bronze), zones).withColumn(
         "trip_count", F.col("trip_count").cast("double"))
     model = mdl.train(data.where(F.col("split") == "train"), mdl.DEMAND_FEATURES, "trip_count")
     return mdl.score(model, data.where(F.col("split") == "test"), "predicted_trips", 1) \
