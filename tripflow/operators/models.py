@@ -33,16 +33,22 @@ GBT_PARAMS = {"maxIter": 200, "stepSize": 0.1, "maxDepth": 5, "seed": 42}
 
 
 def train(df: DataFrame, features: list[str], label: str, max_iter: int | None = None, **params):
-    """Fit ``VectorAssembler → GBTRegressor`` on ``df``."""
-    from pyspark.ml import Pipeline
+    """Fit ``VectorAssembler → GBTRegressor`` on ``df`` (I15). The trees are
+    grown by ``boosting.fit``, from all rows and with the results of MLlib's own
+    fit, which is left to parameters that ``boosting`` does not have."""
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
+    from tripflow.operators import boosting
     p = {**GBT_PARAMS, **params}
     if max_iter is not None:
         p["maxIter"] = max_iter
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol=label, lossType="squared", **p)
-    return Pipeline(stages=[asm, gbt]).fit(df.select(*features, F.col(label).cast("double").alias(label)))
+    rows = df.select(*features, F.col(label).cast("double").alias(label))
+    if not boosting.fits(gbt, set(p)):
+        return Pipeline(stages=[asm, gbt]).fit(rows)
+    return PipelineModel([asm, boosting.fit(asm.transform(rows), gbt)])
 
 
 def score(model, df: DataFrame, out_col: str = "prediction", decimals: int = 2) -> DataFrame:
